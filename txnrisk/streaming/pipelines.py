@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -82,17 +82,19 @@ def score_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch.persist()
         rows = batch.dropDuplicates().withColumn("event_date", F.to_date(ts))
         if target.exists(spark):
             earlier = target.read(spark).where(F.col("batch_id") != batch_id)
             rows = not_processed(rows, earlier.where(_touched(batch, ts)), [key])
         scored = score(rows)
         scored.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
+        batch.unpersist()
 
     return _start(source.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
-def _touched(batch: DataFrame, ts: str):
+def _touched(batch: DataFrame, ts: str) -> Column:
     """Condition on ``event_date`` for the dates in a batch: a list, or a range when there are many."""
     day = F.to_date(ts).alias("d")
     dates = [r["d"] for r in batch.select(day).distinct().limit(MAX_DATES + 1).collect()]
