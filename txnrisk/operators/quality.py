@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from txnrisk.functions import parse_ts
 from txnrisk.schemas import HEADER_ID, RAW_FIELDS
@@ -26,7 +28,15 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=list(columns) if columns else None)
+    """Drop rows with a null (or NaN) in any column.
+
+    One condition per column, where ``na.drop`` has a single one over all of them:
+    these reach the scan, and planning time stays linear in the number of columns.
+    """
+    wanted = list(columns or df.columns)
+    floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    tests = [F.col(c).isNotNull() for c in wanted] + [~F.isnan(c) for c in wanted if c in floating]
+    return df.where(reduce(lambda a, b: a & b, tests))
 
 
 def clean_rows(df: DataFrame, column: str = "transaction_id", header: str = HEADER_ID) -> DataFrame:

@@ -104,10 +104,11 @@ def train_forest(
     """Fit a forest on the train part; returns the model and the test part."""
     rows = hash_split(curated)
     inputs = features.v40_inputs(labels)
-    model = models.train(rows.where("is_train").na.drop(subset=inputs), inputs, models.forest(LABEL, **params))
+    rows = quality.drop_null_rows(rows, inputs)
+    model = models.train(rows.where("is_train"), inputs, models.forest(LABEL, **params))
     if path:
         models.save(model, path, overwrite=True)
-    return model, rows.where("NOT is_train").na.drop(subset=inputs).drop("is_train")
+    return model, rows.where("NOT is_train").drop("is_train")
 
 
 def score_new(raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame]) -> bool:

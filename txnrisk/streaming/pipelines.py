@@ -40,15 +40,19 @@ def ingest(
     return _start(writer.partitionBy("rejected").outputMode("append"), checkpoint, trigger)
 
 
+def _part(spark: SparkSession, path: str, rejected: bool) -> DataFrame:
+    """One partition of an ingest folder: partition values are read back as text."""
+    return spark.read.parquet(path).where(F.col("rejected") == str(rejected).lower())
+
+
 def ingested(spark: SparkSession, path: str) -> DataFrame:
     """Good rows of a Parquet ingest folder."""
-    return spark.read.parquet(path).where(~F.col("rejected")).drop("rejected", CORRUPT)
+    return _part(spark, path, False).drop("rejected", CORRUPT)
 
 
 def ingest_rejects(spark: SparkSession, path: str) -> DataFrame:
     """Malformed messages of a Parquet ingest folder."""
-    bad = spark.read.parquet(path).where(F.col("rejected"))
-    return bad.select(F.col(CORRUPT).alias("value"), F.lit("malformed message").alias("reason"))
+    return _part(spark, path, True).select(F.col(CORRUPT).alias("value"), F.lit("malformed message").alias("reason"))
 
 
 def publish(
