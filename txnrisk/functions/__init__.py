@@ -1,5 +1,6 @@
 """Column expressions. All are Spark built-ins: no Python runs per row."""
 
+from txnrisk.functions import text
 from txnrisk.functions.scalars import (
     calendar_features,
     clean_user_id,
@@ -20,4 +21,5 @@ __all__ = [
     "parse_ts",
     "round_array",
     "strip_prefix",
+    "text",
 ]

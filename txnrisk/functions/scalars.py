@@ -1,72 +1,57 @@
+"""Column expressions over a named column."""
+
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from txnrisk.functions import text
 from txnrisk.schemas import TS_FORMAT, USER_PREFIX
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def strip_prefix(c: Column | str, prefix: str = USER_PREFIX, anchored: bool = True) -> Column:
+def strip_prefix(c: str, prefix: str = USER_PREFIX, anchored: bool = True) -> Column:
     """Remove ``prefix`` once at the start, or everywhere when not anchored."""
-    pattern = re.escape(prefix)
-    return F.regexp_replace(_col(c), f"^{pattern}" if anchored else pattern, "")
+    return F.expr(text.strip_prefix(c, prefix, anchored))
 
 
-def clean_user_id(c: Column | str, prefix: str = USER_PREFIX, anchored: bool = True) -> Column:
+def clean_user_id(c: str, prefix: str = USER_PREFIX, anchored: bool = True) -> Column:
     """Numeric user id; text that is no number becomes null instead of failing the job."""
-    return strip_prefix(c, prefix, anchored).try_cast("int")
+    return F.expr(text.clean_user_id(c, prefix, anchored))
 
 
-def normalize_category(c: Column | str, collapse: bool = True) -> Column:
+def normalize_category(c: str, collapse: bool = True) -> Column:
     """Lower case with blanks and hyphens as ``_``; runs become one ``_`` when collapsing."""
-    lowered = F.lower(_col(c))
-    if collapse:
-        return F.regexp_replace(lowered, r"[\s-]+", "_")
-    return F.translate(lowered, " -", "__")
+    return F.expr(text.normalize_category(c, collapse))
 
 
-def parse_ts(c: Column | str, fmt: str = TS_FORMAT) -> Column:
+def parse_ts(c: str, fmt: str = TS_FORMAT) -> Column:
     """Timestamp from text; text in another format becomes null."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt))
+    return F.expr(text.parse_ts(c, fmt))
 
 
-def calendar_features(c: Column | str) -> dict[str, Column]:
+def calendar_features(c: str) -> dict[str, Column]:
     """Hour, day of week (1 is Sunday) and day of month, by column name."""
-    ts = _col(c)
-    return {
-        "hour": F.hour(ts),
-        "dayofweek": F.dayofweek(ts),
-        "dayofmonth": F.dayofmonth(ts),
-    }
+    return {n: F.expr(sql) for n, sql in text.calendar_features(c).items()}
 
 
-def round_array(c: Column | str, digits: int = 2, is_vector: bool = True) -> Column:
+def round_array(c: str, digits: int = 2, is_vector: bool = True) -> Column:
     """Round each element of a vector (or array) column."""
-    values = vector_to_array(_col(c)) if is_vector else _col(c)
+    values = vector_to_array(c) if is_vector else F.col(c)
     return F.transform(values, lambda x: F.round(x, digits))
 
 
-def hash_bucket(c: Column | str, buckets: int = 100) -> Column:
+def hash_bucket(c: str, buckets: int = 100) -> Column:
     """Bucket in ``0..buckets-1`` from an md5 prefix.
 
     It depends on the value only, so a row keeps its bucket however the table is
     partitioned or recomputed after an executor loss.
     """
-    prefix = F.substring(F.md5(_col(c).cast("string")), 1, 8)
-    return (F.conv(prefix, 16, 10).cast("bigint") % buckets).cast("int")
+    return F.expr(text.hash_bucket(c, buckets))
 
 
 def linear_score(coefficients: Mapping[str, float], intercept: float = 0.0) -> Column:
     """Logistic score ``1 / (1 + exp(-(intercept + sum(coefficient * column))))``."""
-    margin = F.lit(float(intercept))
-    for name, weight in coefficients.items():
-        margin = margin + F.col(name).cast("double") * F.lit(float(weight))
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+    return F.expr(text.linear_score(coefficients, intercept))

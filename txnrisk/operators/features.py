@@ -8,10 +8,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.functions import calendar_features, normalize_category
+from txnrisk.functions import normalize_category, text
 from txnrisk.schemas import CALENDAR, CATEGORICALS, V36_BLOCKS, V36_SCALARS, VOCABULARY, numeric_columns
 
 MAX_LABELS = 1000  # labels per column that may become columns or literals
@@ -25,11 +25,10 @@ def label_counts(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFr
     All columns are counted in one pass. Counts are partly summed before the shuffle,
     so a label on a third of all rows arrives as one row per map task.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("label")) for c in columns]))
+    pairs = ", ".join(f"{text.literal(c)}, {text.name(c)}" for c in columns)
     return (
-        df.select(pairs.alias("pair"))
-        .select("pair.*")
-        .where(F.col("label").isNotNull())
+        df.selectExpr(f"stack({len(columns)}, {pairs}) AS (column_name, label)")
+        .where("label IS NOT NULL")
         .groupBy("column_name", "label")
         .agg(F.count("*").alias("n_rows"))
     )
@@ -64,12 +63,12 @@ def labels_of(vocab: DataFrame, max_labels: int = MAX_LABELS) -> dict[str, list[
 def label_index(df: DataFrame, labels: Labels, suffix: str = "_idx") -> DataFrame:
     """Frequency index per column. Unseen and null labels share the index after the last."""
 
-    def index(c: str) -> Column:
-        known = F.array_position(F.array(*[F.lit(v) for v in labels[c]]), F.col(c))
-        unseen = F.lit(float(len(labels[c])))
-        return F.when(known > 0, (known - 1).cast("double")).otherwise(unseen)
+    def index(c: str) -> str:
+        values = labels[c]
+        known = f"array_position(array({', '.join(map(text.literal, values))}), {text.name(c)})"
+        return f"cast(coalesce(nullif({known}, 0) - 1, {len(values)}) AS double)"
 
-    return df.withColumns({c + suffix: index(c) for c in labels})
+    return text.with_columns(df, {c + suffix: index(c) for c in labels})
 
 
 def index_by_join(df: DataFrame, vocab: DataFrame, column: str, suffix: str = "_idx") -> DataFrame:
@@ -85,41 +84,41 @@ def index_by_join(df: DataFrame, vocab: DataFrame, column: str, suffix: str = "_
     return joined.withColumn(column + suffix, F.coalesce(column + suffix, size)).select(*df.columns, column + suffix)
 
 
-def _hot(c: str, label: str, dtype: str) -> Column:
-    return F.when(F.col(c) == label, F.lit(1).cast(dtype)).otherwise(F.lit(0).cast(dtype))
-
-
 def clean_label(label: str, collapse: bool = True) -> str:
     """``normalize_category`` for a label of the vocabulary."""
     return re.sub(r"[\s-]+" if collapse else "[ -]", "_", label.lower(), flags=re.ASCII)
 
 
-def onehot_columns(labels: Labels, collapse: bool = True) -> dict[str, Column]:
-    """One int column ``<column>_<label>`` per label; unseen and null give all zeros."""
-    out: dict[str, Column] = {}
+def onehot_columns(labels: Labels, collapse: bool = True) -> dict[str, str]:
+    """SQL of one int column ``<column>_<label>`` per label; unseen and null give all zeros."""
+    out: dict[str, str] = {}
     for c, values in labels.items():
         for value in values:
             name = f"{c}_{clean_label(value, collapse)}"
             if name in out:
                 raise ValueError(f"two labels of {c} give the column {name}: normalise the labels first")
-            out[name] = _hot(c, value, "int")
+            out[name] = text.hot(c, value)
     return out
 
 
 def onehot_named(df: DataFrame, labels: Labels, collapse: bool = True) -> DataFrame:
     """Flattened one-hot columns for a fitted vocabulary."""
-    return df.withColumns(onehot_columns(labels, collapse))
+    return text.with_columns(df, onehot_columns(labels, collapse))
+
+
+def normalize_all(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFrame:
+    return text.with_columns(df, {c: text.normalize_category(c) for c in columns})
 
 
 def onehot_fixed(df: DataFrame, vocabulary: Labels = VOCABULARY) -> DataFrame:
     """Normalise the categories in place and flatten them by a vocabulary known beforehand."""
-    cleaned = df.withColumns({c: normalize_category(c) for c in vocabulary})
-    return cleaned.withColumns(onehot_columns(vocabulary))
+    return text.with_columns(normalize_all(df, list(vocabulary)), onehot_columns(vocabulary))
 
 
 def onehot_arrays(df: DataFrame, labels: Labels, suffix: str = "_arr") -> DataFrame:
     """One ``array<double>`` per column, a slot per label."""
-    return df.withColumns({c + suffix: F.array(*[_hot(c, v, "double") for v in labels[c]]) for c in labels})
+    slots = {c: ", ".join(text.hot(c, v, "double") for v in values) for c, values in labels.items()}
+    return text.with_columns(df, {c + suffix: f"array({sql})" for c, sql in slots.items()})
 
 
 def encoding_pipeline(columns: Sequence[str] = CATEGORICALS, suffix: str = "_vec") -> Pipeline:
@@ -144,11 +143,12 @@ def arrays_to_vectors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def flatten_array(df: DataFrame, column: str, size: int) -> DataFrame:
     """Positional columns ``<column>_<i>``; places past the end of an array are null."""
-    return df.withColumns({f"{column}_{i}": F.get(column, F.lit(i)) for i in range(size)}).drop(column)
+    places = {f"{column}_{i}": f"get({text.name(column)}, {i})" for i in range(size)}
+    return text.with_columns(df, places).drop(column)
 
 
 def with_calendar(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    return df.withColumns(calendar_features(ts))
+    return text.with_columns(df, text.calendar_features(ts))
 
 
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features", invalid: str = "error") -> DataFrame:
@@ -168,9 +168,9 @@ def v40_inputs(labels: Labels = VOCABULARY) -> list[str]:
 
 def unseen_labels(df: DataFrame, vocabulary: Labels = VOCABULARY) -> DataFrame:
     """Rows per (column, normalised label) that the vocabulary does not know."""
-    cleaned = df.select(*[normalize_category(c).alias(c) for c in vocabulary])
-    known = [(F.col("column_name") == c) & F.col("label").isin(list(v)) for c, v in vocabulary.items()]
-    condition = known[0]
-    for other in known[1:]:
-        condition = condition | other
-    return label_counts(cleaned, list(vocabulary)).where(~condition)
+    cleaned = df.selectExpr(*[f"{text.normalize_category(c)} AS {text.name(c)}" for c in vocabulary])
+    known = " OR ".join(
+        f"(column_name = {text.literal(c)} AND label IN ({', '.join(map(text.literal, values))}))"
+        for c, values in vocabulary.items()
+    )
+    return label_counts(cleaned, list(vocabulary)).where(f"NOT ({known})")

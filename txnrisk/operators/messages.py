@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from txnrisk.functions.text import literal, name, parse_ts, with_columns
 from txnrisk.schemas import RAW_FIELDS, TS_FORMAT, message_schema
 
 CORRUPT = "_corrupt_record"
@@ -17,9 +18,15 @@ NAME = {f.wire: f.name for f in RAW_FIELDS}
 
 def encode(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Key and JSON value per row, under the wire names. Null fields are left out."""
-    fields = [F.col(c).alias(WIRE.get(c, c)) for c in df.columns]
-    value = F.to_json(F.struct(*fields), {"timestampFormat": TS_FORMAT})
-    return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
+    fields = ", ".join(f"{literal(WIRE.get(c, c))}, {name(c)}" for c in df.columns)
+    options = f"map('timestampFormat', {literal(TS_FORMAT)})"
+    value = f"to_json(named_struct({fields}), {options})"
+    return df.selectExpr(f"cast({name(key)} AS string) AS key", f"{value} AS value")
+
+
+def _flat(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The fields of ``data`` as columns under our names."""
+    return df.selectExpr(*[f"data.{name(f.name)} AS {name(NAME.get(f.name, f.name))}" for f in schema.fields])
 
 
 def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
@@ -32,7 +39,7 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "valu
     parsed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     data = df.select(F.from_json(F.col(value).cast("string"), parsed, options).alias("data"))
-    return data.select(*[F.col(f"data.{f.name}").alias(NAME.get(f.name, f.name)) for f in parsed.fields])
+    return _flat(data, parsed)
 
 
 def explode_array(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
@@ -40,7 +47,7 @@ def explode_array(df: DataFrame, schema: T.StructType | None = None, value: str
     schema = schema or message_schema(with_label=True)
     items = F.from_json(F.col(value).cast("string"), T.ArrayType(schema))
     rows = df.select(F.explode(items).alias("data"))
-    return rows.select(*[F.col(f"data.{f.name}").alias(NAME.get(f.name, f.name)) for f in schema.fields])
+    return _flat(rows, schema)
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
@@ -58,16 +65,16 @@ def type_message(df: DataFrame, flags: Sequence[str] | None = None) -> DataFrame
     """Message types to stored types: text flags to int, text time to timestamp, money to decimal."""
     known = {f.name: f for f in RAW_FIELDS}
     flags = flags or [f.name for f in RAW_FIELDS if f.stored == "int" and f.message == "string"]
-    out = []
+    changes = {}
     for c in df.columns:
         field = known.get(c)
         if field is None or field.stored == "string":
-            out.append(F.col(c))
-        elif field.stored == "timestamp":
-            out.append(F.try_to_timestamp(c, F.lit(TS_FORMAT)).alias(c))
+            continue
+        if field.stored == "timestamp":
+            changes[c] = parse_ts(c)
         elif c in flags:
-            yes_no = F.when(F.lower(c).isin("yes", "true"), 1).when(F.lower(c).isin("no", "false"), 0)
-            out.append(F.coalesce(F.col(c).try_cast("int"), yes_no).alias(c))
+            words = f"CASE lower({name(c)}) WHEN 'yes' THEN 1 WHEN 'true' THEN 1 WHEN 'no' THEN 0 WHEN 'false' THEN 0 END"
+            changes[c] = f"coalesce(try_cast({name(c)} AS int), {words})"
         else:
-            out.append(F.col(c).try_cast(field.stored).alias(c))
-    return df.select(*out)
+            changes[c] = f"try_cast({name(c)} AS {field.stored})"
+    return with_columns(df, changes)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnrisk.functions import parse_ts
+from txnrisk.functions.text import literal, name, parse_ts
 from txnrisk.schemas import HEADER_ID, RAW_FIELDS
 
 
@@ -35,8 +34,9 @@ def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """
     wanted = list(columns or df.columns)
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    tests = [F.col(c).isNotNull() for c in wanted] + [~F.isnan(c) for c in wanted if c in floating]
-    return df.where(reduce(lambda a, b: a & b, tests))
+    tests = [f"{name(c)} IS NOT NULL" for c in wanted]
+    tests += [f"NOT isnan({name(c)})" for c in wanted if c in floating]
+    return df.where(" AND ".join(tests))
 
 
 def clean_rows(df: DataFrame, column: str = "transaction_id", header: str = HEADER_ID) -> DataFrame:
@@ -50,7 +50,7 @@ def fill_nulls(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """One row with the number of nulls in each column."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return df.selectExpr(*[f"count_if({name(c)} IS NULL) AS {name(c)}" for c in df.columns])
 
 
 def dup_profile(df: DataFrame) -> DataFrame:
@@ -64,26 +64,27 @@ def dup_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def type_rows(df: DataFrame) -> DataFrame:
-    """Landing text to the stored types. Values that do not parse become null."""
+def _typed(column: str, stored: str) -> str:
+    if stored == "string":
+        return name(column)
+    if stored == "timestamp":
+        return parse_ts(column)
+    return f"try_cast({name(column)} AS {stored})"
 
-    def typed(name: str, stored: str) -> Column:
-        if stored == "string":
-            return F.col(name)
-        if stored == "timestamp":
-            return parse_ts(name)
-        return F.col(name).try_cast(stored)
 
-    return df.select(*[typed(f.name, f.stored).alias(f.name) for f in RAW_FIELDS if f.name in df.columns])
+def type_rows(df: DataFrame) -> DataFrame:
+    """Landing text to the stored types. Values that do not parse become null."""
+    present = set(df.columns)
+    return df.selectExpr(
+        *[f"{_typed(f.name, f.stored)} AS {name(f.name)}" for f in RAW_FIELDS if f.name in present]
+    )
 
 
 def type_rejects(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Landing rows whose text in ``columns`` is present but does not parse, with a reason each."""
     stored = {f.name: f.stored for f in RAW_FIELDS}
-
-    def unparsed(name: str) -> Column:
-        value = parse_ts(name) if stored[name] == "timestamp" else F.col(name).try_cast(stored[name])
-        return F.when(F.col(name).isNotNull() & value.isNull(), F.lit(f"bad {name}"))
-
-    reason = F.concat_ws("; ", *[unparsed(c) for c in columns])
-    return df.withColumn("reason", reason).where(F.col("reason") != "")
+    tests = [
+        f"CASE WHEN {name(c)} IS NOT NULL AND {_typed(c, stored[c])} IS NULL THEN {literal('bad ' + c)} END"
+        for c in columns
+    ]
+    return df.selectExpr("*", f"concat_ws('; ', {', '.join(tests)}) AS reason").where("reason <> ''")

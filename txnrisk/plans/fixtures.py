@@ -8,9 +8,10 @@ every scale. No row of ``txn`` is left out.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txnrisk.functions.text import literal, name
 from txnrisk.schemas import RAW_FIELDS
 
 TYPES = {
@@ -37,15 +38,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: list[str], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
-
+def _pick(values: list[str], index: str) -> str:
+    return f"element_at(array({', '.join(map(literal, values))}), cast({index} + 1 AS int))"
+
+
+def _lookup(mapping: dict[str, str], c: str) -> str:
+    return f"CASE {c} " + " ".join(f"WHEN {literal(k)} THEN {literal(v)}" for k, v in mapping.items()) + " END"
+
+
+# Transaction columns over events (``k`` from its properties, ``at`` its time to the second) and customer.
+TXN_SQL = {
+    "transaction_id": "concat('TXN_', event_id)",
+    "user_id": "concat('USER_', user_id)",
+    "transaction_amount": "cast(value AS decimal(10,2))",
+    "transaction_type": _lookup(TYPES, "event_type"),
+    "timestamp": "at",
+    "account_balance": "cast(c_acctbal AS decimal(10,2))",
+    "device_type": _pick(DEVICES, "k % 3"),
+    "location": _pick(CITIES, "c_nationkey % 6"),
+    "merchant_category": _lookup(SEGMENTS, "c_mktsegment"),
+    "ip_address_flag": "cast(k % 10 = 0 AS int)",
+    "previous_fraudulent_activity": "cast(event_id % 10 = 0 AS int)",
+    "daily_transaction_count": "cast(k % 14 + 1 AS int)",
+    "avg_transaction_amount_7d": "cast(value * 2 AS decimal(10,2))",
+    "failed_transaction_count_7d": "cast(k % 5 AS int)",
+    "card_type": _pick(CARDS, "c_custkey % 4"),
+    "card_age": "cast(user_id % 240 AS int)",
+    "transaction_distance": "cast(k * 10.25 AS decimal(10,2))",
+    "authentication_method": _pick(AUTHS, "event_id % 4"),
+    "risk_score": "cast(k / 100 AS decimal(5,4))",
+    "is_weekend": "cast(dayofweek(at) IN (1, 7) AS int)",
+    "fraud_label": "cast(k >= 70 OR event_type = 'error' AS int)",
+}
 
-def _lookup(mapping: dict[str, str], c: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for key, value in mapping.items():
-        out = F.when(c == key, value).otherwise(out)
-    return out
+# Planted text defects by event id; other columns become text as they are.
+TEXT_SQL = {
+    "user_id": "CASE WHEN event_id % 41 = 6 THEN concat('GUEST_', user_id) "
+    "WHEN event_id % 43 = 9 THEN concat('USER_', user_id) ELSE user_id END",
+    "transaction_amount": "CASE WHEN event_id % 37 <> 11 THEN cast(transaction_amount AS string) END",
+    "timestamp": "date_format(timestamp, CASE WHEN event_id % 29 = 4 THEN \"yyyy-MM-dd'T'HH:mm:ss'Z'\" "
+    "ELSE 'yyyy-MM-dd HH:mm:ss' END)",
+    "device_type": "CASE WHEN event_id % 53 = 2 THEN 'Smart-TV' ELSE device_type END",
+    "location": "CASE WHEN event_id % 31 = 5 THEN NULL "
+    "WHEN event_id % 31 = 6 AND location = 'New York' THEN 'New - York' ELSE location END",
+}
 
 
 def txn(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> DataFrame:
@@ -54,71 +90,33 @@ def txn(spark: SparkSession, sf_dir: str, with_event_id: bool = False) -> DataFr
     The join carries no broadcast hint: Spark broadcasts ``customer`` only below its
     size threshold, and beyond it sort-merges with skew splitting of hot users.
     """
-    events = table(spark, sf_dir, "events")
-    customer = table(spark, sf_dir, "customer")
-    k = F.get_json_object("props", "$.k").cast("int")
-    event, user = F.col("event_id"), F.col("user_id")
-    ts = F.date_trunc("second", F.col("ts").cast("timestamp"))
-    risk = (F.col("k") / 100).cast("decimal(5,4)")
-    joined = events.withColumns({"k": k, "at": ts}).join(customer, user == F.col("c_custkey"))
-    columns = {
-        "transaction_id": F.concat(F.lit("TXN_"), event),
-        "user_id": F.concat(F.lit("USER_"), user),
-        "transaction_amount": F.col("value").cast("decimal(10,2)"),
-        "transaction_type": _lookup(TYPES, F.col("event_type")),
-        "timestamp": F.col("at"),
-        "account_balance": F.col("c_acctbal").cast("decimal(10,2)"),
-        "device_type": _pick(DEVICES, F.col("k") % 3),
-        "location": _pick(CITIES, F.col("c_nationkey") % 6),
-        "merchant_category": _lookup(SEGMENTS, F.col("c_mktsegment")),
-        "ip_address_flag": (F.col("k") % 10 == 0).cast("int"),
-        "previous_fraudulent_activity": (event % 10 == 0).cast("int"),
-        "daily_transaction_count": (F.col("k") % 14 + 1).cast("int"),
-        "avg_transaction_amount_7d": (F.col("value") * 2).cast("decimal(10,2)"),
-        "failed_transaction_count_7d": (F.col("k") % 5).cast("int"),
-        "card_type": _pick(CARDS, F.col("c_custkey") % 4),
-        "card_age": (user % 240).cast("int"),
-        "transaction_distance": (F.col("k") * 10.25).cast("decimal(10,2)"),
-        "authentication_method": _pick(AUTHS, event % 4),
-        "risk_score": risk,
-        "is_weekend": F.dayofweek("at").isin(1, 7).cast("int"),
-        "fraud_label": ((F.col("k") >= 70) | (F.col("event_type") == "error")).cast("int"),
-    }
-    extra = [event] if with_event_id else []
-    return joined.select(*extra, *[c.alias(n) for n, c in columns.items()])
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "date_trunc('second', cast(ts AS timestamp)) AS at",
+    )
+    joined = events.join(table(spark, sf_dir, "customer"), F.expr("user_id = c_custkey"))
+    extra = ["event_id"] if with_event_id else []
+    return joined.selectExpr(*extra, *[f"{sql} AS {name(c)}" for c, sql in TXN_SQL.items()])
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``txn`` as text with planted defects: see the table in FIXTURES.md."""
-    base = txn(spark, sf_dir, with_event_id=True)
-    event = F.col("event_id")
-
-    def text(name: str, stored: str) -> Column:
-        if stored == "timestamp":
-            iso = F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss'Z'")
-            return F.when(event % 29 == 4, iso).otherwise(F.date_format(name, "yyyy-MM-dd HH:mm:ss"))
-        return F.col(name).cast("string")
-
-    rows = base.select(event, *[text(f.name, f.stored).alias(f.name) for f in RAW_FIELDS])
-    rows = rows.withColumns(
-        {
-            "user_id": F.when(event % 41 == 6, F.concat(F.lit("GUEST_"), "user_id"))
-            .when(event % 43 == 9, F.concat(F.lit("USER_"), "user_id"))
-            .otherwise(F.col("user_id")),
-            "transaction_amount": F.when(event % 37 != 11, F.col("transaction_amount")),
-            "location": F.when(event % 31 == 5, F.lit(None))
-            .when((event % 31 == 6) & (F.col("location") == "New York"), F.lit("New - York"))
-            .otherwise(F.col("location")),
-            "device_type": F.when(event % 53 == 2, F.lit("Smart-TV")).otherwise(F.col("device_type")),
-        }
-    )
-    # 'c' is an exact copy of the row, 'h' a header line after it.
-    kinds = F.concat(
-        F.array(F.lit("r")),
-        F.when(event % 20 == 3, F.array(F.lit("c"))).otherwise(F.array().cast("array<string>")),
-        F.when(event % 500 == 7, F.array(F.lit("h"))).otherwise(F.array().cast("array<string>")),
+    """``txn`` as text with planted defects: see FIXTURES.md.
+
+    Some rows come twice (kind ``c``), some are followed by a header line (kind ``h``).
+    """
+    kinds = (
+        "explode(concat(array('r'), CASE WHEN event_id % 20 = 3 THEN array('c') ELSE array() END, "
+        "CASE WHEN event_id % 500 = 7 THEN array('h') ELSE array() END)) AS kind"
     )
-    marked = rows.withColumn("kind", F.explode(kinds))
-    return marked.select(
-        *[F.when(F.col("kind") == "h", F.lit(f.wire)).otherwise(F.col(f.name)).alias(f.name) for f in RAW_FIELDS]
+    rows = txn(spark, sf_dir, with_event_id=True).selectExpr("*", kinds)
+    return rows.selectExpr(
+        *[
+            f"CASE WHEN kind = 'h' THEN {literal(f.wire)} "
+            f"ELSE {TEXT_SQL.get(f.name, f'cast({name(f.name)} AS string)')} END AS {name(f.name)}"
+            for f in RAW_FIELDS
+        ]
     )

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.functions import calendar_features, clean_user_id, normalize_category
+from txnrisk.functions import text
 from txnrisk.operators import features, incremental, models, quality
 from txnrisk.operators.split import hash_split, time_split
 from txnrisk.schemas import CATEGORICALS, LABEL, VOCABULARY
@@ -49,10 +49,9 @@ def import_new(source: DataFrame, target: Table, ts: str = "timestamp") -> None:
 
 def normalized(df: DataFrame) -> DataFrame:
     """Clean rows with numeric user id, normalised categories and calendar features."""
-    rows = quality.clean_rows(df)
-    changes: dict[str, Column] = {"user_id": clean_user_id("user_id")}
-    changes |= {c: normalize_category(c) for c in CATEGORICALS}
-    return rows.withColumns({**changes, **calendar_features("timestamp")})
+    changes = {"user_id": text.clean_user_id("user_id")}
+    changes |= {c: text.normalize_category(c) for c in CATEGORICALS}
+    return text.with_columns(quality.clean_rows(df), {**changes, **text.calendar_features("timestamp")})
 
 
 def feature_rows(df: DataFrame, labels: Mapping[str, Sequence[str]] = VOCABULARY) -> DataFrame:

@@ -10,13 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.functions import (
-    calendar_features,
     clean_user_id,
     hash_bucket,
-    normalize_category,
     parse_ts,
     round_array,
     strip_prefix,
+    text,
 )
 from txnrisk.operators import features, incremental, messages, metrics, models, ordering, quality, split
 from txnrisk.plans import jobs
@@ -69,25 +68,23 @@ def _typed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _spread(df: DataFrame, array: Column, prefix: str, size: int, keep: tuple[str, ...]) -> DataFrame:
     """Array elements as columns, so that results compare column by column."""
-    return df.select(*keep, *[F.get(array, F.lit(i)).alias(f"{prefix}_{i}") for i in range(size)])
+    places = [f"get(elements, {i}) AS {prefix}_{i}" for i in range(size)]
+    return df.withColumn("elements", array).selectExpr(*keep, *places)
 
 
 def _score(df: DataFrame) -> DataFrame:
     """Featurize raw rows with the fixed vocabulary and score them; raw columns stay."""
-    raw = [c for c in df.columns if c not in CATEGORICALS]
-    kept = df.withColumns({f"raw_{c}": F.col(c) for c in CATEGORICALS})
-    ready = features.with_calendar(features.onehot_fixed(kept))
+    raw = {f"raw_{c}": text.name(c) for c in CATEGORICALS}
+    ready = features.with_calendar(features.onehot_fixed(text.with_columns(df, raw)))
     scored = models.score_linear(ready, PINNED, INTERCEPT)
-    back = {c: F.col(f"raw_{c}").alias(c) for c in CATEGORICALS}
-    columns = [back[c] if c in back else c for c in df.columns if c in raw or c in back]
-    return scored.select(*columns, F.round("probability", 6).alias("probability"), "prediction")
+    columns = [f"raw_{c} AS {c}" if c in CATEGORICALS else text.name(c) for c in df.columns]
+    return scored.selectExpr(*columns, "round(probability, 6) AS probability", "prediction")
 
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Landing text to scored transactions: filter, type, clean, featurize, score."""
     rows = quality.clean_rows(_typed(spark, sf))
-    rows = rows.withColumn("user_id", clean_user_id("user_id"))
-    return _score(rows)
+    return _score(rows.withColumn("user_id", clean_user_id("user_id")))
 
 
 @query
@@ -152,20 +149,16 @@ def type_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def _payloads(spark: SparkSession, sf: str) -> DataFrame:
     """Positional JSON payloads from transactions; some lack entries, some have no list."""
-    rows = features.onehot_arrays(
-        txn(spark, sf).withColumns({c: normalize_category(c) for c in CATEGORICALS}), VOCABULARY
-    )
-    scalars = [F.col(c).cast("double").cast("string") for c in V36_SCALARS]
-    blocks = [F.to_json(c + "_arr") for c in V36_BLOCKS]
-    full = F.concat_ws(",", *scalars, *blocks)
-    short = F.concat_ws(",", *scalars)
-    part = hash_bucket("transaction_id", 20)
-    value = (
-        F.when(part == 3, F.concat(F.lit('{"features":['), short, F.lit("]}")))
-        .when(part == 4, F.lit("{}"))
-        .otherwise(F.concat(F.lit('{"features":['), full, F.lit("]}")))
+    rows = features.onehot_arrays(features.normalize_all(txn(spark, sf)), VOCABULARY)
+    scalars = ", ".join(f"cast(cast({c} AS double) AS string)" for c in V36_SCALARS)
+    blocks = ", ".join(f"to_json({c}_arr)" for c in V36_BLOCKS)
+    return rows.selectExpr(
+        "transaction_id",
+        f"""CASE {text.hash_bucket("transaction_id", 20)}
+          WHEN 3 THEN concat('{{"features":[', concat_ws(',', {scalars}), ']}}')
+          WHEN 4 THEN '{{}}'
+          ELSE concat('{{"features":[', concat_ws(',', {scalars}, {blocks}), ']}}') END AS value""",
     )
-    return rows.select("transaction_id", value.alias("value"))
 
 
 PAYLOAD_SIZE = len(V36_SCALARS) + len(V36_BLOCKS)
@@ -199,9 +192,9 @@ def clean_user(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def normalize_categories(spark: SparkSession, sf: str) -> DataFrame:
-    both = [normalize_category(c).alias(c) for c in CATEGORICALS]
-    plain = [normalize_category(c, collapse=False).alias(f"{c}_plain") for c in CATEGORICALS]
-    return landing(spark, sf).select("transaction_id", *both, *plain)
+    both = [f"{text.normalize_category(c)} AS {c}" for c in CATEGORICALS]
+    plain = [f"{text.normalize_category(c, collapse=False)} AS {c}_plain" for c in CATEGORICALS]
+    return landing(spark, sf).selectExpr("transaction_id", *both, *plain)
 
 
 @query
@@ -213,7 +206,7 @@ def ts_parse(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality.filter_header(landing(spark, sf)).withColumn("ts", parse_ts("timestamp"))
-    return rows.withColumns(calendar_features("ts")).select("transaction_id", "hour", "dayofweek", "dayofmonth")
+    return features.with_calendar(rows, "ts").select("transaction_id", "hour", "dayofweek", "dayofmonth")
 
 
 @query
@@ -271,9 +264,7 @@ def onehot_array(spark: SparkSession, sf: str) -> DataFrame:
     rows = txn(spark, sf)
     labels = _vocabulary(rows)
     out = features.onehot_arrays(rows, labels).select("transaction_id", *[f"{c}_arr" for c in CATEGORICALS])
-    for c in CATEGORICALS:
-        out = features.flatten_array(out, f"{c}_arr", len(labels[c]))
-    return out
+    return _flat_slots(out, {c: len(v) for c, v in labels.items()})
 
 
 @query
@@ -283,10 +274,13 @@ def onehot_vector(spark: SparkSession, sf: str) -> DataFrame:
     vectors = [f"{c}_vec" for c in CATEGORICALS]
     out = features.vectors_to_arrays(model.transform(rows), vectors)
     sizes = {c: len(v) for c, v in zip(CATEGORICALS, model.stages[0].labelsArray, strict=True)}
-    out = out.select("transaction_id", *[f"{c}_arr" for c in CATEGORICALS])
+    return _flat_slots(out.select("transaction_id", *[f"{c}_arr" for c in CATEGORICALS]), sizes)
+
+
+def _flat_slots(df: DataFrame, sizes: dict[str, int]) -> DataFrame:
     for c in CATEGORICALS:
-        out = features.flatten_array(out, f"{c}_arr", sizes[c])
-    return out
+        df = features.flatten_array(df, f"{c}_arr", sizes[c])
+    return df
 
 
 @query
@@ -307,7 +301,7 @@ def array_vector_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _v36(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = txn(spark, sf).withColumns({c: normalize_category(c) for c in CATEGORICALS})
+    cleaned = features.normalize_all(txn(spark, sf))
     arrays = [f"{c}_arr" for c in CATEGORICALS]
     return features.arrays_to_vectors(features.onehot_arrays(cleaned, VOCABULARY), arrays)
 
