@@ -51,12 +51,12 @@ def label_vocab(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFra
 
 def labels_of(vocab: DataFrame, max_labels: int = MAX_LABELS) -> dict[str, list[str]]:
     """Vocabulary table to ordered label lists, refusing to bring more than the bound to the driver."""
-    too_many = vocab.where(F.col("idx") >= max_labels).select("column_name").first()
-    if too_many:
-        raise ValueError(f"{too_many[0]} has more than {max_labels} labels: use index_by_join")
+    rows = vocab.where(F.col("idx") <= max_labels).select("column_name", "idx", "label").collect()
     out: dict[str, list[str]] = {}
-    for row in sorted(vocab.select("column_name", "idx", "label").collect()):
-        out.setdefault(row["column_name"], []).append(row["label"])
+    for column, idx, label in sorted(rows):
+        if idx == max_labels:
+            raise ValueError(f"{column} has more than {max_labels} labels: use index_by_join")
+        out.setdefault(column, []).append(label)
     return out
 
 

@@ -2,41 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _tally(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows per distinct combination; copies are combined before the shuffle."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n_rows"))
+
+
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Exact area under the ROC curve, ties counted half. Null when a class is missing.
+    """Exact area under the ROC curve, ties counted half. Null when a class is missing."""
+    return _auc(df.withColumn("n_rows", F.lit(1)), score, label)
+
 
-    Rows are first combined per distinct score, which also absorbs a hot score. The
-    distinct scores are range partitioned; each range adds up its own pairs, and the
-    ranges (one row per shuffle partition) are combined at the end.
+def _auc(tally: DataFrame, score: str, label: str) -> DataFrame:
+    """Area from row counts.
+
+    Counts are combined per distinct score, which absorbs a hot score. The distinct
+    scores are range partitioned; each range adds up its own pairs, and the ranges
+    (one row per shuffle partition) are combined at the end.
     """
-    positive = F.col(label).cast("int") == 1
-    scores = df.groupBy(score).agg(
-        F.count_if(positive).cast("double").alias("pos"),
-        F.count_if(~positive).cast("double").alias("neg"),
+    scores = tally.groupBy(score).agg(
+        F.sum(F.expr(f"CASE WHEN {label} = 1 THEN n_rows ELSE 0 END")).cast("double").alias("pos"),
+        F.sum(F.expr(f"CASE WHEN {label} = 1 THEN 0 ELSE n_rows END")).cast("double").alias("neg"),
     )
     ranged = scores.repartitionByRange(score).withColumn("part", F.spark_partition_id())
     below = Window.partitionBy("part").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
     placed = ranged.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0.0)))
     parts = placed.groupBy("part").agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)).alias("pairs"),
-        F.sum("pos").alias("pos"),
-        F.sum("neg").alias("neg"),
+        F.expr("sum(pos * (neg_below + neg / 2))").alias("pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shifted = parts.withColumn("neg_before", F.coalesce(F.sum("neg").over(earlier), F.lit(0.0)))
-    won = F.sum(F.col("pairs") + F.col("pos") * F.col("neg_before"))
-    return shifted.agg(F.try_divide(won, F.sum("pos") * F.sum("neg")).alias("auc"))
+    return shifted.selectExpr("try_divide(sum(pairs + pos * neg_before), sum(pos) * sum(neg)) AS auc")
 
 
 def confusion(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """Rows per (label, prediction)."""
-    return df.groupBy(
-        F.col(label).cast("double").alias("label"), F.col(prediction).cast("double").alias("prediction")
-    ).agg(F.count("*").alias("n_rows"))
+    return _confusion(_tally(df, label, prediction), prediction, label)
+
+
+def _confusion(tally: DataFrame, prediction: str, label: str) -> DataFrame:
+    return tally.groupBy(
+        F.expr(f"cast({label} AS double)").alias("label"), F.expr(f"cast({prediction} AS double)").alias("prediction")
+    ).agg(F.sum("n_rows").alias("n_rows"))
 
 
 def weighted_precision_recall(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
@@ -44,41 +54,33 @@ def weighted_precision_recall(df: DataFrame, prediction: str = "prediction", lab
 
     A class that is never predicted has precision 0. Weighted recall equals accuracy.
     """
-    n = F.col("n_rows")
-    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(0)
-
-    def share(kind: str, actual: Column, predicted: Column, hits: Column) -> Column:
-        return F.struct(
-            F.col(kind).alias("cls"), actual.alias("actual"), predicted.alias("predicted"), hits.alias("hits")
-        )
-
-    zero = F.lit(0).cast("bigint")
-    sides = F.array(share("label", n, zero, hit.cast("bigint")), share("prediction", zero, n, zero))
-    classes = (
-        confusion(df, prediction, label)
-        .select(F.explode(sides).alias("side"))
-        .select("side.*")
-        .groupBy("cls")
-        .agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "hits")])
+    return _weighted(confusion(df, prediction, label))
+
+
+def _weighted(counts: DataFrame) -> DataFrame:
+    """Each cell of the confusion table counts once for its label and once for its prediction."""
+    sides = counts.selectExpr(
+        "stack(2, label, n_rows, 0L, if(label = prediction, n_rows, 0L), prediction, 0L, n_rows, 0L) "
+        "AS (cls, actual, predicted, hits)"
     )
-    precision = F.when(F.col("predicted") > 0, F.col("hits") / F.col("predicted")).otherwise(0.0)
-    return classes.agg(
-        F.try_divide(F.sum(F.col("actual") * precision), F.sum("actual")).alias("weighted_precision"),
-        F.try_divide(F.sum("hits").cast("double"), F.sum("actual")).alias("weighted_recall"),
+    classes = sides.groupBy("cls").agg(*[F.sum(c).alias(c) for c in ("actual", "predicted", "hits")])
+    return classes.selectExpr(
+        "try_divide(sum(actual * if(predicted > 0, hits / predicted, 0D)), sum(actual)) AS weighted_precision",
+        "try_divide(cast(sum(hits) AS double), sum(actual)) AS weighted_recall",
     )
 
 
 def metrics_report(
     df: DataFrame, score: str = "score", prediction: str = "prediction", label: str = "label", digits: int = 4
 ) -> DataFrame:
-    """Metric name and rounded value, one row each."""
-    both = weighted_precision_recall(df, prediction, label)
-    pairs = F.explode(
-        F.array(
-            F.struct(F.lit("Precision").alias("metric"), F.col("weighted_precision").alias("value")),
-            F.struct(F.lit("Recall").alias("metric"), F.col("weighted_recall").alias("value")),
-        )
+    """Metric name and rounded value, one row each.
+
+    Both metrics start from one tally of the scored rows, whose shuffle Spark reuses:
+    the rows are scored once.
+    """
+    tally = _tally(df, score, prediction, label)
+    area = _auc(tally, score, label).selectExpr("'AUC' AS metric", "auc AS value")
+    both = _weighted(_confusion(tally, prediction, label)).selectExpr(
+        "stack(2, 'Precision', weighted_precision, 'Recall', weighted_recall) AS (metric, value)"
     )
-    area = roc_auc(df, score, label).select(F.lit("AUC").alias("metric"), F.col("auc").alias("value"))
-    rows = area.unionByName(both.select(pairs.alias("pair")).select("pair.*"))
-    return rows.select("metric", F.round("value", digits).alias("value"))
+    return area.unionByName(both).select("metric", F.round("value", digits).alias("value"))

@@ -5,8 +5,8 @@ Positions in a table sorted by ``keys`` are needed in two forms:
 * ``ordered_index`` gives every row its 0-based position. Rows are range partitioned
   over *all* keys, so many rows with one timestamp still spread by id, and the sorted
   table is written once; positions are then partition offset + place in the partition.
-* ``key_at_rank`` finds only the key at one position. It narrows the key range by
-  counting rows between a few pivots, and never sorts the table.
+* ``keys_at_ranks`` finds only the keys at given positions. It narrows the key range
+  by counting rows between a few pivots, and never sorts the table.
 
 Cuts, pages and "rows from index n" need only the second, which reads just the keys.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,57 +81,70 @@ def _slot(key: Column, pivots: list[Column], low: int = 0) -> Column:
     )
 
 
-def key_at_rank(
+def keys_at_ranks(
     df: DataFrame,
     keys: Sequence[str],
-    rank: int,
+    ranks: Sequence[int],
     total: int | None = None,
     small: int = SMALL,
     pivots: int = PIVOTS,
-) -> RankedKey:
-    """The key of the row at 0-based position ``rank`` when sorted by ``keys``.
+) -> dict[int, RankedKey]:
+    """The keys of the rows at the given 0-based positions when sorted by ``keys``.
 
-    Each step counts rows between at most ``pivots`` random keys and keeps the gap
-    that holds the rank. Counts are exact; pivots only decide how fast it narrows.
+    Each step counts rows between at most ``pivots`` random keys and goes on in the gaps
+    that hold a wanted position. Counts are exact; pivots only decide how fast it narrows.
     A key equal to a pivot has a slot of its own, so one key on a third of all rows
     ends the search instead of stalling it. Keys must not be null.
     """
     dtypes = _dtypes(df, keys)
-    span = df.select(*keys)
-    left = span.count() if total is None else total
-    if not 0 <= rank < left:
-        raise ValueError(f"rank {rank} is outside 0..{left - 1}")
-    before = 0
-    while left > small:
+    carried = [_carry(k, t) for k, t in zip(keys, dtypes, strict=True)]
+
+    def literals(row: Row) -> tuple[Column, ...]:
+        return tuple(_literal(row[k], t) for k, t in zip(keys, dtypes, strict=True))
+
+    def rank_small(span: DataFrame, before: int, wanted: Sequence[int]) -> dict[int, RankedKey]:
+        """At most ``small`` keys are left, so one window may rank them."""
+        groups = span.groupBy(*keys).agg(F.count("*").alias("__copies"))
+        upto = F.sum("__copies").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+        ranked = groups.withColumn("__upto", upto)
+        hits = " OR ".join(f"(__upto > {r - before} AND __upto - __copies <= {r - before})" for r in wanted)
+        out = {}
+        for row in ranked.where(hits).select(*carried, "__upto", "__copies").collect():
+            start = before + row["__upto"] - row["__copies"]
+            found = RankedKey(literals(row), start, row["__copies"])
+            out |= {r: found for r in wanted if start <= r < start + found.copies}
+        return out
+
+    def search(span: DataFrame, left: int, before: int, wanted: Sequence[int]) -> dict[int, RankedKey]:
+        if left <= small:
+            return rank_small(span, before, wanted)
         picked = span.orderBy(F.rand(left)).limit(pivots).distinct().orderBy(*keys)
-        rows = picked.select(*[_carry(k, t) for k, t in zip(keys, dtypes, strict=True)]).collect()
-        literals = [[_literal(v, t) for v, t in zip(row, dtypes, strict=True)] for row in rows]
-        slot = _slot(_struct(keys, keys), [_struct(v, keys) for v in literals])
+        marks = [literals(row) for row in picked.select(*carried).collect()]
+        slot = _slot(_struct(keys, keys), [_struct(v, keys) for v in marks])
         counts = dict(span.groupBy(slot.alias("slot")).count().collect())
+        out = {}
         for found in sorted(counts):
-            if before + counts[found] > rank:
-                break
-            before += counts[found]
-        left, gap = counts[found], found // 2
-        if found % 2:
-            return RankedKey(tuple(literals[gap]), before, left)
-        if gap > 0:
-            span = span.where(_after(keys, literals[gap - 1]))
-        if gap < len(literals):
-            span = span.where(_before(keys, literals[gap]))
-    # At most ``small`` keys are left, so one window may rank them.
-    groups = span.groupBy(*keys).agg(F.count("*").alias("copies"))
-    upto = F.sum("copies").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
-    row = (
-        groups.withColumn("upto", upto)
-        .where(F.col("upto") > rank - before)
-        .orderBy("upto")
-        .limit(1)
-        .select(*[_carry(k, t) for k, t in zip(keys, dtypes, strict=True)], "upto", "copies")
-        .first()
-    )
-    values = tuple(_literal(row[k], t) for k, t in zip(keys, dtypes, strict=True))
-    return RankedKey(values, before + row["upto"] - row["copies"], row["copies"])
+            rows, gap = counts[found], found // 2
+            mine = [r for r in wanted if before <= r < before + rows]
+            if mine and found % 2:
+                out |= {r: RankedKey(marks[gap], before, rows) for r in mine}
+            elif mine:
+                part = span.where(_after(keys, marks[gap - 1])) if gap > 0 else span
+                part = part.where(_before(keys, marks[gap])) if gap < len(marks) else part
+                out |= search(part, rows, before, mine)
+            before += rows
+        return out
+
+    span = df.select(*keys)
+    left = span.count() if total is None else total
+    if any(not 0 <= r < left for r in ranks):
+        raise ValueError(f"ranks {sorted(ranks)} are not all inside 0..{left - 1}")
+    return search(span, left, 0, sorted(set(ranks)))
+
+
+def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int | None = None, **options: int) -> RankedKey:
+    """``keys_at_ranks`` for one position."""
+    return keys_at_ranks(df, keys, [rank], total, **options)[rank]
 
 
 def ordered_index(df: DataFrame, keys: Sequence[str], name: str = "row_index") -> DataFrame:
@@ -157,28 +170,28 @@ def ordered_index(df: DataFrame, keys: Sequence[str], name: str = "row_index") -
     )
 
 
-def label_by_rank(df: DataFrame, keys: Sequence[str], cuts: Sequence[int], labels: Sequence[str], name: str) -> DataFrame:
+def label_by_rank(
+    df: DataFrame, keys: Sequence[str], cuts: Sequence[int], labels: Sequence[str], name: str, total: int | None = None
+) -> DataFrame:
     """Label contiguous runs in the order of ``keys``.
 
     ``cuts`` are the ascending start positions of the second run, the third, and so on.
     """
-    total = df.count()
-    starts = [c for c in cuts if 0 < c < total]
-    marks = {c: key_at_rank(df, keys, c, total) for c in set(starts)}
-    if any(m.before != c for c, m in marks.items()):
-        # A cut falls inside rows with equal keys: only positions can tell those apart.
-        indexed = ordered_index(df, keys, "__index")
-        label = F.lit(labels[0])
-        for cut, text in zip(cuts, labels[1:], strict=True):
-            label = F.when(F.col("__index") >= cut, text).otherwise(label)
-        return indexed.withColumn(name, label).drop("__index")
+    total = df.count() if total is None else total
+    inside = [c for c in cuts if 0 < c < total]
+    marks = keys_at_ranks(df, keys, inside, total) if inside else {}
+    tied = any(mark.before != cut for cut, mark in marks.items())
+    if tied:
+        # A cut falls among rows with equal keys: only positions can tell those apart.
+        df = ordered_index(df, keys, "__index")
     label = F.lit(labels[0])
     for cut, text in zip(cuts, labels[1:], strict=True):
         if cut <= 0:
             label = F.lit(text)
         elif cut < total:
-            label = F.when(_at_or_after(keys, marks[cut].values), text).otherwise(label)
-    return df.withColumn(name, label)
+            reached = F.col("__index") >= cut if tied else _at_or_after(keys, marks[cut].values)
+            label = F.when(reached, text).otherwise(label)
+    return df.withColumn(name, label).drop("__index")
 
 
 def rows_from_index(df: DataFrame, keys: Sequence[str], start: int) -> DataFrame:

@@ -24,7 +24,7 @@ def time_split(df: DataFrame, keys: Sequence[str] = ("timestamp", "transaction_i
     for _, share in TIME_PARTS[:-1]:
         at += int(total * share)
         cuts.append(at)
-    return label_by_rank(df, keys, cuts, [part for part, _ in TIME_PARTS], name)
+    return label_by_rank(df, keys, cuts, [part for part, _ in TIME_PARTS], name, total)
 
 
 def hash_split(df: DataFrame, key: str = "transaction_id", train_percent: int = 70, name: str = "is_train") -> DataFrame:

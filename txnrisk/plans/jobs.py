@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.functions import text
@@ -34,10 +34,9 @@ def incremental_load(
 ) -> bool:
     """Append the oldest rows newer than the target's watermark; False when there are none."""
     last = incremental.watermark_value(target.read(df.sparkSession), ts)
-    batch = incremental.oldest_batch(df, last, limit, ts, with_ties=with_ties)
-    if batch.isEmpty():
+    if incremental.newer_than(df, last, ts).isEmpty():
         return False
-    target.append(batch)
+    target.append(incremental.oldest_batch(df, last, limit, ts, with_ties=with_ties))
     return True
 
 
@@ -110,13 +109,12 @@ def train_forest(
     return model, rows.where("NOT is_train").drop("is_train")
 
 
-def score_new(raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame]) -> bool:
-    """Score rows whose id has no prediction yet and append them; False when there are none."""
-    spark: SparkSession = raw.sparkSession
+def score_new(raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame]) -> None:
+    """Score rows whose id has no prediction yet and append them.
+
+    There is no emptiness test first: it would run the anti join twice.
+    """
     fresh = raw
-    if predictions.exists(spark):
-        fresh = incremental.not_processed(raw, predictions.read(spark))
-    if fresh.isEmpty():
-        return False
+    if predictions.exists(raw.sparkSession):
+        fresh = incremental.not_processed(raw, predictions.read(raw.sparkSession))
     predictions.append(score(fresh))
-    return True

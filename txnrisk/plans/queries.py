@@ -33,7 +33,7 @@ from txnrisk.schemas import (
 )
 from txnrisk.sources import files
 from txnrisk.sources import messages as topics
-from txnrisk.sources.scratch import scratch_path
+from txnrisk.sources.scratch import scratch_path, stage
 from txnrisk.sources.tables import CatalogTable, PathTable, scan
 from txnrisk.streaming import pipelines
 
@@ -665,7 +665,8 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rf_train_score(spark: SparkSession, sf: str) -> DataFrame:
-    model, test = jobs.train_forest(jobs.feature_rows(_typed(spark, sf)), VOCABULARY)
+    rows = stage(jobs.feature_rows(_typed(spark, sf)), "features")
+    model, test = jobs.train_forest(rows, VOCABULARY)
     return models.score(test, model, ["transaction_id", LABEL])
 
 
