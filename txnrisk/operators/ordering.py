@@ -194,6 +194,12 @@ def label_by_rank(
     return df.withColumn(name, label).drop("__index")
 
 
+def _tied_tail(df: DataFrame, keys: Sequence[str], mark: RankedKey, start: int) -> DataFrame:
+    """Of the rows that share the key ``mark``, those at position ``start`` and later."""
+    tied = df.where((_struct(keys, keys) == _struct(mark.values, keys)) & (F.col(keys[0]) == mark.values[0]))
+    return ordered_index(tied, keys, "__index").where(F.col("__index") >= start - mark.before).drop("__index")
+
+
 def rows_from_index(df: DataFrame, keys: Sequence[str], start: int) -> DataFrame:
     """Rows at position ``start`` and later in the order of ``keys``."""
     if start <= 0:
@@ -204,27 +210,30 @@ def rows_from_index(df: DataFrame, keys: Sequence[str], start: int) -> DataFrame
     mark = key_at_rank(df, keys, start, total)
     if mark.before == start:
         return df.where(_at_or_after(keys, mark.values))
-    return ordered_index(df, keys, "__index").where(F.col("__index") >= start).drop("__index")
+    return df.where(_after(keys, mark.values)).unionByName(_tied_tail(df, keys, mark, start))
 
 
 def page_by_offset(df: DataFrame, keys: Sequence[str], offset: int, limit: int, small: int = SMALL) -> DataFrame:
     """Rows ``offset .. offset+limit-1`` in the order of ``keys``.
 
-    Near the start this is a top-k. A far page first finds its key, so no task holds
-    the skipped rows.
+    Near the start this is a top-k. A far or large page first finds its end keys, so no
+    task holds the skipped rows or the whole page.
     """
     if offset + limit <= small:
         return df.orderBy(*keys).offset(offset).limit(limit)
     total = df.count()
     if offset >= total:
         return df.where(F.lit(False))
-    mark = key_at_rank(df, keys, offset, total)
-    skip = offset - mark.before
-    if skip + limit > small:
-        index = F.col("__index")
-        paged = ordered_index(df, keys, "__index").where((index >= offset) & (index < offset + limit))
-        return paged.orderBy("__index").drop("__index")
-    return df.where(_at_or_after(keys, mark.values)).orderBy(*keys).offset(skip).limit(limit)
+    end = min(offset + limit, total)
+    marks = keys_at_ranks(df, keys, [offset, end - 1], total)
+    first, last = marks[offset], marks[end - 1]
+    page = df.where(_at_or_after(keys, first.values) & ~_after(keys, last.values))
+    page = page.where(F.col(keys[0]) <= last.values[0])
+    if first.before == offset and last.before + last.copies == end:
+        return page.orderBy(*keys)
+    index = F.col("__index") + first.before
+    paged = ordered_index(page, keys, "__index").where((index >= offset) & (index < end))
+    return paged.orderBy("__index").drop("__index")
 
 
 def page_after(df: DataFrame, keys: Sequence[str], last: Sequence[object] | None, limit: int) -> DataFrame:
