@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from txnrisk.plans.queries import REGISTRY  # noqa: E402
+from txnrisk.session import configure  # noqa: E402
 
 HEADLINE = [
     "score_landing",
@@ -58,11 +59,11 @@ HEADLINE = [
 def session(cpus: str) -> SparkSession:
     base = tempfile.mkdtemp(prefix="bench-")
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        configure(SparkSession.builder)
+        .master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", f"{base}/warehouse")
         .config("spark.checkpoint.dir", f"{base}/shared")
         .config("spark.ui.enabled", "false")

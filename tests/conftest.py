@@ -14,13 +14,15 @@ SF = os.environ.get("TXNRISK_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from txnrisk.session import configure
+
     base = tmp_path_factory.mktemp("spark")
     session = (
-        SparkSession.builder.master("local[8]")
+        configure(SparkSession.builder)
+        .master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.checkpoint.dir", str(base / "shared"))
         .getOrCreate()

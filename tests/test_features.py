@@ -52,6 +52,13 @@ def test_both_index_routes_agree(spark, txn):
     assert short.exceptAll(joined).isEmpty() and joined.exceptAll(short).isEmpty()
 
 
+def test_large_vocabulary_equals_the_small_one(spark, txn):
+    for c in ("user_id", "location"):
+        small = features.label_vocab(txn, [c])
+        large = features.label_vocab_large(txn, c)
+        assert small.exceptAll(large).isEmpty() and large.count() == small.count()
+
+
 def test_vocabulary_that_is_too_large_is_refused(spark):
     vocab = features.label_vocab(spark.range(20).selectExpr("cast(id AS string) AS c"), ["c"])
     assert len(features.labels_of(vocab, max_labels=20)["c"]) == 20

@@ -72,6 +72,18 @@ def test_time_split_sizes_with_ties(spark, rows):
     assert parts == {k: v for k, v in expected.items() if v}
 
 
+def test_copies_of_one_key_spread_over_tasks(spark):
+    """All rows tie: the input partition must still split them."""
+    df = spark.range(0, 8000, 1, 8).selectExpr("1 AS k", "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        indexed = ordering.ordered_index(df, ["k"]).orderBy("row_index")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r["row_index"] for r in indexed.select("row_index").collect()] == list(range(8000))
+    assert len(indexed.inputFiles()) >= 4
+
+
 def test_many_ranks_share_one_search(spark):
     df = spark.range(5000).selectExpr("timestamp_seconds(id % 7) AS t", "id AS i")
     ranks = [0, 1, 713, 714, 4999]

@@ -62,6 +62,8 @@ def test_database_options():
     assert table.read_options() == {"url": "jdbc:postgresql://host/db", "dbtable": "trans", "user": "u"}
     ranged = table.range_options("timestamp", "2024-01-01 00:00:00", "2024-02-01 00:00:00", 16)
     assert (ranged["partitionColumn"], ranged["numPartitions"]) == ("timestamp", "16")
+    assert table.max_options("ts")["query"] == 'SELECT MAX("ts") AS "ts" FROM trans'
+    assert "dbtable" not in table.max_options("ts")
     assert ranged["lowerBound"] < ranged["upperBound"]
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.functions import normalize_category, text
+from txnrisk.operators.ordering import ordered_index
 from txnrisk.schemas import CALENDAR, CATEGORICALS, V36_BLOCKS, V36_SCALARS, VOCABULARY, numeric_columns
 
 MAX_LABELS = 1000  # labels per column that may become columns or literals
@@ -37,7 +38,8 @@ def label_counts(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFr
 def label_vocab(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFrame:
     """Vocabulary table: labels of each column by falling frequency, ties by name.
 
-    The window runs over distinct labels only.
+    The window runs over distinct labels only, one task per column; see
+    ``label_vocab_large`` for a column with very many.
     """
     rank = Window.partitionBy("column_name").orderBy(F.desc("n_rows"), "label")
     return label_counts(df, columns).select(
@@ -49,6 +51,13 @@ def label_vocab(df: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFra
     )
 
 
+def label_vocab_large(df: DataFrame, column: str) -> DataFrame:
+    """``label_vocab`` for one column with any number of labels: no task holds them all."""
+    counts = label_counts(df, [column]).withColumn("__rank", -F.col("n_rows"))
+    ranked = ordered_index(counts, ["__rank", "label"], "idx")
+    return ranked.select("column_name", "label", normalize_category("label").alias("clean_label"), "idx", "n_rows")
+
+
 def labels_of(vocab: DataFrame, max_labels: int = MAX_LABELS) -> dict[str, list[str]]:
     """Vocabulary table to ordered label lists, refusing to bring more than the bound to the driver."""
     rows = vocab.where(F.col("idx") <= max_labels).select("column_name", "idx", "label").collect()

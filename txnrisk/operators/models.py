@@ -69,6 +69,23 @@ def score(df: DataFrame, model: PipelineModel, keep: Sequence[str] | None = None
     return scored.select(*(keep or df.columns), "prediction", positive.alias("probability"))
 
 
+def score_vectors(df: DataFrame, model: PipelineModel, features: str = "features") -> DataFrame:
+    """Score rows that already hold a feature vector: only the classifier of the pipeline runs."""
+    classifier = model.stages[-1]
+    renamed = df.withColumnRenamed(features, classifier.getFeaturesCol())
+    scored = classifier.transform(renamed).withColumnRenamed(classifier.getFeaturesCol(), features)
+    positive = F.get(vector_to_array("probability"), F.lit(1))
+    return scored.select(*df.columns, "prediction", positive.alias("probability"))
+
+
+def score_payloads(df: DataFrame, model: PipelineModel, size: int, value: str = "value") -> DataFrame:
+    """Score positional payloads; those of another size get no prediction and ``valid`` false."""
+    checked = payload_valid(df, size, value)
+    vectors = payload_vector(checked.where("valid"), value)
+    rejected = checked.where("NOT valid").selectExpr("*", "cast(NULL AS double) AS prediction", "cast(NULL AS double) AS probability")
+    return score_vectors(vectors, model).drop("features").unionByName(rejected)
+
+
 def score_linear(
     df: DataFrame, coefficients: Mapping[str, float], intercept: float, threshold: float = 0.5
 ) -> DataFrame:

@@ -3,8 +3,8 @@
 Positions in a table sorted by ``keys`` are needed in two forms:
 
 * ``ordered_index`` gives every row its 0-based position. Rows are range partitioned
-  over *all* keys, so many rows with one timestamp still spread by id, and the sorted
-  table is written once; positions are then partition offset + place in the partition.
+  over *all* keys and the input partition, so many rows with one timestamp, or even
+  with one id, still spread, and the sorted table is written once; positions are then partition offset + place in the partition.
 * ``keys_at_ranks`` finds only the keys at given positions. It narrows the key range
   by counting rows between a few pivots, and never sorts the table.
 
@@ -148,13 +148,16 @@ def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int | None
 
 
 def ordered_index(df: DataFrame, keys: Sequence[str], name: str = "row_index") -> DataFrame:
-    """Add the 0-based position in the order of ``keys``.
+    """Add the 0-based position in the order of ``keys``; rows with equal keys come in any order.
 
-    The only rows that meet in one task are the partition sizes (one row per shuffle
-    partition), which is also why the broadcast of them is bounded.
+    The input partition breaks ties, so that copies of one key spread over several
+    ranges too. It is the same when a task is run again. The only rows that meet in one
+    task are the partition sizes (one row per shuffle partition), which is also why the
+    broadcast of them is bounded.
     """
     spot = F.monotonically_increasing_id()
-    sorted_rows = df.orderBy(*keys).select(
+    spread = df.withColumn("__tie", F.spark_partition_id()).orderBy(*keys, "__tie").drop("__tie")
+    sorted_rows = spread.select(
         "*",
         F.shiftright(spot, PLACE_BITS).alias("__part"),
         spot.bitwiseAND((1 << PLACE_BITS) - 1).alias("__place"),

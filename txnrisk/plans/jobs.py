@@ -33,7 +33,7 @@ def incremental_load(
     df: DataFrame, target: Table, limit: int = incremental.BATCH, ts: str = "timestamp", with_ties: bool = True
 ) -> bool:
     """Append the oldest rows newer than the target's watermark; False when there are none."""
-    last = incremental.watermark_value(target.read(df.sparkSession), ts)
+    last = incremental.watermark_value(target.newest(df.sparkSession, ts), ts)
     if incremental.newer_than(df, last, ts).isEmpty():
         return False
     target.append(incremental.oldest_batch(df, last, limit, ts, with_ties=with_ties))
@@ -42,7 +42,7 @@ def incremental_load(
 
 def import_new(source: DataFrame, target: Table, ts: str = "timestamp") -> None:
     """Append everything newer than the target's watermark."""
-    last = incremental.watermark_value(target.read(source.sparkSession), ts)
+    last = incremental.watermark_value(target.newest(source.sparkSession, ts), ts)
     target.append(incremental.newer_than(source, last, ts))
 
 

@@ -404,6 +404,11 @@ ORACLES: dict[str, str] = {
         TXN,
         f"SELECT transaction_id, {', '.join(_v36())} FROM txn WHERE {_bucket('transaction_id', 20)} NOT IN (3, 4)",
     ),
+    "payload_score": _with(
+        TXN,
+        f"SELECT count(*) AS n_payloads, count(*) FILTER ({_bucket('transaction_id', 20)} IN (3, 4)) AS n_rejected, "
+        f"count(*) FILTER ({_bucket('transaction_id', 20)} NOT IN (3, 4)) AS n_equal FROM txn",
+    ),
     "clean_user": _with(
         LANDING,
         "SELECT transaction_id, regexp_replace(user_id, '^USER_', '') AS stripped, "

@@ -176,6 +176,21 @@ def payload_vector(spark: SparkSession, sf: str) -> DataFrame:
     return _spread(rows, vector_to_array("features"), "f", 36, ("transaction_id",))
 
 
+@query
+def payload_score(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads and the rows they stand for must get the same scores; bad payloads get none."""
+    rows = stage(_v36(spark, sf), "vectors")
+    model = models.train(rows, features.v36_inputs(), models.logistic(LABEL, maxIter=5))
+    payloads = models.score_payloads(stage(_payloads(spark, sf), "payloads"), model, PAYLOAD_SIZE)
+    direct = models.score(rows, model, ["transaction_id"]).withColumnRenamed("probability", "expected")
+    both = payloads.join(direct.drop("prediction"), "transaction_id")
+    return both.agg(
+        F.count("*").alias("n_payloads"),
+        F.count_if(F.expr("NOT valid AND probability IS NULL")).alias("n_rejected"),
+        F.count_if(F.expr("valid AND abs(probability - expected) < 1e-12")).alias("n_equal"),
+    )
+
+
 # Scalar functions ------------------------------------------------------------
 
 
@@ -241,7 +256,7 @@ def label_index(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def index_by_join(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality.filter_header(landing(spark, sf))
-    vocab = features.label_vocab(rows.where(hash_bucket("transaction_id") < 70), ["user_id"])
+    vocab = features.label_vocab_large(rows.where(hash_bucket("transaction_id") < 70), "user_id")
     return features.index_by_join(rows, vocab, "user_id").select("transaction_id", "user_id_idx")
 
 

@@ -19,6 +19,10 @@ class PathTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format(self.format).options(**self.options).load(self.path)
 
+    def newest(self, spark: SparkSession, column: str) -> DataFrame:
+        """Rows that hold the largest value of ``column``; here all of them, read for that column only."""
+        return self.read(spark).select(column)
+
     def exists(self, spark: SparkSession) -> bool:
         try:
             return bool(self.read(spark).columns)
@@ -45,6 +49,9 @@ class CatalogTable:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.table(self.name)
 
+    def newest(self, spark: SparkSession, column: str) -> DataFrame:
+        return self.read(spark).select(column)
+
     def exists(self, spark: SparkSession) -> bool:
         return spark.catalog.tableExists(self.name)
 
@@ -95,6 +102,14 @@ class JdbcTable:
         rows = spark.read.format("jdbc").options(**options).load()
         return rows.where(F.col(column) > F.lit(last).cast("timestamp"))
 
+    def max_options(self, column: str) -> dict[str, str]:
+        """Options for reading only the largest value of ``column``: the database computes it."""
+        query = f'SELECT MAX("{column}") AS "{column}" FROM {self.table}'
+        return {**self.options, "url": self.url, "query": query}
+
+    def newest(self, spark: SparkSession, column: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**self.max_options(column)).load()
+
     def exists(self, spark: SparkSession) -> bool:
         try:
             return bool(self.read(spark).columns)

@@ -91,7 +91,8 @@ def score_stream(
         if target.exists(spark):
             earlier = target.read(spark).where(F.col("batch_id") != batch_id)
             rows = not_processed(rows, earlier.where(_touched(batch, ts)), [key])
-        scored = score(rows)
+        # Few files per date, and a hot date in several.
+        scored = score(rows).hint("rebalance", "event_date")
         scored.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
         batch.unpersist()
 
