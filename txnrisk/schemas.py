@@ -83,25 +83,33 @@ V36_BLOCKS = (
 
 LABEL = "fraud_label"
 RAW_COLUMNS = tuple(f.name for f in RAW_FIELDS)
-RAW_DDL = ", ".join(f"`{f.name}` {f.stored}" for f in RAW_FIELDS)
-TEXT_DDL = ", ".join(f"`{f.name}` string" for f in RAW_FIELDS)
 WIRE_DDL = ", ".join(f"`{f.wire}` {f.stored}" for f in RAW_FIELDS)
 CALENDAR = ("hour", "dayofweek", "dayofmonth")
 
 
+_TYPES = {
+    "string": T.StringType(),
+    "timestamp": T.TimestampType(),
+    "int": T.IntegerType(),
+    "double": T.DoubleType(),
+    "decimal(10,2)": T.DecimalType(10, 2),
+    "decimal(5,4)": T.DecimalType(5, 4),
+}
+
+
 def raw_schema() -> T.StructType:
-    return T.StructType.fromDDL(RAW_DDL)
+    return T.StructType([T.StructField(f.name, _TYPES[f.stored]) for f in RAW_FIELDS])
 
 
 def text_schema() -> T.StructType:
     """The raw layout with every column still text, as a landing table shows it."""
-    return T.StructType.fromDDL(TEXT_DDL)
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_FIELDS])
 
 
 def message_schema(with_label: bool = False) -> T.StructType:
     """Message payload. Field names are the wire names: JSON matching is case-sensitive."""
     fields = [f for f in RAW_FIELDS if with_label or f.name != LABEL]
-    return T.StructType.fromDDL(", ".join(f"`{f.wire}` {f.message}" for f in fields))
+    return T.StructType([T.StructField(f.wire, _TYPES[f.message]) for f in fields])
 
 
 def numeric_columns() -> list[str]:
