@@ -89,17 +89,37 @@ def rows(spark, *numbers):
     return df.withColumn("timestamp", F.timestamp_seconds((F.col("x") * 40000).cast("long")))
 
 
-def test_scoring_skips_redelivered_rows_even_with_a_new_checkpoint(spark, tmp_path):
-    source, sink = str(tmp_path / "in"), str(tmp_path / "out")
-    schema = rows(spark).schema
-    for run, numbers in enumerate([(1, 2, 2), (2, 3), (1,)]):
+def run_scoring(spark, source, sink, state):
+    stream = topics.read_files(spark, source, rows(spark).schema)
+    report = pipelines.run(pipelines.score_stream(stream, score, sink, state, pipelines.AVAILABLE_NOW))
+    assert report.error is None
+
+
+def test_scoring_skips_redelivered_rows(spark, tmp_path):
+    source, sink, state = (str(tmp_path / p) for p in ("in", "out", "state"))
+    for numbers in [(1, 2, 2), (2, 3), (1,)]:
         rows(spark, *numbers).write.mode("append").parquet(source)
-        # A fresh checkpoint re-reads everything; batch ids must not collide with stored ones.
-        state = str(tmp_path / f"state{min(run, 1)}")
-        target = sink if run == 0 else sink
-        pipelines.run(
-            pipelines.score_stream(
-                topics.read_files(spark, source, schema), score, target, state, pipelines.AVAILABLE_NOW
-            )
-        )
+        run_scoring(spark, source, sink, state)
+    assert ids(spark.read.parquet(sink)) == ["t1", "t2", "t3"]
+    run_scoring(spark, source, sink, str(tmp_path / "new"))
     assert ids(spark.read.parquet(sink)) == ["t1", "t2", "t3"]
+
+
+def test_new_checkpoint_keeps_what_earlier_runs_stored(spark, tmp_path):
+    sink = str(tmp_path / "out")
+    for run, numbers in enumerate([(1, 2), (3,)]):
+        source = str(tmp_path / f"in{run}")
+        rows(spark, *numbers).write.parquet(source)
+        run_scoring(spark, source, sink, str(tmp_path / f"state{run}"))
+    assert ids(spark.read.parquet(sink)) == ["t1", "t2", "t3"]
+
+
+def test_batch_that_is_run_again_replaces_its_own_rows(spark, tmp_path):
+    """Without its commit file a batch counts as unfinished, as after a crash."""
+    source, sink, state = (str(tmp_path / p) for p in ("in", "out", "state"))
+    rows(spark, 1, 2).write.parquet(source)
+    run_scoring(spark, source, sink, state)
+    for name in ("0", ".0.crc"):
+        (tmp_path / "state" / "commits" / name).unlink()
+    run_scoring(spark, source, sink, state)
+    assert ids(spark.read.parquet(sink)) == ["t1", "t2"]

@@ -76,25 +76,31 @@ def score_stream(
     key: str = "transaction_id",
     ts: str = "timestamp",
 ) -> StreamingQuery:
-    """Score each micro-batch and store it under ``batch_id=<n>/event_date=<d>``.
+    """Score each micro-batch and store it under ``run=<id>/batch_id=<n>/event_date=<d>``.
 
-    A batch that is run again replaces its own folder. Messages that were delivered
-    twice are dropped: copies inside a batch by value, copies of earlier batches by an
-    anti join on the id that reads only the event dates the batch touches.
+    A batch that is run again replaces its own folder only: the run is the id Spark keeps
+    in the checkpoint, so a new checkpoint, which counts batches from 0 again, writes
+    elsewhere. Messages that were delivered twice are dropped: copies inside a batch by
+    value, copies of earlier batches by an anti join on the id that reads only the event
+    dates the batch touches.
     """
     target = PathTable(path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch.persist()
-        rows = batch.dropDuplicates().withColumn("event_date", F.to_date(ts))
-        if target.exists(spark):
-            earlier = target.read(spark).where(F.col("batch_id") != batch_id)
-            rows = not_processed(rows, earlier.where(_touched(batch, ts)), [key])
-        # Few files per date, and a hot date in several.
-        scored = score(rows).hint("rebalance", "event_date")
-        scored.write.mode("overwrite").partitionBy("event_date").parquet(f"{path}/batch_id={batch_id}")
-        batch.unpersist()
+        try:
+            rows = batch.dropDuplicates().withColumn("event_date", F.to_date(ts))
+            if target.exists(spark):
+                own = (F.col("run") == run_id) & (F.col("batch_id") == batch_id)
+                rows = not_processed(rows, target.read(spark).where(~own & _touched(batch, ts)), [key])
+            # Few files per date, and a hot date in several.
+            scored = score(rows).hint("rebalance", "event_date")
+            folder = f"{path}/run={run_id}/batch_id={batch_id}"
+            scored.write.mode("overwrite").partitionBy("event_date").parquet(folder)
+        finally:
+            batch.unpersist()
 
     return _start(source.writeStream.foreachBatch(write), checkpoint, trigger)
 
