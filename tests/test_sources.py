@@ -2,8 +2,9 @@ from __future__ import annotations
 
 import pytest
 
+from txnrisk.operators import models
 from txnrisk.plans import fixtures, jobs
-from txnrisk.schemas import TS_FORMAT
+from txnrisk.schemas import CATEGORICALS, TS_FORMAT
 from txnrisk.sources import files, scratch
 from txnrisk.sources import messages as topics
 from txnrisk.sources.tables import CatalogTable, JdbcTable, PathTable
@@ -127,3 +128,17 @@ def test_curation_keeps_columns_when_labels_change(spark, sf, tmp_path):
     assert after.count() == after.select("transaction_id").distinct().count()
     jobs.curate(rows.where("timestamp < '2024-01-08'"), curated, vocabulary)
     assert curated.read(spark).count() == after.count()
+
+
+def test_array_route_trains_evaluates_and_saves_once(spark, txn, tmp_path):
+    table = CatalogTable("array_features")
+    jobs.curate_arrays(txn, table, PathTable(str(tmp_path / "v")))
+    rows = table.read(spark)
+    assert not set(CATEGORICALS) & set(rows.columns)
+    path = str(tmp_path / "model")
+    model, test = jobs.train_arrays(rows, models.forest(numTrees=5), path)
+    report = dict(jobs.evaluate(model, test).collect())
+    assert set(report) == {"AUC", "Precision", "Recall"} and all(0 <= v <= 1 for v in report.values())
+    assert report["AUC"] > 0.8
+    with pytest.raises(Exception, match="exist"):
+        jobs.train_arrays(rows, models.forest(numTrees=1), path)

@@ -20,6 +20,9 @@ from txnrisk.schemas import LABEL, V36_BLOCKS, V36_SCALARS
 FOREST = {"numTrees": 100, "maxDepth": 5, "seed": 42}
 
 
+Classifier = RandomForestClassifier | LogisticRegression
+
+
 def forest(label: str = LABEL, **params: object) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, featuresCol="features", **{**FOREST, **params})
 
@@ -31,7 +34,7 @@ def logistic(label: str = LABEL, **params: object) -> LogisticRegression:
 def train(
     df: DataFrame,
     inputs: Sequence[str],
-    classifier: RandomForestClassifier | LogisticRegression,
+    classifier: Classifier,
     invalid: str = "error",
 ) -> PipelineModel:
     """Fit assembler and classifier.

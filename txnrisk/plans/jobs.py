@@ -8,8 +8,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.functions import text
-from txnrisk.operators import features, incremental, models, quality
+from txnrisk.functions import clean_user_id, text
+from txnrisk.operators import features, incremental, metrics, models, quality
 from txnrisk.operators.split import hash_split, time_split
 from txnrisk.schemas import CATEGORICALS, LABEL, VOCABULARY
 from txnrisk.sources.files import write_csv
@@ -91,6 +91,19 @@ def curate(
     curated.append(_by_date(rows), partition_by=["event_date"])
 
 
+def curate_arrays(raw: DataFrame, target: Table, vocabulary: PathTable) -> None:
+    """Write the array feature table: one ``array<double>`` per category in place of its text.
+
+    Rows with nulls stay, and labels are taken as they are. The table is Parquet or a
+    catalog table: delimited text cannot hold arrays.
+    """
+    rows = quality.drop_duplicate_rows(quality.filter_header(raw))
+    rows = stage(rows.withColumn("user_id", clean_user_id("user_id", anchored=False)), "distinct")
+    vocabulary.overwrite(features.label_vocab(rows))
+    labels = features.labels_of(vocabulary.read(raw.sparkSession))
+    target.overwrite(features.onehot_arrays(rows, labels).drop(*CATEGORICALS))
+
+
 def _by_date(df: DataFrame) -> DataFrame:
     """Add the partition column. Rebalancing writes few files per date and splits a hot date."""
     return df.withColumn("event_date", F.to_date("timestamp")).hint("rebalance", "event_date")
@@ -109,6 +122,27 @@ def train_forest(
     return model, rows.where("NOT is_train").drop("is_train")
 
 
+def train_arrays(
+    table: DataFrame, classifier: models.Classifier, path: str | None = None
+) -> tuple[PipelineModel, DataFrame]:
+    """Fit a classifier on the array feature table; returns the model and the test part.
+
+    An existing model at ``path`` is an error.
+    """
+    vectors = features.arrays_to_vectors(table, [f"{c}_arr" for c in CATEGORICALS])
+    rows = quality.drop_null_rows(hash_split(vectors), features.v36_inputs())
+    model = models.train(rows.where("is_train"), features.v36_inputs(), classifier)
+    if path:
+        models.save(model, path)
+    return model, rows.where("NOT is_train").drop("is_train")
+
+
+def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataFrame:
+    """AUC, weighted precision and weighted recall of a model, one row each."""
+    scored = models.score(test, model, [label])
+    return metrics.metrics_report(scored, "probability", "prediction", label)
+
+
 def score_new(raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame]) -> None:
     """Score rows whose id has no prediction yet and append them.
 

@@ -279,10 +279,10 @@ KNOWN = f"device_type <> 'Smart-TV' AND {_bucket('transaction_id')} < 70"
 DATA = f"{LANDING},\ndata AS (SELECT * FROM landing WHERE transaction_id <> 'Transaction_ID')"
 
 
-def _slots(cast: str) -> str:
+def _slots(cast: str, labels: dict[str, list[str]] = SEEN) -> str:
     """One-hot slots in vocabulary order: slot i of a column is 1 when its label has index i."""
     out = []
-    for c, values in SEEN.items():
+    for c, values in labels.items():
         for i in range(len(values)):
             label = f"(SELECT label FROM vocab WHERE column_name = '{c}' AND idx = {i})"
             out.append(f"CAST(CASE WHEN {c} = {label} THEN 1 ELSE 0 END AS {cast}) AS {c}_arr_{i}")
@@ -365,6 +365,11 @@ _CURATED_CLEAN = (
     + ", ".join(f"{_norm(c)} AS {c}" for c in CATS)
     + ") FROM clean)"
 )
+_RAW_LABELS = {
+    **SEEN,
+    "device_type": [*SEEN["device_type"], "Smart-TV"],
+    "location": [*SEEN["location"], "New - York"],
+}
 CURATED = _with(
     _CURATED_CLEAN,
     f"SELECT {ALL}, {', '.join(_onehots(_CURATED_LABELS, False))}, "
@@ -567,6 +572,15 @@ ORACLES: dict[str, str] = {
     ),
     "curate_full": CURATED,
     "curate_incremental": CURATED,
+    "curate_arrays": _with(
+        f"{TYPED},\ndistincts AS (SELECT DISTINCT {ALL} FROM typed WHERE transaction_id <> 'Transaction_ID'),\n"
+        f"{_vocab('distincts')}",
+        "SELECT "
+        + ", ".join(c for c in COLUMNS if c not in CATS and c != "user_id")
+        + ", TRY_CAST(regexp_replace(user_id, 'USER_', '', 'g') AS INTEGER) AS user_id, "
+        + _slots("DOUBLE", _RAW_LABELS)
+        + " FROM distincts",
+    ),
     "stream_ingest": GOOD_MESSAGES,
     "stream_rejects": REJECTS,
     "stream_restart": GOOD_MESSAGES,

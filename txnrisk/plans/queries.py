@@ -604,6 +604,19 @@ def curate_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return _curate_in_steps(spark, sf, ["auto", "auto", "incremental"])
 
 
+def _array_table(spark: SparkSession, sf: str) -> DataFrame:
+    table = CatalogTable(f"arrays_{uuid.uuid4().hex}", options={"path": scratch_path(spark, "arrays")})
+    jobs.curate_arrays(_typed(spark, sf), table, PathTable(scratch_path(spark, "vocabulary")))
+    return table.read(spark)
+
+
+@query
+def curate_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    table = _array_table(spark, sf)
+    sizes = table.agg(*[F.max(F.size(f"{c}_arr")).alias(c) for c in CATEGORICALS]).first().asDict()
+    return _flat_slots(table, sizes)
+
+
 @query
 def score_new(spark: SparkSession, sf: str) -> DataFrame:
     """Two scoring runs; the second sees all rows and adds only the missing ones."""
@@ -687,9 +700,8 @@ def rf_train_score(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lr_train_score(spark: SparkSession, sf: str) -> DataFrame:
-    rows = split.hash_split(_v36(spark, sf))
-    model = models.train(rows.where("is_train"), features.v36_inputs(), models.logistic(LABEL))
-    return models.score(rows.where("NOT is_train"), model, ["transaction_id", LABEL])
+    model, test = jobs.train_arrays(_array_table(spark, sf), models.logistic(LABEL))
+    return models.score(test, model, ["transaction_id", LABEL])
 
 
 @query
