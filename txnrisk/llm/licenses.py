@@ -50,8 +50,6 @@ NOTICES = (
     ("all rights reserved", "all-rights-reserved", 1),
 )
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ASCII_LOWER = str.maketrans(UPPER, LOWER)
 IN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORD = re.compile(IN_WORD + "+")
@@ -158,7 +156,7 @@ def phrase_places(text: str, phrases=PHRASES) -> list[tuple[int, str]]:
 
 def scan_text(text: str | None, phrases=PHRASES, notices=NOTICES):
     """The fields of one text, and its fuzzy spans."""
-    text = (text or "").translate(ASCII_LOWER)
+    text = (text or "").encode().lower().decode()  # bytes: A-Z only
     n_words = sum(1 for _ in WORD.finditer(text))
     places = sorted(phrase_places(text, phrases))
     spans = fuzzy_spans(text, notices)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import licenses, pieces, quality, secrets
+from txnrisk.llm import licenses, neardup, pieces, quality, secrets
 from txnrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("lang", "source")
 
 
+@query
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share four fifths of their 4-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return neardup.components(docs, size=4, percent=80)
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
