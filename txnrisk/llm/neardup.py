@@ -28,7 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import remove, scratch_path, ship
+from txnrisk.llm.common import ship
+from txnrisk.llm.steps import Steps
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -126,28 +127,6 @@ def similar_batches(percent: int):
     return similar
 
 
-class Steps:
-    """Tables of one run in the shared folder, removed as soon as they are no longer needed."""
-
-    def __init__(self, spark, label: str):
-        self.spark, self.label, self.paths = spark, label, {}
-
-    def put(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` as ``name`` and read it back; an earlier table of that name goes."""
-        path = scratch_path(self.spark, f"{self.label}-{name}")
-        df.write.parquet(path)
-        old, self.paths[name] = self.paths.get(name), path
-        if old:
-            remove(self.spark, old)
-        return self.get(name)
-
-    def get(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.paths[name])
-
-    def drop(self, *names: str) -> None:
-        remove(self.spark, *(self.paths.pop(n) for n in names if n in self.paths))
-
-
 def label_components(edges: DataFrame, steps: Steps) -> DataFrame:
     """``node`` -> ``label``, the least node of its component, for all nodes of the edges (a, b).
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import licenses, neardup, pieces, quality, secrets
+from txnrisk.llm import licenses, lines, neardup, pieces, quality, secrets
 from txnrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that recur across documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.drop_recurring(docs, dropped="n_dropped")
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and fuzzy notices of every document."""
