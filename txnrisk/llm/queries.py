@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets
+from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets, topk
 from txnrisk.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,30 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_recurring(docs, dropped="n_dropped")
 
 
+@query
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best other vectors of each hundredth vector."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+ORACLES["op3_topk"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and fuzzy notices of every document."""
