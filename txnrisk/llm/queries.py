@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets, topk
-from txnrisk.llm.common import table
+from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets, topk, warc
+from txnrisk.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -74,6 +74,35 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(docs).drop("text", "license_spans")
 
 
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written to an archive and read back."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    back = warc.round_trip(pages, scratch_path(spark, "warc-archive"))
+    return back.select(
+        F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+ORACLES["op5_warc"] = """
+WITH p AS (
+    SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS hex FROM pages
+), d AS (
+    SELECT page_id, strlen(body) AS payload_bytes, translate(list_aggregate(list_transform(range(8),
+        lambda i: to_base(CAST('0x' || substr(hex, 5 * i + 1, 5) AS BIGINT), 32, 4)), 'string_agg', ''),
+        '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest
+    FROM p
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS first FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM f
+"""
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
