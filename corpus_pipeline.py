@@ -3,19 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from txnrisk.llm import pieces, quality
+from txnrisk.llm import lines, mixing, neardup, pieces, quality
 from txnrisk.llm.common import scratch_path, table
 from txnrisk.llm.queries import piece_model
 
-Documents = ("doc_id", "text", "lang", "source", "n_chars")
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.judge(quality.measure(docs)).where("kept").select(*docs.columns)
 
 
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that recur across documents; those with nothing left go."""
+    return lines.drop_recurring(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least id, of each group of near-duplicates."""
+    kept = neardup.components(docs, size=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    first = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return first.dropDuplicates(["doc_id", "text"])
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents, some repeated and some left out, so that the sources have their target weights."""
+    return mixing.repeat(docs, mixing.mix(docs))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document."""
     return pieces.encode(docs, piece_model()).drop("text")
@@ -23,6 +38,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", keep_quality),
+    ("line_dedup", drop_recurring_lines),
+    ("minhash", drop_near_duplicates),
+    ("mixing", mix_sources),
     ("sentencepiece", encode),
 ]
 

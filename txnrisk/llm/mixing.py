@@ -136,7 +136,7 @@ def mix(
     seed: int = 7,
     bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
-    """One row per document: ``key``, ``size``, ``source_size``, ``target`` and ``copies``.
+    """One row per document: ``key``, ``source``, ``size``, ``source_size``, ``target`` and ``copies``.
 
     ``size``: words of the text (null or without words: 0). Sources, by code point and null last,
     have the ``weights`` by turns and share ``share`` times all words; a source's target stops at
@@ -176,9 +176,8 @@ def mix(
     copies = steps.put("copies", copies)
     steps.drop(*(n for n in [*steps.paths] if n not in {"rows", "targets", "copies"}))
     out = rows.join(targets, "source_key").join(copies, "row_key", "left")
-    return out.select(
-        F.col("key").alias(key), "size", "source_size", "target", F.coalesce("copies", F.lit(0)).cast("long").alias("copies")
-    )
+    number = F.coalesce("copies", F.lit(0)).cast("long").alias("copies")
+    return out.select(F.col("key").alias(key), F.col("source").alias(source), "size", "source_size", "target", number)
 
 
 def ranked_sources(sources: DataFrame, steps: Steps) -> DataFrame:
@@ -195,13 +194,19 @@ def ranked_sources(sources: DataFrame, steps: Steps) -> DataFrame:
     return ordered.withColumn("within", within).join(before.drop("n"), "part").withColumn("rank", F.col("before") + F.col("within")).drop("part", "within", "before")
 
 
-def repeat(df: DataFrame, copies: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``df`` with each row as many times as ``copies`` says for its key (none: dropped).
+def repeat(df: DataFrame, copies: DataFrame, key: str = "doc_id", source: str = "source") -> DataFrame:
+    """``df`` with each row as many times as ``copies`` (from ``mix``) says for its key and source.
 
-    ``copies`` has one number for each key; its null key matches null keys.
+    Rows without a number, or with 0, are left out. Null keys and sources match null ones.
     """
-    number = copies.select(F.col(f"`{key}`").alias("number_key"), "copies").distinct()
-    row = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
-    joined = df.select(row, F.col(f"`{key}`").alias("own_key")).join(number, F.col("own_key").eqNullSafe(F.col("number_key")))
-    many = joined.where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    names = ("number_key", "number_source")
+    number = copies.where("copies > 0").select(
+        F.col(f"`{key}`").alias(names[0]), F.col(f"`{source}`").alias(names[1]), "copies"
+    ).distinct()
+    rows = df.select(
+        F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"),
+        F.col(f"`{key}`").alias("own_key"), F.col(f"`{source}`").cast("string").alias("own_source"),
+    )
+    same = F.col("own_key").eqNullSafe(F.col(names[0])) & F.col("own_source").eqNullSafe(F.col(names[1]))
+    many = rows.join(number, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     return many.select("row.*")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets, topk, warc
+from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets, topk, toxicity, warc
 from txnrisk.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -103,6 +103,18 @@ FROM f
 """
 
 
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labelled ones that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).alias("held_out")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    training = docs.where(~held_out).join(labels, "doc_id")
+    weights, intercept = toxicity.fit(training)
+    scored = toxicity.score(docs, weights, intercept)
+    return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
