@@ -246,7 +246,7 @@ def judge(
         (~F.col("base_failed")).alias("good"),
         F.to_json(F.array(first)).alias("first"),
         F.to_json(F.array(first, second)).alias("both"),
-        *(F.round(F.expr(how) * UNIT).cast("long").alias(name) for name, how, _ in FEATURES),
+        *(F.when(~F.col("base_failed"), F.round(F.expr(how) * UNIT).cast("long")).alias(n) for n, how, _ in FEATURES),
     ).write.parquet(path)
     rows = spark.read.parquet(path)
     good = rows.where("good")
