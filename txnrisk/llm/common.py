@@ -17,8 +17,18 @@ __all__ = ["count_rows", "free_name", "remove", "scratch_path", "ship", "stage",
 _SHIPPED: set[str] = set()
 
 
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python, once for each application."""
+    """Send this package to the executors' Python, once for each application.
+
+    Also lowers the session's rows in an Arrow batch: rows here are whole texts, and what is made
+    of them is larger still.
+    """
+    if not 0 < int(spark.conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     application = spark.sparkContext.applicationId
     if application in _SHIPPED:
         return

@@ -48,10 +48,14 @@ def buckets_of(text: str | None, scratch: np.ndarray) -> np.ndarray:
     return found
 
 
-def feature_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def feature_batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """``label`` and ``features`` of texts, given out in small runs: they are larger than the texts."""
     scratch = np.zeros(BUCKETS, bool)
-    for texts in batches:
-        yield pd.Series([buckets_of(t, scratch).astype(np.int32) for t in texts])
+    for frame in frames:
+        for start in range(0, len(frame), 128):
+            run = frame.iloc[start : start + 128]
+            found = [buckets_of(t, scratch).astype(np.int32) for t in run["text"]]
+            yield pd.DataFrame({"label": run["label"], "features": found})
 
 
 def ratios(pairs: DataFrame, smoothing: float) -> tuple[np.ndarray, float]:
@@ -102,9 +106,8 @@ def fit(
     if n > train_rows:
         drawn = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.lit(1 << 20))
         known = known.where(drawn < int((1 << 20) * train_rows / n))
-    features = F.pandas_udf(feature_batches, "array<int>")
-    rows = known.select(F.col(f"`{label}`").cast("int").alias("label"), features(F.col(f"`{text}`")).alias("features"))
-    rows = steps.put("features", rows)
+    texts = known.select(F.col(f"`{label}`").cast("int").alias("label"), F.col(f"`{text}`").alias("text"))
+    rows = steps.put("features", texts.mapInPandas(feature_batches, "label int, features array<int>"))
     table, base = ratios(rows, smoothing)
     table[np.abs(table) < least_ratio] = 0.0
     weights = np.zeros(BUCKETS)
