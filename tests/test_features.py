@@ -59,11 +59,15 @@ def test_large_vocabulary_equals_the_small_one(spark, txn):
         assert small.exceptAll(large).isEmpty() and large.count() == small.count()
 
 
-def test_vocabulary_that_is_too_large_is_refused(spark):
-    vocab = features.label_vocab(spark.range(20).selectExpr("cast(id AS string) AS c"), ["c"])
-    assert len(features.labels_of(vocab, max_labels=20)["c"]) == 20
-    with pytest.raises(ValueError, match="more than 19"):
-        features.labels_of(vocab, max_labels=19)
+def test_large_vocabularies_have_no_limit(spark):
+    df = spark.range(3000).selectExpr("cast(id AS string) AS c")
+    vocab = features.label_vocab(df, ["c"])
+    labels = features.labels_of(vocab)["c"]
+    assert len(labels) == 3000
+    more = df.union(spark.sql("SELECT 'new' AS c UNION ALL SELECT NULL"))
+    hot = {r["c"]: r["c_hot"] for r in features.onehot_by_join(more, vocab, "c").collect()}
+    assert all(hot[label]["indices"] == [i] and hot[label]["values"] == [1.0] for i, label in enumerate(labels))
+    assert hot["new"]["indices"] == hot[None]["indices"] == [] and hot["new"]["size"] == 3000
 
 
 def test_labels_that_share_a_column_name_are_refused():

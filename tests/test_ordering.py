@@ -7,10 +7,16 @@ from hypothesis import strategies as st
 from txnrisk.operators import ordering, split
 
 # Few distinct values, so that one key often holds a third of the rows.
-ROWS = st.lists(st.tuples(st.integers(0, 3), st.sampled_from("abcdef")), min_size=1, max_size=40)
+KEYS = st.tuples(st.none() | st.integers(0, 3), st.none() | st.sampled_from("abcdef"))
+ROWS = st.lists(KEYS, min_size=1, max_size=40)
 RUNS = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
+def last(key):
+    """Sort key: nulls last."""
+    return [(k is None, k or 0) if k is None or isinstance(k, int) else (False, k) for k in key]
+
+
 def frame(spark, rows):
     return spark.createDataFrame([(t, i, n) for n, (t, i) in enumerate(rows)], "t int, i string, n int")
 
@@ -23,10 +29,10 @@ def values(spark, key):
 @given(rows=ROWS, data=st.data())
 def test_key_at_rank_equals_sorting(spark, rows, data):
     rank = data.draw(st.integers(0, len(rows) - 1))
-    expected = sorted(rows)[rank]
+    expected = sorted(rows, key=last)[rank]
     got = ordering.key_at_rank(frame(spark, rows), ["t", "i"], rank, small=2, pivots=3)
     assert values(spark, got) == expected
-    assert got.before == sum(r < expected for r in rows)
+    assert got.before == sum(last(r) < last(expected) for r in rows)
     assert got.copies == rows.count(expected)
 
 
@@ -35,22 +41,22 @@ def test_key_at_rank_equals_sorting(spark, rows, data):
 def test_ordered_index_numbers_every_row_once_and_in_order(spark, rows):
     got = ordering.ordered_index(frame(spark, rows), ["t", "i"]).orderBy("row_index").collect()
     assert [r["row_index"] for r in got] == list(range(len(rows)))
-    assert [(r["t"], r["i"]) for r in got] == sorted(rows)
+    assert [(r["t"], r["i"]) for r in got] == sorted(rows, key=last)
     assert sorted(r["n"] for r in got) == list(range(len(rows)))
 
 
 @RUNS
 @given(rows=ROWS, start=st.integers(-1, 45))
 def test_rows_from_index_keeps_the_tail(spark, rows, start):
-    got = ordering.rows_from_index(frame(spark, rows), ["t", "i"], start).collect()
-    assert sorted((r["t"], r["i"]) for r in got) == sorted(rows)[max(start, 0) :]
+    got = ordering.rows_from_index(frame(spark, rows), ["t", "i"], start, small=2, pivots=3).collect()
+    assert sorted(((r["t"], r["i"]) for r in got), key=last) == sorted(rows, key=last)[max(start, 0) :]
 
 
 @RUNS
 @given(rows=ROWS, offset=st.integers(0, 45), limit=st.integers(1, 10), small=st.sampled_from([0, 5, 1000]))
 def test_pages_equal_slices(spark, rows, offset, limit, small):
     got = ordering.page_by_offset(frame(spark, rows), ["t", "i"], offset, limit, small=small).collect()
-    assert [(r["t"], r["i"]) for r in got] == sorted(rows)[offset : offset + limit]
+    assert [(r["t"], r["i"]) for r in got] == sorted(rows, key=last)[offset : offset + limit]
 
 
 def test_keyset_pages_cover_the_table_once(spark):
@@ -63,9 +69,10 @@ def test_keyset_pages_cover_the_table_once(spark):
 
 
 @RUNS
-@given(rows=ROWS)
-def test_time_split_sizes_with_ties(spark, rows):
-    parts = dict(split.time_split(frame(spark, rows), ["t", "i"]).groupBy("split").count().collect())
+@given(rows=ROWS, small=st.sampled_from([0, 1000]))
+def test_time_split_sizes_with_ties(spark, rows, small):
+    labelled = split.time_split(frame(spark, rows), ["t", "i"], small=small, pivots=3)
+    parts = dict(labelled.groupBy("split").count().collect())
     n = len(rows)
     first, second = int(n * 0.6), int(n * 0.2)
     expected = {"full": first, "incremental": second, "stream": n - first - second}

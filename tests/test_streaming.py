@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from test_messages import MESSAGE
 
@@ -67,8 +69,24 @@ def test_failure_is_reported(spark, tmp_path):
         raise RuntimeError("no sink")
 
     query = stream(spark, source).writeStream.foreachBatch(fail).option("checkpointLocation", str(tmp_path / "state"))
-    report = pipelines.run(query.trigger(availableNow=True).start())
+    started = query.trigger(availableNow=True).start()
+    report = pipelines.run(started, raise_on_error=False)
     assert "no sink" in report.error
+    with pytest.raises(StreamingQueryException, match="no sink"):
+        pipelines.run(started)
+
+
+def test_report_counts_more_batches_than_spark_keeps(spark, tmp_path):
+    source, sink, state = (str(tmp_path / p) for p in ("in", "out", "state"))
+    values = [(f"t{n}", message(n)) for n in range(120)]
+    spark.createDataFrame(values, "key string, value string").repartition(120, "key").write.option(
+        "maxRecordsPerFile", 1
+    ).parquet(source)
+    query = pipelines.ingest(
+        stream(spark, source, files_per_batch=1), sink, state, trigger=pipelines.AVAILABLE_NOW
+    )
+    report = pipelines.run(query)
+    assert (report.batches, report.rows) == (120, 120)
 
 
 def test_running_stream_can_be_stopped(spark, tmp_path):

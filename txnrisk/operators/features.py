@@ -15,8 +15,6 @@ from txnrisk.functions import normalize_category, text
 from txnrisk.operators.ordering import ordered_index
 from txnrisk.schemas import CALENDAR, CATEGORICALS, V36_BLOCKS, V36_SCALARS, VOCABULARY, numeric_columns
 
-MAX_LABELS = 1000  # labels per column that may become columns or literals
-
 Labels = Mapping[str, Sequence[str]]
 
 
@@ -58,13 +56,14 @@ def label_vocab_large(df: DataFrame, column: str) -> DataFrame:
     return ranked.select("column_name", "label", normalize_category("label").alias("clean_label"), "idx", "n_rows")
 
 
-def labels_of(vocab: DataFrame, max_labels: int = MAX_LABELS) -> dict[str, list[str]]:
-    """Vocabulary table to ordered label lists, refusing to bring more than the bound to the driver."""
-    rows = vocab.where(F.col("idx") <= max_labels).select("column_name", "idx", "label").collect()
+def labels_of(vocab: DataFrame) -> dict[str, list[str]]:
+    """Vocabulary table to ordered label lists, for labels that become columns.
+
+    A column with more labels than a table can have columns goes through ``onehot_by_join``.
+    """
+    rows = vocab.select("column_name", "idx", "label").collect()
     out: dict[str, list[str]] = {}
-    for column, idx, label in sorted(rows):
-        if idx == max_labels:
-            raise ValueError(f"{column} has more than {max_labels} labels: use index_by_join")
+    for column, _, label in sorted(rows):
         out.setdefault(column, []).append(label)
     return out
 
@@ -93,6 +92,23 @@ def index_by_join(df: DataFrame, vocab: DataFrame, column: str, suffix: str = "_
     return joined.withColumn(column + suffix, F.coalesce(column + suffix, size)).select(*df.columns, column + suffix)
 
 
+def onehot_by_join(df: DataFrame, vocab: DataFrame, column: str, suffix: str = "_hot") -> DataFrame:
+    """One-hot of a column with any number of labels, in the layout of a sparse vector.
+
+    A struct of ``size``, ``indices`` and ``values``; unseen and null labels have no index.
+    """
+    index = f"{column}__idx"
+    indexed = index_by_join(df, vocab, column, "__idx")
+    size = vocab.where(F.col("column_name") == column).agg(F.count("*").cast("int").alias("n")).scalar()
+    known = F.col(index) < size
+    hot = F.struct(
+        size.alias("size"),
+        F.when(known, F.array(F.col(index).cast("int"))).otherwise(F.array().cast("array<int>")).alias("indices"),
+        F.when(known, F.array(F.lit(1.0))).otherwise(F.array().cast("array<double>")).alias("values"),
+    )
+    return indexed.withColumn(column + suffix, hot).drop(index)
+
+
 def clean_label(label: str, collapse: bool = True) -> str:
     """``normalize_category`` for a label of the vocabulary."""
     return re.sub(r"[\s-]+" if collapse else "[ -]", "_", label.lower(), flags=re.ASCII)

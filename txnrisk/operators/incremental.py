@@ -56,8 +56,8 @@ def oldest_batch(
 def not_processed(df: DataFrame, done: DataFrame, keys: Sequence[str] = ("transaction_id",)) -> DataFrame:
     """Rows whose key is not in ``done``: late rows are found too.
 
-    Only the keys of ``done`` are read, and copies of a key are combined before the
-    shuffle (the join then reuses that shuffle). A hot key in ``df`` is left to adaptive
-    skew splitting, which may split the left side of an anti join.
+    Only the keys of ``done`` are read. Both sides are shuffled right under the join, so
+    adaptive execution can split the rows of a hot key in ``df``; copies of a key in
+    ``done`` do no harm to an anti join and are not combined first.
     """
-    return df.join(done.select(*keys).distinct(), list(keys), "left_anti")
+    return df.join(done.select(*keys), list(keys), "left_anti")

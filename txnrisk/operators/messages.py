@@ -43,11 +43,24 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "valu
 
 
 def explode_array(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
-    """Values that hold a JSON array of objects (or one object) to one row per object."""
-    schema = schema or message_schema(with_label=True)
-    items = F.from_json(F.col(value).cast("string"), T.ArrayType(schema))
-    rows = df.select(F.explode(items).alias("data"))
-    return _flat(rows, schema)
+    """Values that hold a JSON array of objects (or one object) to one row per object.
+
+    Objects that do not decode are left out: ``array_rejects`` has them.
+    """
+    return accepted(array_items(df, schema, value))
+
+
+def array_items(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
+    """The decoded objects of the arrays, good and bad. A value that is no array is one object."""
+    whole = F.col(value).cast("string")
+    items = F.when(whole.rlike(r"^\s*\["), F.from_json(whole, "array<string>"))
+    items = F.coalesce(items, F.array(whole))
+    return decode(df.select(F.explode(items).alias(value)), schema or message_schema(with_label=True), value)
+
+
+def array_rejects(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
+    """What ``explode_array`` leaves out: values that are no JSON, and objects that do not decode."""
+    return rejected(array_items(df, schema, value))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

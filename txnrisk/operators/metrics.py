@@ -12,10 +12,18 @@ def _tally(df: DataFrame, *columns: str) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
-    """Exact area under the ROC curve, ties counted half. Null when a class is missing."""
+    """Exact area under the ROC curve, ties counted half. Null when a class is missing.
+
+    Rows without a score or a label take no part; ``unscored`` counts them.
+    """
     return _auc(df.withColumn("n_rows", F.lit(1)), score, label)
 
 
+def unscored(df: DataFrame, score: str = "score", label: str = "label") -> DataFrame:
+    """Rows that the area leaves out, one number."""
+    return df.agg(F.count_if(F.col(score).isNull() | F.col(label).isNull()).alias("n_unscored"))
+
+
 def _auc(tally: DataFrame, score: str, label: str) -> DataFrame:
     """Area from row counts.
 
@@ -23,7 +31,8 @@ def _auc(tally: DataFrame, score: str, label: str) -> DataFrame:
     scores are range partitioned; each range adds up its own pairs, and the ranges
     (one row per shuffle partition) are combined at the end.
     """
-    scores = tally.groupBy(score).agg(
+    known = tally.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+    scores = known.groupBy(score).agg(
         F.sum(F.expr(f"CASE WHEN {label} = 1 THEN n_rows ELSE 0 END")).cast("double").alias("pos"),
         F.sum(F.expr(f"CASE WHEN {label} = 1 THEN 0 ELSE n_rows END")).cast("double").alias("neg"),
     )

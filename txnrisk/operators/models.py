@@ -11,10 +11,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnrisk.functions import linear_score
-from txnrisk.schemas import LABEL, V36_BLOCKS, V36_SCALARS
+from txnrisk.schemas import LABEL, V36_BLOCKS, V36_SCALARS, VOCABULARY
 
 # Forest size, depth and seed.
 FOREST = {"numTrees": 100, "maxDepth": 5, "seed": 42}
@@ -82,11 +81,16 @@ def score_vectors(df: DataFrame, model: PipelineModel, features: str = "features
 
 
 def score_payloads(df: DataFrame, model: PipelineModel, size: int, value: str = "value") -> DataFrame:
-    """Score positional payloads; those of another size get no prediction and ``valid`` false."""
-    checked = payload_valid(df, size, value)
-    vectors = payload_vector(checked.where("valid"), value)
-    rejected = checked.where("NOT valid").selectExpr("*", "cast(NULL AS double) AS prediction", "cast(NULL AS double) AS probability")
-    return score_vectors(vectors, model).drop("features").unionByName(rejected)
+    """Score positional payloads; those that are not valid get no prediction and ``valid`` false.
+
+    One pass: a payload is parsed once, and one that is not valid goes through the model as zeros.
+    """
+    width = len(V36_SCALARS) + sum(len(VOCABULARY[c]) for c in V36_BLOCKS)
+    parsed = payload_parsed(df, size, value)
+    zeros = F.array_repeat(F.lit(0.0), width)
+    vectors = parsed.withColumn("features", array_to_vector(F.coalesce("parsed", zeros))).drop("parsed")
+    scored = score_vectors(vectors, model).drop("features")
+    return scored.withColumns({c: F.when(F.col("valid"), F.col(c)) for c in ("prediction", "probability")})
 
 
 def score_linear(
@@ -107,19 +111,34 @@ def join_back(raw: DataFrame, predictions: DataFrame, key: str = "transaction_id
 
 
 def payload_valid(df: DataFrame, size: int, value: str = "value") -> DataFrame:
-    """Check the number of entries in ``{"features": [...]}`` payloads; add ``n_features`` and ``valid``."""
-    entries = F.from_json(F.col(value), "struct<features:array<string>>")["features"]
-    counted = df.withColumn("n_features", F.coalesce(F.size(entries), F.lit(0)))
-    return counted.withColumn("valid", F.col("n_features") == size)
+    """Check ``{"features": [...]}`` payloads; add ``n_features`` and ``valid``.
 
+    Valid payloads have ``size`` entries: numbers first, then for each category a list of
+    numbers as long as its vocabulary.
+    """
+    return payload_parsed(df, size, value).drop("parsed")
 
-def payload_vector(df: DataFrame, value: str = "value", output: str = "features") -> DataFrame:
-    """Positional payload (scalars, then one array per category) to one feature vector."""
+
+def payload_parsed(df: DataFrame, size: int, value: str = "value") -> DataFrame:
+    """``payload_valid``, and ``parsed``: the numbers of a valid payload in one array, else null."""
     entries = F.from_json(F.col(value), "struct<features:array<string>>")["features"]
+    df = df.withColumn("__entries", entries)
     n_scalars = len(V36_SCALARS)
-    scalars = F.transform(F.slice(entries, 1, n_scalars), lambda x: x.try_cast("double"))
-    blocks = F.transform(
-        F.slice(entries, n_scalars + 1, len(V36_BLOCKS)),
-        lambda x: F.from_json(x, T.ArrayType(T.DoubleType())),
-    )
-    return df.withColumn(output, array_to_vector(F.concat(scalars, F.flatten(blocks))))
+    numbers = F.transform(F.slice("__entries", 1, n_scalars), lambda x: x.try_cast("double"))
+    blocks = [F.from_json(F.get("__entries", F.lit(n_scalars + i)), "array<double>") for i in range(len(V36_BLOCKS))]
+    parts = df.withColumn("__parts", F.array(numbers, *blocks))
+    widths = [n_scalars, *(len(VOCABULARY[c]) for c in V36_BLOCKS)]
+    n_features = F.coalesce(F.size("__entries"), F.lit(0))
+    good = n_features == size
+    for i, width in enumerate(widths):
+        part = F.get("__parts", F.lit(i))
+        good &= F.coalesce((F.size(part) == width) & F.forall(part, lambda x: x.isNotNull()), F.lit(False))
+    checked = parts.withColumn("n_features", n_features).withColumn("valid", good)
+    return checked.withColumn("parsed", F.when(F.col("valid"), F.flatten("__parts"))).drop("__entries", "__parts")
+
+
+def payload_vector(df: DataFrame, value: str = "value", output: str = "features") -> DataFrame:
+    """Positional payload (scalars, then one array per category) to one feature vector; null if not valid."""
+    parsed = payload_parsed(df.drop("n_features", "valid"), len(V36_SCALARS) + len(V36_BLOCKS), value)
+    vector = F.when(F.col("parsed").isNotNull(), array_to_vector("parsed"))
+    return parsed.withColumn(output, vector).drop("n_features", "valid", "parsed")

@@ -9,6 +9,8 @@ Positions in a table sorted by ``keys`` are needed in two forms:
   by counting rows between a few pivots, and never sorts the table.
 
 Cuts, pages and "rows from index n" need only the second, which reads just the keys.
+
+Null keys come last, in every function and on every path.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from txnrisk.sources.scratch import stage
+from txnrisk.sources.scratch import remove, scratch_path, stage
 
 PIVOTS = 31  # rows collected per narrowing step
 SMALL = 100_000  # at most this many distinct keys are ranked in one window
@@ -50,23 +52,37 @@ def _literal(value: object, dtype: T.DataType) -> Column:
 
 
 def _struct(columns: Sequence[Column | str], keys: Sequence[str]) -> Column:
-    return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(k) for c, k in zip(columns, keys, strict=True)])
+    """The keys as one comparable value that is never null; a null key is larger than any other."""
+    parts = []
+    for c, k in zip(columns, keys, strict=True):
+        value = F.col(c) if isinstance(c, str) else c
+        parts += [value.isNull().alias(f"{k}__none"), value.alias(k)]
+    return F.struct(*parts)
+
+
+def _sorted_by(keys: Sequence[str]) -> list[Column]:
+    return [F.col(k).asc_nulls_last() for k in keys]
+
+
+def _from_first(keys: Sequence[str], low: Sequence[Column]) -> Column:
+    """A condition on the first key alone, so that the scan can skip files below ``low``."""
+    return (F.col(keys[0]) >= low[0]) | F.col(keys[0]).isNull()
 
 
 def _at_or_after(keys: Sequence[str], low: Sequence[Column]) -> Column:
-    """``keys >= low``, with the first key compared alone so that the scan can skip files."""
-    whole = _struct(keys, keys) >= _struct(low, keys)
-    return whole & (F.col(keys[0]) >= low[0])
+    return (_struct(keys, keys) >= _struct(low, keys)) & _from_first(keys, low)
 
 
 def _after(keys: Sequence[str], low: Sequence[Column]) -> Column:
-    whole = _struct(keys, keys) > _struct(low, keys)
-    return whole & (F.col(keys[0]) >= low[0])
+    return (_struct(keys, keys) > _struct(low, keys)) & _from_first(keys, low)
+
+
+def _upto_first(keys: Sequence[str], high: Sequence[Column]) -> Column:
+    return (F.col(keys[0]) <= high[0]) | high[0].isNull()
 
 
 def _before(keys: Sequence[str], high: Sequence[Column]) -> Column:
-    whole = _struct(keys, keys) < _struct(high, keys)
-    return whole & (F.col(keys[0]) <= high[0])
+    return (_struct(keys, keys) < _struct(high, keys)) & _upto_first(keys, high)
 
 
 def _slot(key: Column, pivots: list[Column], low: int = 0) -> Column:
@@ -94,7 +110,8 @@ def keys_at_ranks(
     Each step counts rows between at most ``pivots`` random keys and goes on in the gaps
     that hold a wanted position. Counts are exact; pivots only decide how fast it narrows.
     A key equal to a pivot has a slot of its own, so one key on a third of all rows
-    ends the search instead of stalling it. Keys must not be null.
+    ends the search instead of stalling it. The keys are written once for all steps, unless
+    one step is enough.
     """
     dtypes = _dtypes(df, keys)
     carried = [_carry(k, t) for k, t in zip(keys, dtypes, strict=True)]
@@ -105,7 +122,7 @@ def keys_at_ranks(
     def rank_small(span: DataFrame, before: int, wanted: Sequence[int]) -> dict[int, RankedKey]:
         """At most ``small`` keys are left, so one window may rank them."""
         groups = span.groupBy(*keys).agg(F.count("*").alias("__copies"))
-        upto = F.sum("__copies").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, 0))
+        upto = F.sum("__copies").over(Window.orderBy(*_sorted_by(keys)).rowsBetween(Window.unboundedPreceding, 0))
         ranked = groups.withColumn("__upto", upto)
         hits = " OR ".join(f"(__upto > {r - before} AND __upto - __copies <= {r - before})" for r in wanted)
         out = {}
@@ -118,7 +135,7 @@ def keys_at_ranks(
     def search(span: DataFrame, left: int, before: int, wanted: Sequence[int]) -> dict[int, RankedKey]:
         if left <= small:
             return rank_small(span, before, wanted)
-        picked = span.orderBy(F.rand(left)).limit(pivots).distinct().orderBy(*keys)
+        picked = span.orderBy(F.rand(left)).limit(pivots).distinct().orderBy(*_sorted_by(keys))
         marks = [literals(row) for row in picked.select(*carried).collect()]
         slot = _slot(_struct(keys, keys), [_struct(v, keys) for v in marks])
         counts = dict(span.groupBy(slot.alias("slot")).count().collect())
@@ -139,7 +156,14 @@ def keys_at_ranks(
     left = span.count() if total is None else total
     if any(not 0 <= r < left for r in ranks):
         raise ValueError(f"ranks {sorted(ranks)} are not all inside 0..{left - 1}")
-    return search(span, left, 0, sorted(set(ranks)))
+    if left <= small:
+        return search(span, left, 0, sorted(set(ranks)))
+    path = scratch_path(df.sparkSession, "keys")
+    span.write.parquet(path)
+    try:
+        return search(df.sparkSession.read.schema(span.schema).parquet(path), left, 0, sorted(set(ranks)))
+    finally:
+        remove(df.sparkSession, path)
 
 
 def key_at_rank(df: DataFrame, keys: Sequence[str], rank: int, total: int | None = None, **options: int) -> RankedKey:
@@ -156,7 +180,7 @@ def ordered_index(df: DataFrame, keys: Sequence[str], name: str = "row_index") -
     broadcast of them is bounded.
     """
     spot = F.monotonically_increasing_id()
-    spread = df.withColumn("__tie", F.spark_partition_id()).orderBy(*keys, "__tie").drop("__tie")
+    spread = df.withColumn("__tie", F.spark_partition_id()).orderBy(*_sorted_by(keys), "__tie").drop("__tie")
     sorted_rows = spread.select(
         "*",
         F.shiftright(spot, PLACE_BITS).alias("__part"),
@@ -174,7 +198,13 @@ def ordered_index(df: DataFrame, keys: Sequence[str], name: str = "row_index") -
 
 
 def label_by_rank(
-    df: DataFrame, keys: Sequence[str], cuts: Sequence[int], labels: Sequence[str], name: str, total: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    cuts: Sequence[int],
+    labels: Sequence[str],
+    name: str,
+    total: int | None = None,
+    **options: int,
 ) -> DataFrame:
     """Label contiguous runs in the order of ``keys``.
 
@@ -182,7 +212,7 @@ def label_by_rank(
     """
     total = df.count() if total is None else total
     inside = [c for c in cuts if 0 < c < total]
-    marks = keys_at_ranks(df, keys, inside, total) if inside else {}
+    marks = keys_at_ranks(df, keys, inside, total, **options) if inside else {}
     tied = any(mark.before != cut for cut, mark in marks.items())
     if tied:
         # A cut falls among rows with equal keys: only positions can tell those apart.
@@ -199,41 +229,44 @@ def label_by_rank(
 
 def _tied_tail(df: DataFrame, keys: Sequence[str], mark: RankedKey, start: int) -> DataFrame:
     """Of the rows that share the key ``mark``, those at position ``start`` and later."""
-    tied = df.where((_struct(keys, keys) == _struct(mark.values, keys)) & (F.col(keys[0]) == mark.values[0]))
+    same = (_struct(keys, keys) == _struct(mark.values, keys)) & F.col(keys[0]).eqNullSafe(mark.values[0])
+    tied = df.where(same)
     return ordered_index(tied, keys, "__index").where(F.col("__index") >= start - mark.before).drop("__index")
 
 
-def rows_from_index(df: DataFrame, keys: Sequence[str], start: int) -> DataFrame:
+def rows_from_index(df: DataFrame, keys: Sequence[str], start: int, **options: int) -> DataFrame:
     """Rows at position ``start`` and later in the order of ``keys``."""
     if start <= 0:
         return df
     total = df.count()
     if start >= total:
         return df.where(F.lit(False))
-    mark = key_at_rank(df, keys, start, total)
+    mark = key_at_rank(df, keys, start, total, **options)
     if mark.before == start:
         return df.where(_at_or_after(keys, mark.values))
     return df.where(_after(keys, mark.values)).unionByName(_tied_tail(df, keys, mark, start))
 
 
-def page_by_offset(df: DataFrame, keys: Sequence[str], offset: int, limit: int, small: int = SMALL) -> DataFrame:
+def page_by_offset(
+    df: DataFrame, keys: Sequence[str], offset: int, limit: int, small: int = SMALL, pivots: int = PIVOTS
+) -> DataFrame:
     """Rows ``offset .. offset+limit-1`` in the order of ``keys``.
 
     Near the start this is a top-k. A far or large page first finds its end keys, so no
     task holds the skipped rows or the whole page.
     """
     if offset + limit <= small:
-        return df.orderBy(*keys).offset(offset).limit(limit)
+        return df.orderBy(*_sorted_by(keys)).offset(offset).limit(limit)
     total = df.count()
     if offset >= total:
         return df.where(F.lit(False))
     end = min(offset + limit, total)
-    marks = keys_at_ranks(df, keys, [offset, end - 1], total)
+    marks = keys_at_ranks(df, keys, [offset, end - 1], total, small, pivots)
     first, last = marks[offset], marks[end - 1]
     page = df.where(_at_or_after(keys, first.values) & ~_after(keys, last.values))
-    page = page.where(F.col(keys[0]) <= last.values[0])
+    page = page.where(_upto_first(keys, last.values))
     if first.before == offset and last.before + last.copies == end:
-        return page.orderBy(*keys)
+        return page.orderBy(*_sorted_by(keys))
     index = F.col("__index") + first.before
     paged = ordered_index(page, keys, "__index").where((index >= offset) & (index < end))
     return paged.orderBy("__index").drop("__index")
@@ -248,7 +281,7 @@ def page_after(df: DataFrame, keys: Sequence[str], last: Sequence[object] | None
     if last is not None:
         literals = [_literal_key(v, t) for v, t in zip(last, _dtypes(df, keys), strict=True)]
         df = df.where(_after(keys, literals))
-    return df.orderBy(*keys).limit(limit)
+    return df.orderBy(*_sorted_by(keys)).limit(limit)
 
 
 def _literal_key(value: object, dtype: T.DataType) -> Column:

@@ -14,17 +14,19 @@ from txnrisk.operators.ordering import label_by_rank
 TIME_PARTS = (("full", 0.60), ("incremental", 0.20), ("stream", None))
 
 
-def time_split(df: DataFrame, keys: Sequence[str] = ("timestamp", "transaction_id"), name: str = "split") -> DataFrame:
+def time_split(
+    df: DataFrame, keys: Sequence[str] = ("timestamp", "transaction_id"), name: str = "split", **options: int
+) -> DataFrame:
     """Label rows full / incremental / stream by position in time.
 
-    Cut positions are ``int(0.60 n)`` and ``int(0.20 n)`` rows later.
+    Cut positions are ``int(0.60 n)`` and ``int(0.20 n)`` rows later; null times come last.
     """
     total = df.count()
     cuts, at = [], 0
     for _, share in TIME_PARTS[:-1]:
         at += int(total * share)
         cuts.append(at)
-    return label_by_rank(df, keys, cuts, [part for part, _ in TIME_PARTS], name, total)
+    return label_by_rank(df, keys, cuts, [part for part, _ in TIME_PARTS], name, total, **options)
 
 
 def hash_split(df: DataFrame, key: str = "transaction_id", train_percent: int = 70, name: str = "is_train") -> DataFrame:

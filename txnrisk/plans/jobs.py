@@ -13,7 +13,7 @@ from txnrisk.operators import features, incremental, metrics, models, quality
 from txnrisk.operators.split import hash_split, time_split
 from txnrisk.schemas import CATEGORICALS, LABEL, VOCABULARY
 from txnrisk.sources.files import write_csv
-from txnrisk.sources.scratch import stage
+from txnrisk.sources.scratch import remove, scratch_path, stage
 from txnrisk.sources.tables import PathTable, Table
 
 KEYS = ("timestamp", "transaction_id")
@@ -64,29 +64,42 @@ def curate(
     vocabulary: PathTable,
     mode: str = "auto",
     since: Column | None = None,
+    rejects: Table | None = None,
 ) -> None:
     """Write the curated feature table.
 
     ``full`` fits the vocabulary, stores it and replaces the table. ``incremental``
     adds rows whose id is not there yet and keeps the stored vocabulary, so columns
     never move and a new label is all zeros. ``auto`` is incremental once the table
-    exists. ``since`` limits an incremental run to newer rows.
+    exists. ``since`` limits an incremental run to newer rows. ``rejects`` gets the rows
+    that cleaning drops for a null, with the reason.
     """
     spark = raw.sparkSession
     if mode == "auto":
         mode = "incremental" if curated.exists(spark) else "full"
     if mode == "full":
         # Staged once: the fit reads six columns of it, the projection the rest.
-        rows = stage(normalized(raw), "normalized")
-        vocabulary.overwrite(features.label_vocab(rows))
-        labels = features.labels_of(vocabulary.read(spark))
+        path = scratch_path(spark, "normalized")
+        normalized(raw).write.parquet(path)
+        rows = spark.read.parquet(path)
+        labels = features.labels_of(features.label_vocab(rows))
+        if rejects is not None:
+            rejects.overwrite(quality.null_rejects(raw))
+        # The table first: were its write to fail, the old table and the old vocabulary still belong together.
         curated.overwrite(_by_date(features.onehot_named(rows, labels)), partition_by=["event_date"])
+        vocabulary.overwrite(features.label_vocab(rows))
+        remove(spark, path)
         return
     done = curated.read(spark)
     if since is not None:
         raw, done = (incremental.newer_than(d, since) for d in (raw, done))
     labels = features.labels_of(vocabulary.read(spark))
     fresh = incremental.not_processed(raw, done)
+    if rejects is not None:
+        rejected = quality.null_rejects(fresh)
+        if rejects.exists(spark):
+            rejected = incremental.not_processed(rejected, rejects.read(spark))
+        rejects.append(rejected)
     rows = features.onehot_named(normalized(fresh), labels)
     curated.append(_by_date(rows), partition_by=["event_date"])
 
@@ -143,12 +156,37 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataF
     return metrics.metrics_report(scored, "probability", "prediction", label)
 
 
-def score_new(raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame]) -> None:
+def score_new(
+    raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame], since: Column | None = None
+) -> None:
     """Score rows whose id has no prediction yet and append them.
 
-    There is no emptiness test first: it would run the anti join twice.
+    ``since`` limits the run to newer rows, of the input and of the predictions alike, so the
+    history that is read stays bounded. There is no emptiness test first: it would run the anti
+    join twice.
     """
-    fresh = raw
+    fresh = raw if since is None else incremental.newer_than(raw, since)
     if predictions.exists(raw.sparkSession):
-        fresh = incremental.not_processed(raw, predictions.read(raw.sparkSession))
+        done = predictions.read(raw.sparkSession)
+        if since is not None:
+            done = incremental.newer_than(done, since)
+        fresh = incremental.not_processed(fresh, done)
     predictions.append(score(fresh))
+
+
+def forest_scorer(path: str, labels: Mapping[str, Sequence[str]] = VOCABULARY) -> Callable[[DataFrame], DataFrame]:
+    """A scorer from a saved forest: clean, encode by the fixed vocabulary, score; raw columns stay."""
+    model = models.load(path)
+
+    def score(raw: DataFrame) -> DataFrame:
+        kept = {f"raw_{c}": text.name(c) for c in (*CATEGORICALS, "user_id")}
+        changes = {"user_id": text.clean_user_id("user_id")}
+        changes |= {c: text.normalize_category(c) for c in CATEGORICALS}
+        rows = text.with_columns(text.with_columns(quality.clean_rows(raw), kept), changes)
+        ready = features.onehot_named(features.with_calendar(rows), labels)
+        inputs = features.v40_inputs(labels)
+        scored = models.score(quality.drop_null_rows(ready, inputs), model)
+        columns = [f"raw_{c} AS {text.name(c)}" if f"raw_{c}" in kept else text.name(c) for c in raw.columns]
+        return scored.selectExpr(*columns, "prediction", "probability")
+
+    return score

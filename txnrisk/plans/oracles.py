@@ -353,6 +353,10 @@ def _decoded() -> str:
     return ", ".join(out)
 
 
+_TYPED_INDEXED = f"""{TYPED},
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY "timestamp" NULLS LAST, transaction_id) - 1 AS i FROM typed
+)"""
 _INDEXED = f'{TXN},\nranked AS (SELECT *, row_number() OVER (ORDER BY "timestamp", transaction_id) - 1 AS i FROM txn)'
 _FRESH = f'SELECT * FROM txn WHERE "timestamp" > {LAST}'
 _SCORES = "transaction_id, probability, " + PREDICTION
@@ -403,16 +407,16 @@ ORACLES: dict[str, str] = {
     "payload_validate": _with(
         TXN,
         f"SELECT transaction_id, CAST(CASE {_bucket('transaction_id', 20)} WHEN 3 THEN 11 WHEN 4 THEN 0 ELSE 17 END "
-        f"AS INTEGER) AS n_features, {_bucket('transaction_id', 20)} NOT IN (3, 4) AS valid FROM txn",
+        f"AS INTEGER) AS n_features, {_bucket('transaction_id', 20)} NOT BETWEEN 3 AND 8 AS valid FROM txn",
     ),
     "payload_vector": _with(
         TXN,
-        f"SELECT transaction_id, {', '.join(_v36())} FROM txn WHERE {_bucket('transaction_id', 20)} NOT IN (3, 4)",
+        f"SELECT transaction_id, {', '.join(_v36())} FROM txn WHERE {_bucket('transaction_id', 20)} NOT BETWEEN 3 AND 8",
     ),
     "payload_score": _with(
         TXN,
-        f"SELECT count(*) AS n_payloads, count(*) FILTER ({_bucket('transaction_id', 20)} IN (3, 4)) AS n_rejected, "
-        f"count(*) FILTER ({_bucket('transaction_id', 20)} NOT IN (3, 4)) AS n_equal FROM txn",
+        f"SELECT count(*) AS n_payloads, count(*) FILTER ({_bucket('transaction_id', 20)} BETWEEN 3 AND 8) AS n_rejected, "
+        f"count(*) FILTER ({_bucket('transaction_id', 20)} NOT BETWEEN 3 AND 8) AS n_equal FROM txn",
     ),
     "clean_user": _with(
         LANDING,
@@ -508,12 +512,66 @@ ORACLES: dict[str, str] = {
         "SELECT transaction_id, \"timestamp\", CASE WHEN i < (SELECT a FROM n) THEN 'full' "
         "WHEN i < (SELECT a + b FROM n) THEN 'incremental' ELSE 'stream' END AS split FROM ranked",
     ),
+    "page_offset_far": _with(
+        TYPED,
+        'SELECT transaction_id, "timestamp" FROM typed ORDER BY "timestamp" NULLS LAST, transaction_id '
+        'LIMIT 100 OFFSET (SELECT count("timestamp") - 40 FROM typed)',
+    ),
+    "rows_from_index_nulls": _with(
+        _TYPED_INDEXED, 'SELECT transaction_id, "timestamp" FROM ranked WHERE i >= (SELECT count(*) * 3 // 4 FROM typed)'
+    ),
+    "time_split_nulls": _with(
+        f"{_TYPED_INDEXED},\nn AS (SELECT CAST(floor(count(*) * 0.60) AS BIGINT) AS a, "
+        "CAST(floor(count(*) * 0.20) AS BIGINT) AS b FROM typed)",
+        "SELECT transaction_id, \"timestamp\", CASE WHEN i < (SELECT a FROM n) THEN 'full' "
+        "WHEN i < (SELECT a + b FROM n) THEN 'incremental' ELSE 'stream' END AS split FROM ranked",
+    ),
+    "rf_train_score": _with(
+        CLEAN,
+        f"SELECT transaction_id, fraud_label, CAST(fraud_label AS DOUBLE) AS prediction FROM clean "
+        f"WHERE {PART100} >= 70 AND {UNPREFIXED} IS NOT NULL",
+    ),
+    "lr_train_score": _with(
+        f"{TYPED},\nrows AS (SELECT DISTINCT * FROM typed WHERE transaction_id <> 'Transaction_ID')",
+        "SELECT transaction_id, fraud_label, CAST(fraud_label AS DOUBLE) AS prediction FROM rows "
+        f"WHERE {PART100} >= 70 AND transaction_amount IS NOT NULL",
+    ),
+    "score_saved_forest": _with(
+        CLEAN,
+        "SELECT transaction_id, user_id, fraud_label, CAST(fraud_label AS DOUBLE) AS prediction FROM clean "
+        f"WHERE {UNPREFIXED} IS NOT NULL",
+    ),
+    "evaluate_forest": "SELECT unnest(['AUC', 'Precision', 'Recall']) AS metric, 1.0 AS value",
+    "curate_rejects": _with(
+        f"{TYPED},\nrows AS (SELECT DISTINCT * FROM typed WHERE transaction_id <> 'Transaction_ID')",
+        "SELECT transaction_id, \"timestamp\", concat_ws('; ', "
+        + ", ".join(f"CASE WHEN {c} IS NULL THEN 'no {c}' END" for c in COLUMNS)
+        + f") AS reason FROM rows WHERE NOT ({NOT_NULL})",
+    ),
+    "json_array_rejects": _with(
+        MESSAGES,
+        "SELECT CASE WHEN part = 6 THEN 'no JSON ' || transaction_id ELSE transaction_id END AS value, "
+        "'malformed message' AS reason FROM msg WHERE part IN (6, 7)",
+    ),
+    "onehot_wide": _with(
+        f"{TXN},\nvocab AS (SELECT transaction_id, row_number() OVER (ORDER BY count(*) DESC, transaction_id) - 1 AS i "
+        f"FROM txn WHERE {PART100} < 70 GROUP BY transaction_id)",
+        "SELECT t.transaction_id, coalesce(v.i, -1) AS place, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS n_places "
+        "FROM txn t LEFT JOIN vocab v USING (transaction_id)",
+    ),
+    "metric_auc_null_label": _with(
+        f"{SCORED},\nm AS (SELECT s.probability AS p, s.fraud_label AS y FROM scored s JOIN txn t USING (transaction_id) "
+        "WHERE t.card_age % 7 <> 0 AND t.card_age % 11 <> 0)",
+        "SELECT round((SELECT sum(CASE WHEN a.p > b.p THEN 1.0 WHEN a.p = b.p THEN 0.5 ELSE 0.0 END) / count(*) "
+        "FROM m a, m b WHERE a.y = 1 AND b.y = 0), 6) AS auc, "
+        "(SELECT count(*) FROM txn WHERE card_age % 7 = 0 OR card_age % 11 = 0) AS n_unscored",
+    ),
     "hash_split": _with(TXN, f"SELECT transaction_id, CAST({PART100} < 70 AS INTEGER) AS is_train FROM txn"),
     "json_encode": _with(TXN, f"SELECT transaction_id AS key, {_json_text()} AS value FROM txn"),
     "json_decode": _with(MESSAGES, f"SELECT {_decoded()}, CAST(part IN (7, 8) AS INTEGER) AS bad FROM msg"),
     "json_reject": REJECTS,
     "json_array_explode": _with(
-        f"{MESSAGES},\nmany AS (SELECT * FROM msg WHERE part <> 4 UNION ALL SELECT * FROM msg WHERE part = 5)",
+        f"{MESSAGES},\nmany AS (SELECT * FROM msg WHERE part NOT IN (4, 6) UNION ALL SELECT * FROM msg WHERE part = 5)",
         f"SELECT {', '.join(_message_columns(label=True))} FROM many",
     ),
     "message_types": _with(MESSAGES, f"SELECT {', '.join(COLUMNS[:-1])} FROM msg WHERE part NOT IN (7, 8)"),

@@ -124,6 +124,27 @@ def clean_rows(spark: SparkSession, sf: str) -> DataFrame:
     return quality.clean_rows(landing(spark, sf))
 
 
+@query
+def metric_auc_null_label(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a label or score count in neither class."""
+    scored = _score(txn(spark, sf)).withColumns({
+        "fraud_label": F.when(F.col("card_age") % 7 != 0, F.col("fraud_label")),
+        "probability": F.when(F.col("card_age") % 11 != 0, F.col("probability")),
+    })
+    area = metrics.roc_auc(scored, "probability", "fraud_label").select(F.round("auc", 6).alias("auc"))
+    return area.join(metrics.unscored(scored, "probability", "fraud_label"), F.lit(True))
+
+
+@query
+def onehot_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """A sparse one-hot over thousands of labels: its only place, and how many it has."""
+    rows = txn(spark, sf)
+    vocab = features.label_vocab_large(rows.where(hash_bucket("transaction_id") < 70), "transaction_id")
+    hot = features.onehot_by_join(rows, vocab, "transaction_id")
+    place = F.coalesce(F.get("transaction_id_hot.indices", F.lit(0)), F.lit(-1))
+    return hot.select("transaction_id", place.alias("place"), F.col("transaction_id_hot.size").alias("n_places"))
+
+
 @query
 def fill_nulls(spark: SparkSession, sf: str) -> DataFrame:
     rows = quality.filter_header(_typed(spark, sf))
@@ -148,15 +169,22 @@ def type_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """Positional JSON payloads from transactions; some lack entries, some have no list."""
+    """Positional JSON payloads from transactions. Some lack entries or have no list; some have a text,
+    a null, a block that is too short or none in place of a number or block."""
     rows = features.onehot_arrays(features.normalize_all(txn(spark, sf)), VOCABULARY)
     scalars = ", ".join(f"cast(cast({c} AS double) AS string)" for c in V36_SCALARS)
     blocks = ", ".join(f"to_json({c}_arr)" for c in V36_BLOCKS)
+    rest = scalars.partition(", ")[2]
+    others = blocks.rpartition(", ")[0]
     return rows.selectExpr(
         "transaction_id",
         f"""CASE {text.hash_bucket("transaction_id", 20)}
           WHEN 3 THEN concat('{{"features":[', concat_ws(',', {scalars}), ']}}')
           WHEN 4 THEN '{{}}'
+          WHEN 5 THEN concat('{{"features":["many",', concat_ws(',', {rest}, {blocks}), ']}}')
+          WHEN 6 THEN concat('{{"features":[null,', concat_ws(',', {rest}, {blocks}), ']}}')
+          WHEN 7 THEN concat('{{"features":[', concat_ws(',', {scalars}, {others}), ',[0.0,1.0]]}}')
+          WHEN 8 THEN concat('{{"features":[', concat_ws(',', {scalars}, {others}), ',"none"]}}')
           ELSE concat('{{"features":[', concat_ws(',', {scalars}, {blocks}), ']}}') END AS value""",
     )
 
@@ -400,6 +428,29 @@ def page_keyset(spark: SparkSession, sf: str) -> DataFrame:
     return ordering.page_after(rows, KEYS, last, 100)
 
 
+FAR = {"small": 50, "pivots": 7}  # the search over several levels, on tables of any size
+
+
+@query
+def page_offset_far(spark: SparkSession, sf: str) -> DataFrame:
+    """A page across the last dated rows and the first without a time."""
+    rows = _typed(spark, sf)
+    dated = rows.where(F.col("timestamp").isNotNull()).count()
+    return ordering.page_by_offset(rows, KEYS, dated - 40, 100, **FAR).select("transaction_id", "timestamp")
+
+
+@query
+def rows_from_index_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _typed(spark, sf)
+    return ordering.rows_from_index(rows, KEYS, rows.count() * 3 // 4, **FAR).select("transaction_id", "timestamp")
+
+
+@query
+def time_split_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Cuts by id where the time is null for some rows, nulls last."""
+    return split.time_split(_typed(spark, sf), KEYS, **FAR).select("transaction_id", "timestamp", "split")
+
+
 @query
 def time_split(spark: SparkSession, sf: str) -> DataFrame:
     return split.time_split(txn(spark, sf)).select("transaction_id", "timestamp", "split")
@@ -441,17 +492,29 @@ def json_reject(spark: SparkSession, sf: str) -> DataFrame:
     return messages.rejected(messages.decode(_messages(spark, sf)))
 
 
-@query
-def json_array_explode(spark: SparkSession, sf: str) -> DataFrame:
+def _arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages in JSON arrays; some values are no JSON, some arrays hold something that is no message."""
     encoded = messages.encode(txn(spark, sf))
     part = hash_bucket("key", 50)
     value = (
         F.when(part == 3, F.col("value"))
         .when(part == 4, F.lit("[]"))
         .when(part == 5, F.concat(F.lit("["), "value", F.lit(","), "value", F.lit("]")))
+        .when(part == 6, F.concat(F.lit("no JSON "), "key"))
+        .when(part == 7, F.concat(F.lit("["), "value", F.lit(',"'), "key", F.lit('"]')))
         .otherwise(F.concat(F.lit("["), "value", F.lit("]")))
     )
-    return messages.explode_array(encoded.withColumn("value", value))
+    return encoded.withColumn("value", value)
+
+
+@query
+def json_array_explode(spark: SparkSession, sf: str) -> DataFrame:
+    return messages.explode_array(_arrays(spark, sf))
+
+
+@query
+def json_array_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return messages.array_rejects(_arrays(spark, sf))
 
 
 @query
@@ -617,6 +680,16 @@ def curate_arrays(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_slots(table, sizes)
 
 
+@query
+def curate_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What two curation runs put aside: the second sees all rows and adds only the missing ones."""
+    rows = _typed(spark, sf)
+    curated, vocabulary, rejects = (PathTable(scratch_path(spark, p)) for p in ("curated", "vocabulary", "rejects"))
+    for part in (rows.where(hash_bucket("transaction_id") < 60), rows):
+        jobs.curate(part, curated, vocabulary, rejects=rejects)
+    return rejects.read(spark).select("transaction_id", "timestamp", "reason")
+
+
 @query
 def score_new(spark: SparkSession, sf: str) -> DataFrame:
     """Two scoring runs; the second sees all rows and adds only the missing ones."""
@@ -695,13 +768,33 @@ def stream_score(spark: SparkSession, sf: str) -> DataFrame:
 def rf_train_score(spark: SparkSession, sf: str) -> DataFrame:
     rows = stage(jobs.feature_rows(_typed(spark, sf)), "features")
     model, test = jobs.train_forest(rows, VOCABULARY)
-    return models.score(test, model, ["transaction_id", LABEL])
+    return models.score(test, model, ["transaction_id", LABEL]).drop("probability")
+
+
+@query
+def evaluate_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of a trained forest on its test part."""
+    rows = stage(jobs.feature_rows(_typed(spark, sf)), "features")
+    model, test = jobs.train_forest(rows, VOCABULARY, numTrees=20)
+    return jobs.evaluate(model, test)
+
+
+@query
+def score_saved_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """Train and save a forest, load it in a scoring job and run that twice over growing input."""
+    path, raw = scratch_path(spark, "forest"), _typed(spark, sf)
+    rows = stage(jobs.feature_rows(raw), "features")
+    jobs.train_forest(rows, VOCABULARY, path, numTrees=20)
+    predictions, scorer = PathTable(scratch_path(spark, "predictions")), jobs.forest_scorer(path)
+    jobs.score_new(raw.where(F.col("timestamp") <= LAST), predictions, scorer)
+    jobs.score_new(raw, predictions, scorer)
+    return predictions.read(spark).select("transaction_id", "user_id", LABEL, "prediction")
 
 
 @query
 def lr_train_score(spark: SparkSession, sf: str) -> DataFrame:
     model, test = jobs.train_arrays(_array_table(spark, sf), models.logistic(LABEL))
-    return models.score(test, model, ["transaction_id", LABEL])
+    return models.score(test, model, ["transaction_id", LABEL]).drop("probability")
 
 
 @query

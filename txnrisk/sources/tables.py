@@ -10,6 +10,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+NO_SUCH_OBJECT = "42"  # class of the SQL states for unknown tables and the like
+
+
+def sql_state(error: BaseException) -> str:
+    """SQL state of the database error behind a failed call; empty if there is none."""
+    cause = getattr(error, "java_exception", None) or getattr(getattr(error, "_origin", None), "java_exception", None)
+    while cause is not None:
+        if hasattr(cause, "getErrorCode") and cause.getSQLState():
+            return str(cause.getSQLState())
+        cause = cause.getCause()
+    return ""
+
+
 @dataclass(frozen=True)
 class PathTable:
     path: str
@@ -24,9 +38,12 @@ class PathTable:
         return self.read(spark).select(column)
 
     def exists(self, spark: SparkSession) -> bool:
+        """False for a missing or empty folder; any other failure is raised."""
         try:
             return bool(self.read(spark).columns)
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() not in MISSING:
+                raise
             return False
 
     def overwrite(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
@@ -111,9 +128,12 @@ class JdbcTable:
         return spark.read.format("jdbc").options(**self.max_options(column)).load()
 
     def exists(self, spark: SparkSession) -> bool:
+        """False when the database says that there is no such table; an outage is raised."""
         try:
             return bool(self.read(spark).columns)
-        except Exception:  # each database driver raises its own class for a missing table
+        except Exception as error:  # each database driver raises its own class for a missing table
+            if not sql_state(error).startswith(NO_SUCH_OBJECT):
+                raise
             return False
 
     def overwrite(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:

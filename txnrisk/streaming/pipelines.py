@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from txnrisk.operators.incremental import not_processed
 from txnrisk.operators.messages import CORRUPT, decode, encode
 from txnrisk.sources.tables import PathTable
 
 AVAILABLE_NOW = {"availableNow": True}
-MAX_DATES = 366  # event dates of one micro-batch that are listed one by one
+SETTLE_SECONDS = 30  # wait for the last progress of a query that has ended
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, trigger: Mapping[str, object] | None) -> StreamingQuery:
+    tally(SparkSession.active())
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
 
@@ -89,12 +91,18 @@ def score_stream(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if run_id is None:
+            raise RuntimeError("the stream's id is not known: earlier batches cannot be told from this one")
         batch.persist()
         try:
             rows = batch.dropDuplicates().withColumn("event_date", F.to_date(ts))
             if target.exists(spark):
                 own = (F.col("run") == run_id) & (F.col("batch_id") == batch_id)
-                rows = not_processed(rows, target.read(spark).where(~own & _touched(batch, ts)), [key])
+                # Only the event dates of the batch are read: Spark prunes by the dates at run time.
+                dates = rows.select(F.col("event_date").alias("touched")).distinct()
+                same_date = F.col("event_date").eqNullSafe(F.col("touched"))
+                earlier = target.read(spark).where(~own).join(dates, same_date, "left_semi")
+                rows = not_processed(rows, earlier, [key])
             # Few files per date, and a hot date in several.
             scored = score(rows).hint("rebalance", "event_date")
             folder = f"{path}/run={run_id}/batch_id={batch_id}"
@@ -105,19 +113,6 @@ def score_stream(
     return _start(source.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
-def _touched(batch: DataFrame, ts: str) -> Column:
-    """Condition on ``event_date`` for the dates in a batch: a list, or a range when there are many."""
-    day = F.to_date(ts).alias("d")
-    dates = [r["d"] for r in batch.select(day).distinct().limit(MAX_DATES + 1).collect()]
-    column = F.col("event_date")
-    known = [d for d in dates if d is not None]
-    if len(dates) <= MAX_DATES:
-        listed = column.isin(known) if known else F.lit(False)
-        return listed | column.isNull() if len(known) < len(dates) else listed
-    low, high = batch.agg(F.min(day), F.max(day)).first()
-    return column.between(low, high) | column.isNull()
-
-
 @dataclass(frozen=True)
 class RunReport:
     batches: int
@@ -125,8 +120,52 @@ class RunReport:
     error: str | None
 
 
-def run(query: StreamingQuery, timeout: int | None = None) -> RunReport:
-    """Wait for a query and report what it did; a failure is reported, not raised."""
+class Tally(StreamingQueryListener):
+    """Batches and rows of each run of a query, however many there are."""
+
+    def __init__(self) -> None:
+        self.counts: dict[str, list[int]] = {}
+        self.ended: dict[str, Event] = {}
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        self.ended[str(event.runId)] = Event()
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        counts = self.counts.setdefault(str(event.progress.runId), [0, 0])
+        counts[0] += 1
+        counts[1] += event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        if ended := self.ended.get(str(event.runId)):
+            ended.set()
+
+    def report(self, query: StreamingQuery, error: str | None) -> RunReport:
+        """The counts, once the query's last event is in. A query from before the tally has Spark's own."""
+        ended = self.ended.get(str(query.runId))
+        if ended is None:
+            progress = query.recentProgress
+            return RunReport(len(progress), sum(p["numInputRows"] for p in progress), error)
+        ended.wait(SETTLE_SECONDS)
+        return RunReport(*self.counts.get(str(query.runId), (0, 0)), error)
+
+
+_TALLIES: dict[str, Tally] = {}
+
+
+def tally(spark: SparkSession) -> Tally:
+    """The session's tally. Ask for it before a query starts, as the functions here do."""
+    application = spark.sparkContext.applicationId
+    if application not in _TALLIES:
+        _TALLIES[application] = Tally()
+        spark.streams.addListener(_TALLIES[application])
+    return _TALLIES[application]
+
+
+def run(query: StreamingQuery, timeout: int | None = None, raise_on_error: bool = True) -> RunReport:
+    """Wait for a query and report what it did. Without ``raise_on_error`` a failure is in the report."""
     error = None
     try:
         if timeout is None:
@@ -134,6 +173,7 @@ def run(query: StreamingQuery, timeout: int | None = None) -> RunReport:
         elif not query.awaitTermination(timeout):
             query.stop()
     except StreamingQueryException as failure:
+        if raise_on_error:
+            raise
         error = str(failure)
-    progress = query.recentProgress
-    return RunReport(len(progress), sum(p["numInputRows"] for p in progress), error)
+    return tally(SparkSession.active()).report(query, error)
