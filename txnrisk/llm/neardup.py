@@ -3,15 +3,20 @@
 A document's set holds the 64-bit hashes of its distinct word shingles. The hash range is cut into
 bins; a bin's value is its least hash (one permutation). An empty bin borrows from the first
 occupied bin in a fixed random order of its own (optimal densification), so small sets keep
-independent values. Runs of values are hashed to bucket keys.
+independent values. Runs of values are hashed to bucket keys. With the default bands two sets at
+the least similarity share no bucket with a chance of about 5 in 10^8.
 
 Documents with equal sets are one class, found by the set's 128-bit fingerprint: copies never form
-pairs. Within a bucket, one class is the centre and gets an edge to each other class; every edge
-is confirmed on the full sets. Where a bucket still spans several components after that, further
-classes become centres, in growing blocks, and get edges to the members of other components, until
-no two members of different components are left unchecked. So the number of pairs follows the
-number of bucket rows, and no link between members of a bucket is lost. With the default bands two
-sets at the least similarity share no bucket with a chance of about 5 in 10^8.
+pairs. Within a bucket one class is the centre and gets an edge to each other one; every edge is
+confirmed on the full sets. The centre is the class with the fewest shingles that no other
+candidate has, so a group's original, which most variants are close to, rather than a variant.
+
+What a star can miss is closed exactly. Where a bucket still spans several components, links
+between them are searched by their rarest shingles: two sets of the least similarity share one
+among the first few of each, in a common order by number of candidates that have it. Rows of the
+component that most rows of a shingle belong to meet only the others' rows. The numbers of own
+shingles and the places of the shared one bound what two sets can have in common, so nearly all
+pairs that are no links fall away before any set is looked at.
 
 Nothing is collected: signatures, edges and labels are tables in the shared folder.
 """
@@ -25,7 +30,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txnrisk.llm.common import ship
@@ -104,8 +109,9 @@ def sign_batches(size: int, bins: int, rows: int):
 def member_batches(size: int):
     def members(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            packed = [shingles(text, size).tobytes() for text in texts]
-            yield pd.DataFrame({"node": [xxhash.xxh3_128_digest(p) for p in packed], "members": packed})
+            sets = [shingles(text, size) for text in texts]
+            nodes = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            yield pd.DataFrame({"node": nodes, "members": [s.view(np.int64) for s in sets]})
 
     return members
 
@@ -115,7 +121,7 @@ def similar_batches(percent: int):
         for left, right in batches:
             out = []
             for a, b in zip(left, right, strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                x, y = np.asarray(a, np.int64).view(np.uint64), np.asarray(b, np.int64).view(np.uint64)
                 if len(x) > len(y):
                     x, y = y, x
                 at = np.searchsorted(y, x)
@@ -133,19 +139,17 @@ def label_components(edges: DataFrame, steps: Steps) -> DataFrame:
     Labels spread along edges and then jump to their label's label, until nothing changes.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = steps.put("links", both.distinct())
-    labels = steps.put("labels", both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label")))
+    first = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("label"))
+    labels = steps.put("labels", first)
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
         spread = labels.withColumnRenamed("label", "old").join(near.agg(F.min("label").alias("near")), "node")
         spread = spread.select("node", "old", F.least("old", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
         jumped = spread.join(jump, "next").select("node", F.least("next", "far").alias("label"), "old")
-        moved = steps.put("moved", jumped)
-        changed = not moved.where("label <> old").isEmpty()
-        labels = steps.put("labels", moved.select("node", "label"))
-        if not changed:
-            steps.drop("links", "moved")
+        moved = steps.put("labels", jumped)
+        labels = moved.select("node", "label")
+        if moved.where("label <> old").isEmpty():
             return labels
 
 
@@ -158,9 +162,57 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.where(check("a_members", "b_members")).select("a", "b")
 
 
-def may_be_similar(n_a: str, n_b: str, percent: int):
-    """Whether the sizes of two sets allow the least similarity."""
-    return F.expr(f"100 * least({n_a}, {n_b}) >= {percent} * greatest({n_a}, {n_b})")
+def least_common(percent: int) -> str:
+    """Shingles that sets of ``n`` and ``other_n`` share at least when they are similar enough."""
+    return f"({percent} * (n + other_n) + {percent + 99}) div {percent + 100}"
+
+
+def may_be_similar(percent: int):
+    """Whether the numbers of shingles that others have, too, allow the least similarity."""
+    return F.expr(f"least(n - own, other_n - other_own) >= {least_common(percent)}")
+
+
+def with_own(sets: DataFrame, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """``node``, ``n`` and ``own`` (shingles that no other set has); and the others' rows (node, shingle, df)."""
+    rows = sets.select("node", F.explode("members").alias("shingle"))
+    common = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    known = steps.put("known", rows.join(steps.put("common", common), "shingle"))
+    steps.drop("common")
+    counts = known.groupBy("node").agg(F.count(F.lit(1)).alias("met"))
+    sizes = sets.select("node", F.size("members").cast("long").alias("n")).join(counts, "node", "left")
+    own = F.col("n") - F.coalesce("met", F.lit(0))
+    return steps.put("own", sizes.select("node", "n", own.alias("own"))), known
+
+
+def other(rows: DataFrame, *keep: str) -> DataFrame:
+    """The columns of the other set of a pair."""
+    return rows.select(*keep, *(F.col(c).alias(f"other_{c}") for c in rows.columns if c not in keep))
+
+
+def cross_pairs(placed: DataFrame, known: DataFrame, percent: int, steps: Steps) -> DataFrame:
+    """Pairs (a, b) of different labels that may be links, from rows of node, n, own and label."""
+    share = f"{percent} * n"
+    probe = f"n - ({share} + 99) div 100 + 1"  # enough for partners of any size
+    index = f"n - (2 * {share} + {percent + 99}) div {percent + 100} + 1"  # enough for partners not smaller
+    listed = known.join(placed.select("node"), "node").groupBy("node")
+    listed = listed.agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("rarest")).join(placed, "node")
+    listed = listed.withColumn("probe", F.expr(f"cast({probe} - own AS int)")).where("probe > 0")
+    rows = listed.select(
+        "node", "n", "own", "label", F.expr(index).alias("index"), F.posexplode(F.expr("slice(rarest, 1, probe)")).alias("at", "s")
+    )
+    place = F.col("at") + F.col("own")
+    rows = rows.select("node", "n", "own", "label", "index", place.alias("place"), F.col("s.shingle").alias("shingle"))
+    rows = steps.put("prefixes", rows)
+    by_label = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("rows"))
+    main = by_label.groupBy("shingle").agg(F.max(F.struct("rows", "label")).alias("main"), F.count(F.lit(1)).alias("labels"))
+    main = steps.put("main", main.where("labels > 1").select("shingle", F.col("main.label").alias("main")))
+    minor = steps.put("minor", rows.join(main, "shingle").where("label <> main").drop("main"))
+    fits = F.expr(
+        "label <> other_label AND IF(n < other_n OR n = other_n AND node < other_node, place < index, other_place < other_index) "
+        f"AND least(n - place, other_n - other_place) >= {least_common(percent)}"
+    )
+    met = minor.join(other(rows, "shingle"), "shingle").where(fits & may_be_similar(percent))
+    return met.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b")).distinct()
 
 
 def components(
@@ -188,54 +240,42 @@ def components(
     # Copies: the same node has the same shingles and keys, so any row of it will do.
     filled = docs.where("n_shingles > 0")
     nodes = filled.groupBy("node").agg(
-        F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.min("row_key").alias("row_key")
+        F.first("keys").alias("keys"), F.min("row_key").alias("row_key")
     )
     nodes = steps.put("nodes", nodes)
-    buckets = steps.put("buckets", nodes.select(F.explode("keys").alias("bucket"), "node", "n"))
-    centres = buckets.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("centre"), F.count(F.lit(1)).alias("size"))
-    centres = steps.put("centres", centres.where("size > 1").select("bucket", F.col("centre.node").alias("a"), F.col("centre.n").alias("n_a"), "size"))
-    shared = steps.put("shared", buckets.join(centres, "bucket"))
-    steps.drop("buckets", "centres")
-    pairs = shared.where((F.col("node") != F.col("a")) & may_be_similar("n", "n_a", percent))
-    checked = steps.put("checked", pairs.select("a", F.col("node").alias("b")).distinct())
-    # The full set of one document for each node that may get a pair: the others' texts are not read again in full.
+    buckets = steps.put("buckets", nodes.select(F.explode("keys").alias("bucket"), "node"))
+    several = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket")
+    shared = steps.put("shared", buckets.join(steps.put("several", several), "bucket"))
+    steps.drop("buckets", "several")
+    # The full set of one document for each candidate: the others' texts are not read again.
     wanted = steps.put("wanted", shared.select("node").distinct().join(nodes, "node").select("row_key"))
-    members = F.pandas_udf(member_batches(size), "node binary, members binary")
+    members = F.pandas_udf(member_batches(size), "node binary, members array<long>")
     again = texts.select("row_key", "text").join(wanted, "row_key", "left_semi").select(members("text").alias("s"))
     sets = steps.put("sets", again.select("s.*").dropDuplicates(["node"]))
+    own, known = with_own(sets, steps)
     steps.drop("nodes", "wanted")
-    edges = steps.put("edges", confirmed(checked, sets, percent))
+
+    shared = steps.put("shared", shared.join(own, "node"))
+    centres = shared.groupBy("bucket").agg(F.min(F.struct("own", "node", "n")).alias("c"))
+    centres = steps.put("centres", centres.select("bucket", *(F.col(f"c.{c}").alias(f"other_{c}") for c in ("own", "node", "n"))))
+    pairs = shared.join(centres, "bucket").where((F.col("node") != F.col("other_node")) & may_be_similar(percent))
+    pairs = pairs.select(F.least("node", "other_node").alias("a"), F.greatest("node", "other_node").alias("b"))
+    pairs = steps.put("pairs", pairs.distinct())
+    edges = steps.put("edges-0", confirmed(pairs, sets, percent))
     labels = label_components(edges, steps)
-    ranked, low, high = None, 1, 2
-    while True:
-        open_rows = (shared.where("size > 2").select("bucket", "node", "n") if ranked is None else ranked.where(F.col("rank") >= low))
-        now = open_rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed_buckets = now.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-        mixed_buckets = steps.put("mixed", mixed_buckets.select("bucket"))
-        if mixed_buckets.isEmpty():
-            break
-        if ranked is None:
-            # Members of the bucket's small components come first: the largest one need not be ranked through.
-            in_bucket = Window.partitionBy("bucket", "label")
-            sized = now.join(mixed_buckets, "bucket", "left_semi").withColumn("mates", F.count(F.lit(1)).over(in_bucket))
-            order = Window.partitionBy("bucket").orderBy("mates", "label", "node")
-            ranked = steps.put("ranked", sized.withColumn("rank", F.row_number().over(order)).select("bucket", "node", "n", "rank"))
-        rows_now = ranked.join(mixed_buckets, "bucket", "left_semi").join(labels, "node", "left")
-        rows_now = steps.put("rows", rows_now.withColumn("label", F.coalesce("label", "node")))
-        new = rows_now.where((F.col("rank") >= low) & (F.col("rank") < high)).select(
-            "bucket", F.col("node").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"), F.col("rank").alias("rank_x")
-        )
-        met = new.join(rows_now.where(F.col("rank") >= low), "bucket")
-        met = met.where((F.col("rank") > F.col("rank_x")) & (F.col("label") != F.col("label_x")) & may_be_similar("n", "n_x", percent))
-        met = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        fresh = steps.put("fresh", met.join(checked, ["a", "b"], "left_anti"))
-        found = steps.put("found", confirmed(fresh, sets, percent))
-        checked = steps.put("checked", checked.union(fresh))
-        if not found.isEmpty():
-            edges = steps.put("edges", edges.union(found))
-            labels = label_components(edges, steps)
-        low, high = high, 2 * high
-    steps.drop("shared", "sets", "checked", "edges", "mixed", "ranked", "rows", "fresh", "found")
+
+    marked = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    # A set with too many shingles of its own has no link at all.
+    marked = steps.put("marked", marked.where(f"100 * (n - own) >= {percent} * n"))
+    spans = marked.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    spans = steps.put("spans", spans.select("bucket"))
+    open_nodes = marked.join(spans, "bucket", "left_semi").select("node", "n", "own", "label").distinct()
+    crossing = cross_pairs(steps.put("open", open_nodes), known, percent, steps)
+    fresh = steps.put("fresh", crossing.join(pairs, ["a", "b"], "left_anti"))
+    found = steps.put("edges-1", confirmed(fresh, sets, percent))
+    if not found.isEmpty():
+        labels = label_components(steps.get("edges-0", "edges-1"), steps)
+    steps.drop(*(n for n in [*steps.paths] if n not in {"docs", "labels"}))
     placed = docs.drop("row_key", "keys").join(labels, "node", "left")
     placed = placed.withColumn("label", F.when(F.col("n_shingles") > 0, F.coalesce("label", "node")))
     least = placed.where("label IS NOT NULL").groupBy("label").agg(F.min("key").alias("least"))

@@ -22,8 +22,9 @@ class Steps:
             remove(self.spark, old)
         return self.get(name)
 
-    def get(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.paths[name])
+    def get(self, *names: str) -> DataFrame:
+        """A table, or several of the same columns as one."""
+        return self.spark.read.parquet(*(self.paths[n] for n in names))
 
     def drop(self, *names: str) -> None:
         remove(self.spark, *(self.paths.pop(n) for n in names if n in self.paths))
