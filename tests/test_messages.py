@@ -8,27 +8,28 @@ from pyspark.sql import functions as F
 from txnrisk.operators import messages
 from txnrisk.schemas import message_schema
 
+# An invented record: an evening transfer from a laptop.
 MESSAGE = {
-    "Transaction_ID": "tx001",
-    "User_ID": "user01",
-    "Transaction_Amount": 123.45,
-    "Transaction_Type": "purchase",
-    "Timestamp": "2025-06-19T10:00:00Z",
-    "Account_Balance": 1000.50,
-    "Device_Type": "mobile",
-    "Location": "NY",
-    "Merchant_Category": "retail",
-    "IP_Address_Flag": "0",
-    "Previous_Fraudulent_Activity": "no",
-    "Daily_Transaction_Count": 2,
-    "Avg_Transaction_Amount_7d": 100.25,
-    "Failed_Transaction_Count_7d": 0,
-    "Card_Type": "Visa",
-    "Card_Age": 12,
-    "Transaction_Distance": 5.5,
-    "Authentication_Method": "pin",
-    "Risk_Score": 0.3,
-    "Is_Weekend": "no",
+    "Transaction_ID": "A-77",
+    "User_ID": "USER_5210",
+    "Transaction_Amount": 58.2,
+    "Transaction_Type": "Bank Transfer",
+    "Timestamp": "2023-11-04 21:37:55",
+    "Account_Balance": 7310.0,
+    "Device_Type": "Laptop",
+    "Location": "Sydney",
+    "Merchant_Category": "Travel",
+    "IP_Address_Flag": "1",
+    "Previous_Fraudulent_Activity": "0",
+    "Daily_Transaction_Count": 9,
+    "Avg_Transaction_Amount_7d": 41.75,
+    "Failed_Transaction_Count_7d": 3,
+    "Card_Type": "Discover",
+    "Card_Age": 88,
+    "Transaction_Distance": 640.25,
+    "Authentication_Method": "Biometric",
+    "Risk_Score": 0.8125,
+    "Is_Weekend": "1",
 }
 
 
@@ -40,19 +41,19 @@ def test_one_message_decodes_and_can_be_stamped(spark):
     rows = messages.accepted(messages.decode(values(spark, json.dumps(MESSAGE))))
     row = rows.withColumn("time_details", F.current_timestamp()).first()
     assert rows.count() == 1 and len(rows.columns) == 20
-    assert (row["transaction_id"], row["transaction_amount"]) == ("tx001", 123.45)
+    assert (row["transaction_id"], row["transaction_amount"]) == ("A-77", 58.2)
     assert row["time_details"] is not None
 
 
 def test_binary_values_decode_too(spark):
     raw = values(spark, json.dumps(MESSAGE)).select(F.encode("value", "utf-8").alias("value"))
-    assert messages.accepted(messages.decode(raw)).first()["card_age"] == 12
+    assert messages.accepted(messages.decode(raw)).first()["card_age"] == 88
 
 
 def test_array_of_one_object(spark):
-    text = json.dumps([{**MESSAGE, "Transaction_ID": "T123", "IP_Address_Flag": False, "Fraud_Label": 0}])
+    text = json.dumps([{**MESSAGE, "Transaction_ID": "B-9", "IP_Address_Flag": False, "Fraud_Label": 0}])
     rows = messages.explode_array(values(spark, text, "[]"))
-    assert rows.where("transaction_id = 'T123'").count() == rows.count() == 1
+    assert rows.where("transaction_id = 'B-9'").count() == rows.count() == 1
     assert rows.first()["ip_address_flag"] == "false" and rows.first()["fraud_label"] == 0
 
 
@@ -61,7 +62,7 @@ def test_array_of_one_object(spark):
     [
         ("not json", True, "transaction_id", None),
         (json.dumps({**MESSAGE, "Card_Age": "old"}), True, "card_age", None),
-        (json.dumps({**MESSAGE, "Card_Age": "old"}), True, "transaction_id", "tx001"),
+        (json.dumps({**MESSAGE, "Card_Age": "old"}), True, "transaction_id", "A-77"),
         (json.dumps({**MESSAGE, "User_ID": 7}), False, "user_id", "7"),
         (json.dumps({k: v for k, v in MESSAGE.items() if k != "Card_Age"}), False, "card_age", None),
     ],
@@ -78,6 +79,15 @@ def test_rejects_and_accepted_are_whole(spark):
     assert "not json" in [r["value"] for r in messages.rejected(decoded).collect()]
 
 
+def test_arrays_are_whole(spark):
+    good = json.dumps(MESSAGE)
+    texts = [f"[{good}, {good}]", f'[{good}, "x", 5]', "[", "", json.dumps([{**MESSAGE, "Card_Age": "old"}]), good]
+    df = values(spark, *texts)
+    assert messages.explode_array(df).count() == 4
+    assert {r["value"] for r in messages.array_rejects(df).collect()} >= {"x", "5", "["}
+    assert messages.array_rejects(df).count() + 4 == messages.array_items(df).count()
+
+
 def test_encode_decode_keeps_every_row(spark, txn):
     back = messages.decode(messages.encode(txn), message_schema(with_label=True))
     typed = messages.type_message(messages.accepted(back))

@@ -24,9 +24,9 @@ def encode(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     return df.selectExpr(f"cast({name(key)} AS string) AS key", f"{value} AS value")
 
 
-def _flat(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The fields of ``data`` as columns under our names."""
-    return df.selectExpr(*[f"data.{name(f.name)} AS {name(NAME.get(f.name, f.name))}" for f in schema.fields])
+def _fields(schema: T.StructType) -> list[str]:
+    """The fields of ``data`` under our names."""
+    return [f"data.{name(f.name)} AS {name(NAME.get(f.name, f.name))}" for f in schema.fields]
 
 
 def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
@@ -38,8 +38,11 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "valu
     schema = schema or message_schema()
     parsed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    data = df.select(F.from_json(F.col(value).cast("string"), parsed, options).alias("data"))
-    return _flat(data, parsed)
+    whole = F.col(value).cast("string")
+    data = df.select(F.from_json(whole, parsed, options).alias("data"), whole.alias("whole"))
+    # A blank value parses to nothing at all.
+    corrupt = f"coalesce(data.{name(CORRUPT)}, if(data IS NULL, whole, NULL)) AS {name(CORRUPT)}"
+    return data.selectExpr(*_fields(schema), corrupt)
 
 
 def explode_array(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:

@@ -2,54 +2,21 @@
 
 from __future__ import annotations
 
+from txnrisk.schemas import RAW_FIELDS, VOCABULARY
+
 LAST = "TIMESTAMP '2024-01-20 12:00:00'"
 
-COLUMNS = [
-    "transaction_id",
-    "user_id",
-    "transaction_amount",
-    "transaction_type",
-    "timestamp",
-    "account_balance",
-    "device_type",
-    "location",
-    "merchant_category",
-    "ip_address_flag",
-    "previous_fraudulent_activity",
-    "daily_transaction_count",
-    "avg_transaction_amount_7d",
-    "failed_transaction_count_7d",
-    "card_type",
-    "card_age",
-    "transaction_distance",
-    "authentication_method",
-    "risk_score",
-    "is_weekend",
-    "fraud_label",
-]
+# Values of the record layout, as the schema lists them.
+COLUMNS = [f.name for f in RAW_FIELDS]
 CATS = ["transaction_type", "device_type", "location", "merchant_category", "card_type", "authentication_method"]
 MONEY = ["transaction_amount", "account_balance", "avg_transaction_amount_7d", "transaction_distance"]
 FLAGS = ["ip_address_flag", "previous_fraudulent_activity", "is_weekend"]
 COUNTS = ["daily_transaction_count", "failed_transaction_count_7d", "card_age"]
 ALL = ", ".join(COLUMNS)
 
-WIRE = {c: "_".join(w.capitalize() for w in c.split("_")) for c in COLUMNS}
-WIRE |= {
-    "transaction_id": "Transaction_ID",
-    "user_id": "User_ID",
-    "ip_address_flag": "IP_Address_Flag",
-    "avg_transaction_amount_7d": "Avg_Transaction_Amount_7d",
-    "failed_transaction_count_7d": "Failed_Transaction_Count_7d",
-}
+WIRE = {f.name: f.wire for f in RAW_FIELDS}
 
-FIXED = {
-    "transaction_type": ["pos", "bank_transfer", "online", "atm_withdrawal"],
-    "device_type": ["mobile", "tablet", "laptop"],
-    "location": ["tokyo", "mumbai", "london", "sydney", "new_york"],
-    "merchant_category": ["restaurants", "clothing", "travel", "groceries", "electronics"],
-    "card_type": ["mastercard", "amex", "discover", "visa"],
-    "authentication_method": ["pin", "password", "biometric", "otp"],
-}
+FIXED = {c: list(labels) for c, labels in VOCABULARY.items()}
 SEEN = {
     "transaction_type": ["ATM Withdrawal", "Bank Transfer", "Direct Debit", "Online", "POS"],
     "device_type": ["Laptop", "Mobile", "Tablet"],
