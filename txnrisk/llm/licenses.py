@@ -120,7 +120,11 @@ def merged(spans: list[list[int]]) -> Iterator[tuple[int, int]]:
 
 
 def fuzzy_spans(text: str, notices=NOTICES) -> list[tuple[str, int, int, int]]:
-    """(label, start, end, edits) of each notice found in a lower-case text, by start."""
+    """(label, start, end, edits) of each notice found in a lower-case text, by start.
+
+    Where notices overlap, those with the fewest edits are meant: a notice for version 3 is not
+    also one for version 2 with an error.
+    """
     known, _ = searcher(notices)
     found = set()
     for number, spans in windows(text, notices).items():
@@ -128,7 +132,8 @@ def fuzzy_spans(text: str, notices=NOTICES) -> list[tuple[str, int, int, int]]:
         for start, end in merged(spans):
             for match in notice.pattern.finditer(text, start, min(end, len(text))):
                 found.add((notice.label, match.start(), match.end(), sum(match.fuzzy_counts)))
-    return sorted(found, key=lambda s: (s[1], s[2], s[0], s[3]))
+    kept = [s for s in found if not any(o[3] < s[3] and o[1] < s[2] and s[1] < o[2] for o in found)]
+    return sorted(kept, key=lambda s: (s[1], s[2], s[0], s[3]))
 
 
 @cache
