@@ -53,6 +53,11 @@ HEADLINE = [
     "stream_score",
     "rf_train_score",
     "lr_train_score",
+    "score_new",
+    "score_saved_forest",
+    "split_files",
+    "page_offset_far",
+    "time_split_nulls",
 ]
 
 

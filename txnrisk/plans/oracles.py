@@ -578,7 +578,7 @@ ORACLES: dict[str, str] = {
     "sink_insert_by_name": _with(TXN, "SELECT transaction_id, user_id, card_type, device_type FROM txn"),
     "load_full": _with(
         _INDEXED,
-        f"SELECT {ALL} FROM ranked WHERE i >= (SELECT CAST(floor(count(*) * 0.60) AS BIGINT) "
+        f"SELECT {ALL}, 1 AS load FROM ranked UNION ALL SELECT {ALL}, 2 AS load FROM ranked WHERE i >= (SELECT CAST(floor(count(*) * 0.60) AS BIGINT) "
         "+ CAST(floor(count(*) * 0.20) AS BIGINT) FROM txn)",
     ),
     "load_incremental": _with(
@@ -592,8 +592,13 @@ ORACLES: dict[str, str] = {
     "split_files": _with(
         f"{_INDEXED},\nn AS (SELECT CAST(floor(count(*) * 0.60) AS BIGINT) AS a, "
         "CAST(floor(count(*) * 0.20) AS BIGINT) AS b FROM txn)",
-        "SELECT CASE WHEN i < (SELECT a FROM n) THEN 'full' WHEN i < (SELECT a + b FROM n) THEN 'incremental' "
-        "ELSE 'stream' END AS split, count(*) AS n_rows, count(DISTINCT transaction_id) AS n_ids FROM ranked GROUP BY 1",
+        f"SELECT {ALL}, CASE WHEN i < (SELECT a FROM n) THEN 'full' WHEN i < (SELECT a + b FROM n) THEN 'incremental' "
+        "ELSE 'stream' END AS split FROM ranked",
+    ),
+    "append_csv": _with(TXN, "SELECT * FROM txn"),
+    "stream_ingest_csv": _with(
+        MESSAGES,
+        "SELECT transaction_id, user_id, CAST(card_age AS VARCHAR) AS card_age, location FROM msg WHERE part NOT IN (7, 8)",
     ),
     "curate_full": CURATED,
     "curate_incremental": CURATED,

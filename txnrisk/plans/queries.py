@@ -587,15 +587,23 @@ def src_external_table(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "external")
     rows = txn(spark, sf)
     files.write_csv(rows.select(*[F.col(f.name).alias(f.wire) for f in RAW_FIELDS]), path)
-    table = files.external_table(spark, f"ext_{uuid.uuid4().hex}", path)
-    return table.toDF(*RAW_COLUMNS)
+    name = f"ext_{uuid.uuid4().hex}"
+    return _then_drop(files.external_table(spark, name, path).toDF(*RAW_COLUMNS), name)
+
+
+def _then_drop(df: DataFrame, name: str) -> DataFrame:
+    """The rows of a query on a table of its own, which goes."""
+    rows = stage(df, "table")
+    df.sparkSession.sql(f"DROP TABLE {text.name(name)}")
+    return rows
 
 
 @query
 def src_catalog_scan(spark: SparkSession, sf: str) -> DataFrame:
     name = f"scan_{uuid.uuid4().hex}"
     CatalogTable(name, options={"path": scratch_path(spark, "scan")}).overwrite(txn(spark, sf))
-    return scan(spark, name, "fraud_label = 1", ["transaction_id", "user_id", "transaction_amount"])
+    rows = scan(spark, name, "fraud_label = 1", ["transaction_id", "user_id", "transaction_amount"])
+    return _then_drop(rows, name)
 
 
 @query
@@ -605,7 +613,7 @@ def sink_insert_by_name(spark: SparkSession, sf: str) -> DataFrame:
     table = CatalogTable(f"sink_{uuid.uuid4().hex}", options={"path": scratch_path(spark, "sink")})
     table.append(rows.where(~late))
     table.append(rows.where(late).select("device_type", "card_type", "user_id", "transaction_id"))
-    return table.read(spark)
+    return _then_drop(table.read(spark), table.name)
 
 
 @query
@@ -613,8 +621,9 @@ def load_full(spark: SparkSession, sf: str) -> DataFrame:
     target = PathTable(scratch_path(spark, "full"))
     rows = split.time_split(txn(spark, sf))
     jobs.full_load(rows.drop("split"), target)
+    first = stage(target.read(spark), "first")
     jobs.full_load(rows.where("split = 'stream'").drop("split"), target)
-    return target.read(spark)
+    return first.withColumn("load", F.lit(1)).union(target.read(spark).withColumn("load", F.lit(2)))
 
 
 @query
@@ -641,8 +650,17 @@ def import_new(spark: SparkSession, sf: str) -> DataFrame:
 def split_files(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "split")
     jobs.split_to_files(txn(spark, sf), path)
-    parts = spark.read.option("header", True).schema("transaction_id string, user_id string").csv(path)
-    return parts.groupBy("split").agg(F.count("*").alias("n_rows"), F.countDistinct("transaction_id").alias("n_ids"))
+    return files.read_csv(spark, path)
+
+
+@query
+def append_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends of delimited text to one folder."""
+    path, rows = scratch_path(spark, "appended"), txn(spark, sf)
+    late = hash_bucket("transaction_id") >= 60
+    for part in (rows.where(~late), rows.where(late)):
+        files.write_csv(part, path, mode="append")
+    return files.read_csv(spark, path)
 
 
 def _curate_in_steps(spark: SparkSession, sf: str, modes: list[str]) -> DataFrame:
@@ -716,6 +734,20 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return pipelines.ingested(spark, sink)
 
 
+@query
+def stream_ingest_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Ingest to delimited text, with the time of ingest in a column of its own."""
+    source, sink, state = (scratch_path(spark, p) for p in ("topic", "ingested", "state"))
+    _messages(spark, sf).write.parquet(source)
+    stream = _message_stream(spark, source)
+    query = pipelines.ingest(stream, sink, state, "csv", trigger=pipelines.AVAILABLE_NOW, stamp="time_details")
+    pipelines.run(query)
+    # The sink has a column with the default name of the reader's own column for corrupt lines.
+    reader = spark.read.option("header", True).option("columnNameOfCorruptRecord", "unreadable")
+    rows = reader.csv(sink).where("rejected = 'false' AND time_details IS NOT NULL")
+    return rows.select("transaction_id", "user_id", "card_age", "location")
+
+
 @query
 def stream_rejects(spark: SparkSession, sf: str) -> DataFrame:
     source, sink, state = (scratch_path(spark, p) for p in ("topic", "ingested", "state"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from txnrisk.functions import text
 from txnrisk.schemas import TS_FORMAT, WIRE_DDL, raw_schema
 
 
@@ -32,9 +33,13 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_b
 
 
 def external_table(spark: SparkSession, name: str, path: str, ddl: str = WIRE_DDL) -> DataFrame:
-    """Table over existing comma-delimited text whose first line in each file is a header."""
+    """Table over existing comma-delimited text whose first line in each file is a header.
+
+    ``name`` may have parts separated by dots.
+    """
+    quoted = ".".join(text.name(part) for part in name.split("."))
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING csv "
-        f"OPTIONS (header 'true', sep ',', timestampFormat '{TS_FORMAT}') LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {quoted} ({ddl}) USING csv "
+        f"OPTIONS (header 'true', sep ',', timestampFormat '{TS_FORMAT}') LOCATION {text.literal(path)}"
     )
-    return spark.table(name)
+    return spark.table(quoted)

@@ -31,13 +31,16 @@ def ingest(
     checkpoint: str,
     fmt: str = "parquet",
     trigger: Mapping[str, object] | None = None,
+    stamp: str | None = None,
 ) -> StreamingQuery:
-    """Decode messages and append them to files, exactly once.
+    """Decode messages and append them to files, exactly once. ``stamp``: a column with the time of ingest.
 
     One pass writes both good and malformed messages, apart in the partitions
     ``rejected=false`` and ``rejected=true``. Without a trigger it runs continuously.
     """
     rows = decode(source).withColumn("rejected", F.col(CORRUPT).isNotNull())
+    if stamp:
+        rows = rows.withColumn(stamp, F.current_timestamp())
     writer = rows.writeStream.format(fmt).option("path", path).option("header", True)
     return _start(writer.partitionBy("rejected").outputMode("append"), checkpoint, trigger)
 
