@@ -43,6 +43,38 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.drop_recurring(docs, dropped="n_dropped")
 
 
+ORACLES["op2_line_dedup"] = r"""
+WITH texts AS (
+    SELECT text, min(doc_id) AS owner FROM documents WHERE text IS NOT NULL GROUP BY text
+), lines AS (
+    SELECT text, owner, unnest(string_split(text, chr(10))) AS line,
+           unnest(range(len(string_split(text, chr(10))))) AS pos
+    FROM texts
+), masked AS (
+    SELECT text, owner, pos, string_split(trim(regexp_replace(
+        regexp_replace(line, '[^\s]*[0-9][^\s]*', '<*>', 'g'), '\s+', ' ', 'g')), ' ') AS t
+    FROM lines
+), keyed AS (
+    SELECT text, owner, pos, unnest(list_concat(
+        ['all ' || len(t) || ' ' || array_to_string(t, ' ')],
+        CASE WHEN len(t) >= 12 THEN list_transform(range(4), lambda p: 'part ' || p || ' ' || len(t) || ' ' ||
+            array_to_string(t[1:3 + (len(t) - 3) * p // 4], ' ') || ' | ' ||
+            array_to_string(t[3 + (len(t) - 3) * (p + 1) // 4 + 1:len(t)], ' ')) ELSE [] END)) AS template
+    FROM masked WHERE len(t) >= 3
+), recurring AS (
+    SELECT template, min((owner, pos)) AS first FROM keyed GROUP BY template HAVING count(DISTINCT text) >= 3
+), cut AS (
+    SELECT DISTINCT text, pos FROM keyed JOIN recurring USING (template) WHERE first <> (owner, pos)
+), rebuilt AS (
+    SELECT text, string_agg(line, chr(10) ORDER BY pos) FILTER (cut.pos IS NULL) AS kept, count(cut.pos) AS n
+    FROM lines LEFT JOIN cut USING (text, pos) GROUP BY text
+)
+SELECT doc_id, CASE WHEN n > 0 THEN kept ELSE text END AS text, coalesce(n, 0) AS n_dropped
+FROM documents LEFT JOIN rebuilt USING (text)
+WHERE coalesce(n, 0) = 0 OR trim(kept, chr(10) || chr(32) || chr(9) || chr(13)) <> ''
+"""
+
+
 @query
 def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best other vectors of each hundredth vector."""
@@ -138,6 +170,28 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.components(docs, size=4, percent=80)
 
 
+ORACLES["op9_minhash"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM worded
+), rows AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM rows a JOIN rows b ON a.x = b.x AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id, doc_id AS other FROM sets UNION SELECT doc_id, b FROM reached JOIN links ON other = a
+)
+SELECT doc_id, any_value(len(s)) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+FROM reached JOIN sets USING (doc_id) GROUP BY doc_id
+"""
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
