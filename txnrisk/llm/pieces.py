@@ -10,7 +10,8 @@ Which path is best depends on the kind of model. For unigram models it is the la
 scores. For merge (BPE) models it is the path whose neighbouring pieces all keep apart when merged
 on their own: such a path exists once for every boundary, and it is the merge result (merges
 inside a piece, or across it, come in the same order with or without the rest of the text). So the
-ids equal those of the sentencepiece library for both kinds.
+ids equal those of the sentencepiece library for both kinds (for unigram models, where several
+paths have the same sum, perhaps another of them).
 
 A boundary that no piece crosses (a space mark after another character, in models made without
 pieces across spaces) is a meeting point of all paths: the words between are encoded once and kept
@@ -22,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -33,8 +35,8 @@ from txnrisk.llm.common import ship, with_fields
 
 SPACE = "▁"
 NOTHING = 0x7FFFFFFF  # the symbol before the first
-PAIRS_KEPT = 500_000
-WORDS_KEPT = 200_000
+PAIRS_KEPT = 300_000
+WORDS_KEPT = 150_000  # in each of two generations
 WORD_LONGEST = 64
 
 
@@ -57,7 +59,6 @@ class Model:
         self.ids: dict[str, int] = {}
         self.scores: dict[int, float] = {}
         self.merges: dict[str, float] = {}
-        automaton = ahocorasick.Automaton()
         self.byte_ids: dict[int, int] = {}
         self.shown: list[bytes] = []
         for number in range(library.get_piece_size()):
@@ -74,9 +75,6 @@ class Model:
                 if not library.is_unused(number):
                     self.ids[piece] = number
                     self.scores[number] = self.merges[piece] = library.get_score(number)
-                    automaton.add_word(piece, (number, len(piece)))
-        automaton.make_automaton()
-        self.matches = automaton.iter  # all pieces that end at each place, in one pass
         self.longest = max(map(len, self.ids), default=1)
         # The library gives an unknown character this much less than the least score.
         self.unknown_score = min(self.scores.values(), default=0.0) - 10.0
@@ -84,7 +82,17 @@ class Model:
         self.pieces = [library.id_to_piece(number) for number in range(library.get_piece_size())]
         self.pairs: dict[int, dict[int, bool]] = defaultdict(dict)
         self.n_pairs = 0
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}  # tuples of numbers cost the garbage collector nothing
+        self.older_words: dict[str, tuple[int, ...]] = {}
+
+    @cached_property
+    def matches(self):
+        """A function that gives all pieces that end at each place of a text, in one pass."""
+        automaton = ahocorasick.Automaton()
+        for piece, number in self.ids.items():
+            automaton.add_word(piece, (number, len(piece)))
+        automaton.make_automaton()
+        return automaton.iter
 
     def symbol(self, number: int) -> str:
         """The piece of an id; ids beyond the model stand for characters that it does not have."""
@@ -176,7 +184,7 @@ def merge_stream(model: Model, text: str) -> Iterator[list[int]]:
             last.append(number)
             after.append(pairs[number])
             done = end + 1
-            if len(back) > full and (run := lattice.settle()):
+            if done - base > full and (run := lattice.settle()):
                 yield run
                 after = after[lattice.settled - base :]
                 back, last, base = lattice.back, lattice.last, lattice.settled
@@ -186,6 +194,30 @@ def merge_stream(model: Model, text: str) -> Iterator[list[int]]:
     yield lattice.path(len(text))
 
 
+def merge_word(model: Model, word: str) -> tuple[int, ...] | None:
+    """``merge_stream`` for a word that is no longer than the window, of pieces only: else None."""
+    pairs = model.pairs
+    back, last, after, done = [0], [NOTHING], [pairs[NOTHING]], 0
+    for end, (number, length) in model.matches(word):
+        if end > done:
+            return None
+        if end == done:
+            start = end + 1 - length
+            apart = after[start].get(number)
+            if apart or apart is None and model.apart(last[start], number):
+                back.append(start)
+                last.append(number)
+                after.append(pairs[number])
+                done += 1
+    if done < len(word):
+        return None
+    ids = []
+    while done:
+        ids.append(last[done])
+        done = back[done]
+    return tuple(ids[::-1])
+
+
 def unigram_stream(model: Model, text: str) -> Iterator[list[int]]:
     """Ids for a unigram model: each boundary takes the symbol of the largest sum of scores."""
     lattice, scores, full = Lattice(model), model.scores, 2 * model.longest
@@ -236,14 +268,20 @@ def encode_text(model: Model, text: str | None) -> list[int]:
     if not model.by_words:
         return [i for run in stream(model, marked) for i in run]
     out: list[int] = []
-    words = model.words
+    words, merge, window = model.words, model.kind == "merge", 2 * model.longest
     for word in WORD.findall(marked):
         ids = words.get(word)
         if ids is None:
-            ids = [i for run in stream(model, word) for i in run]
+            ids = model.older_words.get(word)
+            if ids is None:
+                if merge and len(word) <= window:
+                    ids = merge_word(model, word)
+                if ids is None:
+                    ids = tuple([i for run in stream(model, word) for i in run])
             if len(word) <= WORD_LONGEST:
-                if len(words) >= WORDS_KEPT:
-                    words.clear()
+                if len(words) >= WORDS_KEPT:  # words in use move on from the older ones
+                    model.older_words, model.words = words, {}
+                    words = model.words
                 words[word] = ids
         out += ids
     return out
@@ -310,7 +348,7 @@ def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text")
     def decode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = loaded(model)
         for rows in batches:
-            yield pd.Series([decode_ids(own, r) for r in rows], dtype=object)
+            yield pd.Series([decode_ids(own, None if r is None else r.tolist()) for r in rows], dtype=object)
 
     decoded = F.pandas_udf(decode_batches, "string")
     return with_fields(df, F.struct(decoded(F.col(ids)).alias(text)), [text])
