@@ -77,3 +77,27 @@ def test_anti_join_pre_aggregates_and_shares_its_shuffle(spark, stored):
 def test_duplicates_combine_before_the_shuffle(stored):
     text = plan(quality.drop_duplicate_rows(stored))
     assert text.count("HashAggregate") == 2 and text.count("Exchange") == 1
+
+
+def test_hot_key_of_the_anti_join_is_split(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        keys = "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('k', id) END AS transaction_id"
+        rows = spark.range(0, 60000, 1, 8).selectExpr(keys, "uuid() AS payload")
+        rows.write.parquet(str(tmp_path / "rows"))
+        done = spark.range(0, 60000, 1, 8).where("id % 2 = 0").selectExpr("concat('k', id) AS transaction_id")
+        fresh = incremental.not_processed(spark.read.parquet(str(tmp_path / "rows")), done)
+        assert len(fresh.collect()) == 50000
+        assert "skew=true" in fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
