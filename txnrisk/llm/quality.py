@@ -256,7 +256,10 @@ def judge(
     good.join(groups, "both").select("pool", *names).write.parquet(vector_path)
     found = estimates(spark.read.parquet(vector_path), names, scales, share, steps, least)
     remove(spark, vector_path)
-    placed = rows.join(groups.join(found, "pool"), "both", "left")
+    # A table of its own, so that its size is known: the whole rows are not dealt out by their few keys.
+    known_path = scratch_path(spark, "quality-known")
+    groups.join(found, "pool").drop("pool").write.parquet(known_path)
+    placed = rows.join(spark.read.parquet(known_path), "both", "left")
     distance = F.when(F.col("good"), squared_distance(names) / F.col("scale"))
     limit = chi_squared(1 - reject, len(names))
     kept = F.col("good") & (F.coalesce(distance, F.lit(0.0)) <= limit)
