@@ -6,9 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import lines, mixing, neardup, pieces, quality
-from txnrisk.llm.common import scratch_path, table
+from txnrisk.llm.common import scratch_path, stage, table
 from txnrisk.llm.queries import piece_model
 
+# Tokens of a line that goes when only one other text has it; a line length that none has.
+LONG_LINE, NEVER = 12, 2**31 - 1
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.judge(quality.measure(docs)).where("kept").select(*docs.columns)
@@ -19,11 +23,20 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return lines.drop_recurring(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+    """Documents without long lines that stand in an earlier document, too: two texts are enough.
+
+    Only for documents without near-duplicates: of a pair of these, one would be left in fragments.
+    """
+    whole = lines.drop_recurring(docs, documents=2, least=LONG_LINE, general=NEVER)
+    return whole.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the least id, of each group of near-duplicates."""
+    """One document, that with the least id, of each group of near-duplicates, less repeated long lines."""
     kept = neardup.components(docs, size=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
     first = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return first.dropDuplicates(["doc_id", "text"])
+    return drop_repeated_lines(stage(first.dropDuplicates(["doc_id", "text"]), "pipeline-unique"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +64,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to the documents."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
+    for name, apply in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        apply(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

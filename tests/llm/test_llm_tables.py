@@ -418,3 +418,18 @@ def test_pipeline_survives_an_empty_table(spark, make):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF)
     assert docs.count() == 0
+
+
+def test_pipeline_cuts_long_lines_of_two_documents(spark, make):
+    """A long line of two different texts goes from the later one; near-duplicates go whole, not in parts."""
+    shared, short = prose(1, 30), "a short line of two"
+    docs = [(i, f"{prose(10 + i, 80)}\n{shared}\n{short}\n{prose(20 + i, 40)}") for i in (1, 2)]
+    base = prose(50, 90)
+    docs += [(3, f"{base}\n{prose(51, 60)}"), (4, f"{base}\n{prose(51, 60)} tail")]
+    stages, left = dict(corpus_pipeline.STAGES), make(docs)
+    for name in ("line_dedup", "minhash"):
+        left = stages[name](spark, left, SF)
+    want = [docs[0], (2, docs[1][1].replace(f"{shared}\n", "")), docs[2]]
+    rows = left.collect()
+    assert as_bag((r.doc_id, r.text) for r in rows) == as_bag(want)
+    assert all(r.n_chars == len(r.text) for r in rows)
