@@ -134,6 +134,21 @@ def test_seeds_lose_no_notice(data):
     assert any(s[0] == label for s in licenses.fuzzy_spans("lead " + "".join(text) + " tail"))
 
 
+def test_closer_notices_do_not_hide_earlier_ones():
+    """Places of one notice whose windows meet are all found, whatever their edits."""
+    far, near = "released undr the mit lcense.", "released under the mit license."
+    between = " see license. see license. see license. "
+    text = far + between + near
+    at = text.index(near)
+    spans = [s for s in licenses.fuzzy_spans(text) if s[0] == "mit"]
+    assert [(s[1], s[2], s[3]) for s in spans] == [(0, 28, 2), (at, at + 30, 0)]
+    text = far + " " + near + " " + far
+    assert [s[3] for s in licenses.fuzzy_spans(text) if s[0] == "mit"] == [2, 0, 2]
+    gpl = "licensed under the gnu general public license, "
+    fields, _ = licenses.scan_text(f"{gpl}versoin 2 {gpl}version 3")
+    assert fields[5] == "gpl-2,gpl-3"
+
+
 def test_license_scan_whole_table(spark, make, edges):
     rows = licenses.scan(make(edges)).collect()
     assert len(rows) == len(edges)

@@ -119,6 +119,17 @@ def merged(spans: list[list[int]]) -> Iterator[tuple[int, int]]:
     yield start, end
 
 
+def best_matches(notice: Notice, text: str, start: int, end: int) -> Iterator[object]:
+    """The closest place of a notice in a stretch, then those in what is left before and after it."""
+    todo, least = [(start, end)], max(1, notice.length - notice.errors)
+    while todo:
+        a, b = todo.pop()
+        match = notice.pattern.search(text, a, b) if b - a >= least else None
+        if match and match.end() > match.start():
+            yield match
+            todo += [(match.end(), b), (a, match.start())]
+
+
 def fuzzy_spans(text: str, notices=NOTICES) -> list[tuple[str, int, int, int]]:
     """(label, start, end, edits) of each notice found in a lower-case text, by start.
 
@@ -130,7 +141,7 @@ def fuzzy_spans(text: str, notices=NOTICES) -> list[tuple[str, int, int, int]]:
     for number, spans in windows(text, notices).items():
         notice = known[number]
         for start, end in merged(spans):
-            for match in notice.pattern.finditer(text, start, min(end, len(text))):
+            for match in best_matches(notice, text, start, min(end, len(text))):
                 found.add((notice.label, match.start(), match.end(), sum(match.fuzzy_counts)))
     kept = [s for s in found if not any(o[3] < s[3] and o[1] < s[2] and s[1] < o[2] for o in found)]
     return sorted(kept, key=lambda s: (s[1], s[2], s[0], s[3]))
