@@ -188,6 +188,25 @@ def test_novelty():
     assert secrets.novel_spans(f"plain words {key}", 40, 256, 4.5) == []
 
 
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"])
+def test_novelty_of_keys_of_one_kind_of_character(alphabet):
+    draw = random.Random(4)
+    for _ in range(200):
+        key = "".join(draw.choices(alphabet, k=24))
+        assert secrets.novel_spans(f"Bearer {key}", 40, 256, 4.5) == [("novel", 7, 31)]
+
+
+def test_novelty_before_a_sensitive_word():
+    key = "Zq8vT1xLw93KfYb2RmUo5Hd7"
+    assert secrets.novel_spans(f"use {key} as token", 40, 256, 4.5) == [("novel", 4, 28)]
+    assert secrets.novel_spans(f"use {key}_token", 40, 256, 4.5) == [("novel", 4, 29)]
+    other = key[::-1]
+    assert secrets.novel_spans(f"{other} token {key}", 40, 256, 4.5) == [("novel", 0, 24), ("novel", 31, 55)]
+    assert secrets.novel_spans(f"{key} {'far ' * 20} token", 40, 256, 4.5) == []
+    for word in ("internationalization", "characterization", "desafortunadamente"):
+        assert secrets.novel_spans(f"the {word} of a token", 40, 256, 4.5) == []
+
+
 def test_secret_scan_whole_table(make, edges):
     rows = secrets.scan(make(edges)).collect()
     assert len(rows) == len(edges)

@@ -1,8 +1,8 @@
 """Secrets in text: three exact patterns, and strings that a primed compressor finds new.
 
-A candidate is a long token that stands just after a sensitive word. Its marginal size is the
+A candidate is a long token that stands near a sensitive word, before or after it. Its marginal size is the
 zstandard size of context and candidate less the size of the context alone, with a dictionary of
-common identifiers as prefix: text that repeats its surroundings or plain identifiers costs few
+common long words and identifiers as prefix: text that repeats its surroundings or these costs few
 bytes, a key costs almost all of its own. Candidates that cost at least ``bits`` bits a
 character are reported as ``novel``.
 
@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,7 +40,8 @@ CONTEXT_WORDS = re.compile(
     r"password|passwd|passphrase|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|bearer|auth",
     re.IGNORECASE | re.ASCII,
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{16,}")
+LEAST = 16
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST},}}")
 
 # Text that code and configuration are full of; what looks like it is no secret.
 IDENTIFIERS = (
@@ -53,11 +55,24 @@ IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ ________________ ---------------- ================"
 )
 
+# Long words of plain prose, so that they cost few bytes; a long word that is not here counts as new.
+LONG_WORDS = (
+    "internationalization internationalisation characterization misunderstanding notwithstanding telecommunications "
+    "counterproductive extraordinarily disproportionately environmentally acknowledgements responsibilities "
+    "recommendations representatives characteristics straightforward interdisciplinary administrators "
+    "misinterpretation experimentation industrialization organizational transformations commercialization "
+    "Geschwindigkeitsbegrenzung Verantwortungsbewusstsein Wissenschaftlerinnen Datenschutzerklärung "
+    "Benutzeroberfläche Auseinandersetzung Zusammenarbeit Lebensversicherungsgesellschaft Arbeitsgemeinschaft "
+    "anticonstitutionnellement internationalement gouvernementales professionnellement caractéristiques "
+    "administrativement exceptionnellement particulièrement desafortunadamente extraordinariamente "
+    "responsabilidades internacionalmente características administraciones electrodomésticos "
+)
+
 
 @cache
 def compressor(level: int) -> zstandard.ZstdCompressor:
-    """A compressor primed with the identifiers."""
-    primed = zstandard.ZstdCompressionDict(IDENTIFIERS.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    """A compressor primed with long words and the identifiers."""
+    primed = zstandard.ZstdCompressionDict((LONG_WORDS + IDENTIFIERS).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(level=level, dict_data=primed, write_content_size=False)
 
 
@@ -84,22 +99,42 @@ def order(span: tuple[str, int, int]):
     return span[1], KINDS.index(span[0]), span[2]
 
 
-def novel_spans(text: str, reach: int, around: int, bits: float) -> list[tuple[str, int, int]]:
-    """Incompressible tokens that begin within ``reach`` characters after a sensitive word."""
+def candidates(text: str, reach: int) -> list[tuple[int, int]]:
+    """Long tokens that begin within ``reach`` characters after a sensitive word or end so before one."""
     out, done = [], 0
-    for word in CONTEXT_WORDS.finditer(text):
-        at, stop = max(word.end(), done), word.end() + reach
+    words = [word.span() for word in CONTEXT_WORDS.finditer(text)]
+    for _, end in words:
+        at, stop = max(end, done), end + reach
         # The search ends where a token of least length can no longer begin in reach.
-        while near := CANDIDATE.search(text, at, max(at, stop + 16)):
-            match = CANDIDATE.match(text, near.start())
-            at = done = match.end()
-            token = match[0].rstrip(".=-")
-            kinds_of_character = sum(any(map(test, token)) for test in (str.isdigit, str.islower, str.isupper))
-            if len(token) < 16 or kinds_of_character < 2:
-                continue
-            context = text[max(0, match.start() - around) : match.start()] + text[match.end() : match.end() + around]
-            if marginal_bits(context, token) >= bits:
-                out.append(("novel", match.start(), match.start() + len(token)))
+        while near := CANDIDATE.search(text, at, max(at, stop + LEAST)):
+            at = done = CANDIDATE.match(text, near.start()).end()
+            out.append((near.start(), at))
+    # Before a word: what the search after words has not taken.
+    after, starts, i = [*out, (len(text), len(text))], [start for start, _ in words], 0
+    for token in CANDIDATE.finditer(text) if words else ():
+        start, end = token.span()
+        while after[i][1] <= start and i < len(after) - 1:
+            i += 1
+        # A sensitive word within the token ends it.
+        next_word = bisect_left(starts, start)
+        if next_word == len(starts) or starts[next_word] - end > reach:
+            continue
+        end = min(end, starts[next_word])
+        if end - start >= LEAST and after[i][0] >= end:
+            out.append((start, end))
+    return sorted(out)
+
+
+def novel_spans(text: str, reach: int, around: int, bits: float) -> list[tuple[str, int, int]]:
+    """Incompressible tokens within ``reach`` characters of a sensitive word, on either side."""
+    out = []
+    for start, end in candidates(text, reach):
+        token = text[start:end].rstrip(".=-")
+        if len(token) < LEAST:
+            continue
+        context = text[max(0, start - around) : start] + text[end : end + around]
+        if marginal_bits(context, token) >= bits:
+            out.append(("novel", start, start + len(token)))
     return out
 
 
