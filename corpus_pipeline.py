@@ -11,6 +11,8 @@ from txnrisk.llm.queries import piece_model
 
 # Tokens of a line that goes when only one other text has it; a line length that none has.
 LONG_LINE, NEVER = 12, 2**31 - 1
+# Characters of a line that may go whatever its tokens, as scripts without blanks have few.
+WIDE_LINE = 20
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +22,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that recur across documents; those with nothing left go."""
-    return lines.drop_recurring(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return lines.drop_recurring(docs, characters=WIDE_LINE, constants=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def drop_repeated_lines(docs: DataFrame) -> DataFrame:
@@ -28,7 +30,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
     Only for documents without near-duplicates: of a pair of these, one would be left in fragments.
     """
-    whole = lines.drop_recurring(docs, documents=2, least=LONG_LINE, general=NEVER)
+    whole = lines.drop_recurring(
+        docs, documents=2, least=LONG_LINE, general=NEVER, characters=3 * WIDE_LINE, constants=True
+    )
     return whole.withColumn("n_chars", F.length("text").cast("long"))
 
 

@@ -95,6 +95,24 @@ def test_op2_equals_brute_force(spark):
     assert as_bag(got) == as_bag(cut_lines(docs))
 
 
+def test_long_lines_of_few_tokens_recur(make):
+    passage, menu = "文書の中で空白なしに書かれた長い一節はこのように続いていく2019年", "Home page"
+    docs = [(i, f"{prose(i, 20)}\n{passage}\n{menu}") for i in range(4)]
+    got = lines.drop_recurring(make(docs), characters=20, dropped="n")
+    assert {r.doc_id: r.n for r in got.collect()} == {0: 0, 1: 1, 2: 1, 3: 1}
+    other = [(i, f"{prose(i, 20)}\n{passage}{i}") for i in range(4)]  # digits are no field here
+    assert as_bag((r.doc_id, r.text) for r in lines.drop_recurring(make(other), characters=20).collect()) == as_bag(other)
+
+
+def test_rows_of_numbers_recur_only_when_equal(make):
+    wide = " ".join(str(i) for i in range(14))
+    docs = [(i, f"{prose(i, 20)}\n12 4.5 20{i}\n{wide} {i}\n{wide} a {i}\n7 8 9") for i in range(4)]
+    got = {r.doc_id: r.text for r in lines.drop_recurring(make(docs), constants=True).collect()}
+    want = {i: t if i == 0 else t.removesuffix("\n7 8 9") for i, t in docs}
+    want = {i: t if i == 0 else t.replace(f"\n{wide} a {i}", "") for i, t in want.items()}
+    assert got == want
+
+
 # Near duplicates
 
 

@@ -24,17 +24,43 @@ FIELD = "<*>"
 PARTS = 4
 
 
-def template_keys(lead: int, general: int) -> Column:
-    """Keys of the templates of ``tokens``: of all, and for longer lines without one quarter."""
-    keys = ["xxhash64(-1, size(tokens), tokens)"]
-    for part in range(PARTS):
-        start = f"{lead} + (size(tokens) - {lead}) * {part} div {PARTS}"
-        stop = f"{lead} + (size(tokens) - {lead}) * {part + 1} div {PARTS}"
-        keys.append(
-            f"xxhash64({part}, size(tokens), slice(tokens, 1, cast({start} AS int)), "
-            f"slice(tokens, cast({stop} AS int) + 1, size(tokens)))"
-        )
-    return F.expr(f"IF(size(tokens) >= {general}, array({', '.join(keys)}), array({keys[0]}))")
+RAW = r"split(trim(regexp_replace(line, r'\s+', ' ')), ' ')"
+
+
+def template_keys(lead: int, general: int, constants: bool = False) -> Column:
+    """Keys of the templates of ``tokens``: of all, and for longer lines without one quarter.
+
+    ``constants``: templates of fields only are of the tokens of ``line`` as they are.
+    """
+
+    def keys(tokens: str, other: str | None = None) -> list[str]:
+        whole, parts = f"xxhash64(-1, size({tokens}), {tokens})", []
+        for part in range(PARTS):
+            start = f"{lead} + (size(tokens) - {lead}) * {part} div {PARTS}"
+            stop = f"{lead} + (size(tokens) - {lead}) * {part + 1} div {PARTS}"
+
+            def key(of: str, start: str = start, stop: str = stop, part: int = part) -> tuple[str, str]:
+                before = f"slice({of}, 1, cast({start} AS int))"
+                after = f"slice({of}, cast({stop} AS int) + 1, size({of}))"
+                return f"xxhash64({part}, size({of}), {before}, {after})", f"concat({before}, {after})"
+
+            hashed, rest = key(tokens)
+            if other:
+                hashed = f"IF(size(array_remove({rest}, '{FIELD}')) = 0, {key(other)[0]}, {hashed})"
+            parts.append(hashed)
+        return [whole, *parts]
+
+    def by_size(keys: list[str]) -> str:
+        return f"IF(size(tokens) >= {general}, array({', '.join(keys)}), array({keys[0]}))"
+
+    usual = by_size(keys("tokens"))
+    if not constants:
+        return F.expr(usual)
+    # Only where the constant tokens fit into one quarter can a template be without them.
+    number = f"size(array_remove(tokens, '{FIELD}'))"
+    few = f"{number} <= greatest(size(tokens) - {lead}, 0) div {PARTS} + 1"
+    raw = f"array(xxhash64(-2, size(tokens), {RAW}))"
+    return F.expr(f"CASE WHEN {number} = 0 THEN {raw} WHEN {few} THEN {by_size(keys('tokens', RAW))} ELSE {usual} END")
 
 
 def content() -> list[Column]:
@@ -51,6 +77,8 @@ def drop_recurring(
     least: int = 3,
     general: int = 12,
     dropped: str | None = None,
+    characters: int | None = None,
+    constants: bool = False,
 ) -> DataFrame:
     """``df`` with the recurring lines cut out of ``text``; documents of which nothing is left go.
 
@@ -59,6 +87,8 @@ def drop_recurring(
     kept, in all copies of that document. Lines with fewer than ``least`` tokens always stay, so do
     blank lines; ``general``: least tokens of a line whose quarters may vary; ``lead``: leading
     tokens that never do. ``dropped``: name of an added column with the number of lines cut.
+    ``characters``: a line of so many characters recurs, as it is, even with fewer than ``least`` tokens.
+    ``constants``: lines and templates of fields only recur by their own tokens, so only equal rows do.
 
     Lines end with a line feed; the lines kept are joined by line feeds, unchanged. Null and empty
     texts have no lines and their rows stay. Repeated rows stay or go together. All other columns
@@ -69,7 +99,11 @@ def drop_recurring(
     lines = texts.select("key", *content(), F.posexplode(F.split("text", "\n")).alias("at", "line"))
     masked = F.trim(F.regexp_replace(F.regexp_replace("line", r"[^\s]*[0-9][^\s]*", FIELD), r"\s+", " "))
     lines = lines.withColumn("tokens", F.split(masked, " ")).withColumn("long", F.size("tokens") >= least)
-    lines = lines.select("key", "c1", "c2", "at", F.when(F.col("long"), template_keys(lead, general)).alias("keys"))
+    keys = F.when(F.col("long"), template_keys(lead, general, constants))
+    if characters is not None:
+        wide = F.expr(f"length(array_join({RAW}, ' ')) >= {characters}")
+        keys = keys.when(wide, F.expr(f"array(xxhash64(-2, size(tokens), {RAW}))"))
+    lines = lines.select("key", "c1", "c2", "at", keys.alias("keys"))
     owner = F.min(F.struct(F.col("key").isNull().alias("none"), "key"))
     lines = lines.groupBy("c1", "c2", "at").agg(owner.alias("owner"), F.first("keys").alias("keys"))
     lines = steps.put("lines", lines)
