@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import lines, mixing, neardup, pieces, quality
-from txnrisk.llm.common import scratch_path, stage, table
+from txnrisk.llm.common import free_name, scratch_path, stage, table
 from txnrisk.llm.queries import piece_model
 
 # Tokens of a line that goes when only one other text has it; a line length that none has.
@@ -38,9 +38,13 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least id, of each group of near-duplicates, less repeated long lines."""
-    kept = neardup.components(docs, size=5, percent=80).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    first = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    return drop_repeated_lines(stage(first.dropDuplicates(["doc_id", "text"]), "pipeline-unique"))
+    row = free_name(docs.columns, "row")
+    # A key of each row by its content: ids may repeat or be null. The least id comes first, null ids last.
+    own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("hash"))
+    docs = docs.withColumn(row, own)
+    kept = neardup.components(docs, key=row, size=5, percent=80).where("kept").select(row).distinct()
+    first = docs.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
+    return drop_repeated_lines(stage(first, "pipeline-unique"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -451,3 +451,12 @@ def test_pipeline_cuts_long_lines_of_two_documents(spark, make):
     rows = left.collect()
     assert as_bag((r.doc_id, r.text) for r in rows) == as_bag(want)
     assert all(r.n_chars == len(r.text) for r in rows)
+
+
+def test_pipeline_near_duplicates_with_shared_and_null_ids(spark, make):
+    """Rows of one id are judged one by one; of near-duplicates without ids one stays."""
+    a, b, c = (prose(60 + i, 90) for i in range(3))
+    docs = [(1, a), (2, f"{a} tail"), (2, b), (None, c), (None, f"{c} tail"), (None, c, "other")]
+    got = dict(corpus_pipeline.STAGES)["minhash"](spark, make(docs), SF).collect()
+    assert as_bag((r.doc_id, r.text) for r in got if r.doc_id) == as_bag([(1, a), (2, b)])
+    assert len(got) == 3
