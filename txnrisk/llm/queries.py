@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txnrisk.llm import licenses, lines, mixing, neardup, pieces, quality, secrets, topk, toxicity, warc
+from txnrisk.llm import (
+    centroids,
+    euclid,
+    licenses,
+    lines,
+    mixing,
+    neardup,
+    negatives,
+    pieces,
+    quality,
+    secrets,
+    topk,
+    toxicity,
+    warc,
+)
 from txnrisk.llm.common import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,3 +211,104 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan(docs).drop("text")
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of each hundredth vector and its nearest vectors of the same label."""
+    turned = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", turned.alias("label"))
+    return negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+ORACLES["op11_hard_negatives"] = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM whole a JOIN whole c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+@query
+def op12_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of equal label with a cosine of at least 0.93."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return euclid.components(rows, cosine=0.93)
+
+
+ORACLES["op12_embedding_neardup"] = """
+WITH RECURSIVE doubled AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+), usable AS (
+    SELECT vec_id, label, v, sqrt(list_dot_product(v, v)) AS norm FROM doubled
+    WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93
+), reached AS (
+    SELECT vec_id, vec_id AS other FROM embeddings UNION SELECT vec_id, b FROM reached JOIN links ON other = a
+), n AS (
+    SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a
+)
+SELECT vec_id, any_value(coalesce(n_links, 0)) AS n_links, min(other) AS component_id, min(other) = vec_id AS kept
+FROM reached LEFT JOIN n USING (vec_id) GROUP BY vec_id
+"""
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return centroids.cluster(rows, size=64, k=8, rounds=10, scale=1024.0, seed="3")
+
+
+ASSIGN = """a{0} AS MATERIALIZED (
+    SELECT row, v, min(x).c AS cluster, min(x).d AS distance FROM (
+        SELECT row, v, {{'d': CAST(list_sum(list_transform(list_zip(v, centre), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT),
+                        'c': c}} AS x
+        FROM whole, c{0}
+    ) GROUP BY row, v)"""
+MOVE = """c{1} AS MATERIALIZED (
+    SELECT c, coalesce(moved, centre) AS centre FROM c{0} LEFT JOIN (
+        SELECT cluster, list(m ORDER BY dim) AS moved FROM (
+            SELECT cluster, dim, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS m FROM (
+                SELECT cluster, dim, sum(value) AS s, count(*) AS n FROM (
+                    SELECT cluster, unnest(v) AS value, unnest(range(len(v))) AS dim FROM a{0}
+                ) GROUP BY cluster, dim)
+        ) GROUP BY cluster) ON cluster = c)"""
+
+
+def _rounds(n: int) -> str:
+    """``n`` rounds as common tables: centroids c0 to c<n>, and a<i>, the assignments to c<i>."""
+    return ",\n".join(f"{ASSIGN.format(i)},\n{MOVE.format(i, i + 1)}" for i in range(n)) + f",\n{ASSIGN.format(n)}"
+
+
+ORACLES["op13_centroids"] = f"""
+WITH whole AS MATERIALIZED (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS INTEGER) AS c, v AS centre
+    FROM whole WHERE vec_id IS NOT NULL QUALIFY c < 8
+), {_rounds(10)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(centre, ',')) AS centroid_sha256
+FROM a10 JOIN whole USING (row) JOIN c10 ON c = cluster
+"""
