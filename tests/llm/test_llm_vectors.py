@@ -7,9 +7,10 @@ import math
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from txnrisk.llm import centroids, euclid, negatives, vectors
+from txnrisk.llm import centroids, euclid, negatives, topk, vectors
 
 SCHEMA = "vec_id long, label int, embedding array<float>, rank string, score string, kept string, cluster string, key string"
 
@@ -109,8 +110,8 @@ def test_index_omits_dimensions_and_loses_no_pair():
 
 
 def test_a_task_holds_no_more_than_a_window(monkeypatch):
-    monkeypatch.setattr(negatives, "BUFFER", 10)
-    best = negatives.Best(2, 3)
+    monkeypatch.setattr(vectors, "BUFFER", 10)
+    best = vectors.Best(2, 3)
     for key in range(100):
         best.add(np.array([0, 1]), np.array([key, key]), np.array([key % 7, 1]))
         assert len(best.kept[0]) <= 6 and best.waiting <= 12
@@ -244,3 +245,23 @@ def test_components_beyond_64_bits_are_refused():
     pack = vectors.quantized_batches(1024.0)
     with pytest.raises(ValueError, match="64 bits"):
         list(pack(iter([np.array([[1e30, 1.0]], dtype=object)])))
+
+
+# Search
+
+
+def test_search_holds_k_rows_a_task_on_ties(spark):
+    """A task gives out k rows of each query, however many rows tie and however many batches it gets."""
+    blocks, exact = topk.query_blocks([{"key": q, "vector": np.array([1, q]).tobytes()} for q in (1, 2)], {2: 10})
+    for block in blocks.values():
+        block.low[:] = -100
+    shared = type("Shared", (), {"value": (blocks, exact)})
+    batch = pd.DataFrame({"key": range(100, 1100), "vector": [np.array([3, 0]).tobytes()] * 1000})
+    out = pd.concat(topk.final_batches(shared, 10)(iter([batch, batch.assign(key=batch["key"] - 90)])))
+    assert sorted(zip(out["query_id"], out["key"], strict=True)) == [(q, k) for q in (1, 2) for k in range(10, 20)]
+
+
+def test_search_refuses_what_does_not_fit(frame):
+    df = frame([(1, 1, [6.0, 1.0]), (2, 1, [1e30, 1.0])])
+    with pytest.raises(Exception, match="64 bits"):
+        topk.search(df, df.where("vec_id = 1"))

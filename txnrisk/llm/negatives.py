@@ -31,15 +31,14 @@ from pyspark.sql import functions as F
 
 from txnrisk.llm.common import count_rows, ship
 from txnrisk.llm.steps import Steps
-from txnrisk.llm.vectors import quantized, runs
+from txnrisk.llm.vectors import Best, quantized, runs
 
 BLOCK = 8192  # anchors that are searched together
 TOGETHER = 256  # anchors whose partial scores are accumulated together
 STRIDE = 8  # dimensions of a run
-BUFFER = 200_000  # found rows that a task holds before it keeps the best of each window
 STEPS_DOWN = (0.95, 0.8, 0.65, 0.5, 0.35, 0.2, 0.05)  # of the anchor's score with itself; then everything
 BAND_STEPS = 4  # thresholds between a band's two ends
-LEAST, NEVER = -(2**62), 2**62
+NEVER = 2**62
 MOST = 2.0**55  # a percentage of a score fits 64 bits
 FOUND = "window long, key long, score long, last boolean"
 
@@ -110,33 +109,6 @@ def survivors(anchors, norms, rows, row_norms, least, slack):
     return at, place[row], partial[at, row].astype(np.int64)
 
 
-class Best:
-    """The first rows of each window, of those that a task has met."""
-
-    def __init__(self, windows: int, size: int):
-        self.size, self.floor = size, np.full(windows, LEAST, np.int64)
-        self.kept = [np.empty(0, np.int64)] * 3
-        self.fresh: list[tuple[np.ndarray, ...]] = []
-        self.waiting = 0
-
-    def add(self, window: np.ndarray, key: np.ndarray, score: np.ndarray) -> None:
-        self.fresh.append((window, key, score))
-        self.waiting += len(window)
-        if self.waiting > BUFFER:
-            self.settle()
-
-    def settle(self) -> None:
-        window, key, score = (np.concatenate(c) for c in zip(self.kept, *self.fresh, strict=True))
-        order = np.lexsort((key, -score, window))
-        window, key, score = window[order], key[order], score[order]
-        begin = np.flatnonzero(np.r_[True, window[1:] != window[:-1]]) if len(window) else np.empty(0, np.int64)
-        rank = np.arange(len(window)) - np.repeat(begin, np.diff(np.r_[begin, len(window)]))
-        keep = rank < self.size
-        full = rank == self.size - 1
-        self.floor[window[full]] = score[full]  # what scores less is beyond a full window
-        self.kept, self.fresh, self.waiting = [window[keep], key[keep], score[keep]], [], 0
-
-
 def found_batches(shared, same: bool, size: int):
     """The first rows of each window among a task's rows, of the anchor's label or of others."""
 
@@ -208,7 +180,7 @@ def falling(anchors: Anchors, number: int) -> tuple[np.ndarray, np.ndarray]:
     """Thresholds of the positives: shares of an anchor's score with itself, then everything."""
     last = number >= len(STEPS_DOWN)
     if last:
-        low = np.full(len(anchors.ids), LEAST)
+        low = np.full(len(anchors.ids), -NEVER)
     else:
         own = (anchors.matrix.astype(np.float64) ** 2).sum(axis=1)
         low = np.floor(np.minimum(own * STEPS_DOWN[number], MOST)).astype(np.int64)
@@ -240,7 +212,7 @@ def block_of(rows: list) -> dict[int, Anchors]:
         if size:
             out[size // 8] = Anchors(
                 np.array([r["key"] for r in same], np.int64), np.array([r["label"] for r in same]), matrix,
-                np.full((n, 1), LEAST), np.full((n, 1), NEVER), np.zeros((n, 1), bool), np.arange(number, number + n)[:, None],
+                np.full((n, 1), -NEVER), np.full((n, 1), NEVER), np.zeros((n, 1), bool), np.arange(number, number + n)[:, None],
             )
             number += n
     return out

@@ -7,8 +7,9 @@ score, or few enough scores lie at or above it. A last pass gives out the scores
 and ties are broken by the smaller id.
 
 A task keeps its counts from the top bin down to where it has k scores by itself: the k-th best of
-all cannot lie lower. Of equal scores a task gives out no more than its k smallest ids, so a vector
-that a third of all rows repeat costs no more than any other.
+all cannot lie lower. In the last pass a task holds the k best rows of each query that it has met, of
+equal scores those with the smallest ids, and gives them out once at its end: a vector that a third of all rows
+repeat costs no more than any other.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from pyspark.sql import functions as F
 
 from txnrisk.llm.common import count_rows, ship
 from txnrisk.llm.steps import Steps
+from txnrisk.llm.vectors import Best, quantized, runs
 
 BINS = 512
 BLOCK = 2048  # queries that are searched together: their vectors and ranges are broadcast
-ROWS = 2048  # vectors that are scored at once
 
 
 @dataclass
@@ -46,45 +47,6 @@ class Block:
         return -(-(self.high - self.low) // BINS)
 
 
-def quantized_batches(scale: float):
-    def quantize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for vectors in batches:
-            out = []
-            for vector in vectors:
-                whole = None
-                if vector is not None:
-                    values = np.array([np.nan if x is None else x for x in vector], np.float64)
-                    if np.isfinite(values).all():
-                        whole = np.floor(scale * values).astype(np.int64).tobytes()
-                out.append(whole)
-            yield pd.Series(out, dtype=object)
-
-    return quantize
-
-
-def quantized(df: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
-    """``key`` and ``vector``: floor(scale * x) of each component as 64-bit numbers, packed.
-
-    Rows with a null key, a null vector, or a null or non-finite component are left out.
-    """
-    pack = F.pandas_udf(quantized_batches(scale), "binary")
-    packed = df.where(F.col(f"`{key}`").isNotNull()).select(
-        F.col(f"`{key}`").cast("long").alias("key"), pack(F.col(f"`{vector}`").cast("array<double>")).alias("vector")
-    )
-    return packed.where("vector IS NOT NULL")
-
-
-def matrices(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids and matrix of runs of vectors of one length."""
-    for batch in batches:
-        length = batch["vector"].map(len)
-        for size, same in batch.groupby(length, sort=False):
-            for start in range(0, len(same), ROWS):
-                part = same.iloc[start : start + ROWS]
-                joined = np.frombuffer(b"".join(part["vector"]), np.int64).reshape(len(part), size // 8)
-                yield part["key"].to_numpy(np.int64), joined
-
-
 def scores(block: Block, ids: np.ndarray, matrix: np.ndarray, exact: bool) -> tuple[np.ndarray, np.ndarray]:
     """Scores of a block's queries, and where they count (a query's own rows do not)."""
     if exact:  # all sums stay below 2^53
@@ -98,11 +60,11 @@ def count_batches(shared, k: int):
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks, exact = shared.value
         counts = {size: np.zeros((len(b.ids), BINS), np.int64) for size, b in blocks.items()}
-        for ids, matrix in matrices(batches):
+        for part, matrix in runs(batches):
             block = blocks.get(matrix.shape[1])
             if block is None:
                 continue
-            found, valid = scores(block, ids, matrix, exact)
+            found, valid = scores(block, part["key"].to_numpy(np.int64), matrix, exact)
             number = (found - block.low[:, None]) // np.maximum(block.width, 1)[:, None]
             valid &= (found >= block.low[:, None]) & (found < block.high[:, None])
             flat = (number + np.arange(len(number))[:, None] * BINS)[valid]
@@ -120,21 +82,21 @@ def count_batches(shared, k: int):
 def final_batches(shared, k: int):
     def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks, exact = shared.value
-        for ids, matrix in matrices(batches):
+        best = {size: Best(len(b.ids), k) for size, b in blocks.items()}
+        for part, matrix in runs(batches):
             block = blocks.get(matrix.shape[1])
             if block is None:
                 continue
+            ids, held = part["key"].to_numpy(np.int64), best[matrix.shape[1]]
             found, valid = scores(block, ids, matrix, exact)
-            valid &= found >= block.low[:, None]
-            rows = []
-            for q in np.flatnonzero(valid.any(axis=1)):
-                at = np.flatnonzero(valid[q])
-                if len(at) > k:
-                    at = at[np.lexsort((ids[at], -found[q, at]))[:k]]
-                rows.append((np.full(len(at), block.ids[q]), ids[at], found[q, at]))
-            if rows:
-                query, key, score = (np.concatenate(c) for c in zip(*rows, strict=True))
-                yield pd.DataFrame({"query_id": query, "key": key, "score": score})
+            valid &= found >= np.maximum(block.low, held.floor)[:, None]
+            query, row = np.nonzero(valid)
+            held.add(query, ids[row], found[query, row])
+        for size, held in best.items():
+            held.settle()
+            query, key, score = held.kept
+            if len(query):
+                yield pd.DataFrame({"query_id": blocks[size].ids[query], "key": key, "score": score})
 
     return final
 
@@ -197,6 +159,7 @@ def search(
     Rows with a null key, a null vector, or a null or non-finite component take no part, neither
     do rows whose vector has another length than the query's. Equal query rows are one query;
     repeated candidate rows each count. Other columns take no part. Empty tables give an empty one.
+    Components or scores that do not fit 64 bits are an error.
     """
     spark = df.sparkSession
     ship(spark)
@@ -212,13 +175,12 @@ def search(
     for number in range(n_blocks):
         rows = asked.where(F.pmod(F.xxhash64("key"), F.lit(n_blocks)) == number).collect()  # about ``block`` queries
         if rows:
-            parts.append(steps.put(f"found-{number}", search_block(base, rows, most, k)))
+            parts.append(f"found-{number}")
+            steps.put(parts[-1], search_block(base, rows, most, k))
+    steps.drop("vectors", "queries")
     if not parts:
-        parts = [spark.createDataFrame([], "query_id long, rank int, key long, score long")]
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.union(more)
-    return out.withColumnRenamed("key", key)
+        return spark.createDataFrame([], f"query_id long, rank int, `{key}` long, score long")
+    return steps.get(*parts).withColumnRenamed("key", key)
 
 
 def largest_component(vectors: pd.Series) -> pd.Series:

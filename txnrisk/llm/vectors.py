@@ -9,10 +9,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txnrisk.llm.common import free_name
-
 LARGEST = 2.0**62  # scaled components below this fit 64 bits
 ROWS = 2048  # vectors of a matrix
+BUFFER = 200_000  # found rows that a task holds before it keeps the best of each window
 
 
 def quantized_batches(scale: float):
@@ -61,11 +60,28 @@ def runs(batches: Iterator[pd.DataFrame], rows: int = ROWS) -> Iterator[tuple[pd
                 yield part, np.frombuffer(b"".join(part["vector"]), np.int64).reshape(len(part), size // 8)
 
 
-def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Columns under other names, also where the names change places."""
-    held = {old: free_name([*df.columns, *names.values()], f"{old}_held") for old in names}
-    for old, between in held.items():
-        df = df.withColumnRenamed(old, between)
-    for old, new in names.items():
-        df = df.withColumnRenamed(held[old], new)
-    return df
+class Best:
+    """The first rows of each window, of those that a task has met."""
+
+    def __init__(self, windows: int, size: int):
+        self.size, self.floor = size, np.full(windows, -(2**63), np.int64)
+        self.kept = [np.empty(0, np.int64)] * 3
+        self.fresh: list[tuple[np.ndarray, ...]] = []
+        self.waiting = 0
+
+    def add(self, window: np.ndarray, key: np.ndarray, score: np.ndarray) -> None:
+        self.fresh.append((window, key, score))
+        self.waiting += len(window)
+        if self.waiting > BUFFER:
+            self.settle()
+
+    def settle(self) -> None:
+        window, key, score = (np.concatenate(c) for c in zip(self.kept, *self.fresh, strict=True))
+        order = np.lexsort((key, -score, window))
+        window, key, score = window[order], key[order], score[order]
+        begin = np.flatnonzero(np.r_[True, window[1:] != window[:-1]]) if len(window) else np.empty(0, np.int64)
+        rank = np.arange(len(window)) - np.repeat(begin, np.diff(np.r_[begin, len(window)]))
+        keep = rank < self.size
+        full = rank == self.size - 1
+        self.floor[window[full]] = score[full]  # what scores less is beyond a full window
+        self.kept, self.fresh, self.waiting = [window[keep], key[keep], score[keep]], [], 0
