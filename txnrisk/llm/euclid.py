@@ -33,14 +33,15 @@ from txnrisk.llm.steps import Steps
 # Cells of width 3 and 24 projections: two vectors at cosine 0.93 share one of 40 keys in 96 of 100
 # cases, at 0.95 in 99.4; vectors at right angles share a key in 1.5 of 100,000 cases.
 WIDTH, HASHES, TABLES = 3.0, 24, 40
-DENSE = 96  # classes of a bucket from which on it is tried as a ball
+DENSE = 32  # classes of a bucket from which on it is tried as a ball
+TABLE_BITS = 8  # of a key: its table; the rest is the hash of label and cells
 CHUNK = 1024  # classes of a bucket that one side of a comparison holds
 PAIRS = 65_536  # found pairs whose keys are looked at together
 GRID = 2.0**24  # sums of directions are whole numbers, whatever the order of rows
 MARGIN = 1e-9  # of angles, far above what doubles round off
 
 UNITS = "unit binary, keys array<long>"
-FOUND = "a binary, b binary, n long"
+FOUND = "a long, b long, n long"
 
 
 def projections(size: int, hashes: int, tables: int, width: float) -> tuple[np.ndarray, np.ndarray]:
@@ -78,8 +79,9 @@ def unit_batches(hashes: int, tables: int, width: float):
                 directions, offsets = known[len(x)]
                 cells = np.floor((x @ directions + offsets) / width).astype(np.int32).reshape(tables, hashes)
                 seed = xxhash.xxh3_64_intdigest(label)
-                keys = [xxhash.xxh3_64_intdigest(c.tobytes(), seed=(seed + t) % 2**64) for t, c in enumerate(cells)]
-                out.append((x.tobytes(), np.array(keys, np.uint64).view(np.int64)))
+                keys = np.array([xxhash.xxh3_64_intdigest(c.tobytes(), seed=seed) for c in cells], np.uint64)
+                keys = (keys << np.uint64(TABLE_BITS)) | np.arange(tables, dtype=np.uint64)
+                out.append((x.tobytes(), keys.view(np.int64)))
             yield pd.DataFrame(out, columns=["unit", "keys"])
 
     return units
@@ -93,12 +95,12 @@ def angle_batches(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd
 
 
 def sum_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums of the directions of each cell, on a grid."""
+    """Sums of the directions of each ball, on a grid."""
     for batch in batches:
-        for (label, cell), part in batch.groupby(["label", "cell"], sort=False):
+        for ball, part in batch.groupby("ball", sort=False):
             whole = np.rint(np.frombuffer(b"".join(part["unit"]), np.float64).reshape(len(part), -1) * GRID)
             total = whole.astype(np.int64).sum(axis=0)
-            yield pd.DataFrame({"label": label, "cell": cell, "dimension": np.arange(len(total)), "total": total})
+            yield pd.DataFrame({"ball": ball, "dimension": np.arange(len(total)), "total": total})
 
 
 def direction_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -121,8 +123,8 @@ def stars(linked: np.ndarray) -> np.ndarray:
 def compared(rows: dict[str, np.ndarray], cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
     """Counts and edges (a, b, n) between two chunks, or within one.
 
-    ``tbl`` says in which table the chunks meet; a pair that met in an earlier one is not counted again.
-    Where it is negative, a pair meets only once.
+    ``tbl`` says in which table the chunks meet; a pair that met in an earlier one, by the same keys as
+    buckets are made of, is not counted again. Where it is negative, a pair meets only once.
     """
     within, table = rows["within"][0], int(rows["tbl"][0])
     left = len(rows["side"]) if within else int(np.searchsorted(rows["side"], 1))
@@ -191,7 +193,8 @@ def compare_batches(cosine: float):
 
 
 def found_frame(parts: list) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip("abn", (np.concatenate(c) for c in zip(*parts, strict=True)), strict=True)))
+    a, b, n = (np.concatenate(c) for c in zip(*parts, strict=True))
+    return pd.DataFrame({"a": a, "b": pd.array(b, "Int64"), "n": n})
 
 
 def chunks(rows: DataFrame, by: list[str], sizes: DataFrame, chunk: int) -> DataFrame:
@@ -220,8 +223,8 @@ def components(
     """One row per vector: ``key``, ``n_links``, ``component_id`` and ``kept``.
 
     Vectors of equal label, not null, are linked when their cosine in double precision is at least
-    ``cosine`` (found as ``width``, ``hashes`` and ``tables`` allow). ``n_links`` counts the other vectors
-    linked directly, ``component_id`` is the least key reachable over links, and ``kept`` is true where
+    ``cosine`` (found as ``width``, ``hashes`` and at most 256 ``tables`` allow). ``n_links`` counts the other
+    vectors linked directly, ``component_id`` is the least key reachable over links, and ``kept`` is true where
     that is the vector's own.
 
     Vectors that are null, empty, zero or hold null or non-finite components, or have no label, are linked with
@@ -232,143 +235,140 @@ def components(
     spark = df.sparkSession
     ship(spark)
     steps = Steps(spark, "euclid")
-    units = F.pandas_udf(unit_batches(hashes, tables, width), UNITS)
-    text = F.to_json(F.array(F.col(f"`{label}`").cast("string"), F.size(f"`{vector}`").cast("string")))
-    rows = df.select(
-        F.col(f"`{key}`").alias("key"),
-        F.when(F.col(f"`{label}`").isNotNull(), text).alias("label"),
-        F.col(f"`{vector}`").cast("array<double>").alias("vector"),
-    ).withColumn("u", units("label", "vector"))
-    node = F.when(F.col("u.unit").isNotNull(), F.unhex(F.md5(F.concat(F.col("u.unit"), F.col("label").cast("binary")))))
-    docs = steps.put("docs", rows.select("key", node.alias("node"), "label", "u.unit", "u.keys"))
-    one_key = F.to_json(F.array("key"))
-    nodes = docs.where("node IS NOT NULL").groupBy("node").agg(
-        F.first("label").alias("label"), F.first("unit").alias("unit"), F.first("keys").alias("keys"),
-        F.count_distinct(one_key).alias("weight"),
-    )
-    nodes = steps.put("nodes", nodes)
-    buckets = steps.put("buckets", nodes.select("label", F.posexplode("keys").alias("tbl", "bucket"), "node"))
-    place = ["label", "tbl", "bucket"]
-    sizes = buckets.groupBy(*place).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    sizes = steps.put("sizes", sizes)
-
-    ball_rows, balls = dense_balls(nodes, buckets, sizes, float(np.arccos(cosine)), dense, steps)
-    in_ball = ball_rows.select("node")
-    alone = steps.put("alone", buckets.join(in_ball, "node", "left_anti"))
-    presence = steps.put("presence", buckets.join(ball_rows.select("node", "cell"), "node").select(*place, "cell").distinct())
+    angle, limit = F.pandas_udf(angle_batches, "double"), float(np.arccos(cosine))
+    docs, nodes = classes(df, key, vector, label, F.pandas_udf(unit_batches(hashes, tables, width), UNITS), steps)
+    buckets = steps.put("buckets", nodes.select(F.explode("keys").alias("bucket"), "node"))
+    sizes = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    buckets = steps.put("shared", buckets.join(steps.put("sizes", sizes), "bucket"))
+    steps.drop("buckets", "sizes")
+    ball_rows, balls = dense_balls(nodes, buckets.where(F.col("size") >= dense), angle, limit, steps)
+    alone = steps.put("alone", buckets.drop("size").join(ball_rows.select("node"), "node", "left_anti"))
+    presence = buckets.select("bucket", "node").join(ball_rows, "node").select("bucket", "ball").distinct()
+    presence = steps.put("presence", presence)
+    steps.drop("shared")
 
     # Classes outside balls, among themselves.
-    met = alone.groupBy(*place).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    placed = chunks(alone, place, steps.put("met", met), chunk)
+    met = alone.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    placed = chunks(alone, ["bucket"], steps.put("met", met), chunk)
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    placed = placed.select("node", "part", *place, other)
+    placed = placed.select("node", "part", "bucket", other)
     placed = placed.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other")})
     placed = placed.select(
-        "node", task_name(*place, "low", "high"), (F.col("low") == F.col("high")).alias("within"),
-        (F.col("part") == F.col("high")).cast("int").alias("side_"), "tbl",
+        "node", task_name("bucket", "low", "high"), F.expr("low = high").alias("within"),
+        F.expr("int(part = high AND low < high)").alias("side"), F.expr(f"int(bucket & {2**TABLE_BITS - 1})").alias("tbl"),
     )
-    placed = placed.withColumn("side", F.when(F.col("within"), 0).otherwise(F.col("side_"))).drop("side_")
-    found = steps.put("found-0", compare(placed.join(nodes, "node"), cosine))
-
-    # Classes and balls that meet; then balls and balls.
-    near = steps.put("near-0", alone.join(presence, place).select("node", "label", "cell").distinct())
-    angles = float(np.arccos(cosine))
-    angle = F.pandas_udf(angle_batches, "double")
-    two = presence.select(*place, F.col("cell").alias("cell_2")).join(presence, place).where("cell < cell_2")
-    two = two.select("label", "cell", "cell_2").distinct()
-    two = two.join(balls, ["label", "cell"]).join(renamed_ball(balls), ["label", "cell_2"])
-    two = two.withColumn("angle", angle("centre", "centre_2"))
-    two = steps.put("two", two.where(f"angle - radius - radius_2 <= {angles + MARGIN}").drop("centre", "centre_2"))
-    whole = F.expr(f"angle + radius + radius_2 <= {angles - MARGIN}")
-    touching = two.where(~whole).select("label", "cell", F.col("cell_2"))
-    spread = ball_rows.select("node", "label", "cell").join(touching, ["label", "cell"])
-    near = near.union(spread.select("node", "label", F.col("cell_2").alias("cell")))
-    single = near.join(nodes.select("node", "unit", "weight"), "node").join(balls, ["label", "cell"])
-    single = single.withColumn("angle", angle("unit", "centre"))
-    single = single.where(f"angle - radius <= {angles + MARGIN}")
-    single = steps.put("single", single.select("node", "label", "cell", "weight", "size", "total", "first",
-                                               F.expr(f"angle + radius <= {angles - MARGIN}").alias("whole")))
-    part = single.where("NOT whole").select("node", "label", "cell")
-    found_2 = steps.put("found-1", compare(bipartite(part, ball_rows, balls, chunk).join(nodes, "node"), cosine))
-
-    # Counts: of single comparisons, of whole balls, and of the own ball.
-    gains = two.where(whole).select("label", "cell", F.col("total_2").alias("gain"))
-    gains = gains.union(two.where(whole).select("label", F.col("cell_2").alias("cell"), F.col("total").alias("gain")))
-    gains = gains.union(single.where("whole").select("label", "cell", F.col("weight").alias("gain")))
-    gains = gains.groupBy("label", "cell").agg(F.sum("gain").alias("gain"))
-    own = ball_rows.join(balls, ["label", "cell"]).join(gains, ["label", "cell"], "left").join(nodes.select("node", "weight"), "node")
-    own = own.select("node", (F.col("total") - F.col("weight") + F.coalesce("gain", F.lit(0))).alias("n"))
-    all_found = found.union(found_2)
-    counts = all_found.where("b IS NULL").select(F.col("a").alias("node"), "n").union(own)
-    counts = counts.union(single.where("whole").select("node", F.col("total").alias("n")))
+    found = steps.put("found-0", compare(placed, nodes, cosine))
+
+    # Balls and balls that meet; then classes and balls. All of a ball is linked, none, or some.
+    all_linked, none_linked = limit - MARGIN, limit + MARGIN
+    two = presence.withColumnRenamed("ball", "ball_2").join(presence, "bucket").where("ball < ball_2")
+    two = two.select("ball", "ball_2").distinct().join(balls, "ball")
+    two = two.join(balls.select(*(F.col(c).alias(f"{c}_2") for c in balls.columns)), "ball_2").where("label = label_2")
+    two = two.withColumn("angle", angle("centre", "centre_2")).where(f"angle - radius - radius_2 <= {none_linked}")
+    two = two.withColumn("whole", F.expr(f"angle + radius + radius_2 <= {all_linked}"))
+    two = steps.put("two", two.select("ball", "ball_2", "total", "total_2", "first", "first_2", "whole"))
+    near = alone.join(presence, "bucket").select("node", "ball").distinct()
+    some = two.where("NOT whole").select("ball", F.col("ball_2").alias("met"))
+    near = near.union(ball_rows.join(some, "ball").select("node", F.col("met").alias("ball")))
+    own = nodes.select("node", "unit", "weight", F.col("label").alias("own_label"))
+    single = near.join(own, "node").join(balls, "ball").where("label = own_label")
+    single = single.withColumn("angle", angle("unit", "centre")).where(f"angle - radius <= {none_linked}")
+    single = single.withColumn("whole", F.expr(f"angle + radius <= {all_linked}"))
+    single = steps.put("single", single.select("node", "ball", "weight", "total", "first", "whole"))
+    part = single.where("NOT whole").select("node", "ball")
+    found = found.union(steps.put("found-1", compare(bipartite(part, ball_rows, balls, chunk), nodes, cosine)))
+
+    # Counts: of comparisons, of whole balls, and of the own ball.
+    gains = two.where("whole").select("ball", F.col("total_2").alias("gain"))
+    gains = gains.union(two.where("whole").select("ball_2", "total"))
+    gains = gains.union(single.where("whole").select("ball", "weight")).groupBy("ball").agg(F.sum("gain").alias("gain"))
+    gains = steps.put("gains", balls.join(gains, "ball", "left").select("ball", F.expr("total + coalesce(gain, 0) AS gain"), "first"))
+    inside = ball_rows.join(gains, "ball")
+    counts = found.where("b IS NULL").select(F.col("a").alias("node"), "n")
+    counts = counts.union(inside.join(nodes, "node").select("node", F.expr("gain - weight")))
+    counts = counts.union(single.where("whole").select("node", "total"))
     counts = steps.put("counts", counts.groupBy("node").agg(F.sum("n").alias("n")))
 
-    edges = all_found.where("b IS NOT NULL").select("a", "b")
-    edges = edges.union(ball_rows.join(balls, ["label", "cell"]).where("node <> first").select("node", "first"))
-    edges = edges.union(single.where("whole").select("node", "first"))
-    edges = edges.union(two.where(whole).select("first", "first_2"))
-    edges = steps.put("edges", edges.toDF("a", "b").distinct())
-    labels = label_components(edges, steps)
-    steps.drop(*(n for n in [*steps.paths] if n not in {"docs", "nodes", "counts", "labels"}))
-    placed = docs.select("key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = placed.where("label IS NOT NULL").groupBy("label").agg(F.min("key").alias("least"))
-    out = placed.join(least, "label", "left").join(counts, "node", "left").join(nodes.select("node", "weight"), "node", "left")
-    n_links = F.coalesce("n", F.lit(0)) + F.coalesce(F.col("weight") - 1, F.lit(0))
-    component = F.when(F.col("label").isNull(), F.col("key")).otherwise(F.col("least"))
-    out = out.select(F.col("key"), n_links.cast("long").alias("n_links"), component.alias("component_id"))
+    edges = found.where("b IS NOT NULL").select("a", "b").union(inside.where("node <> first").select("node", "first"))
+    edges = edges.union(single.where("whole").select("node", "first")).union(two.where("whole").select("first", "first_2"))
+    labels = label_components(steps.put("edges", edges.distinct()), steps)
+    steps.drop(*(n for n in [*steps.paths] if n not in {"docs", "counts", "labels", "nodes"}))
+    placed = docs.join(labels, "node", "left").withColumn("component", F.coalesce("label", "node")).drop("label")
+    placed = placed.join(counts, "node", "left").join(nodes.select("node", "weight"), "node", "left")
+    placed = placed.withColumn("n_links", F.expr("coalesce(n, 0) + coalesce(weight - 1, 0)"))
+    placed = steps.put("placed", placed.select("key", "component", "n_links"))
+    least = steps.put("least", placed.where("component IS NOT NULL").groupBy("component").agg(F.min("key").alias("least")))
+    steps.drop("docs", "counts", "labels", "nodes")
+    component = F.when(F.col("component").isNull(), F.col("key")).otherwise(F.col("least"))
+    out = placed.join(least, "component", "left").select("key", "n_links", component.alias("component_id"))
     kept = F.col("key").eqNullSafe(F.col("component_id")).alias("kept")
     return out.select(F.col("key").alias(key), "n_links", "component_id", kept)
 
 
-def renamed_ball(balls: DataFrame) -> DataFrame:
-    return balls.select("label", *(F.col(c).alias(f"{c}_2") for c in balls.columns if c != "label"))
+def classes(df: DataFrame, key: str, vector: str, label: str, units, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """``key`` and ``node`` of all rows; and the classes of equal label, length and direction: ``node`` (a number),
+    ``label``, ``unit``, ``keys`` and ``weight``, the vectors of the class."""
+    kind = F.to_json(F.array(F.col(f"`{label}`").cast("string"), F.size(f"`{vector}`").cast("string")))
+    rows = df.select(
+        F.col(f"`{key}`").alias("key"),
+        F.when(F.col(f"`{label}`").isNotNull(), kind).alias("label"),
+        F.col(f"`{vector}`").cast("array<double>").alias("vector"),
+    ).withColumn("u", units("label", "vector"))
+    name = F.unhex(F.md5(F.concat(F.col("u.unit"), F.col("label").cast("binary")))).alias("name")
+    rows = steps.put("rows", rows.select("key", name, "label", "u.unit", "u.keys"))
+    grouped = rows.where("name IS NOT NULL").groupBy("name").agg(
+        *(F.first(c).alias(c) for c in ("label", "unit", "keys")),
+        F.count_distinct(F.to_json(F.array("key"))).alias("weight"),
+    )
+    # Numbers are short, and fixed once they are written.
+    nodes = steps.put("nodes", grouped.withColumn("node", F.monotonically_increasing_id()))
+    docs = steps.put("docs", rows.select("key", "name").join(nodes.select("name", "node"), "name", "left").drop("name"))
+    steps.drop("rows")
+    return docs, nodes.drop("name")
 
 
-def dense_balls(
-    nodes: DataFrame, buckets: DataFrame, sizes: DataFrame, angle: float, dense: int, steps: Steps
-) -> tuple[DataFrame, DataFrame]:
-    """``node``, ``label`` and ``cell`` of the classes in balls; and the balls: ``label``, ``cell``, ``centre``,
-    ``radius``, ``size`` (classes), ``total`` (their weights) and ``first`` (the least class).
+def dense_balls(nodes: DataFrame, dense: DataFrame, angle, limit: float, steps: Steps) -> tuple[DataFrame, DataFrame]:
+    """``node`` and ``ball`` of the classes in balls; and the balls: ``ball``, ``label``, ``centre``, ``radius``,
+    ``size`` (classes), ``total`` (their weights) and ``first`` (the least class).
 
     A class goes to the largest of its dense buckets only, so it is in one ball at most.
     """
-    large = steps.put("large", sizes.where(F.col("size") >= dense))
-    name = F.to_json(F.array("tbl", "bucket"))
-    mine = buckets.join(large, ["label", "tbl", "bucket"]).groupBy("node", "label")
-    mine = mine.agg(F.max(F.struct("size", name.alias("cell"))).alias("m")).select("node", "label", "m.cell")
-    mine = steps.put("mine", mine.join(nodes.select("node", "unit", "weight"), "node"))
-    sums = mine.select("label", "cell", "unit").mapInPandas(sum_batches, "label string, cell string, dimension int, total long")
-    sums = sums.groupBy("label", "cell", "dimension").agg(F.sum("total").alias("total")).groupBy("label", "cell")
+    mine = dense.groupBy("node").agg(F.max(F.struct("size", "bucket")).alias("m")).select("node", "m.bucket")
+    mine = mine.join(nodes.select("node", "unit", "label", "weight"), "node")
+    # Labels are part of a ball's name, should two of them have a key in common.
+    mine = steps.put("mine", mine.withColumn("ball", F.to_json(F.array(F.col("bucket").cast("string"), "label"))).drop("bucket"))
+    sums = mine.select("ball", "unit").mapInPandas(sum_batches, "ball string, dimension int, total long")
+    sums = sums.groupBy("ball", "dimension").agg(F.sum("total").alias("total")).groupBy("ball")
     mean = sums.agg(F.array_sort(F.collect_list(F.struct("dimension", "total"))).alias("sums"))
     values = F.transform("sums", lambda s: s["total"].cast("double"))
     direction = F.pandas_udf(direction_batches, "binary")
-    centres = steps.put("centres", mean.select("label", "cell", direction(values).alias("centre")).where("centre IS NOT NULL"))
-    apart = F.pandas_udf(angle_batches, "double")
-    inside = mine.join(centres, ["label", "cell"]).withColumn("angle", apart("unit", "centre"))
-    inside = inside.where(F.col("angle") <= angle / 2 - MARGIN).select("node", "label", "cell", "angle", "weight")
-    inside = steps.put("inside", inside)
-    balls = inside.groupBy("label", "cell").agg(
-        F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size"), F.sum("weight").alias("total"), F.min("node").alias("first")
-    )
-    return inside.select("node", "label", "cell"), steps.put("balls", balls.join(centres, ["label", "cell"]))
+    centres = steps.put("centres", mean.select("ball", direction(values).alias("centre")).where("centre IS NOT NULL"))
+    inside = mine.join(centres, "ball").withColumn("angle", angle("unit", "centre")).where(F.col("angle") <= limit / 2 - MARGIN)
+    inside = steps.put("inside", inside.select("node", "ball", "label", "angle", "weight"))
+    balls = inside.groupBy("ball").agg(
+        F.first("label").alias("label"), F.max("angle").alias("radius"), F.count(F.lit(1)).alias("size"),
+        F.sum("weight").alias("total"), F.min("node").alias("first"),
+    )
+    return inside.select("node", "ball"), steps.put("balls", balls.join(centres, "ball"))
 
 
 def bipartite(part: DataFrame, ball_rows: DataFrame, balls: DataFrame, chunk: int) -> DataFrame:
     """Rows of tasks that compare classes with the members of a ball."""
-    ball = ["label", "cell"]
-    asked = part.groupBy(*ball).agg(F.count(F.lit(1)).alias("size"))
+    ball = ["ball"]
+    asked = part.groupBy("ball").agg(F.count(F.lit(1)).alias("size"))
     left = chunks(part, ball, asked, chunk)
-    right = chunks(ball_rows.join(asked.select(*ball), ball), ball, balls.select(*ball, "size"), chunk)
-    n_left = asked.select(*ball, F.ceil(F.col("size") / chunk).cast("int").alias("others"))
-    n_right = balls.select(*ball, F.ceil(F.col("size") / chunk).cast("int").alias("others"))
-    every = F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias("other")
-    left = left.drop("size").join(n_right, ball).select("node", *ball, F.col("part").alias("i"), every, F.lit(0).alias("side"))
-    right = right.drop("size").join(n_left, ball).select("node", *ball, F.col("part").alias("j"), every, F.lit(1).alias("side"))
-    both = left.withColumnRenamed("other", "j").unionByName(right.withColumnRenamed("other", "i"))
-    return both.select("node", task_name(*ball, "i", "j"), F.lit(False).alias("within"), F.lit(-1).alias("tbl"), "side")
-
-
-def compare(rows: DataFrame, cosine: float) -> DataFrame:
-    """Runs the tasks: each lies whole in one partition."""
+    right = chunks(ball_rows.join(asked.select("ball"), ball), ball, balls.select("ball", "size"), chunk)
+    n_left = asked.select("ball", F.ceil(F.col("size") / chunk).cast("int").alias("others"))
+    n_right = balls.select("ball", F.ceil(F.col("size") / chunk).cast("int").alias("others"))
+    every = F.explode(F.sequence(F.lit(0), F.col("others") - 1))
+    left = left.drop("size").join(n_right, ball).select("node", "ball", F.col("part").alias("i"), every.alias("j"), F.lit(0).alias("side"))
+    right = right.drop("size").join(n_left, ball).select("node", "ball", every.alias("i"), F.col("part").alias("j"), F.lit(1).alias("side"))
+    both = left.unionByName(right)
+    return both.select("node", task_name("ball", "i", "j"), F.lit(False).alias("within"), F.lit(-1).alias("tbl"), "side")
+
+
+def compare(rows: DataFrame, nodes: DataFrame, cosine: float) -> DataFrame:
+    """Runs the tasks. A task lies whole in one partition; labels that share a key are tasks of their own."""
+    rows = rows.join(nodes, "node").withColumn("task", F.to_json(F.array("task", "label"))).drop("label")
     rows = rows.select("task", "side", "within", "tbl", "node", "unit", "keys", "weight")
     return rows.repartition("task").sortWithinPartitions("task", "side").mapInPandas(compare_batches(cosine), FOUND)
