@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from txnrisk.functions import normalize_category, text
 from txnrisk.operators.ordering import ordered_index
 from txnrisk.schemas import CALENDAR, CATEGORICALS, V36_BLOCKS, V36_SCALARS, VOCABULARY, numeric_columns
+from txnrisk.sources.scratch import stage
 
 Labels = Mapping[str, Sequence[str]]
 
@@ -56,6 +57,26 @@ def label_vocab_large(df: DataFrame, column: str) -> DataFrame:
     return ranked.select("column_name", "label", normalize_category("label").alias("clean_label"), "idx", "n_rows")
 
 
+def merge_vocab(vocab: DataFrame, rows: DataFrame, columns: Sequence[str] = CATEGORICALS) -> DataFrame:
+    """The vocabulary after more rows: counts grow, indexes stay, new labels come after the old ones.
+
+    New labels follow in the order of falling frequency in ``rows``, ties by name. All of them are ranked
+    by one range partitioning over all columns, so no task holds a column's labels; only the first
+    place of each column is joined back.
+    """
+    counts = label_counts(rows, columns)
+    old = vocab.select("column_name", "label", "idx", F.col("n_rows").alias("n_old"))
+    both = stage(old.join(counts, ["column_name", "label"], "full"), "labels")
+    known = both.where("idx IS NOT NULL").selectExpr("column_name", "label", "idx", "n_old + coalesce(n_rows, 0) AS n_rows")
+    new = both.where("idx IS NULL").select("column_name", "label", "n_rows", (-F.col("n_rows")).alias("__rank"))
+    placed = ordered_index(new, ["column_name", "__rank", "label"], "__spot")
+    first = placed.groupBy("column_name").agg(F.min("__spot").alias("__first"))
+    last = old.groupBy("column_name").agg((F.max("idx") + 1).alias("__next"))
+    bases = first.join(last, "column_name", "left").selectExpr("column_name", "coalesce(__next, 0) - __first AS __shift")
+    added = placed.join(bases, "column_name").selectExpr("column_name", "label", "__spot + __shift AS idx", "n_rows")
+    return known.union(added).select("column_name", "label", normalize_category("label").alias("clean_label"), "idx", "n_rows")
+
+
 def labels_of(vocab: DataFrame) -> dict[str, list[str]]:
     """Vocabulary table to ordered label lists, for labels that become columns.
 

@@ -33,7 +33,7 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "valu
     """JSON values to columns under our names; fields that are missing become null.
 
     ``_corrupt_record`` holds the text of a value that is no JSON object of this
-    schema, or that has a field of the wrong type; it is null otherwise.
+    schema, or that has a field of the wrong type; for a null value it is empty. It is null otherwise.
     """
     schema = schema or message_schema()
     parsed = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -41,8 +41,9 @@ def decode(df: DataFrame, schema: T.StructType | None = None, value: str = "valu
     whole = F.col(value).cast("string")
     data = df.select(F.from_json(whole, parsed, options).alias("data"), whole.alias("whole"))
     # A blank value parses to nothing at all.
-    corrupt = f"coalesce(data.{name(CORRUPT)}, if(data IS NULL, whole, NULL)) AS {name(CORRUPT)}"
-    return data.selectExpr(*_fields(schema), corrupt)
+    # A null value is no message either: it is kept apart as an empty text.
+    corrupt = f"coalesce(data.{name(CORRUPT)}, if(data IS NULL, coalesce(whole, ''), NULL))"
+    return data.selectExpr(*_fields(schema), f"{corrupt} AS {name(CORRUPT)}")
 
 
 def explode_array(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
@@ -54,7 +55,10 @@ def explode_array(df: DataFrame, schema: T.StructType | None = None, value: str
 
 
 def array_items(df: DataFrame, schema: T.StructType | None = None, value: str = "value") -> DataFrame:
-    """The decoded objects of the arrays, good and bad. A value that is no array is one object."""
+    """The decoded objects of the arrays, good and bad. A value that is no array is one object.
+
+    An item that is null decodes to nothing and is bad, as a null value is.
+    """
     whole = F.col(value).cast("string")
     items = F.when(whole.rlike(r"^\s*\["), F.from_json(whole, "array<string>"))
     items = F.coalesce(items, F.array(whole))
@@ -94,3 +98,76 @@ def type_message(df: DataFrame, flags: Sequence[str] | None = None) -> DataFrame
         else:
             changes[c] = f"try_cast({name(c)} AS {field.stored})"
     return with_columns(df, changes)
+
+
+# Messages whose fields are not known beforehand ----------------------------------
+
+
+def variants(df: DataFrame, value: str = "value") -> DataFrame:
+    """``value`` and ``object``: each object of a message as a variant; null where the text holds none.
+
+    An array gives one row for each item. What is no JSON, and items that are no objects, keep their text.
+    """
+    whole = F.col(value).cast("string")
+    parsed = df.select(whole.alias("value"), F.try_parse_json(whole).alias("v"))
+    kind = F.schema_of_variant("v")
+    items = F.when(kind.startswith("ARRAY"), F.from_json("value", "array<string>"))
+    parsed = parsed.select(F.explode(F.coalesce(items, F.array("value"))).alias("value"))
+    parsed = parsed.select(F.coalesce("value", F.lit("")).alias("value"), F.try_parse_json("value").alias("v"))
+    return parsed.select("value", F.when(kind.startswith("OBJECT"), F.col("v")).alias("object"))
+
+
+def inferred_schema(objects: DataFrame) -> T.StructType:
+    """The fields of all objects, over the whole table, by name.
+
+    Whole numbers of any width are bigint, a field with several widths or scales of numbers double, one with
+    texts and other values, or with nothing but nulls, string. Nested values are kept as their JSON text. One
+    text with the schema comes to the driver.
+    """
+    merged = objects.where("object IS NOT NULL").agg(F.schema_of_variant_agg("object").alias("s")).first()["s"]
+    out = T.StructType()
+    for field, kind in sorted(variant_fields(merged or "")):
+        if kind in ("BIGINT", "BOOLEAN"):
+            out.add(field, kind.lower())
+        elif kind.startswith(("DECIMAL", "DOUBLE", "FLOAT")):
+            out.add(field, "double")
+        else:
+            out.add(field, "string")
+    return out
+
+
+def variant_fields(schema: str) -> list[tuple[str, str]]:
+    """Names and types of ``OBJECT<name: TYPE, ...>``; names in back quotes may hold any character."""
+    if not schema.startswith("OBJECT<"):
+        return []
+    out, depth, quoted, start = [], 0, False, len("OBJECT<")
+    for at in range(start, len(schema)):
+        c = schema[at]
+        if c == "`":
+            quoted = not quoted
+        elif quoted:
+            continue
+        elif c in "<(":
+            depth += 1
+        elif depth == 0 and c in ",>":
+            if part := schema[start:at].strip():
+                end = part.rindex("`") + 1 if part.startswith("`") else part.index(":")
+                field = part[:end].strip()
+                field = field[1:-1].replace("``", "`") if field.startswith("`") else field
+                out.append((field, part[part.index(":", end) + 1 :].strip()))
+            start = at + 1
+        elif c in ">)":
+            depth -= 1
+    return out
+
+
+def decode_inferred(objects: DataFrame, schema: T.StructType) -> DataFrame:
+    """The objects' fields as columns, under our names where we have one, and ``_corrupt_record``.
+
+    A field that is missing, or whose value does not fit its type, is null.
+    """
+    fields = []
+    for f in schema.fields:
+        path = f"$['{f.name}']" if '"' in f.name else f'$["{f.name}"]'
+        fields.append(f"try_variant_get(object, {literal(path)}, {literal(f.dataType.simpleString())}) AS {name(NAME.get(f.name, f.name))}")
+    return objects.selectExpr(*fields, f"if(object IS NULL, value, NULL) AS {name(CORRUPT)}")

@@ -87,7 +87,13 @@ def metrics_report(
     Both metrics start from one tally of the scored rows, whose shuffle Spark reuses:
     the rows are scored once.
     """
-    tally = _tally(df, score, prediction, label)
+    return report_of(_tally(df, score, prediction, label), score, prediction, label, digits)
+
+
+def report_of(
+    tally: DataFrame, score: str = "score", prediction: str = "prediction", label: str = "label", digits: int = 4
+) -> DataFrame:
+    """``metrics_report`` from rows per (score, prediction, label), such as a running stream keeps."""
     area = _auc(tally, score, label).selectExpr("'AUC' AS metric", "auc AS value")
     both = _weighted(_confusion(tally, prediction, label)).selectExpr(
         "stack(2, 'Precision', weighted_precision, 'Recall', weighted_recall) AS (metric, value)"

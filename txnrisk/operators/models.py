@@ -113,8 +113,8 @@ def join_back(raw: DataFrame, predictions: DataFrame, key: str = "transaction_id
 def payload_valid(df: DataFrame, size: int, value: str = "value") -> DataFrame:
     """Check ``{"features": [...]}`` payloads; add ``n_features`` and ``valid``.
 
-    Valid payloads have ``size`` entries: numbers first, then for each category a list of
-    numbers as long as its vocabulary.
+    Valid payloads have ``size`` entries: finite numbers first, then for each category a list of
+    finite numbers as long as its vocabulary.
     """
     return payload_parsed(df, size, value).drop("parsed")
 
@@ -132,7 +132,9 @@ def payload_parsed(df: DataFrame, size: int, value: str = "value") -> DataFrame:
     good = n_features == size
     for i, width in enumerate(widths):
         part = F.get("__parts", F.lit(i))
-        good &= F.coalesce((F.size(part) == width) & F.forall(part, lambda x: x.isNotNull()), F.lit(False))
+        # "NaN" and "Infinity" are numbers to a cast, but no features.
+        number = F.forall(part, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
+        good &= F.coalesce((F.size(part) == width) & number, F.lit(False))
     checked = parts.withColumn("n_features", n_features).withColumn("valid", good)
     return checked.withColumn("parsed", F.when(F.col("valid"), F.flatten("__parts"))).drop("__entries", "__parts")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,17 +44,21 @@ def clean_rows(df: DataFrame, column: str = "transaction_id", header: str = HEAD
     return drop_duplicate_rows(drop_null_rows(filter_header(df, column, header)))
 
 
-def null_rejects(df: DataFrame, column: str = "transaction_id", header: str = HEADER_ID) -> DataFrame:
+def null_rejects(
+    df: DataFrame, column: str = "transaction_id", header: str = HEADER_ID, extra: Sequence[Column] = ()
+) -> DataFrame:
     """The distinct rows that ``clean_rows`` drops for a null (or NaN), with the columns as reason.
 
-    Clean rows, rejects, header rows, rows without an id, and copies add up to the input.
+    ``extra`` are further reasons, null where they do not hold. Clean rows, rejects, header rows, rows without
+    an id, and copies add up to the input.
     """
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     tests = []
     for c in df.columns:
         bad = f"{name(c)} IS NULL" + (f" OR isnan({name(c)})" if c in floating else "")
         tests.append(f"CASE WHEN {bad} THEN {literal('no ' + c)} END")
-    rows = filter_header(df, column, header).selectExpr("*", f"concat_ws('; ', {', '.join(tests)}) AS reason")
+    reason = F.concat_ws("; ", *map(F.expr, tests), *extra)
+    rows = filter_header(df, column, header).withColumn("reason", reason)
     return drop_duplicate_rows(rows.where("reason <> ''"))
 
 

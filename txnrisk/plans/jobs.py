@@ -15,6 +15,7 @@ from txnrisk.schemas import CATEGORICALS, LABEL, VOCABULARY
 from txnrisk.sources.files import write_csv
 from txnrisk.sources.scratch import remove, scratch_path, stage
 from txnrisk.sources.tables import PathTable, Table
+from txnrisk.sources.versions import MAIN, Companion, VersionedTable
 
 KEYS = ("timestamp", "transaction_id")
 
@@ -60,8 +61,8 @@ def feature_rows(df: DataFrame, labels: Mapping[str, Sequence[str]] = VOCABULARY
 
 def curate(
     raw: DataFrame,
-    curated: Table,
-    vocabulary: PathTable,
+    curated: Table | VersionedTable,
+    vocabulary: PathTable | Companion,
     mode: str = "auto",
     since: Column | None = None,
     rejects: Table | None = None,
@@ -72,7 +73,10 @@ def curate(
     adds rows whose id is not there yet and keeps the stored vocabulary, so columns
     never move and a new label is all zeros. ``auto`` is incremental once the table
     exists. ``since`` limits an incremental run to newer rows. ``rejects`` gets the rows
-    that cleaning drops for a null, with the reason.
+    that cleaning drops for a null, with the reason; a row that is there already is not cleaned again.
+
+    A ``VersionedTable`` and its companion as ``vocabulary`` are replaced as one: readers never see columns
+    of one fit with the labels of another. Other tables are written one after the other.
     """
     spark = raw.sparkSession
     if mode == "auto":
@@ -85,6 +89,11 @@ def curate(
         labels = features.labels_of(features.label_vocab(rows))
         if rejects is not None:
             rejects.overwrite(quality.null_rejects(raw))
+        if isinstance(curated, VersionedTable):
+            parts = {MAIN: _by_date(features.onehot_named(rows, labels)), vocabulary.part: features.label_vocab(rows)}
+            curated.publish(parts, partition_by=["event_date"])
+            remove(spark, path)
+            return
         # The table first: were its write to fail, the old table and the old vocabulary still belong together.
         curated.overwrite(_by_date(features.onehot_named(rows, labels)), partition_by=["event_date"])
         vocabulary.overwrite(features.label_vocab(rows))
@@ -96,10 +105,9 @@ def curate(
     labels = features.labels_of(vocabulary.read(spark))
     fresh = incremental.not_processed(raw, done)
     if rejects is not None:
-        rejected = quality.null_rejects(fresh)
         if rejects.exists(spark):
-            rejected = incremental.not_processed(rejected, rejects.read(spark))
-        rejects.append(rejected)
+            fresh = incremental.not_seen(fresh, rejects.read(spark), raw.columns)
+        rejects.append(quality.null_rejects(fresh))
     rows = features.onehot_named(normalized(fresh), labels)
     curated.append(_by_date(rows), partition_by=["event_date"])
 
@@ -157,36 +165,66 @@ def evaluate(model: PipelineModel, test: DataFrame, label: str = LABEL) -> DataF
 
 
 def score_new(
-    raw: DataFrame, predictions: Table, score: Callable[[DataFrame], DataFrame], since: Column | None = None
+    raw: DataFrame,
+    predictions: Table,
+    score: Callable[[DataFrame], DataFrame],
+    since: Column | None = None,
+    rejects: Table | None = None,
 ) -> None:
     """Score rows whose id has no prediction yet and append them.
 
     ``since`` limits the run to newer rows, of the input and of the predictions alike, so the
-    history that is read stays bounded. There is no emptiness test first: it would run the anti
-    join twice.
+    history that is read stays bounded; a ``BucketedTable`` keeps it from being shuffled. There is no
+    emptiness test first: it would run the anti join twice.
+
+    ``rejects`` gets the rows that the scorer cannot score, with the reason (``score.rejects``); what is there
+    counts as done. Predictions, rejects, header rows, rows without an id and copies add up to the input.
     """
+    spark = raw.sparkSession
     fresh = raw if since is None else incremental.newer_than(raw, since)
-    if predictions.exists(raw.sparkSession):
-        done = predictions.read(raw.sparkSession)
+    if predictions.exists(spark):
+        done = predictions.read(spark)
         if since is not None:
             done = incremental.newer_than(done, since)
         fresh = incremental.not_processed(fresh, done)
+    if rejects is not None:
+        if rejects.exists(spark):
+            fresh = incremental.not_seen(fresh, rejects.read(spark), raw.columns)
+        path = scratch_path(spark, "fresh")
+        fresh.write.parquet(path)  # the same rows are scored and rejected
+        fresh = spark.read.schema(fresh.schema).parquet(path)
+        rejects.append(score.rejects(fresh))
+        predictions.append(score(fresh))
+        remove(spark, path)
+        return
     predictions.append(score(fresh))
 
 
-def forest_scorer(path: str, labels: Mapping[str, Sequence[str]] = VOCABULARY) -> Callable[[DataFrame], DataFrame]:
-    """A scorer from a saved forest: clean, encode by the fixed vocabulary, score; raw columns stay."""
+def forest_scorer(
+    path: str, labels: Mapping[str, Sequence[str]] = VOCABULARY, distinct: bool = True
+) -> Callable[[DataFrame], DataFrame]:
+    """A scorer from a saved forest: clean, encode by the fixed vocabulary, score; raw columns stay.
+
+    Its ``rejects`` gives the distinct rows that it leaves out, with the reason. Without ``distinct`` copies are
+    scored as often as they come, row by row, as streams need it.
+    """
     model = models.load(path)
 
     def score(raw: DataFrame) -> DataFrame:
         kept = {f"raw_{c}": text.name(c) for c in (*CATEGORICALS, "user_id")}
         changes = {"user_id": text.clean_user_id("user_id")}
         changes |= {c: text.normalize_category(c) for c in CATEGORICALS}
-        rows = text.with_columns(text.with_columns(quality.clean_rows(raw), kept), changes)
+        clean = quality.clean_rows(raw) if distinct else quality.drop_null_rows(quality.filter_header(raw))
+        rows = text.with_columns(text.with_columns(clean, kept), changes)
         ready = features.onehot_named(features.with_calendar(rows), labels)
         inputs = features.v40_inputs(labels)
         scored = models.score(quality.drop_null_rows(ready, inputs), model)
         columns = [f"raw_{c} AS {text.name(c)}" if f"raw_{c}" in kept else text.name(c) for c in raw.columns]
         return scored.selectExpr(*columns, "prediction", "probability")
 
+    def rejects(raw: DataFrame) -> DataFrame:
+        no_number = F.when(F.col("user_id").isNotNull() & clean_user_id("user_id").isNull(), F.lit("user_id is no number"))
+        return quality.null_rejects(raw, extra=[no_number])
+
+    score.rejects = rejects
     return score

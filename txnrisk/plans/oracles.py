@@ -622,3 +622,84 @@ ORACLES: dict[str, str] = {
         f"CAST(0 AS BIGINT) AS n_not_argmax FROM txn WHERE {PART100} >= 70",
     ),
 }
+
+
+# Messages and payloads with nulls and numbers that are none.
+ORACLES["json_nulls"] = _with(
+    f"{TXN},\nmsg AS (SELECT transaction_id, card_age, {_json_text()} AS json, {PART50} AS part FROM txn),\n"
+    f"bad AS (SELECT {BAD_VALUE} AS value FROM msg WHERE part IN (7, 8) UNION ALL SELECT '' FROM msg WHERE part = 9)",
+    "SELECT (SELECT count(*) FROM msg WHERE part NOT IN (7, 8, 9)) AS accepted, value, 'malformed message' AS reason, "
+    "count(*) AS count, 'values' AS form FROM bad GROUP BY value UNION ALL "
+    "SELECT count(*), '', 'malformed message', count(*), 'arrays' FROM msg WHERE part = 9 HAVING count(*) > 0",
+)
+ORACLES["payload_nonfinite"] = _with(
+    TXN, f"SELECT transaction_id, {_bucket('transaction_id', 20)} NOT BETWEEN 3 AND 11 AS valid FROM txn"
+)
+_LOOSE = f"""{TXN},
+loose AS (SELECT transaction_id, CAST(card_age AS VARCHAR) AS card_age, CAST(risk_score AS DOUBLE) AS risk_score, location,
+  {PART50} AS part FROM txn),
+items AS (
+  SELECT *, 0 AS item FROM loose WHERE part NOT IN (6, 8, 9)
+  UNION ALL SELECT *, 1 FROM loose WHERE part = 7
+)"""
+ORACLES["json_infer"] = _with(
+    _LOOSE,
+    "SELECT transaction_id, CASE part WHEN 3 THEN NULL WHEN 5 THEN 'old' ELSE card_age END AS card_age, risk_score, location, "
+    "CASE WHEN part = 4 THEN 'by hand' END AS \"Free note\", NULL AS bad FROM items "
+    "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, 'broken ' || transaction_id FROM loose WHERE part = 6 "
+    "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, unnest(['5', '']) FROM loose WHERE part = 7 "
+    "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, '' FROM loose WHERE part = 9",
+)
+ORACLES["json_infer_schema"] = (
+    "SELECT unnest(['Card_Age', 'Free note', 'Location', 'Risk_Score', 'Transaction_ID']) AS field, "
+    "unnest(['string', 'string', 'string', 'double', 'string']) AS type"
+)
+
+# Tables that grow and are replaced.
+ORACLES["load_swap"] = CURATED
+ORACLES["watermark_footer"] = _with(
+    TXN,
+    f'SELECT max("timestamp") AS last_ts, CAST(1 AS INTEGER) AS load FROM txn WHERE "timestamp" <= {LAST} '
+    'UNION ALL SELECT max("timestamp"), 2 FROM txn',
+)
+ORACLES["catalog_partitions"] = _with(
+    f'{TXN},\ndays AS (SELECT transaction_id, CAST("timestamp" AS DATE) AS event_date FROM txn)',
+    "SELECT transaction_id, event_date, CAST(1 AS INTEGER) AS step FROM days WHERE event_date IN ('2024-01-10', '2024-01-12') "
+    "UNION ALL SELECT transaction_id, event_date, 2 FROM days WHERE event_date BETWEEN '2024-01-10' AND '2024-01-14'",
+)
+ORACLES["score_bucketed"] = ORACLES["score_new"]
+_STEPS = [
+    "\"timestamp\" < '2024-01-02'",
+    "\"timestamp\" >= '2024-01-02' AND \"timestamp\" < '2024-01-04'",
+    "\"timestamp\" >= '2024-01-04'",
+]
+_STEP_COUNTS = " UNION ALL ".join(
+    f"SELECT {i} AS step, * FROM ({_label_counts('typed', where, [*CATS, 'user_id'])})" for i, where in enumerate(_STEPS)
+)
+ORACLES["vocab_merge"] = _with(
+    f"{TYPED},\ncounts AS ({_STEP_COUNTS}),\n"
+    "first AS (SELECT column_name, label, min(step) AS step, min_by(n_rows, step) AS n_first, sum(n_rows) AS n_rows "
+    "FROM counts GROUP BY column_name, label)",
+    f"SELECT column_name, label, {_norm('label')} AS clean_label, CAST(n_rows AS BIGINT) AS n_rows, "
+    "CAST(row_number() OVER (PARTITION BY column_name ORDER BY step, n_first DESC, label) - 1 AS INTEGER) AS idx FROM first",
+)
+ORACLES["score_rejects"] = _with(
+    f"{TYPED},\nrows AS (SELECT DISTINCT * FROM typed WHERE transaction_id <> 'Transaction_ID')",
+    "SELECT transaction_id, \"timestamp\", concat_ws('; ', "
+    + ", ".join(f"CASE WHEN {c} IS NULL THEN 'no {c}' END" for c in COLUMNS)
+    + f", CASE WHEN {UNPREFIXED} IS NULL AND user_id IS NOT NULL THEN 'user_id is no number' END) AS reason, "
+    f"CAST(0 AS BIGINT) AS n_missing FROM rows WHERE NOT ({NOT_NULL}) OR {UNPREFIXED} IS NULL",
+)
+
+# Streams with state or a position.
+ORACLES["stream_score_dedup"] = ORACLES["stream_score"]
+ORACLES["stream_score_forest"] = ORACLES["score_saved_forest"]
+ORACLES["stream_metrics"] = ORACLES["metrics_report"]
+ORACLES["stream_from_keyset"] = _with(
+    f'{TXN},\nlater AS (SELECT * FROM txn WHERE "timestamp" > {LAST})',
+    f"SELECT transaction_id AS key, {_json_text()} AS value FROM later WHERE (\"timestamp\", transaction_id) > "
+    '(SELECT ("timestamp", transaction_id) FROM later ORDER BY "timestamp", transaction_id LIMIT 1)',
+)
+ORACLES["stream_from_latest"] = _with(
+    TXN, f"SELECT transaction_id AS key, {_json_text()} AS value FROM txn WHERE \"timestamp\" >= '2024-01-22'"
+)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from txnrisk.operators import features, incremental, messages, metrics, models,
 from txnrisk.plans import jobs
 from txnrisk.plans.fixtures import landing, txn
 from txnrisk.schemas import (
+    CALENDAR,
     CATEGORICALS,
     HEADER_ID,
     HEADER_TYPE,
@@ -33,8 +35,10 @@ from txnrisk.schemas import (
 )
 from txnrisk.sources import files
 from txnrisk.sources import messages as topics
+from txnrisk.sources.keyset import read_keyset
 from txnrisk.sources.scratch import scratch_path, stage
-from txnrisk.sources.tables import CatalogTable, PathTable, scan
+from txnrisk.sources.tables import BucketedTable, CatalogTable, PathTable, partitioned_table, scan
+from txnrisk.sources.versions import Companion, VersionedTable
 from txnrisk.streaming import pipelines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +196,18 @@ def _payloads(spark: SparkSession, sf: str) -> DataFrame:
 PAYLOAD_SIZE = len(V36_SCALARS) + len(V36_BLOCKS)
 
 
+@query
+def payload_nonfinite(spark: SparkSession, sf: str) -> DataFrame:
+    """Payloads with a number that is none: in the scalars or in a block."""
+    part = hash_bucket("transaction_id", 20)
+    first = r'^\{"features":\[[^,]+'
+    value = F.when(part == 9, F.regexp_replace("value", first, '{"features":["NaN"'))
+    value = value.when(part == 10, F.regexp_replace("value", first, '{"features":["-Infinity"'))
+    value = value.when(part == 11, F.regexp_replace("value", r"\[[01]\.0,", '["NaN",'))
+    rows = _payloads(spark, sf).withColumn("value", value.otherwise(F.col("value")))
+    return models.payload_valid(rows, PAYLOAD_SIZE).select("transaction_id", "valid")
+
+
 @query
 def payload_validate(spark: SparkSession, sf: str) -> DataFrame:
     return models.payload_valid(_payloads(spark, sf), PAYLOAD_SIZE).drop("value")
@@ -476,6 +492,53 @@ def _messages(spark: SparkSession, sf: str) -> DataFrame:
     return encoded.withColumn("value", value)
 
 
+@query
+def json_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Deleted messages (null values), and nulls in arrays, are rejects like other values that are no message."""
+    rows = stage(_messages(spark, sf), "messages")
+    part = hash_bucket("key", 50)
+    deleted = rows.withColumn("value", F.when(part != 9, F.col("value")))
+    arrays = rows.where(part == 9).select(F.concat(F.lit("[null,"), "value", F.lit("]")).alias("value"))
+    parts = []
+    for name, decoded in (("values", messages.decode(deleted)), ("arrays", messages.array_items(arrays))):
+        counts = decoded.agg(F.count_if(F.col(messages.CORRUPT).isNull()).alias("accepted"))
+        bad = messages.rejected(decoded).groupBy("value", "reason").count()
+        parts.append(counts.join(bad, F.lit(True)).withColumn("form", F.lit(name)))
+    return parts[0].union(parts[1])
+
+
+def _loose_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Short messages whose fields are not the same: one missing, one more, a text for a number, arrays, no JSON."""
+    rows = txn(spark, sf).select("transaction_id", "card_age", "risk_score", "location")
+    encoded, part = messages.encode(rows), hash_bucket("key", 50)
+    age = r',"Card_Age":\d+'
+    value = (
+        F.when(part == 3, F.regexp_replace("value", age, ""))
+        .when(part == 4, F.regexp_replace("value", r"^\{", '{"Free note":"by hand",'))
+        .when(part == 5, F.regexp_replace("value", age, ',"Card_Age":"old"'))
+        .when(part == 6, F.concat(F.lit("broken "), "key"))
+        .when(part == 7, F.concat(F.lit("["), "value", F.lit(","), "value", F.lit(",5,null]")))
+        .when(part == 8, F.lit("[]"))
+        .when(part != 9, F.col("value"))
+    )
+    return encoded.withColumn("value", value)
+
+
+@query
+def json_infer(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages decoded by the fields that they turn out to have, good and bad."""
+    objects = stage(messages.variants(_loose_messages(spark, sf)), "objects")
+    schema = messages.inferred_schema(objects)
+    return messages.decode_inferred(objects, schema).withColumnRenamed(messages.CORRUPT, "bad")
+
+
+@query
+def json_infer_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """The inferred fields and their types."""
+    schema = messages.inferred_schema(messages.variants(_loose_messages(spark, sf)))
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema.fields], "field string, type string")
+
+
 @query
 def json_encode(spark: SparkSession, sf: str) -> DataFrame:
     return messages.encode(txn(spark, sf))
@@ -849,3 +912,165 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
         F.count_if(F.abs(total - 1) > 1e-9).alias("n_not_one"),
         F.count_if(F.col("prediction") != argmax).alias("n_not_argmax"),
     )
+
+
+# Tables that grow and are replaced ---------------------------------------------------
+
+
+@query
+def load_swap(spark: SparkSession, sf: str) -> DataFrame:
+    """Two full curations and one that fails while it writes: table and vocabulary stay those of the second."""
+    rows = _typed(spark, sf)
+    table = VersionedTable(f"curated_{uuid.uuid4().hex}", scratch_path(spark, "versions"))
+    vocabulary = Companion(table, "vocabulary")
+    jobs.curate(rows.where(F.col("timestamp") < "2024-01-19"), table, vocabulary, "full")
+    jobs.curate(rows, table, vocabulary, "full")
+    broken = F.expr("if(rand() >= 0, cast(raise_error('no more rows') AS string), location)")
+    try:
+        jobs.curate(rows.withColumn("location", broken), table, vocabulary, "full")
+    except Exception as error:  # the message of the planted failure, however Spark wraps it
+        if "no more rows" not in str(error):
+            raise
+    labels = features.labels_of(vocabulary.read(spark))
+    out = stage(table.read(spark).select(*RAW_COLUMNS, *features.onehot_columns(labels), *CALENDAR), "table")
+    spark.sql(f"DROP VIEW {table.quoted}")
+    return out
+
+
+@query
+def watermark_footer(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest time of a folder, before and after an append, from the files' footers."""
+    table, rows = PathTable(scratch_path(spark, "footers"), micros=["timestamp"]), txn(spark, sf)
+    out = []
+    for part in (F.col("timestamp") <= LAST, F.col("timestamp") > LAST):
+        table.append(rows.where(part))
+        out.append(stage(incremental.watermark(table.newest(spark, "timestamp")), "watermark"))
+    return out[0].withColumn("load", F.lit(1)).union(out[1].withColumn("load", F.lit(2)))
+
+
+@query
+def catalog_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates that other writers finished: some told to the catalog one by one, the rest taken over at the end."""
+    path, rows = scratch_path(spark, "dates"), txn(spark, sf).select("transaction_id", "timestamp")
+    rows = rows.withColumn("event_date", F.to_date("timestamp"))
+    ddl = "transaction_id string, timestamp timestamp, event_date date"
+    table = partitioned_table(spark, f"dates_{uuid.uuid4().hex}", path, ddl, ["event_date"])
+    rows.write.mode("append").partitionBy("event_date").parquet(path)
+    for day in ("2024-01-10", "2024-01-12"):
+        table.add_partition(spark, {"event_date": day})
+    wanted = "event_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-14'"
+    told = stage(scan(spark, table.name, wanted, ["transaction_id", "event_date"]), "told")
+    table.recover_partitions(spark)
+    every = scan(spark, table.name, wanted, ["transaction_id", "event_date"])
+    both = told.withColumn("step", F.lit(1)).union(every.withColumn("step", F.lit(2)))
+    return _then_drop(both, table.name)
+
+
+@query
+def score_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Three scoring runs over growing input; the history is joined bucket by bucket."""
+    rows = txn(spark, sf)
+    path = {"path": scratch_path(spark, "bucketed")}
+    predictions = BucketedTable(f"bucketed_{uuid.uuid4().hex}", "transaction_id", 8, path)
+    for part in (hash_bucket("transaction_id") < 30, hash_bucket("transaction_id") < 70, F.lit(True)):
+        jobs.score_new(rows.where(part), predictions, _score)
+    return _then_drop(predictions.read(spark).select("transaction_id", "probability", "prediction"), predictions.name)
+
+
+@query
+def vocab_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """A vocabulary over three increments; user ids are many labels, and each increment brings new ones."""
+    rows, columns, ts = _typed(spark, sf), [*CATEGORICALS, "user_id"], F.col("timestamp")
+    parts = [rows.where(ts < "2024-01-02"), rows.where((ts >= "2024-01-02") & (ts < "2024-01-04")), rows.where(ts >= "2024-01-04")]
+    vocabulary = stage(features.label_vocab(parts[0], columns), "vocabulary")
+    for part in parts[1:]:
+        vocabulary = stage(features.merge_vocab(vocabulary, part, columns), "vocabulary")
+    return vocabulary.withColumn("idx", F.col("idx").cast("int"))
+
+
+@query
+def score_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What two runs of a saved forest put aside, each row once, and how many rows of the input are in neither."""
+    path, raw = scratch_path(spark, "forest"), _typed(spark, sf)
+    jobs.train_forest(stage(jobs.feature_rows(raw), "features"), VOCABULARY, path, numTrees=3)
+    predictions, rejects = (PathTable(scratch_path(spark, p)) for p in ("predictions", "rejects"))
+    for part in (raw.where(hash_bucket("transaction_id") < 60), raw):
+        jobs.score_new(part, predictions, jobs.forest_scorer(path), rejects=rejects)
+    bad = rejects.read(spark)
+    whole = quality.drop_duplicate_rows(quality.filter_header(raw))
+    missing = incremental.not_seen(incremental.not_processed(whole, predictions.read(spark)), bad, raw.columns)
+    return bad.select("transaction_id", "timestamp", "reason").join(missing.agg(F.count(F.lit(1)).alias("n_missing")), F.lit(True))
+
+
+# Streams with state or a position -----------------------------------------------------
+
+
+DELAY = "40 days"  # longer than the given tables, whose parts are delivered out of order
+
+
+@query
+def stream_score_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs; the second redelivers some rows, which the state store knows."""
+    source, sink, state = (scratch_path(spark, p) for p in ("rows", "scored", "state"))
+    rows = txn(spark, sf)
+    part = hash_bucket("transaction_id")
+    for delivered in (rows.where(part < 60), rows.where(part >= 40)):
+        delivered.write.mode("append").parquet(source)
+        stream = topics.read_files(spark, source, rows.schema)
+        pipelines.run(pipelines.score_once(stream, _score, sink, state, DELAY, pipelines.AVAILABLE_NOW))
+    return spark.read.parquet(sink).select("transaction_id", "probability", "prediction")
+
+
+@query
+def stream_score_forest(spark: SparkSession, sf: str) -> DataFrame:
+    """A saved forest over a stream of landing rows, some of them delivered twice."""
+    path, raw = scratch_path(spark, "forest"), _typed(spark, sf)
+    jobs.train_forest(stage(jobs.feature_rows(raw), "features"), VOCABULARY, path, numTrees=20)
+    source, sink, state = (scratch_path(spark, p) for p in ("rows", "scored", "state"))
+    scorer = jobs.forest_scorer(path, distinct=False)
+    for delivered in (raw, raw.where(hash_bucket("transaction_id") < 30)):
+        delivered.write.mode("append").parquet(source)
+        stream = topics.read_files(spark, source, raw.schema)
+        pipelines.run(pipelines.score_once(stream, scorer, sink, state, DELAY, pipelines.AVAILABLE_NOW))
+    return spark.read.parquet(sink).select("transaction_id", "user_id", LABEL, "prediction")
+
+
+@query
+def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of a stream's rows so far, from the counts that it keeps."""
+    source, state, name = scratch_path(spark, "rows"), scratch_path(spark, "state"), f"tally_{uuid.uuid4().hex}"
+    rows = txn(spark, sf)
+    rows.repartition(6, "transaction_id").write.parquet(source)
+    stream = _score(topics.read_files(spark, source, rows.schema, files_per_batch=2))
+    scored = stream.select(F.col("probability").alias("score"), "prediction", F.col("fraud_label").alias("label"))
+    pipelines.run(pipelines.tally_stream(scored, name, state, trigger=pipelines.AVAILABLE_NOW))
+    tally = stage(spark.table(name), "tally")
+    spark.catalog.dropTempView(name)
+    return metrics.report_of(tally)
+
+
+def _publish_from(spark: SparkSession, sf: str, start: str | tuple[datetime, str]) -> DataFrame:
+    """Two runs that publish a growing table from a position; rows arrive by day, in between."""
+    table, rows = PathTable(scratch_path(spark, "rows"), micros=["timestamp"]), txn(spark, sf)
+    sink, state = (scratch_path(spark, p) for p in ("topic", "state"))
+    for part in (F.col("timestamp") < "2024-01-22", F.col("timestamp") >= "2024-01-22"):
+        days = rows.where(part).withColumn("event_date", F.to_date("timestamp"))
+        table.append(days.repartition(4, "event_date"), ["event_date"])
+        stream = read_keyset(spark, table.path, rows.schema, "timestamp__micros", start=start)
+        pipelines.run(pipelines.publish(stream, state, "parquet", {"path": sink}, pipelines.AVAILABLE_NOW))
+    return spark.read.schema("key string, value string").parquet(sink)
+
+
+@query
+def stream_from_keyset(spark: SparkSession, sf: str) -> DataFrame:
+    """Published from the rows above a time and an id on."""
+    rows = txn(spark, sf).where(F.col("timestamp") > LAST)
+    key = F.struct(F.col("timestamp").cast("string").alias("at"), "transaction_id")
+    first = rows.agg(F.min(key).alias("k")).first()["k"]
+    return _publish_from(spark, sf, (datetime.fromisoformat(first["at"]), first["transaction_id"]))
+
+
+@query
+def stream_from_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Published from the rows that came after the stream had begun."""
+    return _publish_from(spark, sf, "latest")

@@ -8,7 +8,9 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from txnrisk.functions import text
 
 MISSING = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 NO_SUCH_OBJECT = "42"  # class of the SQL states for unknown tables and the like
@@ -24,18 +26,46 @@ def sql_state(error: BaseException) -> str:
     return ""
 
 
+FOOTER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+
+
+def footer_max(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """One row with the largest value of a whole-number or date column, from the statistics in the files' footers.
+
+    No data page is read. It takes the newer Parquet reader, in a session of its own so that the caller's
+    settings stay.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    return own.read.parquet(path).agg(F.max(column).alias(column))
+
+
 @dataclass(frozen=True)
 class PathTable:
+    """A folder. ``micros`` names timestamp columns that are stored as whole microseconds, too: footers hold no
+    usable maximum of a timestamp, but one of a number. Readers do not see those columns."""
+
     path: str
     format: str = "parquet"
     options: Mapping[str, str] = field(default_factory=dict)
+    micros: Sequence[str] = ()
 
     def read(self, spark: SparkSession) -> DataFrame:
+        return self._stored(spark).drop(*map(micros_of, self.micros))
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
         return spark.read.format(self.format).options(**self.options).load(self.path)
 
     def newest(self, spark: SparkSession, column: str) -> DataFrame:
-        """Rows that hold the largest value of ``column``; here all of them, read for that column only."""
-        return self.read(spark).select(column)
+        """Rows that hold the largest value of ``column``: one row from the footers where they know it, else
+        all rows, read for that column only."""
+        stored = self._stored(spark)
+        held = micros_of(column) if column in self.micros else column
+        if self.format != "parquet" or not isinstance(stored.schema[held].dataType, FOOTER_TYPES):
+            return stored.select(column)
+        largest = footer_max(spark, self.path, held)
+        return largest if held == column else largest.select(F.timestamp_micros(held).alias(column))
 
     def exists(self, spark: SparkSession) -> bool:
         """False for a missing or empty folder; any other failure is raised."""
@@ -53,10 +83,15 @@ class PathTable:
         self._write(df, "append", partition_by)
 
     def _write(self, df: DataFrame, mode: str, partition_by: Sequence[str]) -> None:
-        writer = df.write.mode(mode).format(self.format).options(**self.options)
+        stored = df.withColumns({micros_of(c): F.unix_micros(c) for c in self.micros})
+        writer = stored.write.mode(mode).format(self.format).options(**self.options)
         writer.partitionBy(*partition_by).save(self.path)
 
 
+def micros_of(column: str) -> str:
+    return f"{column}__micros"
+
+
 @dataclass(frozen=True)
 class CatalogTable:
     name: str
@@ -84,6 +119,66 @@ class CatalogTable:
         columns = self.read(df.sparkSession).columns
         df.select(*columns).write.insertInto(self.name)
 
+    def add_partition(self, spark: SparkSession, values: Mapping[str, str], path: str | None = None) -> None:
+        """Tell the catalog of a partition that another writer has finished. Only that one is looked at.
+
+        A table whose partitions the catalog knows is read without listing its folder: a query lists
+        the partitions that its filter leaves.
+        """
+        spec = ", ".join(f"{text.name(c)} = {text.literal(v)}" for c, v in values.items())
+        at = f" LOCATION {text.literal(path)}" if path else ""
+        spark.sql(f"ALTER TABLE {self.name} ADD IF NOT EXISTS PARTITION ({spec}){at}")
+
+    def recover_partitions(self, spark: SparkSession) -> None:
+        """Take over all partitions that lie in the table's folder: one listing, after a backfill."""
+        spark.sql(f"ALTER TABLE {self.name} RECOVER PARTITIONS")
+
+
+def partitioned_table(spark: SparkSession, name: str, path: str, ddl: str, partition_by: Sequence[str]) -> CatalogTable:
+    """A Parquet table over a folder, without any partition yet."""
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+        f"PARTITIONED BY ({', '.join(map(text.name, partition_by))}) LOCATION {text.literal(path)}"
+    )
+    return CatalogTable(name)
+
+
+@dataclass(frozen=True)
+class BucketedTable:
+    """A catalog table whose rows lie in ``buckets`` files by the hash of ``key``.
+
+    Joins on the key read the buckets as they are: only the other side is shuffled, however long the
+    history has grown.
+    """
+
+    name: str
+    key: str
+    buckets: int
+    options: Mapping[str, str] = field(default_factory=dict)
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.name)
+
+    def newest(self, spark: SparkSession, column: str) -> DataFrame:
+        return self.read(spark).select(column)
+
+    def exists(self, spark: SparkSession) -> bool:
+        return spark.catalog.tableExists(self.name)
+
+    def overwrite(self, df: DataFrame) -> None:
+        self._write(df, "overwrite")
+
+    def append(self, df: DataFrame) -> None:
+        """Append by column name. Rows are dealt by bucket first, so a run adds one file a bucket."""
+        spark = df.sparkSession
+        if self.exists(spark):
+            df = df.select(*self.read(spark).columns)
+        self._write(df.repartition(self.buckets, self.key), "append")
+
+    def _write(self, df: DataFrame, mode: str) -> None:
+        writer = df.write.mode(mode).format("parquet").options(**self.options)
+        writer.bucketBy(self.buckets, self.key).sortBy(self.key).saveAsTable(self.name)
+
 
 @dataclass(frozen=True)
 class JdbcTable:
@@ -147,7 +242,7 @@ class JdbcTable:
         df.write.mode(mode).format("jdbc").options(**self.read_options(), **extra).save()
 
 
-Table = PathTable | CatalogTable | JdbcTable
+Table = PathTable | CatalogTable | BucketedTable | JdbcTable
 
 
 def scan(spark: SparkSession, table: str, where: str | Column | None = None, columns: Sequence[str] = ()) -> DataFrame:

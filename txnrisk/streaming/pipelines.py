@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from threading import Event
 
@@ -16,6 +16,7 @@ from txnrisk.operators.messages import CORRUPT, decode, encode
 from txnrisk.sources.tables import PathTable
 
 AVAILABLE_NOW = {"availableNow": True}
+RECENT = "spark.sql.streaming.numRecentProgressUpdates"
 SETTLE_SECONDS = 30  # wait for the last progress of a query that has ended
 
 
@@ -116,15 +117,82 @@ def score_stream(
     return _start(source.writeStream.foreachBatch(write), checkpoint, trigger)
 
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _start_stateful(spark: SparkSession, start: Callable[[], StreamingQuery]) -> StreamingQuery:
+    """Start a query whose state lies in RocksDB, beyond the heap; its checkpoint keeps the choice."""
+    before = spark.conf.get(STATE_PROVIDER)
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    try:
+        return start()
+    finally:
+        spark.conf.set(STATE_PROVIDER, before)
+
+
+def score_once(
+    source: DataFrame,
+    score: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    delay: str,
+    trigger: Mapping[str, object] | None = None,
+    key: str = "transaction_id",
+    ts: str = "timestamp",
+) -> StreamingQuery:
+    """Score each id once, however often it is delivered, and append to ``event_date=<d>`` folders, exactly once.
+
+    The ids of the last ``delay`` (of event time) are kept in the state store, and forgotten as the watermark
+    passes them: the state stays as large as that stretch of the stream, and no earlier output is read. A copy
+    that comes later than ``delay`` after the newest time is dropped with all other late rows; the report
+    counts them as ``late``. ``score`` may be a saved model: it must only work row by row.
+
+    Rows without a key or a time have no place in the state and are left out; ``unplaced`` has them.
+    """
+    known = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    once = source.where(known).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    dated = score(once).withColumn("event_date", F.to_date(ts))
+    writer = dated.writeStream.format("parquet").option("path", path).partitionBy("event_date").outputMode("append")
+    return _start_stateful(source.sparkSession, lambda: _start(writer, checkpoint, trigger))
+
+
+def unplaced(source: DataFrame, key: str = "transaction_id", ts: str = "timestamp") -> DataFrame:
+    """What ``score_once`` leaves out: rows without a key or a time, with the reason."""
+    tests = [F.when(F.col(c).isNull(), F.lit(f"no {c}")) for c in (key, ts)]
+    return source.withColumn("reason", F.concat_ws("; ", *tests)).where("reason <> ''")
+
+
+def tally_stream(
+    scored: DataFrame,
+    name: str,
+    checkpoint: str,
+    columns: Sequence[str] = ("score", "prediction", "label"),
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Keep the number of scored rows for each combination of ``columns`` as the table ``name``, up to date.
+
+    The counts are the state: scores are rounded before, so it is bounded by their steps, not by the rows. The
+    table is in the driver's memory and complete after each batch; ``metrics.report_of`` reads it.
+    """
+    counts = scored.groupBy(*columns).agg(F.count("*").alias("n_rows"))
+    writer = counts.writeStream.format("memory").queryName(name).outputMode("complete")
+    return _start_stateful(scored.sparkSession, lambda: _start(writer, checkpoint, trigger))
+
+
 @dataclass(frozen=True)
 class RunReport:
+    """What a run did. ``late``: rows that came after the watermark; ``state_rows``: the most that its state held."""
+
     batches: int
     rows: int
     error: str | None
+    late: int = 0
+    state_rows: int = 0
 
 
 class Tally(StreamingQueryListener):
-    """Batches and rows of each run of a query, however many there are."""
+    """Counts of each run of a query, however many batches it has, until they are reported."""
 
     def __init__(self) -> None:
         self.counts: dict[str, list[int]] = {}
@@ -137,22 +205,31 @@ class Tally(StreamingQueryListener):
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
-        counts = self.counts.setdefault(str(event.progress.runId), [0, 0])
+        counts = self.counts.setdefault(str(event.progress.runId), [0, 0, 0, 0])
         counts[0] += 1
         counts[1] += event.progress.numInputRows
+        for state in event.progress.stateOperators:
+            counts[2] += state.numRowsDroppedByWatermark
+            counts[3] = max(counts[3], state.numRowsTotal)
 
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         if ended := self.ended.get(str(event.runId)):
             ended.set()
 
     def report(self, query: StreamingQuery, error: str | None) -> RunReport:
-        """The counts, once the query's last event is in. A query from before the tally has Spark's own."""
-        ended = self.ended.get(str(query.runId))
-        if ended is None:
+        """The counts, once the query's last event is in; they are given once."""
+        run = str(query.runId)
+        ended = self.ended.get(run)
+        if ended is None:  # it began before the tally
             progress = query.recentProgress
+            if len(progress) >= int(SparkSession.active().conf.get(RECENT)):
+                raise RuntimeError("the query began before the tally, and Spark keeps its last batches only")
             return RunReport(len(progress), sum(p["numInputRows"] for p in progress), error)
-        ended.wait(SETTLE_SECONDS)
-        return RunReport(*self.counts.get(str(query.runId), (0, 0)), error)
+        if not ended.wait(SETTLE_SECONDS):
+            raise RuntimeError("the last batches of the query are not reported yet")
+        self.ended.pop(run)
+        batches, rows, late, state_rows = self.counts.pop(run, (0, 0, 0, 0))
+        return RunReport(batches, rows, error, late, state_rows)
 
 
 _TALLIES: dict[str, Tally] = {}
