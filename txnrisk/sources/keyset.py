@@ -84,7 +84,11 @@ class Keyed:
         for group in range(footer.num_row_groups):
             meta = footer.row_group(group)
             at = next(i for i in range(meta.num_columns) if meta.column(i).path_in_schema == self.time)
-            stats = meta.column(at).statistics
+            column = meta.column(at)
+            if column.physical_type == "INT96":  # Spark's default for timestamps: its order is not defined
+                yield group, meta.num_rows, FIRST[0], 2**62
+                continue
+            stats = column.statistics
             if stats is None or not stats.has_min_max:
                 if stats is None or stats.null_count < meta.num_rows:
                     yield group, meta.num_rows, FIRST[0], 2**62

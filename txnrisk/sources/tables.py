@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from txnrisk.functions import text
 
@@ -26,11 +25,11 @@ def sql_state(error: BaseException) -> str:
     return ""
 
 
-FOOTER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType)
+NO_TIME = -(2**63)  # stands for null: row groups of nulls alone have no maximum, which the footer reader refuses
 
 
 def footer_max(spark: SparkSession, path: str, column: str) -> DataFrame:
-    """One row with the largest value of a whole-number or date column, from the statistics in the files' footers.
+    """One row with the largest value of a whole-number column without nulls, from the statistics in the files' footers.
 
     No data page is read. It takes the newer Parquet reader, in a session of its own so that the caller's
     settings stay.
@@ -60,12 +59,10 @@ class PathTable:
     def newest(self, spark: SparkSession, column: str) -> DataFrame:
         """Rows that hold the largest value of ``column``: one row from the footers where they know it, else
         all rows, read for that column only."""
-        stored = self._stored(spark)
-        held = micros_of(column) if column in self.micros else column
-        if self.format != "parquet" or not isinstance(stored.schema[held].dataType, FOOTER_TYPES):
-            return stored.select(column)
-        largest = footer_max(spark, self.path, held)
-        return largest if held == column else largest.select(F.timestamp_micros(held).alias(column))
+        if self.format != "parquet" or column not in self.micros:
+            return self._stored(spark).select(column)
+        held = F.col(micros_of(column))
+        return footer_max(spark, self.path, micros_of(column)).select(F.timestamp_micros(F.when(held > NO_TIME, held)).alias(column))
 
     def exists(self, spark: SparkSession) -> bool:
         """False for a missing or empty folder; any other failure is raised."""
@@ -83,7 +80,7 @@ class PathTable:
         self._write(df, "append", partition_by)
 
     def _write(self, df: DataFrame, mode: str, partition_by: Sequence[str]) -> None:
-        stored = df.withColumns({micros_of(c): F.unix_micros(c) for c in self.micros})
+        stored = df.withColumns({micros_of(c): F.coalesce(F.unix_micros(c), F.lit(NO_TIME)) for c in self.micros})
         writer = stored.write.mode(mode).format(self.format).options(**self.options)
         writer.partitionBy(*partition_by).save(self.path)
 
