@@ -300,3 +300,41 @@ def test_toxicity_learns_words_and_survives_edges(spark, make, edges):
     assert not weights.any()
     weights, intercept = toxicity.fit(labelled.limit(0))
     assert not weights.any() and intercept == 0
+
+
+@pytest.mark.parametrize("text", ["\n" * 20_000, "\n" * 20_000 + "end", "é\n" * 9_000, "start " + "\x00" * 20_000 + " end"])
+def test_characters_without_pieces_come_in_bounded_runs(model, library, text):
+    marked = "▁" + text.replace(" ", "▁")
+    runs = list(pieces.stream(model, marked))
+    most = 4 * 2 * (model.longest + 1)  # four bytes a character
+    assert len(runs) > 50 and max(map(len, runs)) <= most
+    assert [i for run in runs for i in run] == library.encode(text) == pieces.encode_text(model, text)
+
+
+@pytest.mark.parametrize(
+    "text", ["", " ", "  ", "a", " a", "a ", "a  b", "  a   b  ", "▁a b▁▁c", "a\nb \n c", "x" * 500, "  " * 300 + "y" * 300 + " z" * 300]
+)
+@pytest.mark.parametrize("stretch", [1, 2, 7, 1 << 16])
+def test_stretches_do_not_change_ids(model, library, monkeypatch, text, stretch):
+    monkeypatch.setattr(pieces, "STRETCH", stretch)
+    assert pieces.encode_text(model, text) == library.encode(text)
+    if text:
+        parts = list(pieces.stretches(" " + text, stretch))
+        assert "".join(parts) == " " + text and all(p.startswith(" ") for p in parts)
+
+
+def test_odd_ids_have_a_text(model):
+    good = pieces.encode_text(model, "plain")
+    assert pieces.decode_ids(model, good) == "plain"
+    for odd in (None, -1, len(model.pieces), 2**31 - 1):
+        assert pieces.decode_ids(model, [*good, odd]) == "plain ⁇ "
+    assert pieces.decode_ids(model, None) == pieces.decode_ids(model, []) == ""
+    assert pieces.decode_ids(model, [model.byte_ids[0xFF]]) == "�"
+
+
+def test_words_that_are_not_used_go(model, monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS_KEPT", 10)
+    words = pieces.Words(lambda word: word.encode())
+    for n in range(100):
+        assert words[f"w{n}"] == f"w{n}".encode() and words["often"] == b"often"
+    assert len(words) <= 10 and len(words.older) <= 10

@@ -14,20 +14,24 @@ ids equal those of the sentencepiece library for both kinds (for unigram models,
 paths have the same sum, perhaps another of them).
 
 A boundary that no piece crosses (a space mark after another character, in models made without
-pieces across spaces) is a meeting point of all paths: the words between are encoded once and kept
-in a bounded memory of each Python worker.
+pieces across spaces) is a meeting point of all paths: the words between are encoded once and their
+packed ids kept in a bounded memory of each Python worker. A text is cut into stretches at such
+boundaries, so that only some of its words are listed at a time.
+
+Texts and ids pass as Arrow arrays. Decoding takes the pieces' bytes by id, for a whole batch at once.
 """
 
 from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cached_property
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +42,25 @@ NOTHING = 0x7FFFFFFF  # the symbol before the first
 PAIRS_KEPT = 300_000
 WORDS_KEPT = 150_000  # in each of two generations
 WORD_LONGEST = 64
+STRETCH = 1 << 16  # characters of a text whose words are listed together
+
+
+class Words(dict):
+    """Packed ids of words, in two generations: words in use move on from the older one."""
+
+    def __init__(self, encode: Callable[[str], bytes]):
+        self.encode, self.older = encode, {}
+
+    def __missing__(self, word: str) -> bytes:
+        packed = self.older.get(word)
+        if packed is None:
+            packed = self.encode(word)
+        if len(word) <= WORD_LONGEST:
+            if len(self) >= WORDS_KEPT:
+                self.older = dict(self)
+                self.clear()
+            self[word] = packed
+        return packed
 
 
 class Model:
@@ -82,8 +105,13 @@ class Model:
         self.pieces = [library.id_to_piece(number) for number in range(library.get_piece_size())]
         self.pairs: dict[int, dict[int, bool]] = defaultdict(dict)
         self.n_pairs = 0
-        self.words: dict[str, tuple[int, ...]] = {}  # tuples of numbers cost the garbage collector nothing
-        self.older_words: dict[str, tuple[int, ...]] = {}
+        self.words = Words(lambda word: packed_word(self, SPACE + word.replace(" ", SPACE)))
+        # What ids that no piece has are shown as.
+        self.shown.append(" ⁇ ".encode())
+
+    @cached_property
+    def shown_array(self) -> pa.Array:
+        return pa.array(self.shown, pa.large_binary())
 
     @cached_property
     def matches(self):
@@ -177,6 +205,10 @@ def merge_stream(model: Model, text: str) -> Iterator[list[int]]:
             last.append(strangers + ord(text[done]))
             after.append(pairs[last[-1]])
             done += 1
+            if done - base > full and (run := lattice.settle()):
+                yield run
+                after = after[lattice.settled - base :]
+                back, last, base = lattice.back, lattice.last, lattice.settled
         start = end + 1 - length
         apart = after[start - base].get(number)
         if apart or apart is None and model.apart(last[start - base], number):
@@ -189,8 +221,10 @@ def merge_stream(model: Model, text: str) -> Iterator[list[int]]:
                 after = after[lattice.settled - base :]
                 back, last, base = lattice.back, lattice.last, lattice.settled
     for at in range(done, len(text)):
-        back.append(at)
-        last.append(strangers + ord(text[at]))
+        lattice.back.append(at)
+        lattice.last.append(strangers + ord(text[at]))
+        if at + 1 - lattice.settled > full and (run := lattice.settle()):
+            yield run
     yield lattice.path(len(text))
 
 
@@ -257,43 +291,98 @@ def meeting_point(back: list[int], boundaries: Iterable[int]) -> int:
     return alive.pop()
 
 
-WORD = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+def packed(ids: Iterable[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
 
 
-def encode_text(model: Model, text: str | None) -> list[int]:
-    """Ids of a text. Null and empty texts have none."""
+def packed_word(model: Model, word: str) -> bytes:
+    """Ids of a word, or of a text of a model whose pieces cross spaces."""
+    if model.kind == "merge" and len(word) <= 2 * model.longest and (ids := merge_word(model, word)) is not None:
+        return packed(ids)
+    return b"".join([packed(run) for run in stream(model, word)])
+
+
+WORD = re.compile(" +[^ ]*")
+
+
+def stretches(text: str, size: int) -> Iterator[str]:
+    """A text that begins with a space, cut before spaces that follow another character, about every ``size``."""
+    start = 0
+    while len(text) - start > size:
+        cut = text.rfind(" ", start + 1, start + size)
+        while cut > start and text[cut - 1] == " ":
+            cut -= 1
+        if cut <= start:  # a longer word, or a longer run of spaces before one
+            cut = start + 1
+            while (cut := text.find(" ", cut)) > 0 and text[cut - 1] == " ":
+                cut += 1
+            if cut < 0:
+                break
+        yield text[start:cut]
+        start = cut
+    yield text[start:]
+
+
+def encoded(model: Model, text: str | None) -> bytes:
+    """Packed ids of a text. Null and empty texts have none."""
     if not text:
-        return []
-    marked = (SPACE if model.prefix else "") + text.replace(" ", SPACE)
+        return b""
+    if SPACE in text:
+        text = text.replace(SPACE, " ")  # the mark is a space
     if not model.by_words:
-        return [i for run in stream(model, marked) for i in run]
-    out: list[int] = []
-    words, merge, window = model.words, model.kind == "merge", 2 * model.longest
-    for word in WORD.findall(marked):
-        ids = words.get(word)
-        if ids is None:
-            ids = model.older_words.get(word)
-            if ids is None:
-                if merge and len(word) <= window:
-                    ids = merge_word(model, word)
-                if ids is None:
-                    ids = tuple([i for run in stream(model, word) for i in run])
-            if len(word) <= WORD_LONGEST:
-                if len(words) >= WORDS_KEPT:  # words in use move on from the older ones
-                    model.older_words, model.words = words, {}
-                    words = model.words
-                words[word] = ids
-        out += ids
-    return out
-
-
-def decode_ids(model: Model, ids: Iterable[int] | None) -> str:
-    """The text of ids: exactly the encoded one, but that a literal space mark comes back as a space."""
-    if ids is None or not len(ids):
-        return ""
-    shown = model.shown
-    text = b"".join([shown[i] for i in ids]).decode("utf-8", "replace")
-    return text[1:] if model.prefix and text.startswith(" ") else text
+        return packed_word(model, (SPACE if model.prefix else "") + text.replace(" ", SPACE))
+    out = []
+    if model.prefix:
+        text = " " + text
+    elif text[0] != " ":  # without a mark before it, the first word is like no other
+        first, space, text = text.partition(" ")
+        out.append(packed_word(model, first))
+        if not space:
+            return out[0]
+        text = " " + text
+    words = model.words
+    for part in stretches(text, STRETCH):
+        if "  " not in part and part[-1] != " ":
+            out += [words[word] for word in part[1:].split(" ")]
+        else:
+            out += [words[word[1:]] for word in WORD.findall(part)]
+    return b"".join(out)
+
+
+def encode_text(model: Model, text: str | None) -> list[int]:
+    """Ids of a text. Null and empty texts have none."""
+    return np.frombuffer(encoded(model, text), np.int32).tolist()
+
+
+def decode_ids(model: Model, ids: Iterable[int | None] | None) -> str:
+    """The text of ids: exactly the encoded one, but that a literal space mark comes back as a space.
+
+    An id that is null, negative or beyond the model is shown as an unknown piece.
+    """
+    return decode_array(model, pa.array([None if ids is None else list(ids)], pa.list_(pa.int32())))[0].as_py()
+
+
+def decode_array(model: Model, rows: pa.ListArray) -> pa.Array:
+    """The texts of lists of ids: bytes of all pieces in one array, cut where the lists end."""
+    rows = pc.fill_null(rows, pa.scalar([], rows.type))
+    ids, unknown = rows.flatten(), len(model.shown) - 1
+    ids = pc.fill_null(ids, unknown)
+    if len(ids) and (pc.min(ids).as_py() < 0 or pc.max(ids).as_py() > unknown):
+        inside = pc.and_(pc.greater_equal(ids, 0), pc.less(ids, unknown))
+        ids = pc.if_else(inside, ids, pa.scalar(unknown, ids.type))
+    shown = model.shown_array.take(ids)
+    ends = np.frombuffer(shown.buffers()[1], np.int64)[shown.offset : shown.offset + len(shown) + 1] if len(shown) else np.zeros(1, np.int64)
+    lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+    places = ends[np.concatenate([[0], np.cumsum(lengths)])]
+    content = shown.buffers()[2] if len(shown) else pa.py_buffer(b"")
+    binary = pa.Array.from_buffers(pa.large_binary(), len(rows), [None, pa.py_buffer(places.tobytes()), content])
+    try:
+        texts = binary.cast(pa.large_string())
+    except pa.ArrowInvalid:  # bytes that are no UTF-8
+        texts = pa.array([b.as_py().decode("utf-8", "replace") for b in binary], pa.large_string())
+    if model.prefix:
+        texts = pc.if_else(pc.starts_with(texts, " "), pc.utf8_slice_codeunits(texts, 1), texts)
+    return texts
 
 
 _MODELS: dict[int, Model] = {}
@@ -308,47 +397,81 @@ def loaded(serialized) -> Model:
     return model
 
 
-MODEL_BYTES = 64 << 20
-
-
-def shared(df: DataFrame, model_file: str):
+def shared(df: DataFrame, model_file: str, most_bytes: int):
     """The model file, broadcast: its size is bounded, whatever the data's size."""
     import zlib
 
     ship(df.sparkSession)
     with open(model_file, "rb") as f:
-        content = f.read(MODEL_BYTES + 1)
-    if len(content) > MODEL_BYTES:
-        raise ValueError(f"the model file is larger than {MODEL_BYTES} bytes")
+        content = f.read(most_bytes + 1)
+    if len(content) > most_bytes:
+        raise ValueError(f"the model file is larger than {most_bytes} bytes")
     return df.sparkSession.sparkContext.broadcast((zlib.crc32(content), content))
 
 
-def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids") -> DataFrame:
+MODEL_BYTES = 64 << 20
+
+
+def encode_array(model: Model, texts: pa.Array) -> pa.ListArray:
+    """Ids of each text."""
+    rows = [encoded(model, text) for text in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, rows)]) // 4
+    if ends[-1] >= 2**31:
+        raise ValueError("a batch has too many ids")
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
+
+
+def encode(df: DataFrame, model_file: str, text: str = "text", ids: str = "ids", most_bytes: int = MODEL_BYTES) -> DataFrame:
     """Append ``ids`` (array<int>) of a text.
 
     Null and empty texts give an empty array. Texts are encoded whole, in one pass that keeps a
     window of the text's lattice, never all of it. Rows are neither dropped nor joined; a column
-    that has the name of the output is replaced.
+    that has the name of the output is replaced. A model file of more than ``most_bytes`` is refused.
     """
-    model = shared(df, model_file)
+    model = shared(df, model_file, most_bytes)
 
-    def encode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def encode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = loaded(model)
         for texts in batches:
-            yield pd.DataFrame({"ids": [np.array(encode_text(own, t), np.int32) for t in texts]})
+            yield encode_array(own, texts)
+
+    udf = F.arrow_udf(encode_batches, "array<int>")
+    return with_fields(df, F.struct(udf(F.col(text)).alias(ids)), [ids])
 
-    encoded = F.pandas_udf(encode_batches, "ids array<int>")
-    return with_fields(df, F.struct(encoded(F.col(text))["ids"].alias(ids)), [ids])
 
+def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text", most_bytes: int = MODEL_BYTES) -> DataFrame:
+    """Append the ``text`` of ids. Null or empty ids give an empty text; see ``encode``.
 
-def decode(df: DataFrame, model_file: str, ids: str = "ids", text: str = "text") -> DataFrame:
-    """Append the ``text`` of ids. Null or empty ids give an empty text; see ``encode``."""
-    model = shared(df, model_file)
+    An id that is null, negative or beyond the model is shown as an unknown piece.
+    """
+    model = shared(df, model_file, most_bytes)
 
-    def decode_batches(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def decode_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = loaded(model)
         for rows in batches:
-            yield pd.Series([decode_ids(own, None if r is None else r.tolist()) for r in rows], dtype=object)
+            yield decode_array(own, rows).cast(pa.string())
+
+    udf = F.arrow_udf(decode_batches, "string")
+    return with_fields(df, F.struct(udf(F.col(ids)).alias(text)), [text])
+
+
+def round_trip(
+    df: DataFrame, model_file: str, text: str = "text", ids: str = "ids", same: str = "round_trip", most_bytes: int = MODEL_BYTES
+) -> DataFrame:
+    """Append ``ids`` and ``same``: whether decoding them gives the text back (null and empty texts: yes).
+
+    As ``encode`` and ``decode``, but a text passes to Python once. A literal space mark comes back as a space,
+    so a text with one is not the same.
+    """
+    model = shared(df, model_file, most_bytes)
+
+    def both_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = loaded(model)
+        for texts in batches:
+            rows = encode_array(own, texts)
+            equal = pc.equal(decode_array(own, rows), pc.fill_null(texts.cast(pa.large_string()), ""))
+            yield pa.StructArray.from_arrays([rows, equal], names=["ids", "same"])
 
-    decoded = F.pandas_udf(decode_batches, "string")
-    return with_fields(df, F.struct(decoded(F.col(ids)).alias(text)), [text])
+    udf = F.arrow_udf(both_batches, "ids array<int>, same boolean")
+    fields = F.transform(F.array(udf(F.col(text))), lambda x: F.struct(x["ids"].alias(ids), x["same"].alias(same)))[0]
+    return with_fields(df, fields, [ids, same])

@@ -44,10 +44,8 @@ def piece_model() -> str:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = pieces.encode(docs, piece_model())
-    both = pieces.decode(coded, piece_model(), text="decoded")
-    same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), same.alias("round_trip"))
+    both = pieces.round_trip(docs, piece_model())
+    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "round_trip")
 
 
 @query
