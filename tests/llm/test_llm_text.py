@@ -123,15 +123,63 @@ def test_fuzzy_notices():
     assert fields[5] == "gpl-3" and fields[1] == 0 and 0 < fields[6] <= 1
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
 @given(st.data())
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=400, deadline=None)
 def test_seeds_lose_no_notice(data):
-    """A notice with few enough substitutions is always found."""
-    notice, label, errors = data.draw(st.sampled_from(licenses.NOTICES))
-    text = list(notice)
-    for at in data.draw(st.lists(st.integers(0, len(text) - 1), max_size=errors, unique=True)):
-        text[at] = "z"
-    assert any(s[0] == label for s in licenses.fuzzy_spans("lead " + "".join(text) + " tail"))
+    """A notice with few enough substitutions, insertions and deletions outside of its core is always found."""
+    notice, label, errors, core = data.draw(st.sampled_from(licenses.NOTICES))
+    text, kept = list(notice), notice.find(core) if core else -1
+    for _ in range(data.draw(st.integers(0, errors))):
+        at = data.draw(st.integers(0, len(notice) - 1))
+        if not (core and kept - 1 <= at <= kept + len(core)):
+            text[at] = data.draw(st.sampled_from(["z", "", text[at] + "q"]))
+    text = "".join(text)
+    lead = data.draw(st.sampled_from(["lead ", "", "see license. under the public license, "]))
+    spans = licenses.fuzzy_spans(f"{lead}{text} tail")
+    distance = edit_distance(notice, text)
+    assert distance <= errors
+    over = [s for s in spans if s[1] < len(lead) + len(text) and s[2] > len(lead)]
+    # The notice itself, or a closer one in its place.
+    assert any(s[0] == label and s[3] <= distance for s in over) or any(s[3] <= distance for s in over)
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [
+        ("licensed under cc by-sa 4.0", "cc-by-sa"), ("licensed undr cc by-nd 4.0", "cc-by-nd"), ("licensed under cc by-nc-sa 4.0", "cc-by-nc-sa"),
+        ("licensed under cc by-nc 4.0", "cc-by-nc"), ("licensed under cc by 4.0", "cc-by"), ("licensed under cc by-na 4.0", None),
+        ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2"), ("spdx-licence-identifier: BSD-3-Clause", "bsd-3-clause"),
+        ("Creative Commons Attribution-NonComercial", None), ("Creative Commons Atribution-NonCommercial", "cc-by-nc"),
+        ("creative commons attribution-noncommercial-sharealike", "cc-by-nc-sa"), ("CC0 1.0 Universal", "cc0"),
+        ("Eclipse Public Licence, Version 2.0", "epl-2"), ("This is free and unencumbered sofware released into the public domain", "unlicense"),
+        ("Neither the name of the copyright holder nor the names of its contributers", "bsd-3-clause"),
+    ],
+)
+def test_neighbouring_licences_are_told_apart(text, label):
+    assert {s[0] for s in licenses.fuzzy_spans(f"It is {text}.".lower())} == ({label} if label else set())
+
+
+def test_dense_notices_take_time_by_length():
+    """A megabyte of notices, of notices with edits, and of words that notices begin with."""
+    import time
+
+    for text, n in [
+        ("released under the mit license. ", 1), ("licensed undr the gnu general public license, version 2, and all rigths reserved. ", 1),
+        ("public license ", 0), ("licensed under the ", 0),
+    ]:
+        times = 1_000_000 // len(text)
+        began = time.process_time()
+        assert len(licenses.fuzzy_spans(text * times)) >= n * times
+        assert time.process_time() - began < 60  # a few seconds; quadratic time would be hours
 
 
 def test_closer_notices_do_not_hide_earlier_ones():

@@ -1,9 +1,9 @@
 """Licence notices in text: exact phrases of words, and short notices with a few typing errors.
 
-The fuzzy search splits each notice of at most ``e`` errors into ``e + 1`` pieces: a place with
-no more errors holds one piece unchanged (pigeonhole). One automaton finds all pieces in a text;
-around each hit the bounded-error matching of the ``regex`` library verifies the notice and gives
-its span and its number of edits.
+The fuzzy search splits each notice of at most ``e`` errors into ``e + 3`` pieces: a place with no more errors
+holds three pieces unchanged (pigeonhole), shifted against each other by no more than the errors. One
+automaton finds all pieces in a text; where three of a notice agree, the bounded-error matching of the ``regex``
+library verifies the notice within a window of its length and gives its span and its number of edits.
 
 Each text is handled whole and alone, in Arrow batches, so nothing is shuffled.
 """
@@ -11,6 +11,7 @@ Each text is handled whole and alone, in Arrow batches, so nothing is shuffled.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -30,26 +31,61 @@ PHRASES = (
     ("cc by nc", "cc-by-nc"),
 )
 
-# Short notices for the fuzzy search: text in lower case, label, most errors.
+# Short notices for the fuzzy search: text in lower case, label, most errors, and the words that tell the
+# licence from its neighbours, which must stand unchanged.
 NOTICES = (
-    ("released under the mit license", "mit", 3),
-    ("licensed under the mit license", "mit", 3),
-    ("permission is hereby granted, free of charge, to any person obtaining a copy", "mit", 6),
-    ("licensed under the apache license, version 2.0", "apache-2", 4),
-    ("http://www.apache.org/licenses/license-2.0", "apache-2", 3),
-    ("licensed under cc by-nc 4.0", "cc-by-nc", 2),
-    ("creative commons attribution-noncommercial", "cc-by-nc", 4),
-    ("licensed under cc by 4.0", "cc-by", 1),
-    ("creative commons attribution 4.0 international", "cc-by", 4),
-    ("licensed under the gnu general public license, version 2", "gpl-2", 2),
-    ("licensed under the gnu general public license, version 3", "gpl-3", 2),
-    ("gnu lesser general public license", "lgpl", 3),
-    ("gnu affero general public license", "agpl", 3),
-    ("mozilla public license, version 2.0", "mpl-2", 3),
-    ("redistribution and use in source and binary forms, with or without modification", "bsd", 6),
-    ("all rights reserved", "all-rights-reserved", 1),
+    ("released under the mit license", "mit", 3, "mit"),
+    ("licensed under the mit license", "mit", 3, "mit"),
+    ("permission is hereby granted, free of charge, to any person obtaining a copy", "mit", 6, ""),
+    ("spdx-license-identifier: mit", "mit", 2, "mit"),
+    ("licensed under the apache license, version 2.0", "apache-2", 4, "apache"),
+    ("http://www.apache.org/licenses/license-2.0", "apache-2", 3, "apache"),
+    ("spdx-license-identifier: apache-2.0", "apache-2", 2, "apache-2.0"),
+    ("licensed under cc by 4.0", "cc-by", 1, "by"),
+    ("licensed under cc by-sa 4.0", "cc-by-sa", 2, "by-sa"),
+    ("licensed under cc by-nc 4.0", "cc-by-nc", 2, "by-nc"),
+    ("licensed under cc by-nd 4.0", "cc-by-nd", 2, "by-nd"),
+    ("licensed under cc by-nc-sa 4.0", "cc-by-nc-sa", 2, "by-nc-sa"),
+    ("licensed under cc by-nc-nd 4.0", "cc-by-nc-nd", 2, "by-nc-nd"),
+    ("creative commons attribution 4.0 international", "cc-by", 4, "attribution"),
+    ("creative commons attribution-sharealike", "cc-by-sa", 4, "sharealike"),
+    ("creative commons attribution-noncommercial", "cc-by-nc", 4, "noncommercial"),
+    ("creative commons attribution-noderivatives", "cc-by-nd", 4, "noderivatives"),
+    ("creative commons attribution-noncommercial-sharealike", "cc-by-nc-sa", 4, "noncommercial-sharealike"),
+    ("creative commons attribution-noncommercial-noderivatives", "cc-by-nc-nd", 4, "noncommercial-noderivatives"),
+    ("creative commons zero v1.0 universal", "cc0", 3, "zero"),
+    ("cc0 1.0 universal", "cc0", 1, "cc0"),
+    ("licensed under the gnu general public license, version 2", "gpl-2", 2, "2"),
+    ("licensed under the gnu general public license, version 3", "gpl-3", 2, "3"),
+    ("spdx-license-identifier: gpl-2.0", "gpl-2", 2, "gpl-2.0"),
+    ("spdx-license-identifier: gpl-3.0", "gpl-3", 2, "gpl-3.0"),
+    ("gnu lesser general public license", "lgpl", 3, "lesser"),
+    ("spdx-license-identifier: lgpl-", "lgpl", 2, ""),
+    ("gnu affero general public license", "agpl", 3, "affero"),
+    ("spdx-license-identifier: agpl-", "agpl", 2, ""),
+    ("mozilla public license, version 2.0", "mpl-2", 3, "mozilla"),
+    ("spdx-license-identifier: mpl-2.0", "mpl-2", 2, "mpl-2.0"),
+    ("eclipse public license, version 1.0", "epl-1", 3, "1.0"),
+    ("eclipse public license, version 2.0", "epl-2", 3, "2.0"),
+    ("eclipse public license v2.0", "epl-2", 2, "v2.0"),
+    ("this is free and unencumbered software released into the public domain", "unlicense", 6, ""),
+    ("redistribution and use in source and binary forms, with or without modification", "bsd", 6, ""),
+    ("neither the name of the copyright holder nor the names of its contributors", "bsd-3-clause", 6, "neither"),
+    ("licensed under the bsd 2-clause license", "bsd-2-clause", 3, "2-clause"),
+    ("licensed under the bsd 3-clause license", "bsd-3-clause", 3, "3-clause"),
+    ("spdx-license-identifier: bsd-2-clause", "bsd-2-clause", 2, "bsd-2-clause"),
+    ("spdx-license-identifier: bsd-3-clause", "bsd-3-clause", 2, "bsd-3-clause"),
+    ("permission to use, copy, modify, and/or distribute this software for any purpose", "isc", 6, ""),
+    ("licensed under the isc license", "isc", 2, "isc"),
+    ("boost software license - version 1.0", "bsl-1", 3, "boost"),
+    ("licensed under the artistic license 2.0", "artistic-2", 3, "artistic"),
+    ("open font license, version 1.1", "ofl-1.1", 2, "font"),
+    ("all rights reserved", "all-rights-reserved", 1, "rights"),
 )
 
+AGREE = 3  # pieces of a notice that an occurrence holds unchanged
+CORE = r"(?<!\w){}(?!\w|-(?:nc|nd|sa|non|no|share))"  # a whole word, and no part of a longer licence
+
 IN_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 WORD = re.compile(IN_WORD + "+")
@@ -63,7 +99,9 @@ class Notice:
     label: str
     length: int
     errors: int
+    text: str
     pattern: object
+    core: object  # what must stand in a match
 
 
 def pieces(text: str, parts: int) -> list[tuple[int, str]]:
@@ -73,13 +111,16 @@ def pieces(text: str, parts: int) -> list[tuple[int, str]]:
 
 
 @cache
-def searcher(notices: tuple[tuple[str, str, int], ...]):
+def searcher(notices: tuple[tuple[str, str, int, str], ...]):
     """The notices, and one automaton over their pieces: piece -> (notice, place in it)."""
     known, found = [], {}
-    for number, (text, label, errors) in enumerate(notices):
+    for number, (text, label, errors, core) in enumerate(notices):
+        if len(text) <= 4 * errors:
+            raise ValueError(f"too many errors for {text!r}")
         body = regex.escape(text, special_only=True)
-        known.append(Notice(label, len(text), errors, regex.compile(f"(?:{body}){{e<={errors}}}", regex.BESTMATCH)))
-        for place, piece in pieces(text, errors + 1):
+        pattern = regex.compile(f"(?:{body}){{e<={errors}}}", regex.BESTMATCH)
+        known.append(Notice(label, len(text), errors, text, pattern, re.compile(CORE.format(re.escape(core)) if core else "")))
+        for place, piece in pieces(text, errors + AGREE):
             found.setdefault(piece, []).append((number, place))
     automaton = ahocorasick.Automaton()
     for piece, places in found.items():
@@ -88,63 +129,81 @@ def searcher(notices: tuple[tuple[str, str, int], ...]):
     return known, automaton
 
 
-def windows(text: str, notices) -> dict[int, list[list[int]]]:
-    """For each notice, the stretches of the text in which it may stand, joined where they meet."""
+def windows(text: str, notices) -> dict[int, list[tuple[int, int]]]:
+    """For each notice, the stretches of the text in which it may stand, each little longer than the notice."""
     known, automaton = searcher(notices)
-    out: dict[int, list[list[int]]] = {}
+    recent: dict[int, list[tuple[int, int]]] = {}  # of each notice: where it would begin, by which piece
+    out: dict[int, list[list[int]]] = {}  # the least and the largest of such beginnings
     for last, (length, places) in automaton.iter(text):
         at = last + 1 - length
         for number, place in places:
-            notice = known[number]
-            start = max(0, at - place - notice.errors)
-            end = at - place + notice.length + notice.errors
+            notice, begin = known[number], at - place
+            near = [n for n in recent.get(number, ()) if n[0] + notice.length + notice.errors > at]
+            near.append((begin, place))
+            recent[number] = near
+            if len(near) < AGREE:
+                continue
+            agreeing = [n for n in near if abs(n[0] - begin) <= notice.errors]
+            if len({n[1] for n in agreeing}) < AGREE:
+                continue
             spans = out.setdefault(number, [])
-            if spans and start <= spans[-1][1] and spans[-1][0] <= start:
-                spans[-1][1] = max(spans[-1][1], end)
+            if spans and max(spans[-1][1], begin) - min(spans[-1][0], begin) <= 2 * notice.errors:
+                spans[-1] = [min(spans[-1][0], begin), max(spans[-1][1], begin)]
             else:
-                spans.append([start, end])
-    return out
+                spans.append([begin, begin])
+    return {
+        number: [(max(0, a - known[number].errors), b + known[number].length + known[number].errors) for a, b in spans]
+        for number, spans in out.items()
+    }
 
 
-def merged(spans: list[list[int]]) -> Iterator[tuple[int, int]]:
-    """Overlapping stretches as one."""
-    spans = sorted(spans)
-    start, end = spans[0]
-    for a, b in spans[1:]:
-        if a > end:
-            yield start, end
-            start, end = a, b
-        else:
-            end = max(end, b)
-    yield start, end
-
-
-def best_matches(notice: Notice, text: str, start: int, end: int) -> Iterator[object]:
-    """The closest place of a notice in a stretch, then those in what is left before and after it."""
+def best_matches(notice: Notice, text: str, start: int, end: int) -> Iterator[tuple[int, int, int]]:
+    """Start, end and edits of the closest place of a notice in a window, then of those in what is left beside it."""
     todo, least = [(start, end)], max(1, notice.length - notice.errors)
     while todo:
         a, b = todo.pop()
-        match = notice.pattern.search(text, a, b) if b - a >= least else None
-        if match and match.end() > match.start():
-            yield match
-            todo += [(match.end(), b), (a, match.start())]
+        if b - a < least:
+            continue
+        exact = text.find(notice.text, a, b)
+        if exact >= 0:  # nothing is closer
+            found = exact, exact + notice.length, 0
+        elif match := notice.pattern.search(text, a, b):
+            found = match.start(), match.end(), sum(match.fuzzy_counts)
+        else:
+            continue
+        if notice.core.search(text[found[0] : found[1]]):
+            yield found
+        todo += [(found[1], b), (a, found[0])]
 
 
 def fuzzy_spans(text: str, notices=NOTICES) -> list[tuple[str, int, int, int]]:
     """(label, start, end, edits) of each notice found in a lower-case text, by start.
 
-    Where notices overlap, those with the fewest edits are meant: a notice for version 3 is not
-    also one for version 2 with an error.
+    Where notices overlap, those with the fewest edits are meant, and of those the longest: a notice for
+    version 3 is not also one for version 2 with an error. The time grows with the text, however many
+    notices it holds: searches are bounded, and only neighbours are compared.
     """
     known, _ = searcher(notices)
     found = set()
     for number, spans in windows(text, notices).items():
         notice = known[number]
-        for start, end in merged(spans):
-            for match in best_matches(notice, text, start, min(end, len(text))):
-                found.add((notice.label, match.start(), match.end(), sum(match.fuzzy_counts)))
-    kept = [s for s in found if not any(o[3] < s[3] and o[1] < s[2] and s[1] < o[2] for o in found)]
-    return sorted(kept, key=lambda s: (s[1], s[2], s[0], s[3]))
+        for start, end in spans:
+            for a, b, edits in best_matches(notice, text, start, min(end, len(text))):
+                found.add((a, b, notice.label, edits))
+    return meant(sorted(found))
+
+
+def meant(spans: list[tuple[int, int, str, int]]) -> list[tuple[str, int, int, int]]:
+    """The spans (start, end, label, edits), in order, that no better one overlaps."""
+    longest = max((end - start for start, end, _, _ in spans), default=0)
+    starts = [s[0] for s in spans]
+    out = []
+    for start, end, label, edits in spans:
+        near = spans[bisect_left(starts, start - longest) : bisect_left(starts, end)]
+        rank = (edits, start - end)
+        if not any((o[3], o[0] - o[1]) < rank and o[0] < end and start < o[1] for o in near):
+            out.append((label, start, end, edits))
+    return out
 
 
 @cache
