@@ -58,6 +58,12 @@ HEADLINE = [
     "split_files",
     "page_offset_far",
     "time_split_nulls",
+    "score_bucketed",
+    "watermark_footer",
+    "vocab_merge",
+    "json_infer",
+    "stream_score_dedup",
+    "stream_from_keyset",
 ]
 
 
