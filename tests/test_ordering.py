@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from txnrisk.operators import ordering, split
 
@@ -102,6 +103,40 @@ def test_many_ranks_share_one_search(spark):
         assert got[r].before == r
 
 
+SKETCHED = st.tuples(st.none() | st.integers(-3, 3), st.none() | st.integers(-(2**62), 2**62) | st.integers(0, 2))
+
+
+@RUNS
+@given(rows=st.lists(SKETCHED, min_size=1, max_size=60), data=st.data(), pivots=st.integers(1, 9))
+def test_sketched_pivots_find_every_rank(spark, rows, data, pivots):
+    """Ties, nulls and negative numbers, with both keys narrowed by their sketches."""
+    ranks = data.draw(st.lists(st.integers(0, len(rows) - 1), min_size=1, max_size=4))
+    df = spark.createDataFrame([(*r, "p") for r in rows], "a long, b long, p string")
+    df = df.selectExpr("date_from_unix_date(cast(a AS int)) AS d", "b")
+    ordered = sorted(rows, key=last)
+    got = ordering.keys_at_ranks(df, ["d", "b"], ranks, small=1, pivots=pivots)
+    for rank in ranks:
+        day, number = got[rank].values
+        assert tuple(spark.range(1).select(F.unix_date(day), number).first()) == ordered[rank]
+        assert got[rank].before == sum(last(r) < last(ordered[rank]) for r in rows)
+
+
+def test_one_count_narrows_a_table_to_fifty_rows(spark, monkeypatch):
+    sketches, sketched = [], ordering._sketched
+
+    def counted(span, rows, *others):
+        sketches.append(rows)
+        return sketched(span, rows, *others)
+
+    monkeypatch.setattr(ordering, "_sketched", counted)
+    df = spark.range(0, 100_000, 1, 8).selectExpr("timestamp_seconds(hash(id) % 1000000) AS t", "id AS i")
+    wanted = sorted((r["s"], r["i"]) for r in df.selectExpr("unix_seconds(t) AS s", "i").collect())[60_000]
+    found = ordering.key_at_rank(df, ["t", "i"], 60_000, small=50)
+    assert tuple(spark.range(1).select(F.unix_seconds(found.values[0]), found.values[1]).first()) == wanted
+    assert found.before == 60_000
+    assert sketches == [100_000]
+
+
 def test_rank_outside_the_table_is_refused(spark):
     with pytest.raises(ValueError, match="not all inside"):
         ordering.key_at_rank(spark.range(3), ["id"], 3)
