@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -304,24 +305,66 @@ def test_outliers_go_and_regular_rows_stay(spark, make):
     assert all(r.distance is not None for r in judged)
 
 
-def test_estimate_equals_numpy(spark):
-    """Distances are those of the mean and covariance of the rows that the steps kept."""
+def least_determinant(data, scales, share):
+    """Over all subsets of the least allowed size: logarithm of the least determinant, and its mean."""
+    size = -(-int(share * 100) * len(data) // 100)
+    found = []
+    for chosen in combinations(range(len(data)), size):
+        part = data[list(chosen)]
+        found.append((np.linalg.slogdet(np.cov(part.T, bias=True) + np.diag(np.square(scales)))[1], tuple(part.mean(0))))
+    return min(found)
+
+
+def test_estimate_is_the_least_determinant_of_all_subsets(spark):
+    """Small pools with a cluster of outliers, against every subset of nine of twelve rows."""
+    names, scales = ["x", "y"], [10.0, 10.0]
+    data, rows = {}, []
+    for pool in range(12):
+        draw = np.random.default_rng(pool)
+        part = draw.multivariate_normal([1000, 2000], [[9000, 5000], [5000, 16000]], 12).round().astype(int)
+        part[:3] = draw.multivariate_normal([1000 + 900 * (pool % 3), 4000], [[2000, 0], [0, 2000]], 3).round()
+        data[f"p{pool}"] = part
+        rows += [(f"p{pool}", int(x), int(y)) for x, y in part]
+    vectors = spark.createDataFrame(rows, "pool string, x long, y long")
+    found = {r.pool: r for r in quality.estimates(vectors, names, scales, 0.75, 20, 10, bins=4096).collect()}
+    assert found.keys() == data.keys()
+    for pool, part in data.items():
+        det, mean = least_determinant(part, scales, 0.75)
+        assert found[pool].det == pytest.approx(det, rel=1e-6)
+        assert found[pool].mean == pytest.approx(mean, rel=1e-6)
+
+
+def test_estimate_is_its_own_concentration_step(spark):
+    """Where it has settled, the nearest rows under an estimate give that estimate again."""
     names, scales = ["x", "y"], [10.0, 10.0]
     draw = np.random.default_rng(3)
     data = draw.multivariate_normal([1000, 2000], [[900, 500], [500, 1600]], 400).round().astype(int)
     data[:40] += 4000
     rows = spark.createDataFrame([("p", int(x), int(y)) for x, y in data], "pool string, x long, y long")
-    found = quality.estimates(rows, names, scales, 0.75, 6, 10).first()
+    found = quality.estimates(rows, names, scales, 0.75, 30, 10, bins=4096).first()
     mean = np.array(found["mean"])
     assert np.allclose(mean, [1000, 2000], atol=15)
     a, b, c = found["inverse"]
     inverse = np.array([[a, b], [b, c]])
     gap = data - mean
     distance = np.einsum("ij,jk,ik->i", gap, inverse, gap)
-    kept = data[np.argsort(distance)[: int(400 * 0.75)]]
-    want = np.linalg.inv(np.cov(kept.T, bias=True) + np.diag(np.square(scales)))
-    assert np.allclose(inverse, want, rtol=0.15, atol=1e-5)
+    kept = data[distance <= np.sort(distance)[299]]
+    covariance = np.cov(kept.T, bias=True) + np.diag(np.square(scales))
+    assert np.allclose(inverse, np.linalg.inv(covariance), rtol=1e-6)
+    assert found["det"] == pytest.approx(np.linalg.slogdet(covariance)[1], rel=1e-6)
     assert distance[:40].min() > 100 * np.median(distance)
+    again = quality.estimates(rows.repartition(7), names, scales, 0.75, 30, 10, bins=4096).first()
+    assert again == found
+
+
+def test_estimates_of_equal_and_few_rows(spark):
+    """Pools without any spread have an estimate by the least deviations; small pools have none."""
+    rows = [("same", 5, 5)] * 20 + [("few", i, i) for i in range(9)]
+    vectors = spark.createDataFrame(rows, "pool string, x long, y long")
+    found = quality.estimates(vectors, ["x", "y"], [2.0, 3.0], 0.75, 5, 10).collect()
+    assert [r.pool for r in found] == ["same"]
+    assert found[0].mean == [5.0, 5.0]
+    assert found[0].det == pytest.approx(np.log(36))
 
 
 def test_toxicity_beats_chance_on_held_out_rows(spark):

@@ -2,11 +2,14 @@
 
 The statistics are transformed to a vector of whole numbers. For each language and source the
 minimum covariance determinant estimate is found by concentration steps: keep the share ``h`` of
-rows with the least Mahalanobis distances, take mean and covariance of those, repeat. Rows beyond
+rows with the least Mahalanobis distances, take mean and covariance of those, repeat while the
+determinant falls. Steps run from five starts; after two of them the two starts of least
+determinant go on until they settle, and the least determinant of all is the estimate. Rows beyond
 a quantile of the chi-squared distribution are rejected.
 
-A step is one aggregation: sums of the vectors and their products by group and distance bin, with
-map-side combination, so a group of any size costs each task no more than its bins. The sums are
+A step is two aggregations by group and start: counts by distance bin, whose running sum gives the
+bin of the h-th row, then the sums of vectors and their products up to that bin. Both combine on
+the map side, so a group of any size costs each task no more than its bins. The sums are
 of whole numbers, so they do not depend on the order of rows.
 """
 
@@ -24,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txnrisk.llm.common import remove, scratch_path, ship, with_fields
+from txnrisk.llm.steps import Steps
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -40,8 +44,10 @@ FEATURES = (
     ("repeats", "sqrt(n_repeat_words / n_words)", 0.12),
 )
 UNIT = 1000  # a vector's numbers are in thousandths
-BINS_PER_DOUBLING = 8
-MOST_BIN = 1024
+BINS_PER_DOUBLING = 64
+DOUBLINGS = 128  # distances beyond so many share a bin
+SHRINK = 0.05  # share of the unit matrix in the starting correlations, which may be singular
+SETTLED = 1e-9  # logarithm of the determinant by which a step has to lower it
 
 
 def repeated_words(words: list[str], size: int = 3) -> int:
@@ -80,7 +86,11 @@ def statistics_of(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
-    """Append the statistics and ``base_failed`` (under 50 words, or over half in repeated windows)."""
+    """Append the statistics and ``base_failed`` (under 50 words, or over half in repeated windows).
+
+    Null and empty texts have no words and fail. Texts are measured whole, however long. Rows are
+    neither dropped nor joined; columns with a name of the output are replaced.
+    """
     ship(df.sparkSession)
 
     def measure_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -109,24 +119,52 @@ def pools(rows: DataFrame, least: int) -> DataFrame:
     return counts.select("both", pool.alias("pool"))
 
 
-def inverse_udf(scales: list[float]):
-    """From counts, sums and sums of products: mean and inverse covariance, both flat."""
+def upper(matrix: np.ndarray) -> np.ndarray:
+    """Upper triangle, row by row."""
+    return matrix[np.triu_indices(len(matrix))]
+
+
+def moments(n: int, sums: list[int], products: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance from counts, sums and sums of products (their upper triangle)."""
+    mean = np.asarray(sums, float) / n
+    square = np.zeros((len(mean), len(mean)))
+    square[np.triu_indices(len(mean))] = np.asarray(products, float) / n
+    return mean, np.triu(square) + np.triu(square, 1).T - np.outer(mean, mean)
+
+
+def estimate_udf(scales: list[float]):
+    """From counts, sums and sums of products: mean, inverse covariance (both flat), logarithm of the determinant."""
 
-    def inverse(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
-        means, inverses = [], []
-        size = len(scales)
-        upper = np.triu_indices(size)
+    def estimate(n: pd.Series, sums: pd.Series, products: pd.Series) -> pd.DataFrame:
+        out = []
         for count, total, product in zip(n, sums, products, strict=True):
-            mean = np.asarray(total, float) / count
-            square = np.zeros((size, size))
-            square[upper] = np.asarray(product, float) / count
-            square = np.triu(square) + np.triu(square, 1).T - np.outer(mean, mean)
-            inverse = np.linalg.inv(square + np.diag(np.square(scales)))
-            means.append(mean)
-            inverses.append(inverse[upper])
-        return pd.DataFrame({"mean": means, "inverse": inverses})
+            mean, covariance = moments(count, total, product)
+            covariance += np.diag(np.square(scales))
+            out.append((mean, upper(np.linalg.inv(covariance)), np.linalg.slogdet(covariance)[1]))
+        return pd.DataFrame(out, columns=["mean", "inverse", "det"])
 
-    return F.pandas_udf(inverse, "mean array<double>, inverse array<double>")
+    return F.pandas_udf(estimate, "mean array<double>, inverse array<double>, det double")
+
+
+def start_udf():
+    """From sums of transformed deviations, the medians and their deviations: a start's mean and inverse."""
+
+    def begin(
+        start: pd.Series, n: pd.Series, sums: pd.Series, products: pd.Series, mid: pd.Series, dev: pd.Series
+    ) -> pd.DataFrame:
+        out = []
+        for name, count, total, product, middle, spread in zip(start, n, sums, products, mid, dev, strict=True):
+            middle, spread = np.asarray(middle, float), np.asarray(spread, float)
+            mean, covariance = moments(count, total, product)
+            mean, covariance = mean / UNIT, covariance / UNIT**2
+            if name == "rows":
+                middle, spread = middle + mean * spread, spread * np.sqrt(np.diag(covariance) + SHRINK)
+            root = np.sqrt(np.diag(covariance) + 1e-12)
+            shape = (1 - SHRINK) * covariance / np.outer(root, root) + SHRINK * np.eye(len(root))
+            out.append((middle, upper(np.linalg.inv(shape * np.outer(spread, spread)))))
+        return pd.DataFrame(out, columns=["mean", "inverse"])
+
+    return F.pandas_udf(begin, "mean array<double>, inverse array<double>")
 
 
 def squared_distance(names: list[str]) -> Column:
@@ -140,87 +178,126 @@ def squared_distance(names: list[str]) -> Column:
     return F.greatest(total, F.lit(0.0))
 
 
-def sums_by_bin(vectors: DataFrame, names: list[str], distance: Column) -> DataFrame:
-    """Counts, sums and sums of products by pool and distance bin."""
-    number = F.least(F.floor(F.log2(1 + distance) * BINS_PER_DOUBLING), F.lit(MOST_BIN)).cast("int")
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    return (
-        vectors.withColumn("bin", number)
-        .groupBy("pool", "bin")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array(*(F.sum(F.col(name)) for name in names)).alias("sums"),
-            F.array(*(F.sum(F.col(names[i]) * F.col(names[j])) for i, j in pairs)).alias("products"),
-        )
-    )
-
+def sums_of(values: list[Column]) -> list[Column]:
+    """Count, sums and sums of products of whole-number columns."""
+    pairs = [values[i] * values[j] for i in range(len(values)) for j in range(i, len(values))]
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.array(*map(F.sum, values)).alias("sums"),
+        F.array(*map(F.sum, pairs)).alias("products"),
+    ]
 
-def concentrated(bins: DataFrame, share: float, width: int) -> DataFrame:
-    """Sums over the nearest bins of each pool that hold ``share`` of its rows, and the bin of its median."""
-    by_bin = Window.partitionBy("pool").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    all_bins = Window.partitionBy("pool")
-    ranked = bins.withColumn("before", F.coalesce(F.sum("n").over(by_bin), F.lit(0)))
-    ranked = ranked.withColumn("total", F.sum("n").over(all_bins))
-    near = F.col("before") < F.col("total") * share
-    half = F.col("before") < F.col("total") * 0.5
-
-    def added(name: str, size: int) -> Column:
-        return F.array(*(F.sum(F.when(near, F.col(name)[i])) for i in range(size))).alias(name)
-
-    return ranked.groupBy("pool").agg(
-        F.sum(F.when(near, F.col("n"))).alias("n"),
-        added("sums", width),
-        added("products", width * (width + 1) // 2),
-        F.max(F.when(half, F.col("bin"))).alias("median_bin"),
-        F.max("total").alias("total"),
-    )
 
+def starts(vectors: DataFrame, names: list[str], scales: list[float]) -> DataFrame:
+    """Five starts of each pool: pool, start, mean, inverse.
 
-def estimates(vectors: DataFrame, names: list[str], scales: list[float], share: float, steps: int, least: int):
-    """Mean, inverse covariance and distance scale of each pool with ``least`` rows, and the folder that holds them."""
-    spark, width = vectors.sparkSession, len(names)
-    inverse = inverse_udf(scales)
-    # Start: distances to the medians, in deviations of the medians, each statistic alone.
+    All look at deviations from the medians, in units of the median deviation. ``alone``: each
+    statistic for itself. The others take correlations of the deviations: ``rows`` as they are,
+    around their mean; ``tanh`` and ``sign`` of each; ``sphere`` brought to length one.
+    """
     medians = vectors.groupBy("pool").agg(*(F.percentile(n, F.lit(0.5)).alias(f"{n}_mid") for n in names))
-    start = vectors.join(medians, "pool")
-    spread = start.groupBy("pool").agg(
+    spread = vectors.join(medians, "pool").groupBy("pool").agg(
         *(F.percentile(F.abs(F.col(n) - F.col(f"{n}_mid")), F.lit(0.5)).alias(f"{n}_dev") for n in names)
+    )
+    devs = [F.sqrt(F.pow(1.4826 * F.col(f"{n}_dev"), 2) + scale**2) for n, scale in zip(names, scales, strict=True)]
+    centres = medians.join(spread, "pool").select(
+        "pool", F.array(*(F.col(f"{n}_mid") for n in names)).alias("mid"), F.array(*devs).alias("dev")
+    )
+    width = range(len(names))
+    zero = F.lit(0.0)
+    alone = F.array(*(1 / F.pow(F.col("dev")[i], 2) if i == j else zero for i in width for j in width if j >= i))
+    alone = centres.select("pool", F.lit("alone").alias("start"), F.col("mid").alias("mean"), alone.alias("inverse"))
+    z = [(F.col(n) - F.col("mid")[i]) / F.col("dev")[i] for i, n in enumerate(names)]
+    length = F.sqrt(sum((x * x for x in z), zero))
+    kinds = {
+        "rows": z,
+        "tanh": [F.tanh(x) for x in z],
+        "sign": [F.signum(x) for x in z],
+        "sphere": [F.when(length > 0, x / length).otherwise(zero) for x in z],
+    }
+    kinds = [
+        F.struct(F.lit(kind).alias("start"), F.array(*(F.round(x * UNIT).cast("long") for x in of)).alias("z"))
+        for kind, of in kinds.items()
+    ]
+    turned = vectors.join(centres, "pool").select("pool", F.inline(F.array(*kinds)))
+    summed = turned.groupBy("pool", "start").agg(*sums_of([F.col("z")[i] for i in width])).join(centres, "pool")
+    begun = summed.withColumn("begun", start_udf()("start", "n", "sums", "products", "mid", "dev"))
+    return alone.unionByName(begun.select("pool", "start", "begun.mean", "begun.inverse"))
+
+
+def concentrate(
+    vectors: DataFrame, params: DataFrame, names: list[str], scales: list[float], share: float, bins: int
+) -> DataFrame:
+    """One concentration step of each pool and start.
+
+    The rows of the nearest bins that hold ``share`` of a pool give the new parameters. Where these
+    do not lower the determinant the old ones stay and the start has ``settled``. ``scale`` is the
+    median of the distances to the old ones against that of the chi-squared distribution.
+    """
+    by = ["pool", "start"]
+    number = F.floor(F.least(F.log2(1 + squared_distance(names)), F.lit(DOUBLINGS)) * bins).cast("int")
+    placed = vectors.join(params.select(*by, "mean", "inverse"), "pool").select(*by, *names, number.alias("bin"))
+    counts = placed.groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy(*by).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("n").over(Window.partitionBy(*by))
+    ranked = counts.select(*by, "bin", F.coalesce(before, F.lit(0)).alias("before"), total.alias("total"))
+    cuts = ranked.groupBy(*by).agg(
+        F.max(F.when(F.col("before") < F.col("total") * share, F.col("bin"))).alias("cut"),
+        F.max(F.when(F.col("before") < F.col("total") * 0.5, F.col("bin"))).alias("median_bin"),
     )
-    first = medians.join(spread, "pool").select(
-        "pool",
-        F.array(*(F.col(f"{n}_mid") for n in names)).alias("mean"),
-        F.array(
-            *(
-                F.lit(0.0) if i != j else 1 / (F.pow(1.4826 * F.col(f"{names[i]}_dev"), 2) + scales[i] ** 2)
-                for i in range(width)
-                for j in range(i, width)
-            )
-        ).alias("inverse"),
+    near = placed.join(cuts, by).where("bin <= cut").groupBy(*by).agg(*sums_of([F.col(n) for n in names]))
+    found = near.withColumn("found", estimate_udf(scales)("n", "sums", "products")).select(*by, "found")
+    middle = F.pow(2.0, (F.col("median_bin") + 0.5) / bins) - 1
+    joined = params.drop("scale", "settled").join(found, by).join(cuts.drop("cut"), by)
+    settled = F.col("found.det") > F.col("det") - SETTLED
+    return joined.select(
+        *by,
+        *(F.when(settled, F.col(c)).otherwise(F.col(f"found.{c}")).alias(c) for c in ("mean", "inverse", "det")),
+        F.greatest(middle / chi_squared(0.5, len(names)), F.lit(1.0)).alias("scale"),
+        settled.alias("settled"),
     )
-    path, old = scratch_path(spark, "quality-estimates"), None
-    first.write.parquet(path)
-    typical = chi_squared(0.5, width)
-    for _ in range(steps + 1):
-        placed = vectors.join(spark.read.parquet(path), "pool")
-        found = concentrated(sums_by_bin(placed, names, squared_distance(names)), share, width)
-        parameters = found.where(F.col("total") >= least).withColumn("found", inverse("n", "sums", "products"))
-        middle = F.pow(2.0, (F.col("median_bin") + 0.5) / BINS_PER_DOUBLING) - 1
-        result = parameters.select(
-            "pool", F.col("found.mean").alias("mean"), F.col("found.inverse").alias("inverse"),
-            # Scale of the distances under the parameters before these: at the end they have settled.
-            F.greatest(middle / typical, F.lit(1.0)).alias("scale"),
-        )
-        old, path = path, scratch_path(spark, "quality-estimates")
-        result.write.parquet(path)
-        remove(spark, old)
-    return spark.read.parquet(path)
+
+
+def estimates(
+    vectors: DataFrame,
+    names: list[str],
+    scales: list[float],
+    share: float,
+    steps: int,
+    least: int,
+    bins: int = BINS_PER_DOUBLING,
+) -> DataFrame:
+    """The estimate of each pool with ``least`` rows: mean, inverse covariance, determinant, distance scale.
+
+    The determinant is that of the covariance with the squares of ``scales`` added to its diagonal,
+    given as a logarithm. ``steps``: most concentration steps of a start; ``bins``: distance bins
+    for each doubling of the distance, the more the nearer a subset comes to ``share``. The rows of
+    one bin stay together, and ties of the determinant go to the start first by name.
+    """
+    table = Steps(vectors.sparkSession, "quality")
+    large = vectors.groupBy("pool").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least).select("pool")
+    pooled = table.put("pooled", vectors.join(large, "pool"))
+    begun = starts(pooled, names, scales)
+    params = table.put("params", begun.withColumn("det", F.lit(float("inf"))))
+    best = Window.partitionBy("pool").orderBy("det", "start")
+    for step in range(1, steps + 1):
+        params = table.put("params", concentrate(pooled, params, names, scales, share, bins))
+        if step == 2:
+            ranked = params.withColumn("place", F.row_number().over(best)).where("place <= 2").drop("place")
+            params = table.put("params", ranked)
+        if params.where(~F.col("settled")).isEmpty():
+            break
+    chosen = params.withColumn("place", F.row_number().over(best)).where("place = 1")
+    found = table.put("estimates", chosen.select("pool", "start", "mean", "inverse", "det", "scale"))
+    table.drop("pooled", "params")
+    return found
 
 
 def judge(
     measured: DataFrame,
     keys: tuple[str, str] = ("lang", "source"),
     share: float = 0.75,
-    steps: int = 4,
+    steps: int = 12,
     least: int = 60,
     reject: float = 1e-9,
 ) -> DataFrame:
@@ -258,7 +335,8 @@ def judge(
     remove(spark, vector_path)
     # A table of its own, so that its size is known: the whole rows are not dealt out by their few keys.
     known_path = scratch_path(spark, "quality-known")
-    groups.join(found, "pool").drop("pool").write.parquet(known_path)
+    groups.join(found, "pool").select("both", "mean", "inverse", "scale").write.parquet(known_path)
+    remove(spark, group_path)
     placed = rows.join(spark.read.parquet(known_path), "both", "left")
     distance = F.when(F.col("good"), squared_distance(names) / F.col("scale"))
     limit = chi_squared(1 - reject, len(names))
