@@ -326,7 +326,7 @@ def test_estimate_is_the_least_determinant_of_all_subsets(spark):
         data[f"p{pool}"] = part
         rows += [(f"p{pool}", int(x), int(y)) for x, y in part]
     vectors = spark.createDataFrame(rows, "pool string, x long, y long")
-    found = {r.pool: r for r in quality.estimates(vectors, names, scales, 0.75, 20, 10, bins=4096).collect()}
+    found = {r.pool: r for r in quality.estimates(vectors, names, scales, 0.75, 20, 10, bins=4096, least_step=1e-9).collect()}
     assert found.keys() == data.keys()
     for pool, part in data.items():
         det, mean = least_determinant(part, scales, 0.75)
@@ -341,7 +341,7 @@ def test_estimate_is_its_own_concentration_step(spark):
     data = draw.multivariate_normal([1000, 2000], [[900, 500], [500, 1600]], 400).round().astype(int)
     data[:40] += 4000
     rows = spark.createDataFrame([("p", int(x), int(y)) for x, y in data], "pool string, x long, y long")
-    found = quality.estimates(rows, names, scales, 0.75, 30, 10, bins=4096).first()
+    found = quality.estimates(rows, names, scales, 0.75, 30, 10, bins=4096, least_step=1e-9).first()
     mean = np.array(found["mean"])
     assert np.allclose(mean, [1000, 2000], atol=15)
     a, b, c = found["inverse"]
@@ -353,7 +353,7 @@ def test_estimate_is_its_own_concentration_step(spark):
     assert np.allclose(inverse, np.linalg.inv(covariance), rtol=1e-6)
     assert found["det"] == pytest.approx(np.linalg.slogdet(covariance)[1], rel=1e-6)
     assert distance[:40].min() > 100 * np.median(distance)
-    again = quality.estimates(rows.repartition(7), names, scales, 0.75, 30, 10, bins=4096).first()
+    again = quality.estimates(rows.repartition(7), names, scales, 0.75, 30, 10, bins=4096, least_step=1e-9).first()
     assert again == found
 
 
@@ -379,6 +379,39 @@ def test_toxicity_beats_chance_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
 
 
+def test_toxicity_equals_numpy(spark):
+    """Ratios, and the score of a text, by plain counting over its distinct n-grams."""
+    texts = [(prose(i, 12) + (" zounds" if i % 3 == 0 else ""), int(i % 3 == 0)) for i in range(60)]
+    scratch = np.zeros(toxicity.BUCKETS, bool)
+    sets = [set(toxicity.buckets_of(t, scratch).tolist()) for t, _ in texts]
+    ones, zeros = (Counter(b for s, (_, y) in zip(sets, texts, strict=True) if y == label for b in s) for label in (1, 0))
+    share = (20 + 1) / (60 + 2)
+    want = np.zeros(toxicity.BUCKETS)
+    for b in ones | zeros:
+        n = ones[b] + zeros[b]
+        want[b] = np.log((ones[b] + 1) / (n * share + 1)) - np.log((zeros[b] + 1) / (n * (1 - share) + 1))
+    pairs = spark.createDataFrame([(y, sorted(s)) for s, (_, y) in zip(sets, texts, strict=True)], "label int, features array<int>")
+    table, base = toxicity.ratios(pairs, 1.0)
+    assert np.allclose(table, want) and base == pytest.approx(share)
+    labelled = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(texts)], "doc_id long, text string, label int")
+    weights, intercept = toxicity.fit(labelled)
+    assert not weights[(np.abs(want) < 0.5)].any()
+    for row in toxicity.score(labelled, weights, intercept).collect():
+        total = intercept + weights[sorted(sets[row.doc_id])].astype(np.float32).sum(dtype=float)
+        assert row.score == pytest.approx(1 / (1 + np.exp(-total)), rel=1e-6)
+
+
+def test_labels_are_drawn_before_texts(spark):
+    """The draw takes rows by key and label alone, about as many as asked for, the same ones each time."""
+    labels = spark.range(20_000).selectExpr("id AS doc_id", "IF(id % 10 = 0, NULL, id % 3) AS label")
+    drawn = toxicity.draw(labels, train_rows=2000)
+    assert 1800 < drawn.count() < 2200
+    assert drawn.where("label IS NULL OR label = 2").isEmpty()
+    ids = {r.doc_id for r in drawn.collect()}
+    assert ids == {r.doc_id for r in toxicity.draw(labels.repartition(5), train_rows=2000).collect()}
+    assert toxicity.draw(labels).count() == labels.where("label IN (0, 1)").count()
+
+
 def test_toxicity_learns_words_and_survives_edges(spark, make, edges):
     texts = [(i, prose(i, 40) + (" zounds" if i % 4 == 0 else "")) for i in range(200)]
     labelled = spark.createDataFrame([(i, t, int(i % 4 == 0)) for i, t in texts] + [(900, None, None), (901, None, 0), (902, "x", 5)], "doc_id long, text string, label int")

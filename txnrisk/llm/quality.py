@@ -47,7 +47,8 @@ UNIT = 1000  # a vector's numbers are in thousandths
 BINS_PER_DOUBLING = 64
 DOUBLINGS = 128  # distances beyond so many share a bin
 SHRINK = 0.05  # share of the unit matrix in the starting correlations, which may be singular
-SETTLED = 1e-9  # logarithm of the determinant by which a step has to lower it
+SETTLED = 1e-4  # a step that lowers the determinant by a smaller share ends its start
+FEW = 8  # tasks that hold the parameters, a row for each pool and start
 
 
 def repeated_words(words: list[str], size: int = 3) -> int:
@@ -221,12 +222,12 @@ def starts(vectors: DataFrame, names: list[str], scales: list[float]) -> DataFra
     ]
     turned = vectors.join(centres, "pool").select("pool", F.inline(F.array(*kinds)))
     summed = turned.groupBy("pool", "start").agg(*sums_of([F.col("z")[i] for i in width])).join(centres, "pool")
-    begun = summed.withColumn("begun", start_udf()("start", "n", "sums", "products", "mid", "dev"))
+    begun = summed.coalesce(FEW).withColumn("begun", start_udf()("start", "n", "sums", "products", "mid", "dev"))
     return alone.unionByName(begun.select("pool", "start", "begun.mean", "begun.inverse"))
 
 
 def concentrate(
-    vectors: DataFrame, params: DataFrame, names: list[str], scales: list[float], share: float, bins: int
+    vectors: DataFrame, params: DataFrame, names: list[str], scales: list[float], share: float, bins: int, least_step: float
 ) -> DataFrame:
     """One concentration step of each pool and start.
 
@@ -246,10 +247,10 @@ def concentrate(
         F.max(F.when(F.col("before") < F.col("total") * 0.5, F.col("bin"))).alias("median_bin"),
     )
     near = placed.join(cuts, by).where("bin <= cut").groupBy(*by).agg(*sums_of([F.col(n) for n in names]))
-    found = near.withColumn("found", estimate_udf(scales)("n", "sums", "products")).select(*by, "found")
+    found = near.coalesce(FEW).withColumn("found", estimate_udf(scales)("n", "sums", "products")).select(*by, "found")
     middle = F.pow(2.0, (F.col("median_bin") + 0.5) / bins) - 1
     joined = params.drop("scale", "settled").join(found, by).join(cuts.drop("cut"), by)
-    settled = F.col("found.det") > F.col("det") - SETTLED
+    settled = F.col("found.det") > F.col("det") - least_step
     return joined.select(
         *by,
         *(F.when(settled, F.col(c)).otherwise(F.col(f"found.{c}")).alias(c) for c in ("mean", "inverse", "det")),
@@ -266,6 +267,7 @@ def estimates(
     steps: int,
     least: int,
     bins: int = BINS_PER_DOUBLING,
+    least_step: float = SETTLED,
 ) -> DataFrame:
     """The estimate of each pool with ``least`` rows: mean, inverse covariance, determinant, distance scale.
 
@@ -273,22 +275,23 @@ def estimates(
     given as a logarithm. ``steps``: most concentration steps of a start; ``bins``: distance bins
     for each doubling of the distance, the more the nearer a subset comes to ``share``. The rows of
     one bin stay together, and ties of the determinant go to the start first by name.
+    ``least_step``: how far a step has to lower the logarithm for its start to go on.
     """
     table = Steps(vectors.sparkSession, "quality")
     large = vectors.groupBy("pool").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") >= least).select("pool")
     pooled = table.put("pooled", vectors.join(large, "pool"))
-    begun = starts(pooled, names, scales)
+    begun = starts(pooled, names, scales).coalesce(FEW)
     params = table.put("params", begun.withColumn("det", F.lit(float("inf"))))
     best = Window.partitionBy("pool").orderBy("det", "start")
     for step in range(1, steps + 1):
-        params = table.put("params", concentrate(pooled, params, names, scales, share, bins))
+        params = table.put("params", concentrate(pooled, params, names, scales, share, bins, least_step).coalesce(FEW))
         if step == 2:
             ranked = params.withColumn("place", F.row_number().over(best)).where("place <= 2").drop("place")
-            params = table.put("params", ranked)
+            params = table.put("params", ranked.coalesce(FEW))
         if params.where(~F.col("settled")).isEmpty():
             break
     chosen = params.withColumn("place", F.row_number().over(best)).where("place = 1")
-    found = table.put("estimates", chosen.select("pool", "start", "mean", "inverse", "det", "scale"))
+    found = table.put("estimates", chosen.select("pool", "start", "mean", "inverse", "det", "scale").coalesce(FEW))
     table.drop("pooled", "params")
     return found
 
@@ -297,7 +300,7 @@ def judge(
     measured: DataFrame,
     keys: tuple[str, str] = ("lang", "source"),
     share: float = 0.75,
-    steps: int = 12,
+    steps: int = 10,
     least: int = 60,
     reject: float = 1e-9,
 ) -> DataFrame:
