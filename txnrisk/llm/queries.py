@@ -153,8 +153,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2).alias("held_out")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    training = docs.where(~held_out).join(labels, "doc_id")
-    weights, intercept = toxicity.fit(training)
+    # Drawn by label, before any text is joined: the texts of other rows are never shuffled.
+    drawn = toxicity.draw(labels.where(~held_out))
+    weights, intercept = toxicity.fit(docs.join(drawn, "doc_id"))
     scored = toxicity.score(docs, weights, intercept)
     return scored.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

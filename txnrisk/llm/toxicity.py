@@ -81,6 +81,21 @@ def ratios(pairs: DataFrame, smoothing: float) -> tuple[np.ndarray, float]:
     return table, share
 
 
+def draw(
+    labelled: DataFrame, key: str = "doc_id", label: str = "label", train_rows: int = TRAIN_ROWS, seed: int = 11
+) -> DataFrame:
+    """About ``train_rows`` of the rows with a label of 0 or 1, by a hash of the key; all, if fewer.
+
+    Rows of one key, and those without a key, are drawn together. Needs no text: draw before texts are joined.
+    """
+    known = labelled.where(F.col(f"`{label}`").isin(0, 1))
+    n = known.count()
+    if n <= train_rows:
+        return known
+    place = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.lit(1 << 20))
+    return known.where(place < int((1 << 20) * train_rows / n))
+
+
 def fit(
     labelled: DataFrame,
     key: str = "doc_id",
@@ -101,11 +116,7 @@ def fit(
     """
     ship(labelled.sparkSession)
     steps = Steps(labelled.sparkSession, "toxicity")
-    known = labelled.where(F.col(f"`{label}`").isin(0, 1))
-    n = known.count()
-    if n > train_rows:
-        drawn = F.pmod(F.xxhash64(F.lit(seed), F.col(f"`{key}`")), F.lit(1 << 20))
-        known = known.where(drawn < int((1 << 20) * train_rows / n))
+    known = draw(labelled, key, label, train_rows, seed)
     texts = known.select(F.col(f"`{label}`").cast("int").alias("label"), F.col(f"`{text}`").alias("text"))
     rows = steps.put("features", texts.mapInPandas(feature_batches, "label int, features array<int>"))
     table, base = ratios(rows, smoothing)
