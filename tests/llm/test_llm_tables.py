@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -15,6 +16,7 @@ from llm_texts import SF, prose
 
 import corpus_pipeline
 from txnrisk.llm import lines, mixing, neardup, queries, quality, topk, warc
+from txnrisk.sources.scratch import scratch_root
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, name):
@@ -438,6 +440,25 @@ def test_pipeline_survives_an_empty_table(spark, make):
     assert docs.count() == 0
 
 
+def test_pipeline_run_equals_its_stages(spark, make, tmp_path):
+    """``run`` gives what the stages give one after the other, and leaves only the last table."""
+    page = [(i, f"{prose(i, 90)}\n{prose(5, 14)}\n{prose(40 + i, 60)}", "ab"[i % 2]) for i in range(1, 70)]
+    docs = make([*page, (70, page[0][1], "a"), (71, "short", "b"), (72, None, "b")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    root = scratch_root(spark)
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    left = {name for name in set(os.listdir(root)) - before if name.startswith("pipeline-")}
+    assert [name.rsplit("-", 1)[0] for name in left if "unique" not in name] == ["pipeline-sentencepiece"]
+    want = docs
+    for _, stage in corpus_pipeline.STAGES:
+        want = stage(spark, want, str(tmp_path))
+    assert got.columns == want.columns
+    rows = got.collect()
+    assert {71, 72}.isdisjoint(r.doc_id for r in rows) and len({r.doc_id for r in rows} & {1, 70}) < 2
+    assert sorted(map(str, rows)) == sorted(map(str, want.collect()))
+
+
 def test_pipeline_cuts_long_lines_of_two_documents(spark, make):
     """A long line of two different texts goes from the later one; near-duplicates go whole, not in parts."""
     shared, short = prose(1, 30), "a short line of two"

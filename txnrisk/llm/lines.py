@@ -27,40 +27,44 @@ PARTS = 4
 RAW = r"split(trim(regexp_replace(line, r'\s+', ' ')), ' ')"
 
 
-def template_keys(lead: int, general: int, constants: bool = False) -> Column:
-    """Keys of the templates of ``tokens``: of all, and for longer lines without one quarter.
+def without_part(tokens: str, lead: int, part: str) -> tuple[str, str]:
+    """The tokens before and after one quarter of those that come after the leading ones."""
+    start = f"{lead} + (size({tokens}) - {lead}) * {part} div {PARTS}"
+    stop = f"{lead} + (size({tokens}) - {lead}) * ({part} + 1) div {PARTS}"
+    return f"slice({tokens}, 1, cast({start} AS int))", f"slice({tokens}, cast({stop} AS int) + 1, size({tokens}))"
 
-    ``constants``: templates of fields only are of the tokens of ``line`` as they are.
-    """
 
-    def keys(tokens: str, other: str | None = None) -> list[str]:
-        whole, parts = f"xxhash64(-1, size({tokens}), {tokens})", []
-        for part in range(PARTS):
-            start = f"{lead} + (size(tokens) - {lead}) * {part} div {PARTS}"
-            stop = f"{lead} + (size(tokens) - {lead}) * {part + 1} div {PARTS}"
+def template_keys(lead: int, general: int) -> str:
+    """Keys of the templates of ``tokens``: of all, and for longer lines without one quarter."""
+    whole = "xxhash64(-1, size(tokens), tokens)"
+    parts = []
+    for part in range(PARTS):
+        before, after = without_part("tokens", lead, str(part))
+        parts.append(f"xxhash64({part}, size(tokens), {before}, {after})")
+    return f"IF(size(tokens) >= {general}, array({whole}, {', '.join(parts)}), array({whole}))"
+
 
-            def key(of: str, start: str = start, stop: str = stop, part: int = part) -> tuple[str, str]:
-                before = f"slice({of}, 1, cast({start} AS int))"
-                after = f"slice({of}, cast({stop} AS int) + 1, size({of}))"
-                return f"xxhash64({part}, size({of}), {before}, {after})", f"concat({before}, {after})"
+def few_constants(lead: int) -> str:
+    """Whether the constant tokens fit into one quarter: only then can a template be without them."""
+    return f"constants <= greatest(size(tokens) - {lead}, 0) div {PARTS} + 1"
 
-            hashed, rest = key(tokens)
-            if other:
-                hashed = f"IF(size(array_remove({rest}, '{FIELD}')) = 0, {key(other)[0]}, {hashed})"
-            parts.append(hashed)
-        return [whole, *parts]
 
-    def by_size(keys: list[str]) -> str:
-        return f"IF(size(tokens) >= {general}, array({', '.join(keys)}), array({keys[0]}))"
+def constant_keys(lead: int, general: int) -> str:
+    """As ``template_keys``, but templates of fields only are of the line's own tokens, ``raw``.
 
-    usual = by_size(keys("tokens"))
-    if not constants:
-        return F.expr(usual)
-    # Only where the constant tokens fit into one quarter can a template be without them.
-    number = f"size(array_remove(tokens, '{FIELD}'))"
-    few = f"{number} <= greatest(size(tokens) - {lead}, 0) div {PARTS} + 1"
-    raw = f"array(xxhash64(-2, size(tokens), {RAW}))"
-    return F.expr(f"CASE WHEN {number} = 0 THEN {raw} WHEN {few} THEN {by_size(keys('tokens', RAW))} ELSE {usual} END")
+    ``raw`` may be null where constant tokens do not fit into one quarter.
+    """
+    before, after = without_part("tokens", lead, "part")
+    raw = f"xxhash64(part, size(raw), {', '.join(without_part('raw', lead, 'part'))})"
+    key = f"xxhash64(part, size(tokens), {before}, {after})"
+    bare = f"size(array_remove(concat({before}, {after}), '{FIELD}')) = 0"
+    parts = f"transform(sequence(0, {PARTS - 1}), part -> IF({bare}, {raw}, {key}))"
+    few = f"size(tokens) >= {general} AND {few_constants(lead)}"
+    return (
+        f"CASE WHEN constants = 0 THEN array(xxhash64(-2, size(tokens), raw)) "
+        f"WHEN {few} THEN concat(array(xxhash64(-1, size(tokens), tokens)), {parts}) "
+        f"ELSE {template_keys(lead, general)} END"
+    )
 
 
 def content() -> list[Column]:
@@ -99,10 +103,17 @@ def drop_recurring(
     lines = texts.select("key", *content(), F.posexplode(F.split("text", "\n")).alias("at", "line"))
     masked = F.trim(F.regexp_replace(F.regexp_replace("line", r"[^\s]*[0-9][^\s]*", FIELD), r"\s+", " "))
     lines = lines.withColumn("tokens", F.split(masked, " ")).withColumn("long", F.size("tokens") >= least)
-    keys = F.when(F.col("long"), template_keys(lead, general, constants))
+    # A line's own tokens are split only where a key needs them.
+    needed = "NOT long"
+    if constants:
+        lines = lines.withColumn("constants", F.expr(f"size(array_remove(tokens, '{FIELD}'))"))
+        needed = f"NOT long OR {few_constants(lead)}"
+    if constants or characters is not None:
+        lines = lines.withColumn("raw", F.expr(f"IF({needed}, {RAW}, NULL)"))
+    keys = F.when(F.col("long"), F.expr(constant_keys(lead, general) if constants else template_keys(lead, general)))
     if characters is not None:
-        wide = F.expr(f"length(array_join({RAW}, ' ')) >= {characters}")
-        keys = keys.when(wide, F.expr(f"array(xxhash64(-2, size(tokens), {RAW}))"))
+        wide = F.expr(f"length(array_join(raw, ' ')) >= {characters}")
+        keys = keys.when(wide, F.expr("array(xxhash64(-2, size(tokens), raw))"))
     lines = lines.select("key", "c1", "c2", "at", keys.alias("keys"))
     owner = F.min(F.struct(F.col("key").isNull().alias("none"), "key"))
     lines = lines.groupBy("c1", "c2", "at").agg(owner.alias("owner"), F.first("keys").alias("keys"))
