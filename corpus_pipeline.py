@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txnrisk.llm import lines, mixing, neardup, pieces, quality
-from txnrisk.llm.common import free_name, scratch_path, stage, table
+from txnrisk.llm.common import free_name, remove, scratch_path, stage, table
 from txnrisk.llm.queries import piece_model
 
 # Tokens of a line that goes when only one other text has it; a line length that none has.
@@ -70,10 +70,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply all stages to the documents. A stage's table goes when the next one is written."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, apply in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         apply(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if last:
+            remove(spark, last)
+        last = path
     return docs
