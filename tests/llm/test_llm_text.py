@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -256,6 +258,69 @@ def test_novelty_before_a_sensitive_word():
         assert secrets.novel_spans(f"the {word} of a token", 40, 256, 4.5) == []
 
 
+# Rare words, identifiers and places, none of them a key.
+PLAIN_TOKENS = [
+    "disenfranchisement", "electroencephalogram", "counterrevolutionaries", "AuthenticationManagerBuilder",
+    "internationalization", "characterization", "desafortunadamente", "interoperability_and_standards",
+    "en.wikipedia.org/wiki/Public-key_cryptography", "src/main/java/org/example/AuthenticationFilter.java",
+    "constitutionally-guaranteed", "anticonstitutionnellement", "telecommunications",
+]
+
+
+def test_words_near_a_sensitive_word_are_no_secrets():
+    ranks = secrets.read_ranks(queries.byte_pairs())
+    for word in PLAIN_TOKENS:
+        for text in (f"the {word} of a token", f"password {word}", f"{word} secret"):
+            assert secrets.novel_spans(text, 40, 256, 4.5, ranks=ranks) == [], text
+
+
+@pytest.mark.parametrize("alphabet", [string.ascii_lowercase, string.ascii_uppercase, string.digits, string.ascii_letters + string.digits + "+/"])
+@pytest.mark.parametrize("length", [20, 24, 40])
+def test_random_keys_are_found_with_the_vocabulary(alphabet, length):
+    draw, ranks = random.Random(5), secrets.read_ranks(queries.byte_pairs())
+    for _ in range(200):
+        key = "k" + "".join(draw.choices(alphabet, k=length - 1))
+        assert secrets.novel_spans(f"Bearer {key}", 40, 256, 4.5, ranks=ranks) == [("novel", 7, 7 + length)]
+
+
+def test_tokens_of_the_corpus_are_familiar(make):
+    """A token that stands in several contexts is known; a key in any number of copies is not."""
+    name, key = "Bundesverfassungsgericht", "Zq8vT1xLw93KfYb2RmUo5Hd7"
+    docs = [(i, f"{prose(i, 4)} {name} {prose(50 + i, 4)} the far away part of a long enough text") for i in range(5)]
+    docs += [(10 + i, f"bearer {key} {prose(70 + i, 3)}") for i in range(30)]
+    docs += [(50, f"the secret {name} of"), (51, None), (52, ""), (53, "0" * 40)]
+    known = {r.token: r.n for r in secrets.familiar_tokens(make(docs)).collect()}
+    assert known == {name: 5}
+    assert secrets.familiar_tokens(make(docs), contexts=6).count() == 0
+    assert secrets.familiar_tokens(make(docs), contexts=1, most=1).count() == 1
+    spans = {r.doc_id: r.spans for r in secrets.scan(make(docs)).collect()}
+    assert spans[50] == "" and {spans[10 + i] for i in range(30)} == {"novel:7:31"}
+    assert secrets.scan(make(docs), contexts=100).where("doc_id = 50").first().spans == "novel:11:35"
+    assert secrets.familiar_tokens(make([])).count() == 0
+
+
+def test_long_runs_of_one_token_take_linear_time():
+    started = time.process_time()
+    secrets.uses("token " + "ab12" * 200_000 + " " + "wordwordwordword " * 40_000, 40)
+    assert time.process_time() - started < 5
+
+
+def test_read_ranks_refuses_large_files(tmp_path):
+    (tmp_path / "ranks").write_bytes(b"x" * 11)
+    with pytest.raises(ValueError, match="larger than 10"):
+        secrets.read_ranks(str(tmp_path / "ranks"), 10)
+
+
+def test_op10_base_on_the_whole_table(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    rows = queries.op10_secret_scan(spark, SF).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        want = base_secrets(texts[row.doc_id] or "")
+        assert (row.n_assign, row.n_access, row.n_hex, row.base_sha256) == want[:4]
+        assert set(filter(None, want[4].split(","))) <= set(row.spans.split(","))
+
+
 def test_secret_scan_whole_table(make, edges):
     rows = secrets.scan(make(edges)).collect()
     assert len(rows) == len(edges)

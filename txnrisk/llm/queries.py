@@ -40,6 +40,11 @@ def piece_model() -> str:
     return os.environ.get("PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+def byte_pairs() -> str:
+    """The vocabulary file of byte pairs: the one that BYTE_PAIRS names, else the machine's."""
+    return os.environ.get("BYTE_PAIRS", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+
+
 @query
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
@@ -208,7 +213,7 @@ FROM reached JOIN sets USING (doc_id) GROUP BY doc_id
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return secrets.scan(docs).drop("text")
+    return secrets.scan(docs, ranks_file=byte_pairs()).drop("text")
 
 
 @query

@@ -1,23 +1,33 @@
 """Secrets in text: three exact patterns, and strings that a primed compressor finds new.
 
 A candidate is a long token that stands near a sensitive word, before or after it. Its marginal size is the
-zstandard size of context and candidate less the size of the context alone, with a dictionary of
-common long words and identifiers as prefix: text that repeats its surroundings or these costs few
-bytes, a key costs almost all of its own. Candidates that cost at least ``bits`` bits a
-character are reported as ``novel``.
+zstandard size of context and candidate less the size of the context alone, with a dictionary as
+prefix: text that repeats its surroundings or the dictionary costs few bytes, a key costs almost
+all of its own. Candidates that cost at least ``bits`` bits a character are new.
 
-Each text is handled whole and alone, in Arrow batches, so nothing is shuffled.
+The dictionary holds common identifiers and the corpus's own long tokens: those that stand in
+several contexts without a sensitive word. A key in use stands near such words, however many
+copies of its text there are, so it does not get in. It is counted over all texts; the most
+frequent ones, a bounded number, prime the compressor.
+
+What is new to the dictionary may still be a rare word or a path. A vocabulary of byte pairs tells
+them apart: words fall into few long pieces, keys into many short ones. New candidates of fewer
+than ``plain`` characters a piece are reported as ``novel``.
+
+Each text is handled whole and alone, in Arrow batches; only long tokens are shuffled.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from bisect import bisect_left
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import pandas as pd
+import tiktoken
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +65,7 @@ IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ ________________ ---------------- ================"
 )
 
-# Long words of plain prose, so that they cost few bytes; a long word that is not here counts as new.
+# Long words of plain prose, so that they cost few bytes even in a corpus that lacks them.
 LONG_WORDS = (
     "internationalization internationalisation characterization misunderstanding notwithstanding telecommunications "
     "counterproductive extraordinarily disproportionately environmentally acknowledgements responsibilities "
@@ -68,21 +78,56 @@ LONG_WORDS = (
     "responsabilidades internacionalmente características administraciones electrodomésticos "
 )
 
+WORDS = re.compile(r"[A-Za-z]+|[0-9]")
+RANKS_BYTES = 16 << 20
+
+
+def prime(familiar: Sequence[str] = ()) -> bytes:
+    """The dictionary: familiar tokens, the most frequent one last, then long words and identifiers."""
+    return " ".join([*reversed(familiar), LONG_WORDS + IDENTIFIERS]).encode()
 
-@cache
-def compressor(level: int) -> zstandard.ZstdCompressor:
-    """A compressor primed with long words and the identifiers."""
-    primed = zstandard.ZstdCompressionDict((LONG_WORDS + IDENTIFIERS).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+
+@lru_cache(4)
+def compressor(level: int, dictionary: bytes) -> zstandard.ZstdCompressor:
+    primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     return zstandard.ZstdCompressor(level=level, dict_data=primed, write_content_size=False)
 
 
-def marginal_bits(context: str, candidate: str, level: int = 9) -> float:
+def marginal_bits(context: str, candidate: str, dictionary: bytes, level: int = 9) -> float:
     """Bits a character that the candidate adds to its compressed context."""
-    pack = compressor(level).compress
+    pack = compressor(level, dictionary).compress
     before = context.encode("utf-8", "surrogatepass")
     return 8 * (len(pack(before + candidate.encode())) - len(pack(before))) / len(candidate)
 
 
+def read_ranks(path: str, most_bytes: int = RANKS_BYTES) -> bytes:
+    """A vocabulary file of byte pairs; one of more than ``most_bytes`` is refused."""
+    with open(path, "rb") as f:
+        content = f.read(most_bytes + 1)
+    if len(content) > most_bytes:
+        raise ValueError(f"the vocabulary file is larger than {most_bytes} bytes")
+    return content
+
+
+@lru_cache(2)
+def vocabulary(ranks: bytes) -> tiktoken.Encoding:
+    """The vocabulary, read once in each Python worker."""
+    pairs = (line.split() for line in ranks.splitlines())
+    merges = {base64.b64decode(token): int(rank) for token, rank in pairs}
+    return tiktoken.Encoding("ranks", pat_str=r"(?s).+", mergeable_ranks=merges, special_tokens={})
+
+
+def piece_length(token: str, ranks: bytes) -> float:
+    """Characters a piece of the token's words, each as it stands or in lower case, whichever takes fewer pieces.
+
+    Digits are pieces of their own; other characters part words and do not count.
+    """
+    pieces = vocabulary(ranks).encode_ordinary
+    words = WORDS.findall(token)
+    count = sum(min(len(pieces(word)), len(pieces(" " + word.lower()))) for word in words)
+    return sum(map(len, words)) / count if count else float("inf")
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the exact patterns, leftmost and non-overlapping for each kind."""
     low = text.lower()
@@ -125,7 +170,15 @@ def candidates(text: str, reach: int) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def novel_spans(text: str, reach: int, around: int, bits: float) -> list[tuple[str, int, int]]:
+def novel_spans(
+    text: str,
+    reach: int,
+    around: int,
+    bits: float,
+    dictionary: bytes = prime(),
+    ranks: bytes | None = None,
+    plain: float = 3.0,
+) -> list[tuple[str, int, int]]:
     """Incompressible tokens within ``reach`` characters of a sensitive word, on either side."""
     out = []
     for start, end in candidates(text, reach):
@@ -133,11 +186,46 @@ def novel_spans(text: str, reach: int, around: int, bits: float) -> list[tuple[s
         if len(token) < LEAST:
             continue
         context = text[max(0, start - around) : start] + text[end : end + around]
-        if marginal_bits(context, token) >= bits:
+        if marginal_bits(context, token, dictionary) >= bits and (ranks is None or piece_length(token, ranks) < plain):
             out.append(("novel", start, start + len(token)))
     return out
 
 
+def uses(text: str | None, reach: int) -> set[tuple[str, str]]:
+    """Long tokens without a sensitive word near them, each with the characters before it."""
+    text = text or ""
+    near, i, out = candidates(text, reach), 0, set()
+    for token in CANDIDATE.finditer(text):
+        start, end = token.span()
+        while i < len(near) and near[i][1] <= start:
+            i += 1
+        if i == len(near) or near[i][0] >= end:
+            out.add((token[0].rstrip(".=-")[:LONGEST], text[max(0, start - BEFORE) : start]))
+    return {(token, before) for token, before in out if len(token) >= LEAST}
+
+
+# Characters of a token that go into the dictionary; characters that tell two of its contexts apart.
+LONGEST, BEFORE = 64, 12
+
+
+def familiar_tokens(df: DataFrame, text: str = "text", reach: int = 40, contexts: int = 3, most: int = 2000) -> DataFrame:
+    """``token`` and ``n``: long tokens in at least ``contexts`` contexts without a sensitive word, the ``most`` frequent.
+
+    A context is the few characters before the token, so copies of a text count once. Tokens are
+    counted over all texts; ties go to the smaller token. Null and empty texts have no tokens.
+    """
+    ship(df.sparkSession)
+
+    def use_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = set().union(*(uses(value, reach) for value in batch["text"]))
+            yield pd.DataFrame([(t, hashlib.sha256(b.encode("utf-8", "surrogatepass")).digest()[:8]) for t, b in found], columns=["token", "before"])
+
+    used = df.select(F.col(f"`{text}`").alias("text")).mapInPandas(use_batches, "token string, before binary")
+    counts = used.distinct().groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") >= contexts).orderBy(F.desc("n"), "token").limit(most)
+
+
 def joined(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{kind}:{start}:{end}" for kind, start, end in spans)
 
@@ -145,12 +233,20 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 FIELDS = "n_assign long, n_access long, n_hex long, base_sha256 string, spans string"
 
 
-def scan_text(text: str | None, reach: int = 40, around: int = 256, bits: float = 4.5):
+def scan_text(
+    text: str | None,
+    reach: int = 40,
+    around: int = 256,
+    bits: float = 4.5,
+    dictionary: bytes = prime(),
+    ranks: bytes | None = None,
+    plain: float = 3.0,
+):
     """The fields of one text."""
     text = text or ""
     base = base_spans(text)
     kinds = [kind for kind, _, _ in base]
-    spans = sorted({*base, *novel_spans(text, reach, around, bits)}, key=order)
+    spans = sorted({*base, *novel_spans(text, reach, around, bits, dictionary, ranks, plain)}, key=order)
     return (
         kinds.count("assign"),
         kinds.count("access"),
@@ -160,23 +256,40 @@ def scan_text(text: str | None, reach: int = 40, around: int = 256, bits: float
     )
 
 
-def scan(df: DataFrame, text: str = "text", reach: int = 40, around: int = 256, bits: float = 4.5) -> DataFrame:
+def scan(
+    df: DataFrame,
+    text: str = "text",
+    reach: int = 40,
+    around: int = 256,
+    bits: float = 4.5,
+    ranks_file: str | None = None,
+    plain: float = 3.0,
+    contexts: int = 3,
+    most: int = 2000,
+) -> DataFrame:
     """Append the secrets of a text.
 
     ``n_assign``, ``n_access``, ``n_hex``: matches of the exact patterns; ``base_sha256``: digest
     of their spans; ``spans``: all spans as ``kind:start:end`` by start, then kind (code points,
     end exclusive). ``reach``: characters between a sensitive word and a candidate; ``around``:
-    characters of context on each side; ``bits``: least marginal bits a character.
+    characters of context on each side; ``bits``: least marginal bits a character; ``contexts`` and
+    ``most``: as in ``familiar_tokens``, whose tokens (at most 65 ``most`` bytes) come to the driver;
+    ``ranks_file``: a vocabulary of byte pairs, without which rare words count as new;
+    ``plain``: characters a piece from which a token is words.
 
     A null text counts as empty: no spans, the digest of the empty string. Rows are never dropped
     or joined, so repeated rows stay. Columns with a name of the output are replaced.
     """
     ship(df.sparkSession)
     names = [f.split()[0] for f in FIELDS.split(", ")]
+    familiar = familiar_tokens(df, text, reach, contexts, most)
+    known = df.sparkSession.sparkContext.broadcast(
+        (prime([row["token"] for row in familiar.collect()]), read_ranks(ranks_file) if ranks_file else None)
+    )
 
     def scan_batches(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.DataFrame([scan_text(value, reach, around, bits) for value in texts], columns=names)
+            yield pd.DataFrame([scan_text(value, reach, around, bits, *known.value, plain) for value in texts], columns=names)
 
     scanned = F.pandas_udf(scan_batches, FIELDS)
-    return with_fields(df, scanned(F.col(text)), names)
+    return with_fields(df, scanned(F.col(f"`{text}`")), names)
