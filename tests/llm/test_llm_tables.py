@@ -39,8 +39,12 @@ def template_keys(line, lead=3, least=3, general=12):
     return keys
 
 
-def cut_lines(docs, documents=3):
+def cut_lines(docs, documents=3, pair=None):
     """(text, number of lines cut) of each document that stays, by row."""
+
+    def enough(k):
+        return 2 if pair is not None and k[0] == -1 and k[1] >= pair else documents
+
     owner = {}
     for key, text in docs:
         rank = (key is None, key or 0)
@@ -55,7 +59,7 @@ def cut_lines(docs, documents=3):
     for key, text in docs:
         parts = (text or "").split("\n")
         gone = [
-            any(len(having[k]) >= documents and first[k] != (owner[text], at) for k in template_keys(line))
+            any(len(having[k]) >= enough(k) and first[k] != (owner[text], at) for k in template_keys(line))
             for at, line in enumerate(parts)
         ]
         kept = "\n".join(p for p, g in zip(parts, gone, strict=True) if not g)
@@ -94,7 +98,19 @@ def test_lines_leave_clean_documents_alone(make):
 def test_op2_equals_brute_force(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     got = [(r.doc_id, r.text, r.n_dropped) for r in queries.op2_line_dedup(spark, SF).collect()]
-    assert as_bag(got) == as_bag(cut_lines(docs))
+    assert as_bag(got) == as_bag(cut_lines(docs, pair=12))
+
+
+def test_a_long_line_of_two_texts_goes_from_the_later(make):
+    passage, short = prose(7, 60), prose(8, 11)
+    docs = [(i, f"{prose(10 + i, 30)}\n{passage}\n{short}\n{prose(20 + i, 40)}") for i in (3, 1)]
+    docs += [(5, docs[0][1]), (6, f"{prose(30, 20)}\n{passage.replace(' ', ' 7 ', 1)}")]  # a copy, and another line
+    got = lines.drop_recurring(make(docs), dropped="n", pair=12).collect()
+    assert {r.doc_id: r.n for r in got} == {1: 0, 3: 1, 5: 1, 6: 0}
+    assert as_bag((r.doc_id, r.text, r.n) for r in got) == as_bag(cut_lines(docs, pair=12))
+    assert as_bag((r.doc_id, r.text) for r in lines.drop_recurring(make(docs)).collect()) == as_bag(docs)
+    alone = [(1, f"{passage}\n{passage}\n{prose(9, 20)}")]  # one text is never enough
+    assert as_bag((r.doc_id, r.text) for r in lines.drop_recurring(make(alone), pair=12).collect()) == as_bag(alone)
 
 
 def test_long_lines_of_few_tokens_recur(make):

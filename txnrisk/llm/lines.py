@@ -8,7 +8,7 @@ the tree is never built in memory: counting documents by key is an aggregation w
 combination, and neither the order of lines nor the size of a leaf matters.
 
 A line goes if one of its templates stands in enough documents and an earlier line has it: the
-first line of a template stays. Documents with the same text count once, so that whole copies, which
+first line of a template stays. Two documents can be enough for a long line that is the same in both. Documents with the same text count once, so that whole copies, which
 are no templates, are left to near-duplicate removal.
 """
 
@@ -83,6 +83,7 @@ def drop_recurring(
     dropped: str | None = None,
     characters: int | None = None,
     constants: bool = False,
+    pair: int | None = None,
 ) -> DataFrame:
     """``df`` with the recurring lines cut out of ``text``; documents of which nothing is left go.
 
@@ -93,6 +94,7 @@ def drop_recurring(
     tokens that never do. ``dropped``: name of an added column with the number of lines cut.
     ``characters``: a line of so many characters recurs, as it is, even with fewer than ``least`` tokens.
     ``constants``: lines and templates of fields only recur by their own tokens, so only equal rows do.
+    ``pair``: least tokens of a line for which two different texts are enough, if all its tokens are the same.
 
     Lines end with a line feed; the lines kept are joined by line feeds, unchanged. Null and empty
     texts have no lines and their rows stay. Repeated rows stay or go together. All other columns
@@ -114,20 +116,27 @@ def drop_recurring(
     if characters is not None:
         wide = F.expr(f"length(array_join(raw, ' ')) >= {characters}")
         keys = keys.when(wide, F.expr("array(xxhash64(-2, size(tokens), raw))"))
-    lines = lines.select("key", "c1", "c2", "at", keys.alias("keys"))
+    # Texts that a line needs as it is; templates with a variable quarter need ``documents``.
+    enough = F.lit(documents) if pair is None else F.when(F.size("tokens") >= pair, min(2, documents)).otherwise(documents)
+    lines = lines.select("key", "c1", "c2", "at", keys.alias("keys"), enough.cast("tinyint" if documents < 128 else "int").alias("enough"))
     owner = F.min(F.struct(F.col("key").isNull().alias("none"), "key"))
-    lines = lines.groupBy("c1", "c2", "at").agg(owner.alias("owner"), F.first("keys").alias("keys"))
+    lines = lines.groupBy("c1", "c2", "at").agg(owner.alias("owner"), F.first("keys").alias("keys"), F.first("enough").alias("enough"))
     lines = steps.put("lines", lines)
 
-    found = lines.select(F.explode("keys").alias("template"), "c1", "c2", "at", "owner")
-    in_document = found.groupBy("template", "c1", "c2").agg(F.min(F.struct("owner", "c1", "c2", "at")).alias("first"))
-    counts = in_document.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("first"))
-    recurring = counts.where(F.col("n") >= documents)
+    found = lines.select(F.posexplode("keys").alias("place", "template"), "c1", "c2", "at", "owner", "enough")
+    found = found.withColumn("enough", F.expr(f"IF(place = 0, enough, {documents})"))
+    in_document = found.groupBy("template", "c1", "c2").agg(
+        F.min(F.struct("owner", "c1", "c2", "at")).alias("first"), F.min("enough").alias("enough")
+    )
+    counts = in_document.groupBy("template").agg(
+        F.count(F.lit(1)).alias("n"), F.min("first").alias("first"), F.min("enough").alias("enough")
+    )
+    recurring = counts.where("n >= enough")
     recurring = recurring.select("template", *(F.col(f"first.{c}").alias(f"first_{c}") for c in ("c1", "c2", "at")))
     recurring = steps.put("recurring", recurring)
 
     later = F.expr("c1 <> first_c1 OR c2 <> first_c2 OR at <> first_at")
-    cut = found.drop("owner").join(recurring, "template").where(later).select("c1", "c2", "at").distinct()
+    cut = found.drop("owner", "place", "enough").join(recurring, "template").where(later).select("c1", "c2", "at").distinct()
     cut = steps.put("cut", cut.withColumn("goes", F.lit(True)))
     touched = cut.select("c1", "c2").distinct()
     flags = lines.select("c1", "c2", "at").join(touched, ["c1", "c2"], "left_semi").join(cut, ["c1", "c2", "at"], "left")

@@ -57,7 +57,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without the lines that recur across documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return lines.drop_recurring(docs, dropped="n_dropped")
+    return lines.drop_recurring(docs, dropped="n_dropped", pair=12)
 
 
 ORACLES["op2_line_dedup"] = r"""
@@ -76,10 +76,11 @@ WITH texts AS (
         ['all ' || len(t) || ' ' || array_to_string(t, ' ')],
         CASE WHEN len(t) >= 12 THEN list_transform(range(4), lambda p: 'part ' || p || ' ' || len(t) || ' ' ||
             array_to_string(t[1:3 + (len(t) - 3) * p // 4], ' ') || ' | ' ||
-            array_to_string(t[3 + (len(t) - 3) * (p + 1) // 4 + 1:len(t)], ' ')) ELSE [] END)) AS template
+            array_to_string(t[3 + (len(t) - 3) * (p + 1) // 4 + 1:len(t)], ' ')) ELSE [] END)) AS template, len(t) AS n_tokens
     FROM masked WHERE len(t) >= 3
 ), recurring AS (
-    SELECT template, min((owner, pos)) AS first FROM keyed GROUP BY template HAVING count(DISTINCT text) >= 3
+    SELECT template, min((owner, pos)) AS first FROM keyed GROUP BY template, n_tokens
+    HAVING count(DISTINCT text) >= CASE WHEN template LIKE 'all %' AND n_tokens >= 12 THEN 2 ELSE 3 END
 ), cut AS (
     SELECT DISTINCT text, pos FROM keyed JOIN recurring USING (template) WHERE first <> (owner, pos)
 ), rebuilt AS (
