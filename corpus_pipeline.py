@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,12 @@ LONG_LINE, NEVER = 12, 2**31 - 1
 WIDE_LINE = 20
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: its cleaner acts on what the driver's heap no longer holds."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.judge(quality.measure(docs)).where("kept").select(*docs.columns)
@@ -44,7 +52,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     docs = docs.withColumn(row, own)
     kept = neardup.components(docs, key=row, size=5, percent=80).where("kept").select(row).distinct()
     first = docs.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
-    return drop_repeated_lines(stage(first, "pipeline-unique"))
+    unique = stage(first, "pipeline-unique")
+    release(spark)
+    return drop_repeated_lines(unique)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -79,4 +89,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if last:
             remove(spark, last)
         last = path
+        release(spark)
     return docs
