@@ -93,6 +93,21 @@ def test_payloads(spark):
     assert len(vector) == 36 and list(vector[:3]) == [0.0, 1.0, 2.0]
 
 
+def test_filter_on_valid_parses_payloads_once(spark):
+    """The filter stays above the parsing, which it would repeat for each of its conditions."""
+    df = spark.range(5).selectExpr("cast(id AS string) AS value")
+    good = models.payload_valid(df, 17).where("valid")
+    for rows, times in ((good, 1), (models.payload_vector(good), 2)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json(") == times * (1 + len(V36_BLOCKS))
+
+
+def test_payload_columns_keep_their_place(spark):
+    df = spark.createDataFrame([(1, "x", 2)], "id int, value string, n int")
+    row = models.payload_valid(df, 17).first()
+    assert row.asDict() == {"id": 1, "value": "x", "n": 2, "n_features": 0, "valid": False}
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     df = spark.range(3000).selectExpr("id", "round((id * 7919 % 1000) / 1000, 2) AS score")

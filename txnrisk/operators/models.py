@@ -120,7 +120,11 @@ def payload_valid(df: DataFrame, size: int, value: str = "value") -> DataFrame:
 
 
 def payload_parsed(df: DataFrame, size: int, value: str = "value") -> DataFrame:
-    """``payload_valid``, and ``parsed``: the numbers of a valid payload in one array, else null."""
+    """``payload_valid``, and ``parsed``: the numbers of a valid payload in one array, else null.
+
+    The three come out of a generator of one row, below which Spark moves no filter: one on ``valid`` would repeat the
+    parsing, and whatever made the payload, for each of its conditions.
+    """
     entries = F.from_json(F.col(value), "struct<features:array<string>>")["features"]
     df = df.withColumn("__entries", entries)
     n_scalars = len(V36_SCALARS)
@@ -135,8 +139,10 @@ def payload_parsed(df: DataFrame, size: int, value: str = "value") -> DataFrame:
         # "NaN" and "Infinity" are numbers to a cast, but no features.
         number = F.forall(part, lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x))
         good &= F.coalesce((F.size(part) == width) & number, F.lit(False))
-    checked = parts.withColumn("n_features", n_features).withColumn("valid", good)
-    return checked.withColumn("parsed", F.when(F.col("valid"), F.flatten("__parts"))).drop("__entries", "__parts")
+    checked = parts.withColumn("__checked", F.struct(n_features.alias("n_features"), good.alias("valid")))
+    parsed = F.when(F.col("__checked.valid"), F.flatten("__parts")).alias("parsed")
+    row = F.array(F.struct("__checked.n_features", "__checked.valid", parsed))
+    return checked.select(*df.columns, F.inline(row)).drop("__entries")
 
 
 def payload_vector(df: DataFrame, value: str = "value", output: str = "features") -> DataFrame:
