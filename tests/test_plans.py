@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 
 import __spark_entry__ as entry
 from txnrisk.operators import incremental, ordering, quality
+from txnrisk.plans import jobs, queries
 from txnrisk.sources.scratch import stage
 
 # Building these runs jobs; their steps are covered by the tests of streams and jobs.
@@ -101,3 +104,19 @@ def test_hot_key_of_the_anti_join_is_split(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["score_rejects", "stream_score_forest"])
+def test_landing_rows_are_made_once(spark, sf, tmp_path, monkeypatch, name):
+    """The forest queries use the rows several times; after they are staged their source may be gone."""
+    source = str(tmp_path / "typed")
+    queries._typed(spark, sf).write.parquet(source)
+    monkeypatch.setattr(queries, "_typed", lambda spark, sf: spark.read.parquet(source))
+    train = jobs.train_forest
+
+    def train_without_source(*args, **params):
+        shutil.rmtree(source)
+        return train(*args, **params)
+
+    monkeypatch.setattr(jobs, "train_forest", train_without_source)
+    assert queries.REGISTRY[name](spark, sf).count() > 0

@@ -991,7 +991,7 @@ def vocab_merge(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def score_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """What two runs of a saved forest put aside, each row once, and how many rows of the input are in neither."""
-    path, raw = scratch_path(spark, "forest"), _typed(spark, sf)
+    path, raw = scratch_path(spark, "forest"), stage(_typed(spark, sf), "raw")
     jobs.train_forest(stage(jobs.feature_rows(raw), "features"), VOCABULARY, path, numTrees=3)
     predictions, rejects = (PathTable(scratch_path(spark, p)) for p in ("predictions", "rejects"))
     for part in (raw.where(hash_bucket("transaction_id") < 60), raw):
@@ -1024,7 +1024,7 @@ def stream_score_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_score_forest(spark: SparkSession, sf: str) -> DataFrame:
     """A saved forest over a stream of landing rows, some of them delivered twice."""
-    path, raw = scratch_path(spark, "forest"), _typed(spark, sf)
+    path, raw = scratch_path(spark, "forest"), stage(_typed(spark, sf), "raw")
     jobs.train_forest(stage(jobs.feature_rows(raw), "features"), VOCABULARY, path, numTrees=20)
     source, sink, state = (scratch_path(spark, p) for p in ("rows", "scored", "state"))
     scorer = jobs.forest_scorer(path, distinct=False)
