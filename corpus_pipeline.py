@@ -24,8 +24,8 @@ def release(spark: SparkSession) -> None:
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
-    return quality.judge(quality.measure(docs)).where("kept").select(*docs.columns)
+    """Documents that pass the quality rules. They are measured twice, so that no copy of the texts stays on disk."""
+    return quality.judge(quality.measure(docs), again=True).where("kept").select(*docs.columns)
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +51,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     own = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.xxhash64(*docs.columns).alias("hash"))
     docs = docs.withColumn(row, own)
     kept = neardup.components(docs, key=row, size=5, percent=80).where("kept").select(row).distinct()
+    release(spark)
     first = docs.join(kept, row, "left_semi").dropDuplicates([row]).drop(row)
     unique = stage(first, "pipeline-unique")
     release(spark)

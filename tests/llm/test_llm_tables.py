@@ -8,6 +8,7 @@ import os
 import random
 import re
 from collections import defaultdict
+from pathlib import Path
 
 import compare
 import numpy as np
@@ -409,6 +410,19 @@ def test_repeat(make, sourced):
 # Pipeline
 
 
+def test_quality_stage_leaves_no_texts_on_disk(spark, make):
+    """The same rows as from one measurement, without a copy of the texts, and measured once for the result."""
+    raw = make([(i, prose(i, 40 + i)) for i in range(90)] + [(None, prose(5, 60)), (90, None), (91, "### $$$ " * 60)])
+    root = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    want = quality.judge(quality.measure(raw)).where("kept").select(*raw.columns).collect()
+    before = set(root.glob("quality-rows-*"))
+    kept = corpus_pipeline.keep_quality(spark, raw, SF)
+    assert as_bag(map(tuple, kept.collect())) == as_bag(map(tuple, want)) and len(want) > 50
+    assert set(root.glob("quality-rows-*")) == before
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_pipeline_stages(spark, make, edges):
     """Each stage against a plain version, on the stage's own input."""
     notice = "this page was made by the team of the site and its many friends for all of you"
