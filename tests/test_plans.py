@@ -120,3 +120,28 @@ def test_landing_rows_are_made_once(spark, sf, tmp_path, monkeypatch, name):
 
     monkeypatch.setattr(jobs, "train_forest", train_without_source)
     assert queries.REGISTRY[name](spark, sf).count() > 0
+
+
+@pytest.mark.parametrize("name", ["score_rejects", "stream_score_forest", "score_saved_forest"])
+def test_training_rows_are_not_written(spark, sf, monkeypatch, name):
+    """The fit keeps what it reads; the test part, for which wide rows would be written, is not used there."""
+    labels = []
+    monkeypatch.setattr(queries, "stage", lambda df, label: labels.append(label) or stage(df, label))
+    queries.REGISTRY[name](spark, sf)
+    assert "features" not in labels
+
+
+def test_missing_rows_are_counted_without_whole_rows(spark, sf):
+    """Only ids and hashes of the input are shuffled to find what is in neither output."""
+    text = plan(queries.score_rejects(spark, sf))
+    keys = [line for line in text.splitlines() if "HashAggregate(keys=[transaction_id" in line]
+    assert keys and not any("merchant_category" in line for line in keys)
+
+
+def test_a_row_in_neither_output_is_counted_once(spark, sf, monkeypatch):
+    """Rows of one user are kept from both runs; copies of them count once."""
+    score = jobs.score_new
+    kept = "user_id NOT IN ('USER_7', 'GUEST_USER_7', 'USER_USER_7') OR user_id IS NULL"
+    monkeypatch.setattr(jobs, "score_new", lambda raw, *args, **options: score(raw.where(kept), *args, **options))
+    lost = quality.filter_header(queries._typed(spark, sf)).where(f"NOT ({kept})").distinct().count()
+    assert lost > 0 and queries.score_rejects(spark, sf).select("n_missing").distinct().collect() == [(lost,)]

@@ -1,12 +1,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from txnrisk.functions import clean_user_id, normalize_category, strip_prefix, text
+from txnrisk.functions import clean_user_id, normalize_category, parse_ts, strip_prefix, text
 from txnrisk.operators import incremental, quality
+from txnrisk.plans.fixtures import landing
 
 DDL = "transaction_id string, x int, y double"
 CELL = st.tuples(
@@ -107,3 +110,22 @@ def test_not_processed_finds_late_rows_and_keeps_copies(spark):
     df, done = stamps(spark, 1, 2, 3), stamps(spark, 9)
     got = incremental.not_processed(df.union(df), done.union(done))
     assert sorted(r[0] for r in got.collect()) == ["t1", "t1", "t2", "t2"]
+
+
+def test_parse_ts_by_cast_equals_the_format(spark):
+    """The cast takes text in the format to the letter; its results are those of the format for any text."""
+    texts = [
+        "2024-01-05 10:20:30", "2024-02-29 00:00:00", "0001-01-01 00:00:00", "1582-10-10 01:02:03", "9999-12-31 23:59:59",
+        "2024-01-05T10:20:30Z", "2024-01-05", "2024-1-5 1:2:3", "+12024-01-05 10:20:30",
+        "24-01-05 10:20:30", "٢024-01-05 10:20:30", "", "Timestamp", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = df.select(parse_ts("t").alias("got"), F.expr("try_to_timestamp(t, 'yyyy-MM-dd HH:mm:ss')").alias("want"))
+    assert got.where("NOT got <=> want").count() == 0 and got.where("got IS NOT NULL").count() >= 5
+    assert "try_cast" in text.parse_ts("t") and "try_cast" not in text.parse_ts("t", "yyyy/MM/dd")
+
+
+def test_landing_formats_times_by_constant_formats(spark, sf):
+    """A computed format is looked up for every row."""
+    times = landing(spark, sf).select("timestamp")._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format(" in times and not re.search(r"date_format\([^,]*, CASE", times)

@@ -63,12 +63,21 @@ def not_processed(df: DataFrame, done: DataFrame, keys: Sequence[str] = ("transa
     return df.join(done.select(*keys), list(keys), "left_anti")
 
 
+def row_hash(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(c) for c in columns])
+
+
+def hashed_rows(df: DataFrame, columns: Sequence[str], key: str = "transaction_id") -> DataFrame:
+    """Key and ``row_hash`` in place of the row, for callers that only count or look up rows."""
+    return df.select(key, row_hash(columns).alias("row_hash"))
+
+
 def not_seen(df: DataFrame, seen: DataFrame, columns: Sequence[str], key: str = "transaction_id") -> DataFrame:
     """Rows that are not in ``seen`` with the same values of ``columns``: other rows of the same key stay.
 
     ``seen`` may have more columns. Rows are compared by key and a hash of their values, so nulls match too.
     """
-    digest = F.xxhash64(*[F.col(c) for c in columns])
+    digest = row_hash(columns)
     known = seen.select(F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__key"), digest.alias("__hash"))
     marked = df.withColumns({"__key": F.coalesce(F.col(key).cast("string"), F.lit("")), "__hash": digest})
     return marked.join(known, ["__key", "__hash"], "left_anti").drop("__key", "__hash")

@@ -76,8 +76,9 @@ TEXT_SQL = {
     "user_id": "CASE WHEN event_id % 41 = 6 THEN concat('GUEST_', user_id) "
     "WHEN event_id % 43 = 9 THEN concat('USER_', user_id) ELSE user_id END",
     "transaction_amount": "CASE WHEN event_id % 37 <> 11 THEN cast(transaction_amount AS string) END",
-    "timestamp": "date_format(timestamp, CASE WHEN event_id % 29 = 4 THEN \"yyyy-MM-dd'T'HH:mm:ss'Z'\" "
-    "ELSE 'yyyy-MM-dd HH:mm:ss' END)",
+    # One constant format per branch: a format that is computed is looked up anew for every row.
+    "timestamp": "CASE WHEN event_id % 29 = 4 THEN date_format(timestamp, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") "
+    "ELSE date_format(timestamp, 'yyyy-MM-dd HH:mm:ss') END",
     "device_type": "CASE WHEN event_id % 53 = 2 THEN 'Smart-TV' ELSE device_type END",
     "location": "CASE WHEN event_id % 31 = 5 THEN NULL "
     "WHEN event_id % 31 = 6 AND location = 'New York' THEN 'New - York' ELSE location END",

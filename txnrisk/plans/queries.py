@@ -878,8 +878,7 @@ def evaluate_forest(spark: SparkSession, sf: str) -> DataFrame:
 def score_saved_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Train and save a forest, load it in a scoring job and run that twice over growing input."""
     path, raw = scratch_path(spark, "forest"), _typed(spark, sf)
-    rows = stage(jobs.feature_rows(raw), "features")
-    jobs.train_forest(rows, VOCABULARY, path, numTrees=20)
+    jobs.train_forest(jobs.feature_rows(raw), VOCABULARY, path, numTrees=20)
     predictions, scorer = PathTable(scratch_path(spark, "predictions")), jobs.forest_scorer(path)
     jobs.score_new(raw.where(F.col("timestamp") <= LAST), predictions, scorer)
     jobs.score_new(raw, predictions, scorer)
@@ -992,13 +991,15 @@ def vocab_merge(spark: SparkSession, sf: str) -> DataFrame:
 def score_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """What two runs of a saved forest put aside, each row once, and how many rows of the input are in neither."""
     path, raw = scratch_path(spark, "forest"), stage(_typed(spark, sf), "raw")
-    jobs.train_forest(stage(jobs.feature_rows(raw), "features"), VOCABULARY, path, numTrees=3)
+    jobs.train_forest(jobs.feature_rows(raw), VOCABULARY, path, numTrees=3)
     predictions, rejects = (PathTable(scratch_path(spark, p)) for p in ("predictions", "rejects"))
     for part in (raw.where(hash_bucket("transaction_id") < 60), raw):
         jobs.score_new(part, predictions, jobs.forest_scorer(path), rejects=rejects)
     bad = rejects.read(spark)
-    whole = quality.drop_duplicate_rows(quality.filter_header(raw))
-    missing = incremental.not_seen(incremental.not_processed(whole, predictions.read(spark)), bad, raw.columns)
+    # Ids and hashes stand for rows, as not_seen compares them: whole rows are not shuffled, and copies only where missing.
+    hashed = incremental.hashed_rows(quality.filter_header(raw), raw.columns)
+    missing = incremental.not_processed(hashed, predictions.read(spark))
+    missing = quality.drop_duplicate_rows(incremental.not_seen(missing, incremental.hashed_rows(bad, raw.columns), ["row_hash"]))
     return bad.select("transaction_id", "timestamp", "reason").join(missing.agg(F.count(F.lit(1)).alias("n_missing")), F.lit(True))
 
 
@@ -1025,7 +1026,7 @@ def stream_score_dedup(spark: SparkSession, sf: str) -> DataFrame:
 def stream_score_forest(spark: SparkSession, sf: str) -> DataFrame:
     """A saved forest over a stream of landing rows, some of them delivered twice."""
     path, raw = scratch_path(spark, "forest"), stage(_typed(spark, sf), "raw")
-    jobs.train_forest(stage(jobs.feature_rows(raw), "features"), VOCABULARY, path, numTrees=20)
+    jobs.train_forest(jobs.feature_rows(raw), VOCABULARY, path, numTrees=20)
     source, sink, state = (scratch_path(spark, p) for p in ("rows", "scored", "state"))
     scorer = jobs.forest_scorer(path, distinct=False)
     for delivered in (raw, raw.where(hash_bucket("transaction_id") < 30)):
